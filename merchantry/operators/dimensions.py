@@ -13,6 +13,7 @@ from merchantry.functions.numbering import id_by_key
 from merchantry.functions.regions import region_of
 from merchantry.functions.text import display_name, non_empty, or_default
 from merchantry.schemas import conform_to
+from merchantry.sources.store import Keep, as_is
 
 # Fixed values.
 HOLIDAYS = ["01-01", "07-04", "12-25"]
@@ -133,10 +134,12 @@ def star_fact(t: dict[str, DataFrame], dates: DataFrame, locations: DataFrame) -
     return conform_to(fact_lines(t, dates).join(places, "user_id", "left"), "star", "fact_orders")
 
 
-def build_star(t: dict[str, DataFrame], first_year: int = 2020, last_year: int = 2026) -> dict[str, DataFrame]:
-    """Dimensions first, then the fact table."""
-    dates = date_dimension(t["orders"].sparkSession, first_year, last_year)
-    locations = star_locations(t)
+def build_star(
+    t: dict[str, DataFrame], first_year: int = 2020, last_year: int = 2026, keep: Keep = as_is
+) -> dict[str, DataFrame]:
+    """Dimensions first, then the fact table; ``keep`` may store what later tables are built from."""
+    dates = keep("dim_date", date_dimension(t["orders"].sparkSession, first_year, last_year))
+    locations = keep("dim_location", star_locations(t))
     return {
         "dim_date": dates, "dim_users": star_users(t), "dim_products": star_products(t), "dim_location": locations,
         "fact_orders": star_fact(t, dates, locations),
@@ -230,12 +233,14 @@ def snow_products(t: dict[str, DataFrame], categories: DataFrame, brands: DataFr
     return conform_to(rows, "snowflake", "dim_products")
 
 
-def build_snowflake(t: dict[str, DataFrame], first_year: int = 2020, last_year: int = 2026) -> dict[str, DataFrame]:
-    """Sub-dimensions, dimensions, fact table."""
-    dates = date_dimension(t["orders"].sparkSession, first_year, last_year)
-    roles, states = user_roles(t["users"]), snow_states(t)
-    cities = snow_cities(t, states)
-    categories, brands = snow_categories(t), snow_brands(t)
+def build_snowflake(
+    t: dict[str, DataFrame], first_year: int = 2020, last_year: int = 2026, keep: Keep = as_is
+) -> dict[str, DataFrame]:
+    """Sub-dimensions, dimensions, fact table; ``keep`` may store what later tables are built from."""
+    roles, states = keep("dim_user_roles", user_roles(t["users"])), keep("dim_states", snow_states(t))
+    cities = keep("dim_cities", snow_cities(t, states))
+    categories, brands = keep("dim_categories", snow_categories(t)), keep("dim_brands", snow_brands(t))
+    dates = keep("dim_date", date_dimension(t["orders"].sparkSession, first_year, last_year))
     return {
         "dim_user_roles": roles, "dim_states": states, "dim_cities": cities, "dim_categories": categories,
         "dim_brands": brands, "dim_date": dates,

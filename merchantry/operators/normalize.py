@@ -9,6 +9,7 @@ from merchantry.functions import seeded
 from merchantry.functions.numbering import id_by_key, running_total, running_totals
 from merchantry.functions.text import or_default, slug
 from merchantry.schemas import conform_to
+from merchantry.sources.store import Keep, as_is
 
 DEFAULT_CATEGORY = "uncategorized"
 ORDER_STATUSES = ["completed", "pending", "shipped", "delivered"]
@@ -102,9 +103,9 @@ def number_user_parts(users: DataFrame) -> DataFrame:
     )
 
 
-def normalize_users(users: DataFrame) -> dict[str, DataFrame]:
-    """Users, addresses, banks and companies."""
-    parts = number_user_parts(users)
+def normalize_users(users: DataFrame, keep: Keep = as_is) -> dict[str, DataFrame]:
+    """Users, addresses, banks and companies; ``keep`` may store the numbered users that all four read."""
+    parts = keep("user_parts", number_user_parts(users))
     own = parts.filter(F.col("address_id").isNotNull()).select(F.col("address_id").alias("id"), *address_columns("address"))
     work = parts.filter(F.col("company_address_id").isNotNull()).select(
         F.col("company_address_id").alias("id"), *address_columns("company.address")
@@ -157,9 +158,9 @@ def exploded_with_ids(parents: DataFrame, key: str, array: str, value: str) -> D
     )
 
 
-def normalize_products(products: DataFrame) -> dict[str, DataFrame]:
+def normalize_products(products: DataFrame, keep: Keep = as_is) -> dict[str, DataFrame]:
     """Products, categories, tags, images and reviews."""
-    categories = categories_of(products)
+    categories = keep("categories", categories_of(products))
     flat = (
         products.withColumn("_slug", slug(or_default("category", DEFAULT_CATEGORY)))
         .join(categories.select(F.col("slug").alias("_slug"), F.col("id").alias("category_id")), "_slug", "left")

@@ -17,14 +17,14 @@ def normalized(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return stored(spark, sf_dir, "star", lambda: dimensions.build_star(normalized(spark, sf_dir), FIRST_YEAR, LAST_YEAR))
+    return stored(spark, sf_dir, "star", lambda keep: dimensions.build_star(normalized(spark, sf_dir), FIRST_YEAR, LAST_YEAR, keep))
 
 
 def snowflake(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return stored(
-        spark, sf_dir, "snowflake", lambda: dimensions.build_snowflake(normalized(spark, sf_dir), FIRST_YEAR, LAST_YEAR)
+        spark, sf_dir, "snowflake", lambda keep: dimensions.build_snowflake(normalized(spark, sf_dir), FIRST_YEAR, LAST_YEAR, keep)
     )
 
 
 def collections(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return stored(spark, sf_dir, "documents", lambda: documents.denormalize(normalized(spark, sf_dir)))
+    return stored(spark, sf_dir, "documents", lambda keep: documents.denormalize(normalized(spark, sf_dir)))

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NORMALIZED = {
@@ -182,6 +182,7 @@ RAW = {
 }
 
 
+@cache
 def struct_type(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
@@ -190,18 +191,22 @@ def schema_of(model: str, table: str) -> T.StructType:
     return struct_type(MODELS[model][table])
 
 
+def _literal(value) -> str:
+    return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else str(value).lower()
+
+
 def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
     """Columns of ``schema`` in order and type; absent columns are null, missing values take their default."""
     defaults = defaults or {}
     have = set(df.columns)
     columns = []
     for field in schema.fields:
-        value = F.col(field.name) if field.name in have else F.lit(None)
-        value = value.cast(field.dataType)
+        dtype = field.dataType.simpleString()
+        value = f"CAST({f'`{field.name}`' if field.name in have else 'NULL'} AS {dtype})"
         if field.name in defaults:
-            value = F.coalesce(value, F.lit(defaults[field.name]).cast(field.dataType))
-        columns.append(value.alias(field.name))
-    return df.select(*columns)
+            value = f"COALESCE({value}, CAST({_literal(defaults[field.name])} AS {dtype}))"
+        columns.append(f"{value} AS `{field.name}`")
+    return df.selectExpr(*columns)
 
 
 def conform_to(df: DataFrame, model: str, table: str) -> DataFrame:

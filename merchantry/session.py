@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # call sites for every column expression cost more than building the plan itself
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -9,6 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+Keep = Callable[[str, DataFrame], DataFrame]
+
 _models: dict[tuple[str, str, str], dict[str, str]] = {}
 
 
@@ -39,17 +41,33 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def as_is(name: str, df: DataFrame) -> DataFrame:
+    """The ``keep`` of a builder that stays lazy."""
+    return df
+
+
 def stored(
-    spark: SparkSession, source: str, model: str, build: Callable[[], dict[str, DataFrame]]
+    spark: SparkSession, source: str, model: str, build: Callable[[Keep], dict[str, DataFrame]]
 ) -> dict[str, DataFrame]:
-    """The tables of a model, written on first use in this session and read from there afterwards."""
+    """The tables of a model, written on first use in this session and read from there afterwards.
+
+    ``build`` gets a ``keep(name, df)`` that writes a table at once and returns what was written, for
+    tables that later ones are built from.
+    """
     key = (spark.sparkContext.applicationId, source, model)
     if key not in _models:
         tag = hashlib.sha1(source.encode()).hexdigest()[:8]
         root = scratch_path(spark, f"{model}-{tag}")
-        paths = {}
-        for name, df in build().items():
+        paths: dict[str, str] = {}
+
+        def keep(name: str, df: DataFrame) -> DataFrame:
             paths[name] = f"{root}/{name}"
             df.write.parquet(paths[name])
-        _models[key] = paths
+            return spark.read.schema(df.schema).parquet(paths[name])
+
+        tables = build(keep)
+        for name, df in tables.items():
+            if name not in paths:
+                keep(name, df)
+        _models[key] = {name: paths[name] for name in tables}
     return {name: spark.read.parquet(path) for name, path in _models[key].items()}
