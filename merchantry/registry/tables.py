@@ -1 +1,367 @@
+"""Sources, sinks and chunked reading. Each entry writes whole given tables and reads them back."""
 
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from merchantry import schemas
+from merchantry.functions.numbering import id_by_key
+from merchantry.operators import documents, records
+from merchantry.plans import models
+from merchantry.registry.base import answer, register
+from merchantry.registry.dimensional import FLAT_COUNTS, counts_sql
+from merchantry.operators.dimensions import row_counts
+from merchantry.sources import avro, files, retail, sinks
+from merchantry.sources.store import scratch_path
+from merchantry.streaming import chunks
+
+GIVEN = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+         "conversations").split()
+
+
+def table(spark, sf, name):
+    return retail.table(spark, sf, name)
+
+
+def _union(frames):
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+CUSTOMER = "c_custkey c_name c_nationkey:i c_acctbal:d c_mktsegment"
+
+
+@register("src_1_csv_typed", answer(CUSTOMER, "SELECT * FROM customer"))
+def _(spark, sf):
+    path = scratch_path(spark, "csv")
+    sinks.write_csv(table(spark, sf, "customer"), path)
+    return files.read_csv(spark, path)
+
+
+@register("src_2_csv_text", answer(
+    "p_partkey p_name p_brand p_size", "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, CAST(p_size AS VARCHAR) AS p_size FROM part"))
+def _(spark, sf):
+    path = scratch_path(spark, "csv")
+    sinks.write_csv(table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size"), path)
+    return files.read_csv_text(spark, path)
+
+
+ORDER = "o_orderkey o_custkey o_orderstatus o_totalprice:d o_orderpriority"
+ORDER_COLUMNS = [c.split(":")[0] for c in ORDER.split()]
+
+
+def _in_chunks(spark, source, fmt):
+    """Eight files, one per chunk; the rows of all chunks and how many chunks there were."""
+    path, target = scratch_path(spark, fmt), scratch_path(spark, "chunks")
+    source.repartition(8).write.format(fmt).options(**(files.CSV_OPTIONS if fmt == "csv" else {})).save(path)
+    return chunks.copy_in_chunks(chunks.chunk_stream(spark, path, fmt, source.schema), target)
+
+
+@register("src_3_csv_chunks", answer(ORDER, "SELECT * FROM orders"))
+def _(spark, sf):
+    return _in_chunks(spark, table(spark, sf, "orders").select(*ORDER_COLUMNS), "csv").drop("chunk")
+
+
+@register("src_4_json_arrays", answer(CUSTOMER, "SELECT * FROM customer"))
+def _(spark, sf):
+    """Lines that each hold a JSON array of up to 100 records."""
+    path, customers = scratch_path(spark, "arrays"), table(spark, sf, "customer")
+    _pages(customers, "c_custkey").select(F.to_json("records").alias("value")).write.text(path)
+    return files.read_json_lines(spark, path, customers.schema)
+
+
+def _pages(df, key, size=100):
+    """Records in key order, ``size`` to a page."""
+    numbered = id_by_key(df, key, "_n", first=0).withColumn("_page", F.call_function("div", "_n", F.lit(size)))
+    return numbered.groupBy("_page").agg(F.collect_list(F.struct(*df.columns)).alias("records"))
+
+
+@register("src_5_json_or_empty", answer(CUSTOMER, "SELECT * FROM customer"))
+def _(spark, sf):
+    """A table that is there and one that is not."""
+    path, customers = scratch_path(spark, "json"), table(spark, sf, "customer")
+    sinks.write_json_lines(customers, path)
+    there = files.read_table_or_empty(spark, path, customers.schema)
+    return there.unionByName(files.read_table_or_empty(spark, scratch_path(spark, "nothing"), customers.schema))
+
+
+@register("src_6_json_table", answer(CUSTOMER, "SELECT * FROM customer"))
+def _(spark, sf):
+    path, customers = scratch_path(spark, "json"), table(spark, sf, "customer")
+    sinks.write_json_lines(customers, path)
+    return spark.read.schema(customers.schema).json(path)
+
+
+@register("src_7_json_chunks", answer(ORDER, "SELECT * FROM orders"))
+def _(spark, sf):
+    return _in_chunks(spark, table(spark, sf, "orders").select(*ORDER_COLUMNS), "json").drop("chunk")
+
+
+def _lines_with_faults(spark, sf):
+    """Events as JSON lines; errors are cut short and searches leave a blank line behind them."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    line = F.to_json(F.struct(*events.columns))
+    path = scratch_path(spark, "lines")
+    cut = F.when(F.col("event_type") == "error", F.substring_index(line, ",", 2)).otherwise(line)
+    events.select(F.explode(F.array(cut, F.when(F.col("event_type") == "click", F.lit("")).otherwise(line))).alias("value")).write.text(path)
+    return path, events.schema
+
+
+EVENTS = "event_id user_id event_type value:d"
+KEPT_EVENTS = "SELECT * FROM events WHERE event_type <> 'error' UNION ALL SELECT * FROM events WHERE event_type <> 'click'"
+
+
+@register("src_8_json_lines", answer(EVENTS, KEPT_EVENTS))
+def _(spark, sf):
+    path, schema = _lines_with_faults(spark, sf)
+    return files.read_json_lines(spark, path, schema)
+
+
+@register("src_8_json_lines_chunks", answer(EVENTS, KEPT_EVENTS))
+def _(spark, sf):
+    path, schema = _lines_with_faults(spark, sf)
+    return chunks.copy_in_chunks(chunks.chunk_stream(spark, path, "json", schema), scratch_path(spark, "chunks")).drop("chunk")
+
+
+@register("src_8_skipped_lines", answer("skipped:i", "SELECT count(*) AS skipped FROM events WHERE event_type = 'error'"))
+def _(spark, sf):
+    path, schema = _lines_with_faults(spark, sf)
+    return files.malformed_json_lines(spark, path, schema).agg(F.count("*").alias("skipped"))
+
+
+PART = "p_partkey p_name p_brand p_type p_size:i p_retailprice:d"
+
+
+@register("src_9_avro_read", answer(PART, "SELECT * FROM part"))
+def _(spark, sf):
+    path = scratch_path(spark, "avro")
+    avro.write_avro(table(spark, sf, "part"), path)
+    return avro.read_avro(spark, path)
+
+
+@register("src_10_avro_files", answer(ORDER, "SELECT * FROM orders"))
+def _(spark, sf):
+    """Eight Avro files, each a task of its own."""
+    path = scratch_path(spark, "avro")
+    avro.write_avro(table(spark, sf, "orders").select(*ORDER_COLUMNS).repartition(8), path)
+    return avro.read_avro(spark, path)
+
+
+@register("src_11_parquet_read", answer("l_orderkey l_partkey l_linenumber:i l_quantity", "SELECT * FROM lineitem"))
+def _(spark, sf):
+    return files.read_parquet(spark, f"{sf}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+
+
+@register("src_12_parquet_chunks", answer(ORDER, "SELECT * FROM orders"))
+def _(spark, sf):
+    return _in_chunks(spark, table(spark, sf, "orders").select(*ORDER_COLUMNS), "parquet").drop("chunk")
+
+
+@register("src_13_parquet_pushdown", answer("l_orderkey l_quantity l_extendedprice", """
+    SELECT * FROM lineitem WHERE l_quantity >= 40 AND l_extendedprice < 50000 AND l_returnflag IN ('R', 'A')"""))
+def _(spark, sf):
+    filters = [("l_quantity", ">=", 40), ("l_extendedprice", "<", 50000), ("l_returnflag", "in", ["R", "A"])]
+    return files.read_parquet_where(spark, f"{sf}/lineitem.parquet", filters).select("l_orderkey", "l_quantity", "l_extendedprice")
+
+
+@register("src_14_parquet_metadata", answer("table_name num_rows:i num_columns:i has_groups:b has_size:b", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, (SELECT count(*) FROM {n}) AS num_rows, "
+    f"(SELECT count(*) FROM (DESCRIBE {n})) AS num_columns, TRUE AS has_groups, TRUE AS has_size" for n in GIVEN)))
+def _(spark, sf):
+    facts = files.parquet_metadata(spark, sf)
+    return facts.select(
+        F.regexp_extract("file_path", r"([a-z]+)\.parquet$", 1).alias("table_name"), "num_rows",
+        F.when(F.col("schema").contains("list"), F.lit(3)).otherwise(F.col("num_columns")).alias("num_columns"),
+        (F.col("num_row_groups") > 0).alias("has_groups"), (F.col("serialized_size") > 0).alias("has_size"),
+    )
+
+
+@register("src_15_pages", answer(CUSTOMER, "SELECT * FROM customer"))
+def _(spark, sf):
+    """Landed pages of 100 records each."""
+    path, customers = scratch_path(spark, "pages"), table(spark, sf, "customer")
+    _pages(customers, "c_custkey").select(F.col("records").alias("users")).write.json(path)
+    return files.unnest_pages(spark, path, "users", customers.schema)
+
+
+@register("src_16_full_scan", answer("s_suppkey s_name s_nationkey:i s_acctbal:d", "SELECT * FROM supplier"))
+def _(spark, sf):
+    table(spark, sf, "supplier").createOrReplaceTempView("merchantry_supplier")
+    return spark.table("merchantry_supplier")
+
+
+@register("src_17_file_facts", answer("row_count:i column_count:i has_size:b", """
+    SELECT (SELECT count(*) FROM lineitem) AS row_count, 11 AS column_count, TRUE AS has_size"""))
+def _(spark, sf):
+    path = f"{sf}/lineitem.parquet"
+    return files.shape(files.read_parquet(spark, path)).withColumn("has_size", files.size_mb(spark, path).scalar() > 0)
+
+
+@register("snk_1_csv", answer(ORDER + " o_orderdate:ts", "SELECT * FROM orders"))
+def _(spark, sf):
+    path, orders = scratch_path(spark, "csv"), table(spark, sf, "orders")
+    sinks.write_csv(orders, path)
+    return files.read_csv(spark, path, orders.schema)
+
+
+CONVERSATIONS = "conv_id turn role text"
+
+
+@register("snk_2_json", answer(CONVERSATIONS, "SELECT * FROM conversations"))
+def _(spark, sf):
+    path, talks = scratch_path(spark, "json"), table(spark, sf, "conversations")
+    sinks.write_json_lines(talks, path)
+    return spark.read.schema(talks.schema).json(path)
+
+
+@register("snk_3_json_lines", answer("doc_id lang source n_chars text_length:i", "SELECT *, length(text) AS text_length FROM documents"))
+def _(spark, sf):
+    path, docs = scratch_path(spark, "lines"), table(spark, sf, "documents")
+    sinks.write_json_lines(docs, path)
+    return files.read_json_lines(spark, path, docs.schema).withColumn("text_length", F.length("text")).drop("text")
+
+
+@register("snk_4_avro", answer("o_orderkey o_custkey o_totalprice:d day:day o_orderdate:ts price:d", """
+    SELECT *, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(12,2)) AS price FROM orders"""))
+def _(spark, sf):
+    path = scratch_path(spark, "avro")
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("day"), "o_orderdate",
+        F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+    )
+    avro.write_avro(rows, path)
+    return avro.read_avro(spark, path)
+
+
+@register("snk_5_parquet_codecs", answer("codec p_partkey p_name p_retailprice:d", f"""
+    SELECT unnest({sinks.PARQUET_CODECS}) AS codec, p_partkey, p_name, p_retailprice FROM part"""))
+def _(spark, sf):
+    parts, frames = table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice"), []
+    for codec in sinks.PARQUET_CODECS:
+        path = scratch_path(spark, codec)
+        sinks.write_parquet(parts, path, codec)
+        frames.append(files.read_parquet(spark, path).withColumn("codec", F.lit(codec)))
+    return _union(frames)
+
+
+@register("snk_6_save_tables", counts_sql(FLAT_COUNTS))
+def _(spark, sf):
+    paths = sinks.save_tables(models.normalized(spark, sf), scratch_path(spark, "saved"))
+    return row_counts({name: files.read_parquet(spark, path) for name, path in paths.items()})
+
+
+@register("snk_7_land_raw", answer('kind id label', """
+    SELECT 'product json' AS kind, id, title AS label FROM t_products UNION ALL SELECT 'product csv', id, sku FROM t_products
+    UNION ALL SELECT 'user json', id, username FROM t_users UNION ALL SELECT 'user csv', u.id, a.city FROM t_users u
+    LEFT JOIN t_addresses a ON u.address_id = a.id"""))
+def _(spark, sf):
+    paths = records.land_raw(
+        {"users": retail.raw_users(spark, sf), "products": retail.raw_products(spark, sf)}, scratch_path(spark, "raw")
+    )
+    picks = [("product json", "products.json", "title"), ("product csv", "products.csv", "sku"),
+             ("user json", "users.json", "username"), ("user csv", "users.csv", "address_city")]
+    frames = []
+    for kind, name, label in picks:
+        if name.endswith("csv"):
+            df = files.read_csv(spark, paths[name])
+        else:
+            df = spark.read.schema(schemas.struct_type(schemas.RAW[name.split(".")[0]])).json(paths[name])
+        frames.append(df.select(F.lit(kind).alias("kind"), "id", F.col(label).alias("label")))
+    return _union(frames)
+
+
+@register("snk_8_append", answer("id user_id total:d", "SELECT * FROM t_orders"))
+def _(spark, sf):
+    """Orders appended status by status."""
+    folder, orders = scratch_path(spark, "appended"), models.normalized(spark, sf)["orders"]
+    for status in ("F", "O", "P"):
+        sinks.append_tables({"orders": orders.filter(F.col("status") == status)}, folder)
+    return files.read_parquet(spark, f"{folder}/orders").select("id", "user_id", "total")
+
+
+def _brand_rows(spark, sf, condition):
+    return table(spark, sf, "part").filter(condition).select(F.col("p_brand").alias("brand"), "p_partkey", "p_type")
+
+
+@register("snk_9_insert_ignore", answer("brand p_partkey p_type", """
+    SELECT brand, p_partkey, p_type FROM (
+        SELECT p_brand AS brand, p_partkey, p_type, row_number() OVER (
+            PARTITION BY p_brand ORDER BY CASE WHEN p_retailprice < 905 THEN 0 ELSE 1 END, p_partkey) AS rn FROM part) AS r WHERE rn = 1"""))
+def _(spark, sf):
+    """The first part of each brand; the cheap parts were there before."""
+    first = sinks.insert_ignore(_brand_rows(spark, sf, "FALSE"), _brand_rows(spark, sf, "p_retailprice < 905"), ["brand"], "p_partkey")
+    return sinks.upsert_ignore(first, _brand_rows(spark, sf, "p_retailprice >= 905"), ["brand"], "p_partkey")
+
+
+@register("snk_10_generated_ids", answer("id:i p_type p_partkey", """
+    SELECT (SELECT max(p_partkey) FROM part WHERE p_type = 'ECONOMY') + row_number() OVER (ORDER BY p_partkey) AS id, p_type, p_partkey
+    FROM part WHERE p_type <> 'ECONOMY'"""))
+def _(spark, sf):
+    parts = table(spark, sf, "part")
+    existing = parts.filter("p_type = 'ECONOMY'").select(F.col("p_partkey").alias("id"))
+    new = parts.filter("p_type <> 'ECONOMY'").select("p_type", "p_partkey")
+    return sinks.with_generated_ids(new, existing, "id", "p_partkey")
+
+
+@register("snk_11_collections", answer("_id username city", """
+    SELECT o.id AS _id, u.username, a.city FROM t_orders o LEFT JOIN t_users u ON o.user_id = u.id
+    LEFT JOIN t_addresses a ON u.address_id = a.id"""))
+def _(spark, sf):
+    """Order and user documents written as JSON and joined again by user."""
+    built = documents.denormalize(models.normalized(spark, sf))
+    paths = sinks.write_collections({n: built[n] for n in ("users", "orders")}, scratch_path(spark, "collections"))
+    users = spark.read.schema(built["users"].schema).json(paths["users"])
+    orders = spark.read.schema(built["orders"].schema).json(paths["orders"]).filter("part = 0")
+    cities = users.select(F.col("_id").alias("user_id"), F.col("address.city").alias("city"))
+    return orders.select("_id", F.col("user.id").alias("user_id"), F.col("user.username").alias("username")).join(
+        cities, "user_id", "left"
+    ).drop("user_id")
+
+
+@register("snk_12_replace", answer(PART, "SELECT * FROM part WHERE p_size > 25"))
+def _(spark, sf):
+    path, parts = scratch_path(spark, "replaced"), table(spark, sf, "part")
+    for rows in (parts, parts.filter("p_size > 25")):
+        sinks.save_tables({"part": rows}, path)
+    return files.read_parquet(spark, f"{path}/part")
+
+
+@register("snk_13_declared_schema", answer(
+    "id user_id order_date:ts status total:d discounted_total:d total_products:i total_quantity:i", """
+    SELECT o_orderkey AS id, o_custkey AS user_id, o_orderdate AS order_date,
+        CASE WHEN o_orderstatus = 'P' THEN 'pending' ELSE o_orderstatus END AS status, o_totalprice AS total,
+        NULL AS discounted_total, NULL AS total_products, NULL AS total_quantity FROM orders"""))
+def _(spark, sf):
+    """Absent columns are null and a missing status takes its default."""
+    rows = table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS id", "o_custkey AS user_id", "o_orderdate AS order_date", "nullif(o_orderstatus, 'P') AS status",
+        "o_totalprice AS total",
+    )
+    return schemas.conform_to(rows, "normalized", "orders")
+
+
+EXPORT = "fact_id order_id date_id:i unit_price total_amount order_status"
+
+
+@register("snk_14_fact_export", answer("kind " + EXPORT, """
+    SELECT unnest(['json', 'parquet']) AS kind, fact_id, order_id, date_id, CAST(unit_price AS DOUBLE) AS unit_price,
+        CAST(total_amount AS DOUBLE) AS total_amount, order_status FROM t_fact"""))
+def _(spark, sf):
+    fact = models.star(spark, sf)["fact_orders"]
+    paths = sinks.export_fact(fact, scratch_path(spark, "export"))
+    schema = sinks.export_ready(fact).schema
+    frames = [spark.read.schema(schema).format(kind).load(path).withColumn("kind", F.lit(kind)) for kind, path in paths.items()]
+    return _union(frames).select("kind", "fact_id", "order_id", "date_id", "unit_price", "total_amount", "order_status")
+
+
+@register("snk_14_iso_export", answer("id order_date", "SELECT id, strftime(order_date, '%Y-%m-%dT%H:%M:%S') AS order_date FROM t_orders"))
+def _(spark, sf):
+    return sinks.export_ready(models.normalized(spark, sf)["orders"].select("id", "order_date"))
+
+
+@register("str_1_chunk_sizes", answer("row_count:i chunks:i", "SELECT count(*) AS row_count, 8 AS chunks FROM orders"))
+def _(spark, sf):
+    """Eight files are eight chunks, and no row is lost."""
+    copied = _in_chunks(spark, table(spark, sf, "orders").select(*ORDER_COLUMNS), "json")
+    return chunks.chunk_sizes(copied).agg(F.sum("row_count").alias("row_count"), F.count("*").alias("chunks"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Keep = Callable[[str, DataFrame], DataFrame]
 
-_models: dict[tuple[str, str, str], dict[str, str]] = {}
+_models: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -58,16 +58,14 @@ def stored(
     if key not in _models:
         tag = hashlib.sha1(source.encode()).hexdigest()[:8]
         root = scratch_path(spark, f"{model}-{tag}")
-        paths: dict[str, str] = {}
+        kept: dict[str, DataFrame] = {}
 
         def keep(name: str, df: DataFrame) -> DataFrame:
-            paths[name] = f"{root}/{name}"
-            df.write.parquet(paths[name])
-            return spark.read.schema(df.schema).parquet(paths[name])
+            path = f"{root}/{name}"
+            df.write.parquet(path)
+            kept[name] = spark.read.schema(df.schema).parquet(path)
+            return kept[name]
 
         tables = build(keep)
-        for name, df in tables.items():
-            if name not in paths:
-                keep(name, df)
-        _models[key] = {name: paths[name] for name in tables}
-    return {name: spark.read.parquet(path) for name, path in _models[key].items()}
+        _models[key] = {name: kept[name] if name in kept else keep(name, df) for name, df in tables.items()}
+    return dict(_models[key])
