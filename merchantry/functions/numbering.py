@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from merchantry.functions.text import col
 from merchantry.sources.store import settle
 
-BLOCK_KEYS = 1 << 16
-BLOCKS_PER_GROUP = 1 << 12
+# 10^12 sequential ids are four million blocks
+BLOCK_KEYS = 1 << 18
 ROW_BITS = 33
 
 
@@ -21,34 +21,23 @@ def running_totals(df: DataFrame, key: str, weights: dict[str, Column]) -> DataF
     """Add, per name, the total weight of all rows with a smaller ``key``; ``key`` is a unique whole number.
 
     Rows are summed inside blocks of ``BLOCK_KEYS`` consecutive keys, which unique keys can never
-    overfill, and the block totals are themselves summed in two levels.
+    overfill; only one row per block goes through the window over all blocks.
     """
-    names = list(weights)
     upto = (Window.unboundedPreceding, -1)
-
-    def sums(prefix: str, out: str) -> list[Column]:
-        return [F.sum(f"{prefix}{i}").alias(f"{out}{i}") for i in range(len(names))]
+    count = range(len(weights))
 
     def before(prefix: str, window) -> list[Column]:
-        return [F.coalesce(F.sum(f"{prefix}{i}").over(window), F.lit(0)) for i in range(len(names))]
+        return [F.coalesce(F.sum(f"{prefix}{i}").over(window), F.lit(0)) for i in count]
 
     rows = df.select("*", _div(key, BLOCK_KEYS).alias("_block"),
                      *[w.cast("bigint").alias(f"_w{i}") for i, w in enumerate(weights.values())])
-    blocks = (
-        rows.groupBy("_block").agg(*sums("_w", "_b"))
-        .withColumn("_group", _div("_block", BLOCKS_PER_GROUP))
-    )
-    groups = blocks.groupBy("_group").agg(*sums("_b", "_g"))
-    all_groups = Window.orderBy("_group").rowsBetween(*upto)
-    group_starts = groups.select("_group", *[c.alias(f"_gs{i}") for i, c in enumerate(before("_g", all_groups))])
-    in_group = Window.partitionBy("_group").orderBy("_block").rowsBetween(*upto)
-    block_starts = blocks.join(group_starts, "_group").select(
-        "_block", *[(F.col(f"_gs{i}") + c).alias(f"_bs{i}") for i, c in enumerate(before("_b", in_group))]
-    )
+    totals = rows.groupBy("_block").agg(*[F.sum(f"_w{i}").alias(f"_t{i}") for i in count])
+    all_blocks = Window.orderBy("_block").rowsBetween(*upto)
+    starts = totals.select("_block", *[c.alias(f"_s{i}") for i, c in enumerate(before("_t", all_blocks))])
     in_block = Window.partitionBy("_block").orderBy(key).rowsBetween(*upto)
-    numbered = rows.select("*", *[c.alias(f"_r{i}") for i, c in enumerate(before("_w", in_block))])
-    return numbered.join(block_starts, "_block").select(
-        *df.columns, *[(F.col(f"_bs{i}") + F.col(f"_r{i}")).alias(name) for i, name in enumerate(names)]
+    summed = rows.select("*", *[c.alias(f"_r{i}") for i, c in enumerate(before("_w", in_block))])
+    return summed.join(starts, "_block").select(
+        *df.columns, *[(F.col(f"_s{i}") + F.col(f"_r{i}")).alias(name) for i, name in enumerate(weights)]
     )
 
 

@@ -34,9 +34,35 @@ def ranked(df: DataFrame, measure: str, *ties: str) -> DataFrame:
     return df.orderBy(F.col(measure).desc_nulls_first(), *[F.col(t).asc_nulls_last() for t in ties])
 
 
+def best_label(label: str, measure: str) -> Column:
+    """Aggregate: the label with the largest measure, ties to the first label. A group is never sorted."""
+    return F.min_by(label, F.struct(-F.col(measure), F.col(label)))
+
+
+def best_known_label(label: str, measure: str) -> Column:
+    """``best_label`` among the rows that have a label."""
+    return F.min_by(label, F.when(F.col(label).isNotNull(), F.struct(-F.col(measure), F.col(label))))
+
+
 def best(group: str, label: str, measure: str, df: DataFrame, name: str) -> DataFrame:
-    """Per group the label with the largest measure; a partial aggregate, no group is sorted."""
-    return df.groupBy(group).agg(F.min_by(label, F.struct(-F.col(measure), F.col(label))).alias(name))
+    """Per group the label with the largest measure."""
+    return df.groupBy(group).agg(best_label(label, measure).alias(name))
+
+
+def per_order(fact: DataFrame, *attributes: str) -> DataFrame:
+    """Fact rows summed per order, with attributes that an order has one value of (user, day, location).
+
+    Counting orders is then counting rows, so no distinct count has to expand the fact rows.
+    """
+    return fact.groupBy("order_id", *attributes).agg(
+        F.sum("quantity").alias("_quantity"), F.sum("total_amount").alias("_amount"),
+        F.count("total_amount").alias("_lines"), F.sum("discount_amount").alias("_discounts"),
+    )
+
+
+def mean_line(total_name: str, name: str) -> Column:
+    """Average line amount from rows that carry the line count."""
+    return mean_money(total_name, "_line_count").alias(name)
 
 
 def calendar(dates: DataFrame, *columns: str) -> DataFrame:

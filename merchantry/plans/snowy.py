@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money, percent_of
-from merchantry.plans.common import best, distinct, mean_of, mean_parts, ranked, top, total
+from merchantry.plans.common import best_known_label, distinct, mean_line, mean_of, mean_parts, ranked, top, total
 from merchantry.plans.starry import newest_facts
 
 Tables = dict[str, DataFrame]
@@ -44,63 +44,73 @@ def revenue_by_product(m: Tables, n: int = 50) -> DataFrame:
     )
 
 
+def _per_customer(m: Tables) -> DataFrame:
+    """Orders and sums per customer: the only pass over the fact rows of the geographic queries."""
+    return m["fact_orders"].groupBy("user_id").agg(
+        distinct("order_id", "_orders"), total("quantity", "_quantity"), total("total_amount", "_amount"),
+        F.count("total_amount").alias("_lines"),
+    )
+
+
 def top_users(m: Tables, n: int = 100) -> DataFrame:
     """Users by lifetime value with role and city, state, region."""
-    spent = m["fact_orders"].groupBy("user_id").agg(
-        distinct("order_id", "total_orders"), total("quantity", "total_items"), total("total_amount", "lifetime_value"),
-        *mean_parts("total_amount"),
-    )
     users = m["dim_users"].select("user_id", "username", "full_name", "email", "age", "role_id", "city_id")
-    rows = top(spent.join(users, "user_id"), n, "lifetime_value", "user_id")
+    rows = top(_per_customer(m).join(users, "user_id"), n, "_amount", "user_id")
     rows = rows.join(m["dim_user_roles"], "role_id", "left").join(cities_with_state(m), "city_id", "left")
-    return ranked(rows, "lifetime_value", "user_id").select(
+    return ranked(rows, "_amount", "user_id").select(
         "user_id", "username", "full_name", "email", "age", "role_name", "role_description", "city_name",
-        F.col("population").alias("city_population"), "state_name", "state_code", "region", "country", "total_orders",
-        "total_items", "lifetime_value", mean_of("total_amount", "avg_order_value"),
+        F.col("population").alias("city_population"), "state_name", "state_code", "region", "country",
+        F.col("_orders").alias("total_orders"), F.col("_quantity").alias("total_items"),
+        F.col("_amount").alias("lifetime_value"), mean_money("_amount", "_lines").alias("avg_order_value"),
     )
 
 
-def _sales_by_city(m: Tables) -> DataFrame:
-    """Fact rows reduced to their measures, with the user's city and state; users without a city keep nulls."""
-    users = m["dim_users"].select("user_id", "city_id").join(cities_with_state(m), "city_id", "left")
-    return m["fact_orders"].select("user_id", "order_id", "total_amount").join(users, "user_id")
+def _per_city(m: Tables) -> DataFrame:
+    """Customers, orders and sums per city with its state; customers without a city share a row of nulls.
 
+    An order has one user and a user has one city, so the counts of the levels add up.
+    """
+    customers = _per_customer(m).join(m["dim_users"].select("user_id", "city_id"), "user_id")
+    cities = customers.groupBy("city_id").agg(
+        F.count("*").alias("_customers"), total("_orders", "_orders"), total("_amount", "_amount"), total("_lines", "_lines")
+    )
+    return cities.join(cities_with_state(m), "city_id", "left")
 
-def _by_place(sales: DataFrame, keys: list[str], revenue: str, *counts) -> DataFrame:
-    return sales.groupBy(*keys).agg(
-        *counts, distinct("order_id", "total_orders"), total("total_amount", revenue), *mean_parts("total_amount")
+
+def _by_place(cities: DataFrame, keys: list[str], revenue: str, customers: str, *counts) -> DataFrame:
+    return cities.groupBy(*keys).agg(
+        *counts, total("_customers", customers), total("_orders", "total_orders"), total("_amount", revenue),
+        total("_lines", "_line_count"),
     )
 
 
 def revenue_by_region(m: Tables) -> DataFrame:
     rows = _by_place(
-        _sales_by_city(m), ["region", "country"], "regional_revenue", distinct("state_id", "states_in_region"),
-        distinct("city_id", "cities_in_region"), distinct("user_id", "customers_in_region"),
+        _per_city(m), ["region", "country"], "regional_revenue", "customers_in_region",
+        distinct("state_id", "states_in_region"), F.count("city_id").alias("cities_in_region"),
     )
     return ranked(rows, "regional_revenue", "region").select(
         "region", "country", "states_in_region", "cities_in_region", "customers_in_region", "total_orders",
-        "regional_revenue", mean_of("total_amount", "avg_order_value"),
+        "regional_revenue", mean_line("regional_revenue", "avg_order_value"),
     )
 
 
 def revenue_by_state(m: Tables, n: int = 50) -> DataFrame:
     rows = _by_place(
-        _sales_by_city(m).filter(F.col("state_name").isNotNull()), ["state_name", "state_code", "region"], "state_revenue",
-        distinct("city_id", "cities_in_state"), distinct("user_id", "customers_in_state"),
+        _per_city(m).filter(F.col("state_name").isNotNull()), ["state_name", "state_code", "region"], "state_revenue",
+        "customers_in_state", F.count("city_id").alias("cities_in_state"),
     )
     return top(rows, n, "state_revenue", "state_code").select(
         "state_name", "state_code", "region", "cities_in_state", "customers_in_state", "total_orders", "state_revenue",
-        mean_of("total_amount", "avg_order_value"),
+        mean_line("state_revenue", "avg_order_value"),
     )
 
 
 def revenue_by_city(m: Tables, n: int = 100) -> DataFrame:
     keys = ["city_name", "state_name", "state_code", "region", "population"]
-    rows = _by_place(
-        _sales_by_city(m).filter(F.col("city_name").isNotNull()), keys, "city_revenue", distinct("user_id", "customers_in_city")
-    )
+    rows = _by_place(_per_city(m).filter(F.col("city_name").isNotNull()), keys, "city_revenue", "customers_in_city")
     return top(rows, n, "city_revenue", "city_name", "state_code").select(
-        *keys, "customers_in_city", "total_orders", "city_revenue", mean_of("total_amount", "avg_order_value")
+        *keys, "customers_in_city", "total_orders", "city_revenue", mean_line("city_revenue", "avg_order_value")
     )
 
 
@@ -109,23 +119,23 @@ def category_performance(m: Tables) -> DataFrame:
     products = m["dim_products"].select("product_id", "category_id", "brand_id")
     per_product = m["fact_orders"].groupBy("product_id").agg(
         total("quantity", "_quantity"), total("total_amount", "_revenue"), *mean_parts("unit_price")
-    ).join(products, "product_id")
-    sums = per_product.groupBy("category_id").agg(
-        F.count("*").alias("products_count"), total("_quantity", "total_quantity_sold"), total("_revenue", "total_revenue"),
-        total("_sum_unit_price", "_sum_price"), total("_n_unit_price", "_n_price"),
+    )
+    brands = per_product.join(products, "product_id").groupBy("category_id", "brand_id").agg(
+        F.count("*").alias("_products"), total("_quantity", "_quantity"), total("_revenue", "_revenue"),
+        total("_sum_unit_price", "_prices"), total("_n_unit_price", "_priced"),
+    ).join(m["dim_brands"].select("brand_id", "brand_name"), "brand_id", "left")
+    sums = brands.groupBy("category_id").agg(
+        total("_products", "products_count"), total("_quantity", "total_quantity_sold"), total("_revenue", "total_revenue"),
+        total("_prices", "_prices"), total("_priced", "_priced"), best_known_label("brand_name", "_revenue").alias("top_brand"),
     ).join(categories_with_parent(m), "category_id")
-    whole = sums.agg(F.sum("total_revenue").alias("whole")).scalar()
-    brands = per_product.join(m["dim_brands"].select("brand_id", "brand_name"), "brand_id").groupBy(
-        "category_id", "brand_name"
-    ).agg(total("_revenue", "_brand_revenue"))
-    tops = best("category_id", "brand_name", "_brand_revenue", brands, "top_brand")
-    orders = m["fact_orders"].select("product_id", "order_id").join(products, "product_id").groupBy("category_id").agg(
-        distinct("order_id", "orders_count")
-    )
-    joined = sums.join(orders, "category_id").join(tops, "category_id", "left").withColumn("_whole", whole)
-    return ranked(joined, "total_revenue", "category_id").select(
+    # one row per category by now
+    shared = sums.withColumn("_whole", F.sum("total_revenue").over(Window.partitionBy()))
+    orders = m["fact_orders"].select("product_id", "order_id").join(products.drop("brand_id"), "product_id").groupBy(
+        "category_id"
+    ).agg(distinct("order_id", "orders_count"))
+    return ranked(shared.join(orders, "category_id"), "total_revenue", "category_id").select(
         "category_name", "category_slug", "parent_category", "products_count", "orders_count", "total_quantity_sold",
-        "total_revenue", mean_money("_sum_price", "_n_price").alias("avg_product_price"),
+        "total_revenue", mean_money("_prices", "_priced").alias("avg_product_price"),
         percent_of("total_revenue", "_whole").alias("market_share_percent"), "top_brand",
     )
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money, percent_of
-from merchantry.plans.common import best, calendar, distinct, mean_of, mean_parts, ranked, top, total
+from merchantry.plans.common import (
+    best_label, calendar, distinct, mean_line, mean_of, mean_parts, per_order, ranked, top, total,
+)
 
 Tables = dict[str, DataFrame]
 
@@ -27,25 +29,27 @@ def revenue_by_product(m: Tables, n: int = 50) -> DataFrame:
 
 def top_users(m: Tables, n: int = 100) -> DataFrame:
     """Users by lifetime value with first and last purchase."""
-    spent = m["fact_orders"].join(calendar(m["dim_date"], "full_date"), "date_id").groupBy("user_id").agg(
-        distinct("order_id", "total_orders"), total("quantity", "total_items_purchased"),
-        total("total_amount", "lifetime_value"), total("discount_amount", "total_discounts_received"),
-        *mean_parts("total_amount"), distinct("date_id", "days_with_purchases"),
-        F.min("full_date").alias("first_purchase_date"), F.max("full_date").alias("last_purchase_date"),
+    orders = per_order(m["fact_orders"], "user_id", "date_id").join(calendar(m["dim_date"], "full_date"), "date_id")
+    spent = orders.groupBy("user_id").agg(
+        F.count("*").alias("total_orders"), total("_quantity", "total_items_purchased"), total("_amount", "lifetime_value"),
+        total("_discounts", "total_discounts_received"), total("_lines", "_line_count"),
+        distinct("date_id", "days_with_purchases"), F.min("full_date").alias("first_purchase_date"),
+        F.max("full_date").alias("last_purchase_date"),
     )
     users = m["dim_users"].select("user_id", "username", "full_name", "email", "age", "gender", "role")
     return top(spent.join(users, "user_id"), n, "lifetime_value", "user_id").select(
         "user_id", "username", "full_name", "email", "age", "gender", "role", "total_orders", "total_items_purchased",
-        "lifetime_value", "total_discounts_received", mean_of("total_amount", "avg_transaction_value"),
+        "lifetime_value", "total_discounts_received", mean_line("lifetime_value", "avg_transaction_value"),
         "days_with_purchases", "first_purchase_date", "last_purchase_date",
     )
 
 
-def _by_period(m: Tables, keys: list[str], revenue: str, *more) -> DataFrame:
-    needed = {*keys, "full_date"}
-    return m["fact_orders"].join(calendar(m["dim_date"], *sorted(needed)), "date_id").groupBy(*keys).agg(
-        distinct("order_id", "orders_count"), total("quantity", "items_sold"), total("total_amount", revenue),
-        *mean_parts("total_amount"), *more,
+def _by_period(m: Tables, keys: list[str], revenue: str, *more, attributes: tuple[str, ...] = ()) -> DataFrame:
+    """Orders per calendar period; orders of days outside the calendar are left out."""
+    days = calendar(m["dim_date"], *sorted({*keys, "full_date"}))
+    return per_order(m["fact_orders"], "date_id", *attributes).join(days, "date_id").groupBy(*keys).agg(
+        F.count("*").alias("orders_count"), total("_quantity", "items_sold"), total("_amount", revenue),
+        total("_lines", "_line_count"), *more,
     )
 
 
@@ -54,7 +58,7 @@ def daily_revenue(m: Tables, days: int = 30) -> DataFrame:
     rows = _by_period(m, ["full_date", "day_name", "is_weekend"], "daily_revenue")
     return rows.orderBy(F.col("full_date").desc()).limit(days).select(
         "full_date", "day_name", "is_weekend", "orders_count", "items_sold", "daily_revenue",
-        mean_of("total_amount", "avg_order_value"),
+        mean_line("daily_revenue", "avg_order_value"),
     )
 
 
@@ -65,7 +69,7 @@ def weekly_revenue(m: Tables, weeks: int = 20) -> DataFrame:
     )
     return rows.orderBy(F.col("year").desc(), F.col("week_of_year").desc()).limit(weeks).select(
         "year", "week_of_year", "week_start", "week_end", "orders_count", "items_sold", "weekly_revenue",
-        mean_of("total_amount", "avg_order_value"),
+        mean_line("weekly_revenue", "avg_order_value"),
     )
 
 
@@ -73,68 +77,79 @@ def monthly_growth(m: Tables) -> DataFrame:
     """Monthly revenue with the previous month and the growth in percent."""
     rows = _by_period(
         m, ["year", "month", "month_name", "quarter"], "monthly_revenue", distinct("user_id", "unique_customers"),
-        total("discount_amount", "total_discounts"),
+        total("_discounts", "total_discounts"), attributes=("user_id",),
     )
     # one row per calendar month by now
     previous = F.lag("monthly_revenue").over(Window.orderBy("year", "month"))
     grown = rows.withColumn("prev_month_revenue", previous)
     return grown.orderBy(F.col("year").desc(), F.col("month").desc()).select(
         "year", "month", "month_name", "quarter", "orders_count", "unique_customers", "items_sold", "monthly_revenue",
-        "total_discounts", mean_of("total_amount", "avg_order_value"), "prev_month_revenue",
+        "total_discounts", mean_line("monthly_revenue", "avg_order_value"), "prev_month_revenue",
         percent_of(F.col("monthly_revenue") - F.col("prev_month_revenue"), "prev_month_revenue").alias("revenue_growth_percent"),
     )
 
 
+def _by_customer_and_place(m: Tables, *place: str) -> DataFrame:
+    """Orders summed per customer and location, then looked up: the location join sees no single orders."""
+    orders = per_order(m["fact_orders"].filter(F.col("location_id").isNotNull()), "user_id", "location_id")
+    customers = orders.groupBy("user_id", "location_id").agg(
+        F.count("*").alias("_orders"), total("_quantity", "_quantity"), total("_amount", "_amount"), total("_lines", "_lines")
+    )
+    return customers.join(m["dim_location"].select("location_id", *place), "location_id")
+
+
 def revenue_by_location(m: Tables, n: int = 100) -> DataFrame:
     """Sales by country, region, state and city."""
     place = ["country", "region", "state", "city"]
-    sold = m["fact_orders"].join(m["dim_location"].select("location_id", *place), "location_id").groupBy(*place).agg(
-        distinct("order_id", "orders_count"), distinct("user_id", "unique_customers"), total("quantity", "items_sold"),
-        total("total_amount", "total_revenue"), *mean_parts("total_amount"),
+    sold = _by_customer_and_place(m, *place).groupBy(*place).agg(
+        total("_orders", "orders_count"), distinct("user_id", "unique_customers"), total("_quantity", "items_sold"),
+        total("_amount", "total_revenue"), total("_lines", "_line_count"),
     )
     return top(sold, n, "total_revenue", *place).select(
         *place, "orders_count", "unique_customers", "items_sold", "total_revenue",
-        mean_of("total_amount", "avg_order_value"), mean_money("total_revenue", "unique_customers").alias("revenue_per_customer"),
+        mean_line("total_revenue", "avg_order_value"), mean_money("total_revenue", "unique_customers").alias("revenue_per_customer"),
     )
 
 
 def revenue_by_region(m: Tables) -> DataFrame:
-    places = m["dim_location"].select("location_id", "region", "state", "city")
-    sold = m["fact_orders"].join(places, "location_id").groupBy("region").agg(
+    """Sales by region; states and cities are counted among the locations that have sales."""
+    sold = _by_customer_and_place(m, "region", "state", "city").groupBy("region").agg(
         distinct("state", "states_count"), distinct("city", "cities_count"), distinct("user_id", "unique_customers"),
-        total("total_amount", "regional_revenue"), *mean_parts("total_amount"),
+        total("_amount", "regional_revenue"), total("_lines", "_line_count"),
     )
     return ranked(sold, "regional_revenue", "region").select(
         "region", "states_count", "cities_count", "unique_customers", "regional_revenue",
-        mean_of("total_amount", "avg_order_value"),
+        mean_line("regional_revenue", "avg_order_value"),
     )
 
 
 def category_performance(m: Tables) -> DataFrame:
     """Measures per category and its best-selling brand.
 
-    Sums come from one row per product; only the distinct order count reads the fact rows by category.
+    Sums go from products to brands to categories; only the distinct order count reads fact rows by category.
     """
     products = m["dim_products"].select("product_id", "category", "brand")
     per_product = m["fact_orders"].groupBy("product_id").agg(
         total("quantity", "_quantity"), total("total_amount", "_revenue"), total("discount_amount", "_discounts"),
-        *mean_parts("unit_price"), F.count("total_amount").alias("_n_total_amount"),
-    ).join(products, "product_id")
-    sums = per_product.groupBy("category").agg(
-        F.count("*").alias("products_in_category"), total("_quantity", "total_quantity_sold"),
-        total("_revenue", "total_revenue"), total("_discounts", "total_discounts"),
-        total("_sum_unit_price", "_sum_price"), total("_n_unit_price", "_n_price"), total("_n_total_amount", "_n_amount"),
-    )
-    brands = per_product.groupBy("category", "brand").agg(total("_revenue", "_brand_revenue"))
-    tops = best("category", "brand", "_brand_revenue", brands, "top_brand")
+        *mean_parts("unit_price"), F.count("total_amount").alias("_lines"),
+    )
+    brands = per_product.join(products, "product_id").groupBy("category", "brand").agg(
+        F.count("*").alias("_products"), total("_quantity", "_quantity"), total("_revenue", "_revenue"),
+        total("_discounts", "_discounts"), total("_sum_unit_price", "_prices"), total("_n_unit_price", "_priced"),
+        total("_lines", "_lines"),
+    )
+    sums = brands.groupBy("category").agg(
+        total("_products", "products_in_category"), total("_quantity", "total_quantity_sold"), total("_revenue", "total_revenue"),
+        total("_discounts", "total_discounts"), total("_prices", "_prices"), total("_priced", "_priced"),
+        total("_lines", "_line_count"), best_label("brand", "_revenue").alias("top_brand"),
+    )
     orders = m["fact_orders"].select("product_id", "order_id").join(products, "product_id").groupBy("category").agg(
         distinct("order_id", "orders_count")
     )
-    joined = sums.join(orders, "category").join(tops, "category", "left")
-    return ranked(joined, "total_revenue", "category").select(
+    return ranked(sums.join(orders, "category"), "total_revenue", "category").select(
         "category", "products_in_category", "orders_count", "total_quantity_sold", "total_revenue", "total_discounts",
-        mean_money("_sum_price", "_n_price").alias("avg_product_price"),
-        mean_money("total_revenue", "_n_amount").alias("avg_transaction_value"), "top_brand",
+        mean_money("_prices", "_priced").alias("avg_product_price"), mean_line("total_revenue", "avg_transaction_value"),
+        "top_brand",
     )
 
 
@@ -160,9 +175,8 @@ def user_ranking(m: Tables, n: int = 100) -> DataFrame:
 
 def monthly_revenue(m: Tables) -> DataFrame:
     """Revenue per calendar month; the same for star and snowflake."""
-    months = calendar(m["dim_date"], "year", "month", "month_name")
-    return m["fact_orders"].join(months, "date_id").groupBy("year", "month", "month_name").agg(
-        distinct("order_id", "orders_count"), total("total_amount", "revenue")
+    return _by_period(m, ["year", "month", "month_name"], "revenue").select(
+        "year", "month", "month_name", "orders_count", "revenue"
     ).orderBy(F.col("year").desc(), F.col("month").desc())
 
 
@@ -189,12 +203,16 @@ def wide_join(m: Tables, n: int = 1000) -> DataFrame:
 
 
 def heavy_aggregate(m: Tables) -> DataFrame:
-    """Global counts and sums; the same for star and snowflake."""
-    return m["fact_orders"].join(calendar(m["dim_date"], "full_date"), "date_id").agg(
-        distinct("order_id", "total_orders"), distinct("user_id", "unique_customers"),
-        distinct("product_id", "unique_products"), total("quantity", "total_items"), total("total_amount", "total_revenue"),
-        *mean_parts("total_amount"), F.min("full_date").alias("first_order"), F.max("full_date").alias("last_order"),
+    """Global counts and sums; the same for star and snowflake. Products are counted in a scan of their own."""
+    dated = calendar(m["dim_date"], "full_date")
+    products = m["fact_orders"].select("product_id", "date_id").join(calendar(m["dim_date"]), "date_id", "left_semi").agg(
+        distinct("product_id", "n")
+    )
+    return per_order(m["fact_orders"], "user_id", "date_id").join(dated, "date_id").agg(
+        F.count("*").alias("total_orders"), distinct("user_id", "unique_customers"), total("_quantity", "total_items"),
+        total("_amount", "total_revenue"), total("_lines", "_line_count"), F.min("full_date").alias("first_order"),
+        F.max("full_date").alias("last_order"),
     ).select(
-        "total_orders", "unique_customers", "unique_products", "total_items", "total_revenue",
-        mean_of("total_amount", "avg_order_value"), "first_order", "last_order",
+        "total_orders", "unique_customers", products.scalar().alias("unique_products"), "total_items", "total_revenue",
+        mean_line("total_revenue", "avg_order_value"), "first_order", "last_order",
     )
