@@ -31,8 +31,8 @@ def typed_columns(df: DataFrame) -> DataFrame:
     for i, c in enumerate(cleaned.columns):
         v = F.col(f"`{c}`")
         whole = v.rlike(WHOLE) & v.try_cast("bigint").isNotNull()
-        tests += [F.every(F.coalesce(whole, v.isNull())).alias(f"w{i}"),
-                  F.every(F.coalesce(v.rlike(NUMBER), v.isNull())).alias(f"n{i}"), F.count(v).alias(f"c{i}")]
+        tests += [F.every(v.isNull() | whole).alias(f"w{i}"), F.every(v.isNull() | v.rlike(NUMBER)).alias(f"n{i}"),
+                  F.count(v).alias(f"c{i}")]
     verdict = cleaned.agg(*tests).first()
     columns = []
     for i, c in enumerate(cleaned.columns):

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from merchantry import schemas
 from merchantry.functions.numbering import id_by_key
 from merchantry.sources.files import CSV_OPTIONS
+from merchantry.sources.store import at_once
 
 PARQUET_CODECS = ["snappy", "gzip", "lz4", "zstd", "none"]
 
@@ -43,8 +44,7 @@ def write_parquet(df: DataFrame, path: str, codec: str | None = "snappy", mode:
 def save_tables(tables: dict[str, DataFrame], folder: str, mode: str = "overwrite", fmt: str = "parquet") -> dict[str, str]:
     """Every table in its own folder, replacing what was there."""
     paths = {name: f"{folder}/{name}" for name in tables}
-    for name, df in tables.items():
-        df.write.mode(mode).format(fmt).save(paths[name])
+    at_once([lambda n=name, d=df: d.write.mode(mode).format(fmt).save(paths[n]) for name, df in tables.items()])
     return paths
 
 
@@ -80,10 +80,11 @@ def with_generated_ids(new: DataFrame, existing: DataFrame, id_column: str, posi
 
 def write_collections(collections: dict[str, DataFrame], folder: str) -> dict[str, str]:
     """Nested documents, one folder of JSON lines per collection."""
-    paths = {}
-    for name, df in collections.items():
-        paths[name] = f"{folder}/{name}"
-        df.write.mode("overwrite").option("ignoreNullFields", False).json(paths[name])
+    paths = {name: f"{folder}/{name}" for name in collections}
+    at_once([
+        lambda n=name, d=df: d.write.mode("overwrite").option("ignoreNullFields", False).json(paths[n])
+        for name, df in collections.items()
+    ])
     return paths
 
 

@@ -6,9 +6,12 @@ import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+ACTIONS_AT_ONCE = 4
+
 Keep = Callable[[str, DataFrame], DataFrame]
 
 _models: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
@@ -41,6 +44,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def at_once(actions: list[Callable[[], object]]) -> None:
+    """Run independent Spark actions side by side, so that the tail of one does not leave executors idle."""
+    with ThreadPoolExecutor(ACTIONS_AT_ONCE) as pool:
+        for done in [pool.submit(action) for action in actions]:
+            done.result()
+
+
 def as_is(name: str, df: DataFrame) -> DataFrame:
     """The ``keep`` of a builder that stays lazy."""
     return df
@@ -67,5 +77,6 @@ def stored(
             return kept[name]
 
         tables = build(keep)
-        _models[key] = {name: kept[name] if name in kept else keep(name, df) for name, df in tables.items()}
+        at_once([lambda n=name, d=df: keep(n, d) for name, df in tables.items() if name not in kept])
+        _models[key] = {name: kept[name] for name in tables}
     return dict(_models[key])
