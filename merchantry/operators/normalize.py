@@ -143,12 +143,16 @@ def exploded_with_ids(parents: DataFrame, key: str, array: str, value: str) -> D
     """
     size = F.greatest(F.coalesce(F.size(array), F.lit(0)), F.lit(0))
     if "part" in parents.columns:
-        sizes = parents.groupBy(key).agg(F.sum(size).alias("_size"))
-        starts = running_total(sizes, key, F.col("_size"), "_start").select(key, "_start")
+        # only sizes are numbered, so that the parts of one parent stay spread over the tasks
+        sizes = parents.select(key, "part", size.alias("_size"))
+        totals = sizes.groupBy(key).agg(F.sum("_size").alias("_size"))
+        starts = running_total(totals, key, F.col("_size"), "_parent_start").select(key, "_parent_start")
         earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-        placed = (
-            parents.select(key, "part", array).withColumn("_earlier", F.coalesce(F.sum(size).over(earlier), F.lit(0)))
-            .join(starts, key).withColumn("_start", F.col("_start") + F.col("_earlier"))
+        offsets = sizes.join(starts, key).select(
+            key, "part", "_parent_start", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_earlier")
+        )
+        placed = parents.select(key, "part", array).join(offsets, [key, "part"]).withColumn(
+            "_start", F.col("_parent_start") + F.col("_earlier")
         )
     else:
         placed = running_total(parents.select(key, array), key, size, "_start").withColumn("_earlier", F.lit(0))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money
+from merchantry.sources.store import settle
 
 
 def total(column: str, name: str) -> Column:
@@ -49,6 +52,25 @@ def best(group: str, label: str, measure: str, df: DataFrame, name: str) -> Data
     return df.groupBy(group).agg(best_label(label, measure).alias(name))
 
 
+# candidates looked at before all rows are, per row wanted
+SPARE = 10
+
+
+def matching(table: DataFrame, key: str, few: DataFrame) -> DataFrame:
+    """Rows of ``few`` (cut by a limit, so small) whose ``key`` is in ``table``; the large table is only scanned."""
+    keys = table.select(key).join(F.broadcast(few.select(key).distinct()), key, "left_semi").distinct()
+    return few.join(F.broadcast(keys), key, "left_semi")
+
+
+def first_rows(short_cut: Callable[[int], DataFrame], whole: Callable[[], DataFrame], n: int) -> DataFrame:
+    """The first ``n`` rows from the best candidates, or from everything where the candidates do not fill ``n``.
+
+    Candidates are a prefix of the same order, so ``n`` rows among them are the first ``n`` of all.
+    """
+    found = settle(short_cut(n * SPARE))
+    return found if found.count() == n else whole()
+
+
 def per_order(fact: DataFrame, *attributes: str) -> DataFrame:
     """Fact rows summed per order, with attributes that an order has one value of (user, day, location).
 

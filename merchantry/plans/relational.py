@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money
 from merchantry.functions.text import concat_skip_nulls
-from merchantry.plans.common import best, distinct, mean_of, mean_parts, ranked, top, total
+from merchantry.plans.common import best, distinct, first_rows, matching, mean_of, mean_parts, ranked, top, total
 
 Tables = dict[str, DataFrame]
 
@@ -19,17 +19,26 @@ def _full_name(prefix: str = ""):
 def newest_lines(t: Tables, n: int) -> DataFrame:
     """Keys of the ``n`` newest order lines that have a known user and product.
 
-    Only keys go through the joins and the sort; the texts are looked up for the ``n`` rows that remain.
+    Every order with a valid line gives at least one, so the newest orders are tried first: they are
+    found without a shuffle and meet the other tables in map-side joins. The texts are looked up later.
     """
     lines = t["order_items"].select(F.col("id").alias("item_id"), "order_id", "product_id")
     orders = t["orders"].select(F.col("id").alias("order_id"), "order_date", "user_id")
-    return (
-        lines.join(orders, "order_id")
-        .join(t["users"].select(F.col("id").alias("user_id")), "user_id", "left_semi")
-        .join(t["products"].select(F.col("id").alias("product_id")), "product_id", "left_semi")
-        .orderBy(F.col("order_date").desc_nulls_first(), "order_id", "item_id")
-        .limit(n)
-    )
+    users = t["users"].select(F.col("id").alias("user_id"))
+    products = t["products"].select(F.col("id").alias("product_id"))
+    newest = F.col("order_date").desc_nulls_first()
+
+    def short_cut(candidates: int) -> DataFrame:
+        known = matching(users, "user_id", orders.orderBy(newest, "order_id").limit(candidates))
+        return lines.join(F.broadcast(known), "order_id").join(products, "product_id", "left_semi").orderBy(
+            newest, "order_id", "item_id"
+        ).limit(n)
+
+    def whole() -> DataFrame:
+        valid = lines.join(orders, "order_id").join(users, "user_id", "left_semi").join(products, "product_id", "left_semi")
+        return valid.orderBy(newest, "order_id", "item_id").limit(n)
+
+    return first_rows(short_cut, whole, n)
 
 
 def _looked_up(t: Tables, n: int) -> DataFrame:

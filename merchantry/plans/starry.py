@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money, percent_of
 from merchantry.plans.common import (
-    best_label, calendar, distinct, mean_line, mean_of, mean_parts, per_order, ranked, top, total,
+    best_label, calendar, distinct, first_rows, matching, mean_line, mean_of, mean_parts, per_order, ranked, top, total,
 )
 
 Tables = dict[str, DataFrame]
@@ -182,13 +182,21 @@ def monthly_revenue(m: Tables) -> DataFrame:
 
 def newest_facts(m: Tables, n: int, *keep: str) -> DataFrame:
     """The ``n`` newest fact rows with a known user, product and day; narrow until the limit is applied."""
-    return (
-        m["fact_orders"].select("fact_id", "order_id", "user_id", "product_id", "date_id", "quantity", "total_amount", *keep)
-        .join(calendar(m["dim_date"], "full_date"), "date_id")
-        .join(m["dim_users"].select("user_id"), "user_id", "left_semi")
-        .join(m["dim_products"].select("product_id"), "product_id", "left_semi")
-        .orderBy(F.col("full_date").desc(), "fact_id").limit(n)
-    )
+    dated = m["fact_orders"].select(
+        "fact_id", "order_id", "user_id", "product_id", "date_id", "quantity", "total_amount", *keep
+    ).join(calendar(m["dim_date"], "full_date"), "date_id")
+    users, products = m["dim_users"].select("user_id"), m["dim_products"].select("product_id")
+
+    def newest(rows: DataFrame, count: int) -> DataFrame:
+        return rows.orderBy(F.col("full_date").desc(), "fact_id").limit(count)
+
+    def short_cut(candidates: int) -> DataFrame:
+        return newest(matching(products, "product_id", matching(users, "user_id", newest(dated, candidates))), n)
+
+    def whole() -> DataFrame:
+        return newest(dated.join(users, "user_id", "left_semi").join(products, "product_id", "left_semi"), n)
+
+    return first_rows(short_cut, whole, n)
 
 
 def wide_join(m: Tables, n: int = 1000) -> DataFrame:
