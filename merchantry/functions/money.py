@@ -48,7 +48,7 @@ def line_amounts(price: Column | str, quantity: Column | str, pct: Column | str)
     subtotal = col(price).cast("decimal(12,2)") * col(quantity).cast("decimal(10,0)")
     discount = subtotal * F.coalesce(col(pct), F.lit(0)).cast("decimal(5,2)") * F.lit(Decimal("0.01"))
     return {
-        "discount_amount": F.round(discount, 2).cast("decimal(22,2)"),
-        "subtotal": F.round(subtotal, 2).cast("decimal(22,2)"),
-        "total_amount": F.round(subtotal - discount, 2).cast("decimal(22,2)"),
+        "discount_amount": F.round(discount, 2).cast("decimal(18,2)"),
+        "subtotal": F.round(subtotal, 2).cast("decimal(18,2)"),
+        "total_amount": F.round(subtotal - discount, 2).cast("decimal(18,2)"),
     }

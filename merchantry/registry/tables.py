@@ -36,7 +36,7 @@ CUSTOMER = "c_custkey c_name c_nationkey:i c_acctbal:d c_mktsegment"
 def _(spark, sf):
     path = scratch_path(spark, "csv")
     sinks.write_csv(table(spark, sf, "customer"), path)
-    return files.read_csv(spark, path)
+    return files.read_csv(spark, path, multi_line=False)  # no line breaks in the names
 
 
 @register("src_2_csv_text", answer(
@@ -68,7 +68,7 @@ def _(spark, sf):
     """Lines that each hold a JSON array of up to 100 records."""
     path, customers = scratch_path(spark, "arrays"), table(spark, sf, "customer")
     _pages(customers, "c_custkey").select(F.to_json("records").alias("value")).write.text(path)
-    return files.read_json_lines(spark, path, customers.schema)
+    return files.read_json(spark, path, customers.schema)
 
 
 def _pages(df, key, size=100):
@@ -90,7 +90,7 @@ def _(spark, sf):
 def _(spark, sf):
     path, customers = scratch_path(spark, "json"), table(spark, sf, "customer")
     sinks.write_json_lines(customers, path)
-    return spark.read.schema(customers.schema).json(path)
+    return files.read_json(spark, path, customers.schema)
 
 
 @register("src_7_json_chunks", answer(ORDER, "SELECT * FROM orders"))
@@ -202,7 +202,7 @@ def _(spark, sf):
 def _(spark, sf):
     path, orders = scratch_path(spark, "csv"), table(spark, sf, "orders")
     sinks.write_csv(orders, path)
-    return files.read_csv(spark, path, orders.schema)
+    return files.read_csv(spark, path, orders.schema, multi_line=False)
 
 
 CONVERSATIONS = "conv_id turn role text"

@@ -59,8 +59,8 @@ STAR = {
         postal_code STRING, country STRING, region STRING, latitude DECIMAL(10,8), longitude DECIMAL(11,8)""",
     "fact_orders": """fact_id BIGINT NOT NULL, order_id BIGINT NOT NULL, user_id BIGINT, product_id BIGINT,
         date_id INT NOT NULL, location_id BIGINT, quantity INT, unit_price DECIMAL(12,2),
-        discount_percentage DECIMAL(5,2), discount_amount DECIMAL(22,2), subtotal DECIMAL(22,2),
-        total_amount DECIMAL(22,2), order_status STRING""",
+        discount_percentage DECIMAL(5,2), discount_amount DECIMAL(18,2), subtotal DECIMAL(18,2),
+        total_amount DECIMAL(18,2), order_status STRING""",
 }
 
 SNOWFLAKE = {

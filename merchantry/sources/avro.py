@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
+from merchantry.sources.files import file_system
+
 MAGIC = b"Obj\x01"
 BLOCK_RECORDS = 4000
 EPOCH_DAY = dt.date(1970, 1, 1)
@@ -253,11 +255,6 @@ def encode_file(out, records: Iterator[dict], schema: dict, codec: str = "deflat
         out.write(frame.getvalue() + sync)
 
 
-def _file_system(path: str):
-    from pyarrow import fs
-    return fs.FileSystem.from_uri(path if "://" in path else f"file://{os.path.abspath(path.removeprefix('file:'))}")
-
-
 class AvroWriter(DataSourceWriter):
     """One file per task in a temporary folder; the files move into place when all tasks are done."""
 
@@ -266,7 +263,7 @@ class AvroWriter(DataSourceWriter):
         self.job = uuid.uuid4().hex
 
     def write(self, iterator):
-        system, root = _file_system(self.path)
+        system, root = file_system(self.path)
         rows = (r.asDict(recursive=True) for r in iterator)
         first = next(rows, None)
         message = WriterCommitMessage()
@@ -282,7 +279,7 @@ class AvroWriter(DataSourceWriter):
 
     def commit(self, messages):
         from pyarrow import fs
-        system, root = _file_system(self.path)
+        system, root = file_system(self.path)
         system.create_dir(root, recursive=True)
         if self.overwrite:
             for info in system.get_file_info(fs.FileSelector(root)):
@@ -294,7 +291,7 @@ class AvroWriter(DataSourceWriter):
         self._drop_temporary(system, root)
 
     def abort(self, messages):
-        self._drop_temporary(*_file_system(self.path))
+        self._drop_temporary(*file_system(self.path))
 
     def _drop_temporary(self, system, root):
         from pyarrow import fs

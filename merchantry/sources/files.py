@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Iterable, Iterator
 
 from pyspark.errors import AnalysisException
@@ -16,8 +18,12 @@ WHOLE = r"^\s*[+-]?\d+\s*$"
 NUMBER = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
-def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """CSV with a header row, every value as text. ``multi_line`` allows line breaks inside quotes."""
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CSV with a header row, every value as text.
+
+    Line breaks inside quotes need a file to be read as a whole; pass ``multi_line=False`` for large files
+    that have none, so that a file can be split over tasks.
+    """
     return spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path)
 
 
@@ -46,7 +52,7 @@ def typed_columns(df: DataFrame) -> DataFrame:
     return cleaned.select(*columns)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
     """CSV with a header row; types from ``schema`` or from the values. Empty cells are null."""
     if schema is None:
         return typed_columns(read_csv_text(spark, path, multi_line))
@@ -59,19 +65,43 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType | N
     return (reader.schema(schema) if schema else reader).json(path)
 
 
+def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """JSON with one record, or one array of records, per line. A missing path is an error."""
+    return spark.read.schema(schema).json(path)
+
+
+CORRUPT = "_corrupt_record"
+
+
+def _parsed_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """``(line, record, valid)`` of the lines that are not blank.
+
+    Only lines that do not fit the schema are checked for being JSON at all: a value of an unexpected
+    type is null, it does not cost the record.
+    """
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = lines.filter(F.trim("value") != "").select(
+        F.col("value").alias("line"), F.from_json("value", wide, {"columnNameOfCorruptRecord": CORRUPT}).alias("record")
+    )
+    fits = F.col("record").isNotNull() & F.col(f"record.{CORRUPT}").isNull()
+    return parsed.withColumn("valid", F.when(fits, F.lit(True)).otherwise(F.try_parse_json("line").isNotNull()))
+
+
+def parse_json_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The records of text lines (batch or stream); blank lines and lines that are not JSON are skipped."""
+    return _parsed_lines(lines, schema).filter("valid").select(*[F.col(f"record.`{n}`").alias(n) for n in schema.names])
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """JSON lines; blank and malformed lines are skipped."""
-    reader = spark.read.option("mode", "DROPMALFORMED")
-    return (reader.schema(schema) if schema else reader).json(path)
+    if schema is None:
+        schema = spark.read.option("mode", "DROPMALFORMED").json(path).schema
+    return parse_json_lines(spark.read.text(path), schema)
 
 
 def malformed_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The lines that ``read_json_lines`` skips."""
-    wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    parsed = spark.read.text(path).filter(F.trim("value") != "").select(
-        "value", F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r")
-    )
-    return parsed.filter(F.col("r._corrupt_record").isNotNull()).select(F.col("value").alias("line"))
+    """The lines that ``read_json_lines`` skips, but for blank ones."""
+    return _parsed_lines(spark.read.text(path), schema).filter("NOT valid").select("line")
 
 
 def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json") -> DataFrame:
@@ -138,15 +168,26 @@ FOOTER_SCHEMA = """file_path STRING, num_rows BIGINT, num_columns BIGINT, num_ro
     schema STRING"""
 
 
+def file_system(uri: str):
+    """File system and path of a URI, for the few places where a task opens a file itself."""
+    from pyarrow import fs
+
+    scheme, colon, rest = uri.partition(":")
+    if not colon:
+        return fs.FileSystem.from_uri(f"file://{os.path.abspath(uri)}")
+    if scheme == "file":
+        return fs.FileSystem.from_uri("file:///" + rest.lstrip("/"))
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+
+
 def _footers(batches: Iterator) -> Iterator:
     import pandas as pd
     import pyarrow.parquet as pq
-    from pyarrow import fs
 
     for batch in batches:
         rows = []
         for uri in batch["path"]:
-            system, path = fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "file://", 1))
+            system, path = file_system(uri)
             with system.open_input_file(path) as f:
                 file = pq.ParquetFile(f)
                 m = file.metadata

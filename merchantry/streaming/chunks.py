@@ -8,21 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from merchantry.sources.files import CSV_OPTIONS
+from merchantry.sources.files import CSV_OPTIONS, parse_json_lines
 from merchantry.sources.store import scratch_path
 
-OPTIONS = {"csv": CSV_OPTIONS, "json": {"mode": "DROPMALFORMED"}}
+OPTIONS = {"csv": {**CSV_OPTIONS, "multiLine": "true"}}
 
 
 def chunk_stream(
     spark: SparkSession, path: str, fmt: str, schema: T.StructType, files_per_chunk: int = 1,
     max_bytes: str | None = None, **options: str,
 ) -> DataFrame:
-    """A streaming frame over the files at ``path``; a chunk is some files or about ``max_bytes`` of them."""
-    reader = spark.readStream.format(fmt).schema(schema).options(**{**OPTIONS.get(fmt, {}), **options})
-    if max_bytes:
-        return reader.option("maxBytesPerTrigger", max_bytes).load(path)
-    return reader.option("maxFilesPerTrigger", files_per_chunk).load(path)
+    """A streaming frame over the files at ``path``; a chunk is some files or about ``max_bytes`` of them.
+
+    JSON is read by lines, skipping blank and malformed ones.
+    """
+    reader = spark.readStream.options(**{**OPTIONS.get(fmt, {}), **options})
+    reader = reader.option("maxBytesPerTrigger", max_bytes) if max_bytes else reader.option("maxFilesPerTrigger", files_per_chunk)
+    if fmt == "json":
+        return parse_json_lines(reader.text(path), schema)
+    return reader.format(fmt).schema(schema).load(path)
 
 
 def for_each_chunk(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str | None = None) -> None:

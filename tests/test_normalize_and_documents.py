@@ -1,5 +1,7 @@
 """Nested to flat and back."""
 
+import datetime as dt
+
 import pytest
 
 from merchantry import schemas
@@ -8,14 +10,15 @@ from merchantry.operators import documents, normalize
 HOME = {"address": "1 Road", "city": "Town", "state": "Ohio", "stateCode": "OH", "postalCode": "1", "coordinates": {"lat": 1.5, "lng": -2.5}}
 WORK = {"address": "2 Road", "city": None, "state": None, "stateCode": "TX", "postalCode": "2", "country": "Canada"}
 USERS = [
-    {"id": 10, "firstName": "A", "username": "a", "birthDate": "1990-05-06", "address": HOME, "bank": {"iban": "X"},
+    {"id": 10, "firstName": "A", "username": "a", "birthDate": "1996-5-30", "address": HOME, "bank": {"iban": "X"},
      "company": {"name": "C1", "address": WORK}, "hair": {"color": "red"}},
     {"id": 3, "firstName": "B", "username": "b", "role": "admin", "company": {"name": None, "title": "T"}},
     {"id": 20, "firstName": "C", "username": "c", "address": {}, "bank": {"iban": "Y"}, "company": {"name": "C3", "address": HOME}},
 ]
 PRODUCTS = [
     {"id": 2, "title": "P2", "category": "Home Goods", "tags": ["x", "y"], "images": ["i0", "i1"], "price": 2.675,
-     "reviews": [{"rating": 5, "comment": "good", "date": "2024-01-02T03:04:05"}], "dimensions": {"width": 1.0}, "meta": {"barcode": "b"}},
+     "reviews": [{"rating": 5, "comment": "good", "date": "2024-05-23T08:56:21.618Z"}], "dimensions": {"width": 1.0},
+     "meta": {"barcode": "b", "createdAt": "2024-05-23T08:56:21.618Z"}},
     {"id": 1, "title": "P1", "category": "home goods", "tags": [], "images": ["j0"]},
     {"id": 5, "title": "P5", "tags": ["z"]},
 ]
@@ -76,6 +79,12 @@ def test_children_run_on(flat, rows):
     assert rows(flat["order_items"], "id", "order_id", "product_id") == [(1, 7, 2), (2, 7, 99), (3, 8, 1)]
 
 
+def test_texts_become_dates_and_timestamps(flat, rows):
+    moment = dt.datetime(2024, 5, 23, 8, 56, 21, 618000)
+    assert flat["reviews"].first().review_date == moment and rows(flat["products"].filter("id = 2"), "created_at") == [(moment,)]
+    assert rows(flat["users"].filter("id = 10"), "birth_date") == [(dt.date(1996, 5, 30),)]
+
+
 def test_synthetic_orders_are_reproducible(spark, flat, rows):
     again = normalize.normalize_carts(frame(spark, "carts", CARTS).repartition(3))["orders"]
     assert rows(again) == rows(flat["orders"])

@@ -82,7 +82,7 @@ def test_csv_numbers_beyond_64_bits_are_doubles(spark, tmp_path):
 def test_csv_round_trip_keeps_quotes_and_line_breaks(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, 'say "hi", twice'), (2, "two\nlines"), (3, None)], "id bigint, text string")
     assert sinks.write_csv(df, str(tmp_path / "out"))
-    assert rows(files.read_csv(spark, str(tmp_path / "out"), multi_line=True)) == rows(df)
+    assert rows(files.read_csv(spark, str(tmp_path / "out"))) == rows(df)
 
 
 def test_json_documents(spark, tmp_path):
@@ -100,6 +100,17 @@ def test_json_lines_skip_blank_and_broken(spark, tmp_path):
     assert sorted(r.line for r in files.malformed_json_lines(spark, str(path), schema).collect()) == ['not json', '{"id": 2']
 
 
+def test_json_lines_keep_records_with_unexpected_values(spark, tmp_path):
+    path = tmp_path / "x.jsonl"
+    path.write_text('{"id": "seven", "n": 1}\n{"id": 8}\n{"id": 9, "n": [1]}\n[oops\n{}\n')
+    schema = T.StructType.fromDDL("id bigint, n int")
+    df = files.read_json_lines(spark, str(path), schema)
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted([(None, 1), (8, None), (9, None), (None, None)], key=repr)
+    assert df.count() == df.select("id").count() == 4
+    assert [r.line for r in files.malformed_json_lines(spark, str(path), schema).collect()] == ["[oops"]
+    assert files.read_json_lines(spark, str(path)).count() == 4
+
+
 def test_missing_paths(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.LongType())])
     assert files.read_table_or_empty(spark, str(tmp_path / "no"), schema).collect() == []
