@@ -72,7 +72,7 @@ def products(source: DataFrame, count: int = 10_000) -> DataFrame:
 
 
 def orders(source: DataFrame, count: int = 10_000) -> DataFrame:
-    """Copied orders of random copied users; one user id lies beyond the copied users, as in the original data."""
+    """Copied orders of random copied users; the range of user ids ends one beyond the copied users."""
     copies = replicate(source, count).withColumn("_had_total", F.coalesce(F.col("total") != 0, F.lit(False)))
     copies = copies.withColumns({
         "user_id": randint("id", "user", FIRST_ID, FIRST_ID + count),

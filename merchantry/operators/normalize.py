@@ -12,6 +12,7 @@ from merchantry.schemas import conform_to
 from merchantry.sources.store import Keep, as_is
 
 DEFAULT_CATEGORY = "uncategorized"
+# Fixed values.
 ORDER_STATUSES = ["completed", "pending", "shipped", "delivered"]
 
 # raw field -> column, for the fields that are only renamed

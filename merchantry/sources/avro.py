@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import io
 import json
 import os
 import struct
@@ -11,12 +10,12 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from decimal import Decimal
-from itertools import count, islice
+from itertools import islice
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from merchantry.sources.files import file_system
 
@@ -102,160 +101,217 @@ def spark_schema(avro: dict) -> T.StructType:
     return T.StructType([T.StructField(f["name"], *spark_type(f["type"])) for f in avro["fields"]])
 
 
-def _write_long(out: io.BytesIO, n: int) -> None:
+# An encoder appends a value to a bytearray; a decoder takes bytes and a position and gives a value and the next position.
+Encode = Callable[[bytearray, object], None]
+Decode = Callable[[bytes, int], tuple[object, int]]
+
+
+def _write_long(out: bytearray, n: int) -> None:
     n = (n << 1) ^ (n >> 63)
     while n > 0x7F:
-        out.write(bytes([n & 0x7F | 0x80]))
+        out.append(n & 0x7F | 0x80)
         n >>= 7
-    out.write(bytes([n]))
+    out.append(n)
 
 
-def _read_long(data: io.BytesIO) -> int:
-    n = 0
-    for shift in count(0, 7):
-        byte = data.read(1)[0]
+def _read_long(data: bytes, at: int) -> tuple[int, int]:
+    n = shift = 0
+    while (byte := data[at]) > 0x7F:
         n |= (byte & 0x7F) << shift
-        if byte < 0x80:
-            return (n >> 1) ^ -(n & 1)
+        shift += 7
+        at += 1
+    n |= byte << shift
+    return (n >> 1) ^ -(n & 1), at + 1
 
 
-def _write_bytes(out: io.BytesIO, value: bytes) -> None:
+def _write_bytes(out: bytearray, value: bytes) -> None:
     _write_long(out, len(value))
-    out.write(value)
+    out += value
 
 
-def _read_bytes(data: io.BytesIO) -> bytes:
-    return data.read(_read_long(data))
+def _read_bytes(data: bytes, at: int) -> tuple[bytes, int]:
+    n, at = _read_long(data, at)
+    return data[at:at + n], at + n
 
 
-def encoder(avro) -> Callable[[io.BytesIO, object], None]:
-    """A function that writes one value of the given type."""
-    if isinstance(avro, list):
-        null, other = avro.index("null"), next(i for i, a in enumerate(avro) if a != "null")
-        write = encoder(avro[other])
-
-        def union(out, v):
-            _write_long(out, null if v is None else other)
-            if v is not None:
-                write(out, v)
-        return union
-    logical, kind = (avro.get("logicalType"), avro["type"]) if isinstance(avro, dict) else (None, avro)
-    if logical == "date":
-        return lambda out, v: _write_long(out, (v - EPOCH_DAY).days)
-    if logical and logical.endswith("timestamp-micros"):
-        return lambda out, v: _write_long(out, (v.replace(tzinfo=None) - EPOCH) // dt.timedelta(microseconds=1))
-    if logical == "decimal":
-        def decimal(out, v):
-            n = int(v.scaleb(avro["scale"]))
-            _write_bytes(out, n.to_bytes(n.bit_length() // 8 + 1, "big", signed=True))
-        return decimal
-    if kind == "record":
-        fields = [(f["name"], encoder(f["type"])) for f in avro["fields"]]
-
-        def record(out, v):
-            for name, write in fields:
-                write(out, v[name])
-        return record
-    if kind in ("array", "map"):
-        write = encoder(avro["items" if kind == "array" else "values"])
-
-        def block(out, v):
-            items = list(v.items() if isinstance(v, dict) else v)
-            if items:
-                _write_long(out, len(items))
-            for item in items:
-                if kind == "map":
-                    _write_bytes(out, item[0].encode())
-                write(out, item[1] if kind == "map" else item)
-            _write_long(out, 0)
-        return block
-    return {
-        "boolean": lambda out, v: out.write(b"\x01" if v else b"\x00"), "int": _write_long, "long": _write_long,
-        "float": lambda out, v: out.write(struct.pack("<f", v)), "double": lambda out, v: out.write(struct.pack("<d", v)),
-        "string": lambda out, v: _write_bytes(out, v.encode()), "bytes": _write_bytes,
-    }[kind]
-
-
-def decoder(avro) -> Callable[[io.BytesIO], object]:
-    """A function that reads one value of the given type."""
+def _kind(avro) -> tuple[str | None, str]:
+    return (avro.get("logicalType"), avro["type"]) if isinstance(avro, dict) else (None, avro)
+
+
+def _packed(form: str) -> tuple[Encode, Decode]:
+    packer = struct.Struct(form)
+
+    def write(out, v):
+        out += packer.pack(v)
+    return write, lambda data, at: (packer.unpack_from(data, at)[0], at + packer.size)
+
+
+def _mapped(base: tuple[Encode, Decode], to_base, from_base) -> tuple[Encode, Decode]:
+    write, read = base
+
+    def mapped_read(data, at):
+        v, at = read(data, at)
+        return from_base(v), at
+    return (lambda out, v: write(out, to_base(v))), mapped_read
+
+
+LONG, BYTES = (_write_long, _read_long), (_write_bytes, _read_bytes)
+BASE = {
+    "boolean": _packed("?"), "int": LONG, "long": LONG, "float": _packed("<f"), "double": _packed("<d"), "bytes": BYTES,
+    "string": _mapped(BYTES, str.encode, bytes.decode),
+}
+MICROSECOND = dt.timedelta(microseconds=1)
+
+
+def _union(avro) -> tuple[Encode, Decode]:
+    null, other = avro.index("null"), next(i for i, a in enumerate(avro) if a != "null")
+    write, read = codec(avro[other])
+
+    def encode(out, v):
+        if v is None:
+            out.append(null << 1)
+        else:
+            out.append(other << 1)
+            write(out, v)
+
+    def decode(data, at):
+        return (None, at + 1) if data[at] >> 1 == null else read(data, at + 1)
+    return encode, decode
+
+
+def _record(avro) -> tuple[Encode, Decode]:
+    fields = [(f["name"], *codec(f["type"])) for f in avro["fields"]]
+
+    def encode(out, v):
+        for name, write, _ in fields:
+            write(out, v[name])
+
+    def decode(data, at):
+        v = {}
+        for name, _, read in fields:
+            v[name], at = read(data, at)
+        return v, at
+    return encode, decode
+
+
+def _blocks(avro) -> tuple[Encode, Decode]:
+    """Arrays and maps: counted blocks, the last one empty."""
+    is_map = avro["type"] == "map"
+    write, read = codec(avro["values" if is_map else "items"])
+    write_key, read_key = BASE["string"]
+
+    def encode(out, v):
+        items = list(v.items() if isinstance(v, dict) else v)
+        if items:
+            _write_long(out, len(items))
+        for item in items:
+            if is_map:
+                write_key(out, item[0])
+                item = item[1]
+            write(out, item)
+        out.append(0)
+
+    def decode(data, at):
+        out = []
+        n, at = _read_long(data, at)
+        while n:
+            if n < 0:
+                n, (_, at) = -n, _read_long(data, at)
+            for _ in range(n):
+                if is_map:
+                    key, at = read_key(data, at)
+                value, at = read(data, at)
+                out.append((key, value) if is_map else value)
+            n, at = _read_long(data, at)
+        return (dict(out) if is_map else out), at
+    return encode, decode
+
+
+def codec(avro) -> tuple[Encode, Decode]:
+    """Encoder and decoder of an Avro type."""
     if isinstance(avro, list):
-        reads = [(lambda data: None) if a == "null" else decoder(a) for a in avro]
-        return lambda data: reads[_read_long(data)](data)
-    logical, kind = (avro.get("logicalType"), avro["type"]) if isinstance(avro, dict) else (None, avro)
+        return _union(avro)
+    logical, kind = _kind(avro)
     if logical == "date":
-        return lambda data: EPOCH_DAY + dt.timedelta(days=_read_long(data))
-    if logical and logical.endswith("timestamp-micros"):
+        return _mapped(LONG, lambda v: (v - EPOCH_DAY).days, lambda n: EPOCH_DAY + dt.timedelta(days=n))
+    if logical in ("timestamp-micros", "local-timestamp-micros"):
         zone = None if logical.startswith("local") else dt.timezone.utc
-        return lambda data: (EPOCH + dt.timedelta(microseconds=_read_long(data))).replace(tzinfo=zone)
+        return _mapped(LONG, lambda v: (v.replace(tzinfo=None) - EPOCH) // MICROSECOND,
+                       lambda n: (EPOCH + n * MICROSECOND).replace(tzinfo=zone))
     if logical == "decimal":
-        return lambda data: Decimal(int.from_bytes(_read_bytes(data), "big", signed=True)).scaleb(-avro["scale"])
+        scale = avro.get("scale", 0)
+
+        def to_bytes(v):
+            n = int(v.scaleb(scale))
+            return n.to_bytes(n.bit_length() // 8 + 1, "big", signed=True)
+        return _mapped(BYTES, to_bytes, lambda b: Decimal(int.from_bytes(b, "big", signed=True)).scaleb(-scale))
     if kind == "record":
-        fields = [(f["name"], decoder(f["type"])) for f in avro["fields"]]
-        return lambda data: {name: read(data) for name, read in fields}
-    if kind in ("array", "map"):
-        read = decoder(avro["items" if kind == "array" else "values"])
-
-        def block(data):
-            out = []
-            while n := _read_long(data):
-                if n < 0:
-                    n, _ = -n, _read_long(data)
-                out += [(_read_bytes(data).decode(), read(data)) if kind == "map" else read(data) for _ in range(n)]
-            return dict(out) if kind == "map" else out
-        return block
-    return {
-        "boolean": lambda data: data.read(1) == b"\x01", "int": _read_long, "long": _read_long,
-        "float": lambda data: struct.unpack("<f", data.read(4))[0], "double": lambda data: struct.unpack("<d", data.read(8))[0],
-        "string": lambda data: _read_bytes(data).decode(), "bytes": _read_bytes,
-    }[kind]
+        return _record(avro)
+    return _blocks(avro) if kind in ("array", "map") else BASE[kind]
 
 
 META = {"type": "map", "values": "bytes"}
 
 
-def _read_header(data: io.BytesIO) -> tuple[dict, str, bytes]:
-    if data.read(4) != MAGIC:
+def read_header(content: bytes) -> tuple[dict, str, bytes, int]:
+    """Schema, compression, block mark and where the blocks begin."""
+    if content[:4] != MAGIC:
         raise ValueError("not an Avro file")
-    meta = decoder(META)(data)
-    return json.loads(meta["avro.schema"]), meta.get("avro.codec", b"null").decode(), data.read(16)
+    meta, at = codec(META)[1](content, 4)
+    return json.loads(meta["avro.schema"]), meta.get("avro.codec", b"null").decode(), content[at:at + 16], at + 16
 
 
 def decode_file(content: bytes) -> Iterator[list[dict]]:
     """The records of a file, block by block."""
-    data = io.BytesIO(content)
-    schema, codec, sync = _read_header(data)
-    if codec not in ("null", "deflate"):
-        raise ValueError(f"unsupported Avro codec: {codec}")
-    read = decoder(schema)
-    while data.tell() < len(content):
-        n, block = _read_long(data), _read_bytes(data)
-        inner = io.BytesIO(zlib.decompress(block, -15) if codec == "deflate" else block)
-        if data.read(16) != sync:
+    schema, compression, sync, at = read_header(content)
+    if compression not in ("null", "deflate"):
+        raise ValueError(f"unsupported Avro codec: {compression}")
+    read = codec(schema)[1]
+    while at < len(content):
+        n, at = _read_long(content, at)
+        block, at = _read_bytes(content, at)
+        if content[at:at + 16] != sync:
             raise ValueError("damaged Avro block")
-        yield [read(inner) for _ in range(n)]
+        at += 16
+        block = zlib.decompress(block, -15) if compression == "deflate" else block
+        records, inner = [], 0
+        for _ in range(n):
+            record, inner = read(block, inner)
+            records.append(record)
+        yield records
 
 
-def encode_file(out, records: Iterator[dict], schema: dict, codec: str = "deflate") -> None:
+def encode_file(out, records: Iterator[dict], schema: dict, compression: str = "deflate") -> None:
     """Write a whole file to a binary stream, a block at a time."""
-    sync, write = os.urandom(16), encoder(schema)
-    head = io.BytesIO()
-    encoder(META)(head, {"avro.schema": json.dumps(schema).encode(), "avro.codec": codec.encode()})
-    out.write(MAGIC + head.getvalue() + sync)
+    sync, write = os.urandom(16), codec(schema)[0]
+    head = bytearray(MAGIC)
+    codec(META)[0](head, {"avro.schema": json.dumps(schema).encode(), "avro.codec": compression.encode()})
+    out.write(bytes(head) + sync)
     while batch := list(islice(records, BLOCK_RECORDS)):
-        body = io.BytesIO()
-        for r in batch:
-            write(body, r)
-        block = body.getvalue()
-        if codec == "deflate":
+        block = bytearray()
+        for record in batch:
+            write(block, record)
+        if compression == "deflate":
             packer = zlib.compressobj(wbits=-15)
             block = packer.compress(block) + packer.flush()
-        frame = io.BytesIO()
+        frame = bytearray()
         _write_long(frame, len(batch))
         _write_bytes(frame, block)
-        out.write(frame.getvalue() + sync)
+        out.write(bytes(frame) + sync)
+
+
+def plain_records(batch) -> list[dict]:
+    """Records of an Arrow batch; maps as dicts."""
+    import pyarrow as pa
+    maps = [f.name for f in batch.schema if pa.types.is_map(f.type)]
+    records = batch.to_pylist()
+    for name in maps:
+        for r in records:
+            r[name] = dict(r[name]) if r[name] is not None else None
+    return records
 
 
-class AvroWriter(DataSourceWriter):
+class AvroWriter(DataSourceArrowWriter):
     """One file per task in a temporary folder; the files move into place when all tasks are done."""
 
     def __init__(self, path: str, schema: dict, codec: str, overwrite: bool):
@@ -264,7 +320,7 @@ class AvroWriter(DataSourceWriter):
 
     def write(self, iterator):
         system, root = file_system(self.path)
-        rows = (r.asDict(recursive=True) for r in iterator)
+        rows = (r for batch in iterator for r in plain_records(batch))
         first = next(rows, None)
         message = WriterCommitMessage()
         message.name = None
@@ -332,7 +388,7 @@ def write_avro(df: DataFrame, path: str, schema: dict | None = None, mode: str =
 def _headers(batches: Iterator) -> Iterator:
     import pandas as pd
     for batch in batches:
-        yield pd.DataFrame({"schema": [json.dumps(_read_header(io.BytesIO(c))[0]) for c in batch["content"]]})
+        yield pd.DataFrame({"schema": [json.dumps(read_header(c)[0]) for c in batch["content"]]})
 
 
 def read_avro(spark: SparkSession, path: str, schema: dict | None = None) -> DataFrame:
