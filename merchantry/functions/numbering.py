@@ -53,11 +53,15 @@ def id_by_key(df: DataFrame, key: str, name: str, first: int = 1) -> DataFrame:
 def id_by_order(df: DataFrame, order: list[str], name: str, first: int = 1) -> DataFrame:
     """Gap-free ids in the order of any columns, for tables without a whole-number key.
 
-    Range partitioning on all the columns splits a hot leading value. The ranges are sampled, so the
+    Range partitioning on all the columns splits a hot leading value, and the row position as a last
+    column splits even a large group of equal rows (which may take their ids in any order). ``df`` should
+    be a scan, so that positions are the same when a task is repeated. The ranges are sampled: the
     ranged rows are settled before their positions are read twice.
     """
+    by = [*order, "_copy"]
     ranged = (
-        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        df.withColumn("_copy", F.monotonically_increasing_id())
+        .repartitionByRange(*by).sortWithinPartitions(*by).drop("_copy")
         .withColumn("_at", F.monotonically_increasing_id())
     )
     ranged = settle(ranged).withColumn("_range", F.shiftright("_at", ROW_BITS))

@@ -10,7 +10,7 @@ from merchantry.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = get_session("local[8]", 8)
+    session = get_session("local[8]", 4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -47,7 +47,7 @@ def frame(spark, name, data):
 
 @pytest.fixture(scope="module")
 def flat(spark):
-    return {n: df.cache() for n, df in normalize.normalize(
+    return {n: df.coalesce(1).cache() for n, df in normalize.normalize(
         frame(spark, "users", USERS), frame(spark, "products", PRODUCTS), frame(spark, "carts", CARTS)
     ).items()}
 

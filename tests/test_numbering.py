@@ -39,4 +39,18 @@ def test_id_by_order_with_a_hot_value(spark, partitions):
         got = sorted((r.id, r.k, r.v) for r in numbering.id_by_order(df, ["k", "v"], "id").collect())
         assert got == [(i + 1, *row) for i, row in enumerate(sorted(data))]
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_id_by_order_splits_a_group_of_equal_rows(spark, tmp_path):
+    spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id) AS v").repartition(4).write.parquet(str(tmp_path / "copies"))
+    numbered = numbering.id_by_order(spark.read.parquet(str(tmp_path / "copies")), ["v"], "id")
+    got = sorted((r.id, r.v) for r in numbered.collect())
+    assert got == [(i + 1, v) for i, v in enumerate(sorted(7 if i % 3 == 0 else i for i in range(3000)))]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        copies = spark.read.parquet(str(tmp_path / "copies")).withColumn("_copy", F.monotonically_increasing_id())
+        tasks = copies.repartitionByRange(8, "v", "_copy").select("v", F.spark_partition_id().alias("task"))
+        assert tasks.filter("v = 7").select("task").distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
