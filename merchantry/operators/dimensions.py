@@ -13,7 +13,7 @@ from merchantry.functions.numbering import id_by_key
 from merchantry.functions.regions import region_of
 from merchantry.functions.text import display_name, non_empty, or_default
 from merchantry.schemas import conform_to
-from merchantry.sources.store import Keep, as_is
+from merchantry.sources.store import Keep, as_is, kept_at_once
 
 # Fixed values.
 HOLIDAYS = ["01-01", "07-04", "12-25"]
@@ -138,11 +138,13 @@ def build_star(
     t: dict[str, DataFrame], first_year: int = 2020, last_year: int = 2026, keep: Keep = as_is
 ) -> dict[str, DataFrame]:
     """Dimensions first, then the fact table; ``keep`` may store what later tables are built from."""
-    dates = keep("dim_date", date_dimension(t["orders"].sparkSession, first_year, last_year))
-    locations = keep("dim_location", star_locations(t))
+    first = kept_at_once(keep, {
+        "dim_date": lambda: date_dimension(t["orders"].sparkSession, first_year, last_year),
+        "dim_location": lambda: star_locations(t),
+    })
     return {
-        "dim_date": dates, "dim_users": star_users(t), "dim_products": star_products(t), "dim_location": locations,
-        "fact_orders": star_fact(t, dates, locations),
+        **first, "dim_users": star_users(t), "dim_products": star_products(t),
+        "fact_orders": star_fact(t, first["dim_date"], first["dim_location"]),
     }
 
 
@@ -237,16 +239,17 @@ def build_snowflake(
     t: dict[str, DataFrame], first_year: int = 2020, last_year: int = 2026, keep: Keep = as_is
 ) -> dict[str, DataFrame]:
     """Sub-dimensions, dimensions, fact table; ``keep`` may store what later tables are built from."""
-    roles, states = keep("dim_user_roles", user_roles(t["users"])), keep("dim_states", snow_states(t))
-    cities = keep("dim_cities", snow_cities(t, states))
-    categories, brands = keep("dim_categories", snow_categories(t)), keep("dim_brands", snow_brands(t))
-    dates = keep("dim_date", date_dimension(t["orders"].sparkSession, first_year, last_year))
+    first = kept_at_once(keep, {
+        "dim_user_roles": lambda: user_roles(t["users"]), "dim_states": lambda: snow_states(t),
+        "dim_categories": lambda: snow_categories(t), "dim_brands": lambda: snow_brands(t),
+        "dim_date": lambda: date_dimension(t["orders"].sparkSession, first_year, last_year),
+    })
+    cities = keep("dim_cities", snow_cities(t, first["dim_states"]))
     return {
-        "dim_user_roles": roles, "dim_states": states, "dim_cities": cities, "dim_categories": categories,
-        "dim_brands": brands, "dim_date": dates,
-        "dim_users": snow_users(t, roles, states, cities),
-        "dim_products": snow_products(t, categories, brands),
-        "fact_orders": conform_to(fact_lines(t, dates), "snowflake", "fact_orders"),
+        **first, "dim_cities": cities,
+        "dim_users": snow_users(t, first["dim_user_roles"], first["dim_states"], cities),
+        "dim_products": snow_products(t, first["dim_categories"], first["dim_brands"]),
+        "fact_orders": conform_to(fact_lines(t, first["dim_date"]), "snowflake", "fact_orders"),
     }
 
 

@@ -54,6 +54,7 @@ def best(group: str, label: str, measure: str, df: DataFrame, name: str) -> Data
 
 # candidates looked at before all rows are, per row wanted
 SPARE = 10
+LOCAL_ROWS = 10_000
 
 
 def matching(table: DataFrame, key: str, few: DataFrame) -> DataFrame:
@@ -65,10 +66,15 @@ def matching(table: DataFrame, key: str, few: DataFrame) -> DataFrame:
 def first_rows(short_cut: Callable[[int], DataFrame], whole: Callable[[], DataFrame], n: int) -> DataFrame:
     """The first ``n`` rows from the best candidates, or from everything where the candidates do not fill ``n``.
 
-    Candidates are a prefix of the same order, so ``n`` rows among them are the first ``n`` of all.
+    Candidates are a prefix of the same order, so ``n`` rows among them are the first ``n`` of all. A
+    result of at most ``LOCAL_ROWS`` rows is kept in memory, a longer one is stored.
     """
-    found = settle(short_cut(n * SPARE))
-    return found if found.count() == n else whole()
+    found = short_cut(n * SPARE)
+    if n > LOCAL_ROWS:
+        found = settle(found)
+        return found if found.count() == n else whole()
+    rows = found.toArrow()
+    return found.sparkSession.createDataFrame(rows, found.schema) if rows.num_rows == n else whole()
 
 
 def per_order(fact: DataFrame, *attributes: str) -> DataFrame:

@@ -17,13 +17,16 @@ def _full_name(prefix: str = ""):
 
 
 def newest_lines(t: Tables, n: int) -> DataFrame:
-    """Keys of the ``n`` newest order lines that have a known user and product.
+    """The ``n`` newest order lines that have a known user and product.
 
     Every order with a valid line gives at least one, so the newest orders are tried first: they are
-    found without a shuffle and meet the other tables in map-side joins. The texts are looked up later.
+    found without a shuffle and meet the other tables in map-side joins. Texts are looked up later.
     """
-    lines = t["order_items"].select(F.col("id").alias("item_id"), "order_id", "product_id")
-    orders = t["orders"].select(F.col("id").alias("order_id"), "order_date", "user_id")
+    lines = t["order_items"].select(
+        F.col("id").alias("item_id"), "order_id", "product_id", "quantity", F.col("price").alias("unit_price"),
+        F.col("total").alias("item_total"),
+    )
+    orders = t["orders"].select(F.col("id").alias("order_id"), "order_date", "user_id", "status", "total", "discounted_total")
     users = t["users"].select(F.col("id").alias("user_id"))
     products = t["products"].select(F.col("id").alias("product_id"))
     newest = F.col("order_date").desc_nulls_first()
@@ -42,13 +45,7 @@ def newest_lines(t: Tables, n: int) -> DataFrame:
 
 
 def _looked_up(t: Tables, n: int) -> DataFrame:
-    keys = F.broadcast(newest_lines(t, n))  # n rows
-    items = t["order_items"].select(
-        F.col("id").alias("item_id"), "quantity", F.col("price").alias("unit_price"), F.col("total").alias("item_total")
-    )
-    rows = F.broadcast(items.join(keys, "item_id"))
-    orders = t["orders"].select(F.col("id").alias("order_id"), "status", "total", "discounted_total")
-    rows = F.broadcast(orders.join(rows, "order_id"))
+    rows = F.broadcast(newest_lines(t, n))  # n rows
     users = t["users"].select(F.col("id").alias("user_id"), "username", "email", _full_name(), "address_id")
     rows = F.broadcast(users.join(rows, "user_id"))
     products = t["products"].select(F.col("id").alias("product_id"), F.col("title").alias("product_name"), "brand", "category_id")

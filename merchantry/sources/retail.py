@@ -14,7 +14,7 @@ from merchantry import schemas
 from merchantry.functions.money import as_money, cents, half_up
 from merchantry.functions.numbering import id_by_order
 from merchantry.operators import documents, normalize
-from merchantry.sources.store import Keep, stored
+from merchantry.sources.store import Keep, at_once, stored
 
 # The state code of each nation key.
 NATION_STATES = "NY FL OH TX CA NY GA OH AZ WA PA FL IL TX CA MA NC MI OK CO NY GA PR NM GU".split()
@@ -154,12 +154,14 @@ def order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def normalized(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The eleven flat tables, stored on first use."""
     def build(keep: Keep) -> dict[str, DataFrame]:
-        return {
-            **normalize.normalize_users(raw_users(spark, sf_dir), keep),
-            **normalize.normalize_products(raw_products(spark, sf_dir), keep),
-            "orders": order_heads(spark, sf_dir),
-            "order_items": line_items(spark, sf_dir),
-        }
+        tables: dict[str, DataFrame] = {}
+        at_once([
+            lambda: tables.update(normalize.normalize_users(raw_users(spark, sf_dir), keep)),
+            lambda: tables.update(normalize.normalize_products(raw_products(spark, sf_dir), keep)),
+            lambda: tables.update(orders=keep("orders", order_heads(spark, sf_dir))),
+            lambda: tables.update(order_items=keep("order_items", line_items(spark, sf_dir))),
+        ])
+        return tables
     return stored(spark, sf_dir, "normalized", build)
 
 

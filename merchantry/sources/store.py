@@ -56,6 +56,18 @@ def as_is(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
+def kept_at_once(keep: Keep, tables: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Build and keep independent tables; one after the other if ``keep`` is lazy."""
+    kept: dict[str, DataFrame] = {}
+    steps = [lambda n=name, make=build: kept.update({n: keep(n, make())}) for name, build in tables.items()]
+    if keep is as_is:
+        for step in steps:
+            step()
+    else:
+        at_once(steps)
+    return kept
+
+
 def stored(
     spark: SparkSession, source: str, model: str, build: Callable[[Keep], dict[str, DataFrame]]
 ) -> dict[str, DataFrame]:
