@@ -63,18 +63,26 @@ def matching(table: DataFrame, key: str, few: DataFrame) -> DataFrame:
     return few.join(F.broadcast(keys), key, "left_semi")
 
 
+def held(few: DataFrame, n: int) -> DataFrame:
+    """A result that a limit has cut to ``n`` rows, computed once: in memory if short, stored otherwise."""
+    if n > LOCAL_ROWS:
+        return settle(few)
+    return few.sparkSession.createDataFrame(few.toArrow(), few.schema)
+
+
+def look_up(few: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left join of a held result; the large table is reduced to the wanted keys by a scan."""
+    wanted = F.broadcast(few.select(key).distinct())
+    return few.join(F.broadcast(table.join(wanted, key, "left_semi")), key, "left")
+
+
 def first_rows(short_cut: Callable[[int], DataFrame], whole: Callable[[], DataFrame], n: int) -> DataFrame:
     """The first ``n`` rows from the best candidates, or from everything where the candidates do not fill ``n``.
 
-    Candidates are a prefix of the same order, so ``n`` rows among them are the first ``n`` of all. A
-    result of at most ``LOCAL_ROWS`` rows is kept in memory, a longer one is stored.
+    Candidates are a prefix of the same order, so ``n`` rows among them are the first ``n`` of all.
     """
-    found = short_cut(n * SPARE)
-    if n > LOCAL_ROWS:
-        found = settle(found)
-        return found if found.count() == n else whole()
-    rows = found.toArrow()
-    return found.sparkSession.createDataFrame(rows, found.schema) if rows.num_rows == n else whole()
+    found = held(short_cut(n * SPARE), n)
+    return found if found.count() == n else held(whole(), n)
 
 
 def per_order(fact: DataFrame, *attributes: str) -> DataFrame:

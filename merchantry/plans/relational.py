@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money
 from merchantry.functions.text import concat_skip_nulls
-from merchantry.plans.common import best, distinct, first_rows, matching, mean_of, mean_parts, ranked, top, total
+from merchantry.plans.common import (
+    best, distinct, first_rows, held, look_up, matching, mean_of, mean_parts, ranked, top, total,
+)
 
 Tables = dict[str, DataFrame]
 
@@ -45,14 +47,14 @@ def newest_lines(t: Tables, n: int) -> DataFrame:
 
 
 def _looked_up(t: Tables, n: int) -> DataFrame:
-    rows = F.broadcast(newest_lines(t, n))  # n rows
+    rows = newest_lines(t, n)
     users = t["users"].select(F.col("id").alias("user_id"), "username", "email", _full_name(), "address_id")
-    rows = F.broadcast(users.join(rows, "user_id"))
+    rows = F.broadcast(users.join(F.broadcast(rows), "user_id"))  # n rows
     products = t["products"].select(F.col("id").alias("product_id"), F.col("title").alias("product_name"), "brand", "category_id")
-    rows = products.join(rows, "product_id")
+    rows = held(products.join(rows, "product_id"), n)
     categories = t["categories"].select(F.col("id").alias("category_id"), F.col("name").alias("category"))
     addresses = t["addresses"].select(F.col("id").alias("address_id"), "city", "state", "postal_code")
-    return rows.join(categories, "category_id", "left").join(addresses, "address_id", "left")
+    return look_up(look_up(rows, categories, "category_id"), addresses, "address_id")
 
 
 def order_lines(t: Tables, n: int = 100) -> DataFrame:
@@ -82,9 +84,9 @@ def revenue_by_user(t: Tables, n: int = 50) -> DataFrame:
         F.min("order_date").alias("first_order_date"), F.max("order_date").alias("last_order_date"),
     )
     users = t["users"].select(F.col("id").alias("user_id"), "username", _full_name(), "email", "address_id")
-    rows = top(per_user.join(users, "user_id"), n, "total_revenue", "user_id")
+    rows = held(top(per_user.join(users, "user_id"), n, "total_revenue", "user_id"), n)
     addresses = t["addresses"].select(F.col("id").alias("address_id"), "city", "state")
-    return rows.join(addresses, "address_id", "left").select(
+    return look_up(rows, addresses, "address_id").select(
         "user_id", "username", "full_name", "email", "city", "state", "total_orders", "total_items", "total_quantity",
         "total_revenue", "total_discounted_revenue", mean_money("_order_totals", "_order_lines").alias("avg_order_value"),
         "first_order_date", "last_order_date",

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money, percent_of
-from merchantry.plans.common import best_known_label, distinct, mean_line, mean_of, mean_parts, ranked, top, total
+from merchantry.plans.common import (
+    best_known_label, distinct, held, look_up, mean_line, mean_of, mean_parts, ranked, top, total,
+)
 from merchantry.plans.starry import newest_facts
 
 Tables = dict[str, DataFrame]
@@ -160,9 +162,8 @@ def wide_join(m: Tables, n: int = 1000) -> DataFrame:
     rows = F.broadcast(newest_facts(m, n))  # n rows
     rows = F.broadcast(m["dim_users"].select("user_id", "username", "city_id").join(rows, "user_id"))
     products = m["dim_products"].select("product_id", F.col("title").alias("product_name"), "category_id")
-    rows = products.join(rows, "product_id")
-    return (
-        rows.join(m["dim_categories"].select("category_id", "category_name"), "category_id", "left")
-        .join(m["dim_cities"].select("city_id", "city_name"), "city_id", "left")
-        .select("order_id", "username", "product_name", "category_name", "city_name", "quantity", "total_amount")
+    rows = held(products.join(rows, "product_id"), n)
+    rows = look_up(rows, m["dim_categories"].select("category_id", "category_name"), "category_id")
+    return look_up(rows, m["dim_cities"].select("city_id", "city_name"), "city_id").select(
+        "order_id", "username", "product_name", "category_name", "city_name", "quantity", "total_amount"
     )

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money, percent_of
 from merchantry.plans.common import (
-    best_label, calendar, distinct, first_rows, matching, mean_line, mean_of, mean_parts, per_order, ranked, top, total,
+    best_label, calendar, distinct, first_rows, held, look_up, matching, mean_line, mean_of, mean_parts, per_order,
+    ranked, top, total,
 )
 
 Tables = dict[str, DataFrame]
@@ -218,8 +219,8 @@ def wide_join(m: Tables, n: int = 1000) -> DataFrame:
     rows = F.broadcast(newest_facts(m, n, "location_id"))  # n rows
     rows = F.broadcast(m["dim_users"].select("user_id", "username").join(rows, "user_id"))
     products = m["dim_products"].select("product_id", F.col("title").alias("product_name"), "category")
-    rows = products.join(rows, "product_id")
-    return rows.join(m["dim_location"].select("location_id", "city"), "location_id", "left").select(
+    rows = held(products.join(rows, "product_id"), n)
+    return look_up(rows, m["dim_location"].select("location_id", "city"), "location_id").select(
         "order_id", "username", "product_name", "category", "city", "quantity", "total_amount"
     )
 
