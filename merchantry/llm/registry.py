@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merchantry.llm import line_dedup, mixing, pieces, token_counts, token_files
+from merchantry.llm import line_dedup, main_text, mixing, pieces, token_counts, token_files, toxicity, vector_dedup, vector_search
 from merchantry.llm.rows import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,13 +18,20 @@ def over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_source_mixing": over("documents", mixing.mixed_documents),
+    "op3_main_text": over("pages", main_text.extracted_pages),
+    "op4_vector_dedup": over("embeddings", vector_dedup.deduped_vectors),
+    "op5_vector_search": over("embeddings", vector_search.nearest_rows),
     "op6_line_dedup": over("documents", line_dedup.deduped_lines),
     "op7_piece_round_trip": over("documents", pieces.tokenized_documents),
     "op8_token_counts": over("documents", token_counts.counted_documents),
+    "op9_toxicity": lambda spark, sf_dir: toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op10_token_files": over("documents", token_files.stored_documents),
 }
 
 ORACLES: dict[str, str] = {
     "op1_source_mixing": mixing.MIXED_SQL,
+    "op3_main_text": over("pages", main_text.extracted_pages),
+    "op4_vector_dedup": over("embeddings", vector_dedup.deduped_vectors),
+    "op5_vector_search": over("embeddings", vector_search.nearest_rows),
     "op6_line_dedup": line_dedup.DEDUPED_SQL,
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from merchantry.sources.store import scratch_path
 
@@ -48,16 +49,21 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def per_text(df: DataFrame, id_column: str, text: str, schema: str,
-             run: Callable[[list[str]], dict[str, list]]) -> DataFrame:
-    """``run`` over batches of whole texts (null as empty); its columns, of types ``schema``, follow the id."""
-    source = pick(df, id_column, text)
-    whole = f"`{id_column}` {source.schema[0].dataType.simpleString()}, {schema}"
+def add_from_text(df: DataFrame, text: str, schema: str, run: Callable[[list[str]], dict[str, list]]) -> DataFrame:
+    """``df`` with the columns that ``run`` gives for batches of whole texts (null as empty), of types ``schema``."""
+    safe, (body,) = shielded(df, text)
+    at = safe.columns.index(body)
+    more = StructType.fromDDL(schema)
 
     def batches(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow:
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            out = run(texts)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, out.values())], [id_column, *out])
+            out = run(["" if t is None else t for t in batch.column(at).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, out.values())], [*batch.schema.names, *out])
+
+    return restored(safe.mapInArrow(batches, StructType([*safe.schema.fields, *more.fields])), df, *more.names)
 
-    return source.mapInArrow(batches, whole)
+
+def per_text(df: DataFrame, id_column: str, text: str, schema: str,
+             run: Callable[[list[str]], dict[str, list]]) -> DataFrame:
+    """Only the id and the columns that ``run`` gives."""
+    return add_from_text(pick(df, id_column, text), text, schema, run).drop(text)
