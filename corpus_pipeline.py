@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merchantry.llm import line_dedup, mixing, pieces
+from merchantry.llm import line_dedup, mixing, near_dedup, pieces, toxicity
 from merchantry.llm.rows import kept, table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labels of this folder, rejects go."""
+    return toxicity.accepted(docs, table(spark, sf_dir, "labels"))
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of three or more lines stay where they occur first."""
     return line_dedup.drop_repeated_lines(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    return near_dedup.drop_near_copies(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target weight asks for."""
     return mixing.mix(docs)
@@ -24,7 +34,9 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_copies),
     ("source_mixing", mix_sources),
     ("piece_encoding", tokenize),
 ]

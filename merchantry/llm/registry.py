@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merchantry.llm import line_dedup, main_text, mixing, pieces, token_counts, token_files, toxicity, vector_dedup, vector_search
+from merchantry.llm import line_dedup, main_text, mixing, near_dedup, pieces, token_counts, token_files, toxicity, vector_dedup, vector_search
 from merchantry.llm.rows import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_source_mixing": over("documents", mixing.mixed_documents),
+    "op2_near_dedup": over("documents", near_dedup.deduped_documents),
     "op3_main_text": over("pages", main_text.extracted_pages),
     "op4_vector_dedup": over("embeddings", vector_dedup.deduped_vectors),
     "op5_vector_search": over("embeddings", vector_search.nearest_rows),
@@ -30,6 +31,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op1_source_mixing": mixing.MIXED_SQL,
+    "op2_near_dedup": over("documents", near_dedup.deduped_documents),
     "op3_main_text": over("pages", main_text.extracted_pages),
     "op4_vector_dedup": over("embeddings", vector_dedup.deduped_vectors),
     "op5_vector_search": over("embeddings", vector_search.nearest_rows),
