@@ -1,18 +1,19 @@
-"""Headline timings: python bench.py prints one JSON line. Settings: BENCH_SF_DIR, BENCH_CPUS, BENCH_RUNS."""
+"""Headline timings: python bench.py prints one JSON line. Settings: BENCH_SF_DIR, BENCH_CPUS, BENCH_RUNS, BENCH_CHECKPOINT_DIR."""
 
 from __future__ import annotations
 
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from merchantry.operators import cache
 from merchantry.plans import models
 from merchantry.registry import QUERIES
 from merchantry.session import get_session
-from merchantry.sources import avro, files, sinks
-from merchantry.sources.store import scratch_path
+from merchantry.sources import files, sinks
+from merchantry.sources.store import release, scratch_path
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -48,24 +49,26 @@ def median(action) -> float:
     return round(statistics.median(timed(action) for _ in range(RUNS)), 4)
 
 
-def format_times(spark, users) -> dict[str, float]:
-    """Writing and reading the 31-column user table in each format."""
+def format_times(spark, users) -> tuple[dict[str, float], dict[str, float]]:
+    """Writing and reading the 31-column user table in each format, and the MB that it takes."""
     formats = {
         "csv": (sinks.write_csv, lambda p: files.read_csv(spark, p, users.schema)),
         "json": (sinks.write_json_lines, lambda p: spark.read.schema(users.schema).json(p)),
-        "avro": (avro.write_avro, lambda p: avro.read_avro(spark, p)),
         "parquet": (sinks.write_parquet, lambda p: spark.read.schema(users.schema).parquet(p)),
     }
-    out = {}
+    times, sizes = {}, {}
     for name, (write, read) in formats.items():
         path = scratch_path(spark, f"bench-{name}")
-        out[f"format_{name}_write"] = median(lambda: write(users, path))
-        out[f"format_{name}_read"] = median(lambda: drain(read(path)))
-    return out
+        times[f"format_{name}_write"] = median(lambda: write(users, path))
+        times[f"format_{name}_read"] = median(lambda: drain(read(path)))
+        sizes[name] = round(files.size_mb(spark, path).first()[0], 3)
+    return times, sizes
 
 
 def main() -> None:
-    spark = get_session(f"local[{CPUS}]", CPUS, **{"spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g")})
+    folder = os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="merchantry-bench-")
+    spark = get_session(f"local[{CPUS}]", CPUS, **{
+        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"), "spark.checkpoint.dir": folder})
     spark.sparkContext.setLogLevel("ERROR")
     queries: dict[str, float] = {}
     for build in (models.normalized, models.star, models.snowflake, models.collections):
@@ -73,7 +76,8 @@ def main() -> None:
     for name in HEADLINES:
         queries[name] = median(lambda: QUERIES[name](spark, SF_DIR).collect())
     tables = models.normalized(spark, SF_DIR)
-    queries.update(format_times(spark, tables["users"]))
+    times, sizes = format_times(spark, tables["users"])
+    queries.update(times)
     snapshot = lambda: cache.load(
         {"user": tables["users"], "product": tables["products"], "order": tables["orders"]}, "2025-01-01 12:00:00"
     )
@@ -81,8 +85,10 @@ def main() -> None:
     queries["read_one_by_id"] = median(lambda: tables["users"].filter("id = 42").collect())
     print(json.dumps({
         "metric": "total_seconds", "value": round(sum(queries.values()), 3), "unit": "sec", "queries": queries,
-        "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"), "cpus": CPUS, "runs": RUNS,
+        "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"), "cpus": CPUS, "runs": RUNS, "format_mb": sizes,
     }))
+    for model in ("documents", "snowflake", "star", "normalized"):
+        release(spark, SF_DIR, model)
 
 
 if __name__ == "__main__":

@@ -5,40 +5,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchantry.functions.text import col
 from merchantry.sources.store import settle
 
-# 10^12 sequential ids are four million blocks
-BLOCK_KEYS = 1 << 18
+# a key of 63 bits is cut into three blocks of this many bits; ten bits are left for the top
+BLOCK_BITS = 18
+LEVELS = 3
 ROW_BITS = 33
 
 
-def _div(c: Column | str, n: int) -> Column:
-    return F.call_function("div", col(c).cast("bigint"), F.lit(n).cast("bigint"))
+def _before(names: list[str], window) -> list[Column]:
+    return [F.coalesce(F.sum(n).over(window), F.lit(0)) for n in names]
 
 
 def running_totals(df: DataFrame, key: str, weights: dict[str, Column]) -> DataFrame:
     """Add, per name, the total weight of all rows with a smaller ``key``; ``key`` is a unique whole number.
 
-    Rows are summed inside blocks of ``BLOCK_KEYS`` consecutive keys, which unique keys can never
-    overfill; only one row per block goes through the window over all blocks.
+    Rows are summed inside blocks of 2^18 keys, the blocks inside blocks of 2^36, these inside blocks of 2^54,
+    of which there are at most 2^10: however the keys are spread, no window holds more than 2^18 rows. Rows with a null key
+    come last, in the order of a hash of their columns.
     """
+    n = len(weights)
+    sums, totals = [f"_w{i}" for i in range(n)], [f"_t{i}" for i in range(n)]
+    number = F.coalesce(F.col(f"`{key}`").cast("bigint"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    rows = df.select("*", F.col(f"`{key}`").isNull().alias("_last"), number.alias("_b0"),
+                     *[w.cast("bigint").alias(s) for w, s in zip(weights.values(), sums)])
+    rows = rows.withColumn("_b1", F.shiftright("_b0", BLOCK_BITS))
+    sizes = [rows]
+    for level in range(1, LEVELS + 1):
+        block = sizes[-1].groupBy("_last", f"_b{level}").agg(*[F.sum(s).alias(s) for s in sums])
+        sizes.append(block.withColumn(f"_b{level + 1}", F.shiftright(f"_b{level}", BLOCK_BITS)) if level < LEVELS else block)
     upto = (Window.unboundedPreceding, -1)
-    count = range(len(weights))
-
-    def before(prefix: str, window) -> list[Column]:
-        return [F.coalesce(F.sum(f"{prefix}{i}").over(window), F.lit(0)) for i in count]
-
-    rows = df.select("*", _div(key, BLOCK_KEYS).alias("_block"),
-                     *[w.cast("bigint").alias(f"_w{i}") for i, w in enumerate(weights.values())])
-    totals = rows.groupBy("_block").agg(*[F.sum(f"_w{i}").alias(f"_t{i}") for i in count])
-    all_blocks = Window.orderBy("_block").rowsBetween(*upto)
-    starts = totals.select("_block", *[c.alias(f"_s{i}") for i, c in enumerate(before("_t", all_blocks))])
-    in_block = Window.partitionBy("_block").orderBy(key).rowsBetween(*upto)
-    summed = rows.select("*", *[c.alias(f"_r{i}") for i, c in enumerate(before("_w", in_block))])
-    return summed.join(starts, "_block").select(
-        *df.columns, *[(F.col(f"_s{i}") + F.col(f"_r{i}")).alias(name) for i, name in enumerate(weights)]
-    )
+    # at most 2^10 rows, twice with null keys
+    top = Window.orderBy("_last", f"_b{LEVELS}").rowsBetween(*upto)
+    starts = sizes[LEVELS].select("_last", f"_b{LEVELS}", *[c.alias(t) for c, t in zip(_before(sums, top), totals)])
+    for level in range(LEVELS - 1, -1, -1):
+        outer = ["_last", f"_b{level + 1}"]
+        inside = Window.partitionBy(*outer).orderBy(f"_b{level}").rowsBetween(*upto)
+        own = sizes[level].withColumns({f"_o{i}": c for i, c in enumerate(_before(sums, inside))}).join(starts, outer)
+        keep = [F.col(f"`{c}`") for c in df.columns] if level == 0 else [F.col("_last"), F.col(f"_b{level}")]
+        starts = own.select(*keep, *[(F.col(t) + F.col(f"_o{i}")).alias(list(weights)[i] if level == 0 else t) for i, t in enumerate(totals)])
+    return starts
 
 
 def running_total(df: DataFrame, key: str, weight: Column, name: str) -> DataFrame:
@@ -56,7 +62,8 @@ def id_by_order(df: DataFrame, order: list[str], name: str, first: int = 1) -> D
     Range partitioning on all the columns splits a hot leading value, and the row position as a last
     column splits even a large group of equal rows (which may take their ids in any order). ``df`` should
     be a scan, so that positions are the same when a task is repeated. The ranges are sampled: the
-    ranged rows are settled before their positions are read twice.
+    ranged rows are settled, and each read of the result adds the start of the range to the position in it.
+    Columns of ``order`` that are not wanted further can be dropped from the result: the stored rows are read by column.
     """
     by = [*order, "_copy"]
     ranged = (
@@ -64,14 +71,18 @@ def id_by_order(df: DataFrame, order: list[str], name: str, first: int = 1) -> D
         .repartitionByRange(*by).sortWithinPartitions(*by).drop("_copy")
         .withColumn("_at", F.monotonically_increasing_id())
     )
-    ranged = settle(ranged).withColumn("_range", F.shiftright("_at", ROW_BITS))
+    return _positions(settle(ranged), name, first)
+
+
+def _positions(settled: DataFrame, name: str, first: int) -> DataFrame:
+    ranged = settled.withColumn("_range", F.shiftright("_at", ROW_BITS))
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     row = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     # one row per shuffle partition
     return (
-        ranged.join(F.broadcast(starts), "_range")
+        ranged.join(F.broadcast(settle(starts)), "_range")
         .withColumn(name, F.col("_start") + row + first)
         .drop("_range", "_at", "_start")
     )

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 # Seconds to live.
 TTL_SECONDS = {"user": 3600, "product": 86400, "order": 1800}
 OTHER_TTL = 3600
-NO_SUCH_KEY = -2
 
 SCHEMA = """key STRING, entity STRING, id BIGINT, value STRING, written_at TIMESTAMP_NTZ, expires_at TIMESTAMP_NTZ"""
 
@@ -43,11 +42,11 @@ def entries(df: DataFrame, entity: str, written_at: str | Column, position: str
 
 
 def put(cache: DataFrame, new: DataFrame) -> DataFrame:
-    """The cache after writing ``new``: the latest entry per key stays."""
-    rest = [c for c in cache.columns if c != "key"]
-    rows = cache.select("*", F.lit(0).alias("_new")).unionByName(new.select("*", F.lit(1).alias("_new")))
-    latest = rows.groupBy("key").agg(F.max_by(F.struct(*rest), F.struct("written_at", "_new")).alias("_row"))
-    return latest.select("key", "_row.*").select(*cache.columns)
+    """The cache after writing ``new``, later than all of it: new entries replace those of their keys. Keys of ``new`` are unique.
+
+    Only the keys of the old entries are compared; their values stay where they are if the new ones are few.
+    """
+    return cache.join(new.select("key"), "key", "left_anti").select(*cache.columns).unionByName(new)
 
 
 def put_report(df: DataFrame, entity: str) -> DataFrame:
@@ -86,13 +85,10 @@ def existed(cache: DataFrame, keys: DataFrame, as_of: str | Column) -> DataFrame
     return keys.select("key").distinct().join(there, "key", "left").select("key", F.coalesce("_there", F.lit(False)).alias("existed"))
 
 
-def remaining_ttl(cache: DataFrame, keys: DataFrame, as_of: str | Column) -> DataFrame:
-    """Seconds left per key, -2 where there is no live entry."""
+def remaining_ttl(cache: DataFrame, as_of: str | Column) -> DataFrame:
+    """Seconds left for every live entry."""
     left = F.timestamp_diff("SECOND", moment(as_of), F.col("expires_at"))
-    there = live(cache, as_of).select("key", left.cast("bigint").alias("_left"))
-    return keys.select("key").distinct().join(there, "key", "left").select(
-        "key", F.coalesce("_left", F.lit(NO_SUCH_KEY).cast("bigint")).alias("ttl_seconds")
-    )
+    return live(cache, as_of).select("key", left.cast("bigint").alias("ttl_seconds"))
 
 
 def key_counts(cache: DataFrame, as_of: str | Column) -> DataFrame:

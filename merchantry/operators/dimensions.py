@@ -40,13 +40,23 @@ PRODUCT_COLUMNS = [
 
 def date_dimension(spark: SparkSession, first_year: int = 2020, last_year: int = 2026) -> DataFrame:
     """One row per day of the given years; fiscal years start in October."""
-    start = F.make_date(F.lit(first_year), F.lit(1), F.lit(1))
-    end = F.make_date(F.lit(last_year), F.lit(12), F.lit(31))
+    return _days(spark.range(1).select(F.lit(first_year).alias("first"), F.lit(last_year).alias("last")))
+
+
+def calendar_of(orders: DataFrame) -> DataFrame:
+    """The date dimension of whole years from the first to the last order; empty without orders."""
+    year = F.year("order_date")
+    return _days(orders.agg(F.min(year).alias("first"), F.max(year).alias("last")).filter(F.col("first").isNotNull()))
+
+
+def _days(years: DataFrame) -> DataFrame:
+    start = F.make_date("first", F.lit(1), F.lit(1))
+    end = F.make_date("last", F.lit(12), F.lit(31))
     d = F.col("full_date")
     month = F.month(d)
     return conform_to(
-        spark.range(1).select(F.explode(F.sequence(start, end)).alias("full_date")).select(
-            (F.datediff(d, start) + 1).alias("date_id"), d,
+        years.select(F.posexplode(F.sequence(start, end)).alias("_at", "full_date")).select(
+            (F.col("_at") + 1).alias("date_id"), d,
             F.year(d).alias("year"), F.quarter(d).alias("quarter"), month.alias("month"),
             F.date_format(d, "MMMM").alias("month_name"), F.dayofmonth(d).alias("day"),
             (F.weekday(d) + 1).alias("day_of_week"), F.date_format(d, "EEEE").alias("day_name"),
@@ -134,12 +144,21 @@ def star_fact(t: dict[str, DataFrame], dates: DataFrame, locations: DataFrame) -
     return conform_to(fact_lines(t, dates).join(places, "user_id", "left"), "star", "fact_orders")
 
 
+def _calendar(t: dict[str, DataFrame], first_year: int | None, last_year: int | None) -> DataFrame:
+    if first_year is None or last_year is None:
+        return calendar_of(t["orders"])
+    return date_dimension(t["orders"].sparkSession, first_year, last_year)
+
+
 def build_star(
-    t: dict[str, DataFrame], first_year: int = 2020, last_year: int = 2026, keep: Keep = as_is
+    t: dict[str, DataFrame], first_year: int | None = None, last_year: int | None = None, keep: Keep = as_is
 ) -> dict[str, DataFrame]:
-    """Dimensions first, then the fact table; ``keep`` may store what later tables are built from."""
+    """Dimensions first, then the fact table; ``keep`` may store what later tables are built from.
+
+    The calendar has the years of the orders, or those given; orders outside given years keep a YYYYMMDD number.
+    """
     first = kept_at_once(keep, {
-        "dim_date": lambda: date_dimension(t["orders"].sparkSession, first_year, last_year),
+        "dim_date": lambda: _calendar(t, first_year, last_year),
         "dim_location": lambda: star_locations(t),
     })
     return {
@@ -236,13 +255,13 @@ def snow_products(t: dict[str, DataFrame], categories: DataFrame, brands: DataFr
 
 
 def build_snowflake(
-    t: dict[str, DataFrame], first_year: int = 2020, last_year: int = 2026, keep: Keep = as_is
+    t: dict[str, DataFrame], first_year: int | None = None, last_year: int | None = None, keep: Keep = as_is
 ) -> dict[str, DataFrame]:
     """Sub-dimensions, dimensions, fact table; ``keep`` may store what later tables are built from."""
     first = kept_at_once(keep, {
         "dim_user_roles": lambda: user_roles(t["users"]), "dim_states": lambda: snow_states(t),
         "dim_categories": lambda: snow_categories(t), "dim_brands": lambda: snow_brands(t),
-        "dim_date": lambda: date_dimension(t["orders"].sparkSession, first_year, last_year),
+        "dim_date": lambda: _calendar(t, first_year, last_year),
     })
     cities = keep("dim_cities", snow_cities(t, first["dim_states"]))
     return {

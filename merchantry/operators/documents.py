@@ -7,8 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_EMBEDDED = 100_000
-
 
 @dataclass(frozen=True)
 class Children:
@@ -26,37 +24,25 @@ def _block_of(children: Children, limit: int) -> list[Column]:
     return [b.alias(f"_block{i}") for i, b in enumerate(blocks)]
 
 
-def _with_parts(children: Children, heads: DataFrame, key: str, limit: int) -> DataFrame:
-    """Children with the number of the document part they belong to: 0 unless the parent has more than ``limit``."""
-    df = children.df.filter(F.col(children.parent).isNotNull())
-    largest = df.groupBy(children.parent).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    if largest is None or largest <= limit:
-        return df.withColumn("_part", F.lit(0))
-    # oversized parents: whole blocks of at most ``limit`` children, in order, are dealt to parts
-    df = df.select("*", *_block_of(children, limit))
+def _with_parts(children: Children, limit: int) -> DataFrame:
+    """Children with the number of the document part they belong to: whole blocks of at most ``limit``, in order, are dealt to parts."""
+    df = children.df.filter(F.col(children.parent).isNotNull()).select("*", *_block_of(children, limit))
     names = [c for c in df.columns if c.startswith("_block")]
     counts = df.groupBy(children.parent, *names).agg(F.count("*").alias("_n"))
-    whole = Window.partitionBy(children.parent)
-    earlier = whole.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    parts = (
-        counts.withColumn("_all", F.sum("_n").over(whole))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .filter(F.col("_all") > limit)
-        .join(heads.select(F.col(key).alias(children.parent)), children.parent, "left_semi")
-        .select(children.parent, *names, F.call_function("div", "_before", F.lit(limit)).cast("int").alias("_part"))
-    )
-    return df.join(parts, [children.parent, *names], "left").withColumn("_part", F.coalesce("_part", F.lit(0)))
+    earlier = Window.partitionBy(children.parent).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    part = F.call_function("div", F.coalesce(F.sum("_n").over(earlier), F.lit(0)), F.lit(limit)).cast("int")
+    return df.join(counts.select(children.parent, *names, part.alias("_part")), [children.parent, *names])
 
 
-def embed(heads: DataFrame, key: str, lists: dict[str, Children], limit: int = MAX_EMBEDDED) -> DataFrame:
+def embed(heads: DataFrame, key: str, lists: dict[str, Children], limit: int | None = None) -> DataFrame:
     """Add each child table to ``heads`` as a sorted array; a head without children gets an empty array.
 
-    ``part`` is 0 for every document of ordinary size. A head with more than ``limit`` children continues
-    in further rows with the same key, the next ``part`` number, null head columns and the next slice of
-    the array, so no task ever holds an unbounded group. Heads and children meet in one shuffle.
+    One document per head, and heads and children meet in one shuffle. For parents with more children than a
+    task can hold pass a ``limit``: a head with more then continues in further rows with the same key, the
+    next number in the column ``part`` (0 in the first row), null head columns and the next slice of the array.
     """
     rest = [c for c in heads.columns if c != key]
-    placed = {name: _with_parts(c, heads, key, limit) for name, c in lists.items()}
+    placed = {name: c.df.withColumn("_part", F.lit(0)) if limit is None else _with_parts(c, limit) for name, c in lists.items()}
     slots = {
         name: F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(c.order)], F.col(c.value).alias("_value"))
         for name, c in lists.items()
@@ -75,13 +61,18 @@ def embed(heads: DataFrame, key: str, lists: dict[str, Children], limit: int = M
     rows = row(heads, key, F.lit(0), None)
     for name, c in lists.items():
         rows = rows.unionByName(row(placed[name], c.parent, F.col("_part"), name))
-    grouped = rows.groupBy(key, "part").agg(
+    by = [key] if limit is None else [key, "part"]
+    grouped = rows.groupBy(*by).agg(
         F.first("_head", ignorenulls=True).alias("_head"),
         *[F.array_sort(F.collect_list(f"_in_{name}")).alias(f"_in_{name}") for name in lists],
     )
-    kept = grouped.filter(F.col("_head").isNotNull() | (F.col("part") > 0))
+    if limit is None:
+        kept = grouped.filter(F.col("_head").isNotNull())
+    else:
+        whole = Window.partitionBy(key)
+        kept = grouped.withColumn("_known", F.max(F.col("_head").isNotNull()).over(whole)).filter("_known")
     return kept.select(
-        key, "part", *[F.col(f"_head.{c}").alias(c) for c in rest],
+        *by, *[F.col(f"_head.{c}").alias(c) for c in rest],
         *[F.transform(f"_in_{name}", lambda x: x["_value"]).alias(name) for name in lists],
     )
 
@@ -137,7 +128,7 @@ def user_documents(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def product_documents(t: dict[str, DataFrame], limit: int = MAX_EMBEDDED) -> DataFrame:
+def product_documents(t: dict[str, DataFrame], limit: int | None = None) -> DataFrame:
     """Products with category, tags, image urls by image order, and reviews."""
     category = F.struct(F.col("c.id"), F.col("c.name"), F.col("c.slug"))
     heads = (
@@ -164,7 +155,7 @@ def product_documents(t: dict[str, DataFrame], limit: int = MAX_EMBEDDED) -> Dat
     }, limit)
 
 
-def order_documents(t: dict[str, DataFrame], limit: int = MAX_EMBEDDED) -> DataFrame:
+def order_documents(t: dict[str, DataFrame], limit: int | None = None) -> DataFrame:
     """Orders with their user and their lines; lines of unknown products are left out."""
     heads = (
         t["orders"].alias("o").join(t["users"].alias("u"), F.col("o.user_id") == F.col("u.id"), "left")
@@ -188,7 +179,7 @@ def order_documents(t: dict[str, DataFrame], limit: int = MAX_EMBEDDED) -> DataF
     return embed(heads, "_id", {"items": Children(lines, "order_id", ["id"], "line")}, limit)
 
 
-def denormalize(t: dict[str, DataFrame], limit: int = MAX_EMBEDDED) -> dict[str, DataFrame]:
+def denormalize(t: dict[str, DataFrame], limit: int | None = None) -> dict[str, DataFrame]:
     """The three document collections."""
     return {
         "users": user_documents(t),

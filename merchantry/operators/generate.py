@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchantry.functions.numbering import id_by_key
 from merchantry.functions.seeded import choice, randint, uniform
+from merchantry.sources import files, sinks
 
+# Fixed values here and below: the first new id, and the texts and ranges of generated records.
 FIRST_ID = 10_000
 
 
@@ -103,5 +106,18 @@ def simple_records(spark: SparkSession, count: int = 10_000, anchor: str = "2025
 def generate_all(t: dict[str, DataFrame], count: int = 10_000) -> dict[str, DataFrame]:
     return {
         "test_users": users(t["users"], count), "test_products": products(t["products"], count),
-        "test_orders": orders(t["orders"], count),
+        "test_orders": orders(t["orders"], count), "test_records": simple_records(t["users"].sparkSession, count),
     }
+
+
+def generate_files(t: dict[str, DataFrame], folder: str, count: int = 10_000) -> DataFrame:
+    """Write the four tables as JSON lines; returns name, rows and bytes of each."""
+    spark = t["users"].sparkSession
+    made = generate_all(t, count)
+    paths = sinks.save_tables(made, folder, fmt="json")
+    facts = [
+        spark.read.text(path).agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count",
+            files.file_sizes(spark, path, "*.json").agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).scalar().alias("size_bytes"))
+        for name, path in paths.items()
+    ]
+    return reduce(DataFrame.unionByName, facts)

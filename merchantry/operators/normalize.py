@@ -132,52 +132,63 @@ def categories_of(products: DataFrame) -> DataFrame:
     firsts = (
         products.select("id", name.alias("name"), slug(name).alias("slug"))
         .groupBy("slug")
-        .agg(F.min("id").alias("first_product"), F.min_by("name", "id").alias("name"))
+        .agg(F.min("id").alias("first_product"), F.coalesce(F.min_by("name", "id"), F.min("name")).alias("name"))
     )
     return conform_to(id_by_key(firsts, "first_product", "id"), "normalized", "categories")
 
 
+def _size(array: str) -> Column:
+    return F.greatest(F.coalesce(F.size(array), F.lit(0)), F.lit(0))
+
+
+def _elements(parents: DataFrame, key: str, array: str, start: str, value: str) -> DataFrame:
+    """``(id, parent_id, pos, value)`` per array element; the ids of a parent follow its ``start``."""
+    return parents.select(F.col(key).alias("parent_id"), F.col(start).alias("_start"), F.posexplode(array).alias("pos", value)).select(
+        (F.col("_start") + F.col("pos") + 1).alias("id"), "parent_id", "pos", value
+    )
+
+
 def exploded_with_ids(parents: DataFrame, key: str, array: str, value: str) -> DataFrame:
     """``(id, key, pos, value)`` per array element; ids run on from parent to parent in key order.
 
     A parent may come in several rows with a ``part`` number; its elements then run on from part to part.
     """
-    size = F.greatest(F.coalesce(F.size(array), F.lit(0)), F.lit(0))
-    if "part" in parents.columns:
-        # only sizes are numbered, so that the parts of one parent stay spread over the tasks
-        sizes = parents.select(key, "part", size.alias("_size"))
-        totals = sizes.groupBy(key).agg(F.sum("_size").alias("_size"))
-        starts = running_total(totals, key, F.col("_size"), "_parent_start").select(key, "_parent_start")
-        earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sizes.join(starts, key).select(
-            key, "part", "_parent_start", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_earlier")
-        )
-        placed = parents.select(key, "part", array).join(offsets, [key, "part"]).withColumn(
-            "_start", F.col("_parent_start") + F.col("_earlier")
-        )
-    else:
-        placed = running_total(parents.select(key, array), key, size, "_start").withColumn("_earlier", F.lit(0))
-    return placed.select(key, "_start", "_earlier", F.posexplode(array).alias("_pos", value)).select(
-        (F.col("_start") + F.col("_pos") + 1).alias("id"), F.col(key).alias("parent_id"),
+    if "part" not in parents.columns:
+        return _elements(running_total(parents.select(key, array), key, _size(array), "_start"), key, array, "_start", value)
+    # only sizes are numbered, so that the parts of one parent stay spread over the tasks
+    sizes = parents.select(F.col(key).alias("_key"), F.col("part").alias("_part"), _size(array).alias("_size"))
+    starts = running_total(sizes.groupBy("_key").agg(F.sum("_size").alias("_size")), "_key", F.col("_size"), "_parent_start")
+    starts = starts.select(F.col("_key").alias("_parent"), "_parent_start")
+    earlier = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.join(starts, F.col("_key").eqNullSafe(F.col("_parent"))).select(
+        "_key", "_part", "_parent_start", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_earlier")
+    )
+    placed = parents.select(key, "part", array).join(offsets, F.col(key).eqNullSafe(F.col("_key")) & (F.col("part") == F.col("_part")))
+    return placed.select(F.col(key).alias("parent_id"), "_parent_start", "_earlier", F.posexplode(array).alias("_pos", value)).select(
+        (F.col("_parent_start") + F.col("_earlier") + F.col("_pos") + 1).alias("id"), "parent_id",
         (F.col("_earlier") + F.col("_pos")).alias("pos"), value,
     )
 
 
+CHILD_ARRAYS = {"tags": "tag", "images": "image_url", "reviews": "review"}
+
+
 def normalize_products(products: DataFrame, keep: Keep = as_is) -> dict[str, DataFrame]:
-    """Products, categories, tags, images and reviews."""
+    """Products, categories, tags, images and reviews; ``keep`` may store the numbered products that all of them read.
+
+    The ids of the three child tables come from totals over one key that share one pass.
+    """
     categories = keep("categories", categories_of(products))
+    parts = keep("product_parts", running_totals(products, "id", {f"_{array}": _size(array) for array in CHILD_ARRAYS}))
     flat = (
-        products.withColumn("_slug", slug(or_default("category", DEFAULT_CATEGORY)))
+        parts.withColumn("_slug", slug(or_default("category", DEFAULT_CATEGORY)))
         .join(categories.select(F.col("slug").alias("_slug"), F.col("id").alias("category_id")), "_slug", "left")
         .select(*renamed(PRODUCT_FIELDS), "category_id")
     )
-    tags = exploded_with_ids(products, "id", "tags", "tag").withColumnRenamed("parent_id", "product_id")
-    images = exploded_with_ids(products, "id", "images", "image_url").withColumnsRenamed(
-        {"parent_id": "product_id", "pos": "image_order"}
-    )
-    reviews = exploded_with_ids(products, "id", "reviews", "review").select(
-        "id", F.col("parent_id").alias("product_id"), *renamed(REVIEW_FIELDS, "review.")
-    )
+    children = {array: _elements(parts, "id", array, f"_{array}", value) for array, value in CHILD_ARRAYS.items()}
+    tags = children["tags"].withColumnRenamed("parent_id", "product_id")
+    images = children["images"].withColumnsRenamed({"parent_id": "product_id", "pos": "image_order"})
+    reviews = children["reviews"].select("id", F.col("parent_id").alias("product_id"), *renamed(REVIEW_FIELDS, "review."))
     return {
         "categories": categories,
         "products": conform_to(flat, "normalized", "products"),
@@ -213,6 +224,8 @@ def normalize_carts(carts: DataFrame, anchor: str = "2025-12-01") -> dict[str, D
     }
 
 
-def normalize(users: DataFrame, products: DataFrame, carts: DataFrame, anchor: str = "2025-12-01") -> dict[str, DataFrame]:
-    """All eleven tables."""
-    return {**normalize_users(users), **normalize_products(products), **normalize_carts(carts, anchor)}
+def normalize(
+    users: DataFrame, products: DataFrame, carts: DataFrame, anchor: str = "2025-12-01", keep: Keep = as_is
+) -> dict[str, DataFrame]:
+    """All eleven tables; ``keep`` may store the numbered users and products, which are otherwise computed per table."""
+    return {**normalize_users(users, keep), **normalize_products(products, keep), **normalize_carts(carts, anchor)}

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from merchantry import schemas
 from merchantry.functions.text import is_set
 
+# Fixed values in this module: rule names and the texts of messages.
 FINDING = "table_name STRING, rule STRING, severity STRING, record_key STRING, message STRING"
 ERROR, WARNING = "error", "warning"
 SAMPLES = {ERROR: 5, WARNING: 3}

@@ -32,6 +32,11 @@ def aggregate(df: DataFrame, column: str, operation: str = "sum") -> DataFrame:
     return df.agg(F.coalesce(AGGREGATES[operation](column), F.lit(0)).alias("value"))
 
 
+def aggregate_all(df: DataFrame, column: str) -> DataFrame:
+    """One row with a column per operation, in one scan."""
+    return df.agg(*[F.coalesce(f(column), F.lit(0)).alias(name) for name, f in AGGREGATES.items()])
+
+
 def sort_rows(df: DataFrame, column: str, reverse: bool = False, position: str | None = None) -> DataFrame:
     """Sorted by ``column``, missing values counting as 0; ``position`` keeps equal rows in their order."""
     key = F.coalesce(F.col(column), F.lit(0).cast(df.schema[column].dataType))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money
-from merchantry.sources.store import settle
+from merchantry.sources.store import MONTH
+
+# the stored table of orders beside the fact rows of a model
+ORDER_SUMS = "order_sums"
 
 
 def total(column: str, name: str) -> Column:
@@ -52,39 +53,6 @@ def best(group: str, label: str, measure: str, df: DataFrame, name: str) -> Data
     return df.groupBy(group).agg(best_label(label, measure).alias(name))
 
 
-# candidates looked at before all rows are, per row wanted
-SPARE = 10
-LOCAL_ROWS = 10_000
-
-
-def matching(table: DataFrame, key: str, few: DataFrame) -> DataFrame:
-    """Rows of ``few`` (cut by a limit, so small) whose ``key`` is in ``table``; the large table is only scanned."""
-    keys = table.select(key).join(F.broadcast(few.select(key).distinct()), key, "left_semi").distinct()
-    return few.join(F.broadcast(keys), key, "left_semi")
-
-
-def held(few: DataFrame, n: int) -> DataFrame:
-    """A result that a limit has cut to ``n`` rows, computed once: in memory if short, stored otherwise."""
-    if n > LOCAL_ROWS:
-        return settle(few)
-    return few.sparkSession.createDataFrame(few.toArrow(), few.schema)
-
-
-def look_up(few: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Left join of a held result; the large table is reduced to the wanted keys by a scan."""
-    wanted = F.broadcast(few.select(key).distinct())
-    return few.join(F.broadcast(table.join(wanted, key, "left_semi")), key, "left")
-
-
-def first_rows(short_cut: Callable[[int], DataFrame], whole: Callable[[], DataFrame], n: int) -> DataFrame:
-    """The first ``n`` rows from the best candidates, or from everything where the candidates do not fill ``n``.
-
-    Candidates are a prefix of the same order, so ``n`` rows among them are the first ``n`` of all.
-    """
-    found = held(short_cut(n * SPARE), n)
-    return found if found.count() == n else held(whole(), n)
-
-
 def per_order(fact: DataFrame, *attributes: str) -> DataFrame:
     """Fact rows summed per order, with attributes that an order has one value of (user, day, location).
 
@@ -96,6 +64,14 @@ def per_order(fact: DataFrame, *attributes: str) -> DataFrame:
     )
 
 
+def order_sums(m: dict[str, DataFrame]) -> DataFrame:
+    """The orders of a model: stored with it, or summed from the fact rows of a model that is not stored."""
+    if ORDER_SUMS in m:
+        return m[ORDER_SUMS]
+    attributes = [c for c in ("user_id", "date_id", "location_id", MONTH) if c in m["fact_orders"].columns]
+    return per_order(m["fact_orders"], *attributes)
+
+
 def mean_line(total_name: str, name: str) -> Column:
     """Average line amount from rows that carry the line count."""
     return mean_money(total_name, "_line_count").alias(name)

@@ -3,26 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from merchantry import schemas
 from merchantry.operators import dimensions, documents
+from merchantry.plans.common import ORDER_SUMS, calendar, order_sums
 from merchantry.sources import retail
-from merchantry.sources.store import stored
-
-# The years the order dates of the given tables lie in.
-FIRST_YEAR, LAST_YEAR = 1995, 2001
+from merchantry.sources.store import MONTH, Keep, stored
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return retail.normalized(spark, sf_dir)
 
 
+def laid_out(tables: dict[str, DataFrame], keep: Keep) -> dict[str, DataFrame]:
+    """The fact rows stored by month, and beside them the orders they add up to, also by month."""
+    dates = tables["dim_date"]
+    months = calendar(dates.withColumn(MONTH, F.col("year") * 100 + F.col("month")), MONTH)
+    fact = keep("fact_orders", tables["fact_orders"].join(months, "date_id", "left"))
+    return {**tables, "fact_orders": fact, ORDER_SUMS: keep(ORDER_SUMS, order_sums({"fact_orders": fact}))}
+
+
+def declared(model: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables of a model without what is stored beside them."""
+    return {name: tables[name] for name in tables if name in schemas.MODELS[model]}
+
+
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return stored(spark, sf_dir, "star", lambda keep: dimensions.build_star(normalized(spark, sf_dir), FIRST_YEAR, LAST_YEAR, keep))
+    return stored(spark, sf_dir, "star", lambda keep: laid_out(dimensions.build_star(normalized(spark, sf_dir), keep=keep), keep))
 
 
 def snowflake(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return stored(
-        spark, sf_dir, "snowflake", lambda keep: dimensions.build_snowflake(normalized(spark, sf_dir), FIRST_YEAR, LAST_YEAR, keep)
+        spark, sf_dir, "snowflake", lambda keep: laid_out(dimensions.build_snowflake(normalized(spark, sf_dir), keep=keep), keep)
     )
 
 

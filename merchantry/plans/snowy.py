@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money, percent_of
 from merchantry.plans.common import (
-    best_known_label, distinct, held, look_up, mean_line, mean_of, mean_parts, ranked, top, total,
+    best_known_label, distinct, mean_line, mean_of, mean_parts, order_sums, ranked, top, total,
 )
 from merchantry.plans.starry import newest_facts
 
@@ -47,10 +47,9 @@ def revenue_by_product(m: Tables, n: int = 50) -> DataFrame:
 
 
 def _per_customer(m: Tables) -> DataFrame:
-    """Orders and sums per customer: the only pass over the fact rows of the geographic queries."""
-    return m["fact_orders"].groupBy("user_id").agg(
-        distinct("order_id", "_orders"), total("quantity", "_quantity"), total("total_amount", "_amount"),
-        F.count("total_amount").alias("_lines"),
+    """Orders and sums per customer, for the geographic queries."""
+    return order_sums(m).groupBy("user_id").agg(
+        F.count("*").alias("_orders"), total("_quantity", "_quantity"), total("_amount", "_amount"), total("_lines", "_lines")
     )
 
 
@@ -130,8 +129,7 @@ def category_performance(m: Tables) -> DataFrame:
         total("_products", "products_count"), total("_quantity", "total_quantity_sold"), total("_revenue", "total_revenue"),
         total("_prices", "_prices"), total("_priced", "_priced"), best_known_label("brand_name", "_revenue").alias("top_brand"),
     ).join(categories_with_parent(m), "category_id")
-    # one row per category by now
-    shared = sums.withColumn("_whole", F.sum("total_revenue").over(Window.partitionBy()))
+    shared = sums.withColumn("_whole", sums.agg(F.sum("total_revenue").alias("whole")).scalar())
     orders = m["fact_orders"].select("product_id", "order_id").join(products.drop("brand_id"), "product_id").groupBy(
         "category_id"
     ).agg(distinct("order_id", "orders_count"))
@@ -159,11 +157,10 @@ def product_ranking(m: Tables, n: int = 50) -> DataFrame:
 
 def wide_join(m: Tables, n: int = 1000) -> DataFrame:
     """The newest order lines with the names of everything they refer to."""
-    rows = F.broadcast(newest_facts(m, n))  # n rows
-    rows = F.broadcast(m["dim_users"].select("user_id", "username", "city_id").join(rows, "user_id"))
     products = m["dim_products"].select("product_id", F.col("title").alias("product_name"), "category_id")
-    rows = held(products.join(rows, "product_id"), n)
-    rows = look_up(rows, m["dim_categories"].select("category_id", "category_name"), "category_id")
-    return look_up(rows, m["dim_cities"].select("city_id", "city_name"), "city_id").select(
+    users = m["dim_users"].select("user_id", "username", "city_id")
+    rows = newest_facts(m, n).join(users, "user_id").join(products, "product_id")
+    rows = rows.join(m["dim_categories"].select("category_id", "category_name"), "category_id", "left")
+    return rows.join(m["dim_cities"].select("city_id", "city_name"), "city_id", "left").select(
         "order_id", "username", "product_name", "category_name", "city_name", "quantity", "total_amount"
     )

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money, percent_of
 from merchantry.plans.common import (
-    best_label, calendar, distinct, first_rows, held, look_up, matching, mean_line, mean_of, mean_parts, per_order,
-    ranked, top, total,
+    best_label, calendar, distinct, mean_line, mean_of, mean_parts, order_sums, ranked, top, total,
 )
+from merchantry.sources.store import MONTH
 
 Tables = dict[str, DataFrame]
 
@@ -30,7 +30,7 @@ def revenue_by_product(m: Tables, n: int = 50) -> DataFrame:
 
 def top_users(m: Tables, n: int = 100) -> DataFrame:
     """Users by lifetime value with first and last purchase."""
-    orders = per_order(m["fact_orders"], "user_id", "date_id").join(calendar(m["dim_date"], "full_date"), "date_id")
+    orders = order_sums(m).join(calendar(m["dim_date"], "full_date"), "date_id")
     spent = orders.groupBy("user_id").agg(
         F.count("*").alias("total_orders"), total("_quantity", "total_items_purchased"), total("_amount", "lifetime_value"),
         total("_discounts", "total_discounts_received"), total("_lines", "_line_count"),
@@ -45,30 +45,34 @@ def top_users(m: Tables, n: int = 100) -> DataFrame:
     )
 
 
-def _by_period(m: Tables, keys: list[str], revenue: str, *more, attributes: tuple[str, ...] = ()) -> DataFrame:
+def _by_period(m: Tables, keys: list[str], revenue: str, *more, orders: DataFrame | None = None) -> DataFrame:
     """Orders per calendar period; orders of days outside the calendar are left out."""
     days = calendar(m["dim_date"], *sorted({*keys, "full_date"}))
-    return per_order(m["fact_orders"], "date_id", *attributes).join(days, "date_id").groupBy(*keys).agg(
+    rows = order_sums(m) if orders is None else orders
+    return rows.join(days, "date_id").groupBy(*keys).agg(
         F.count("*").alias("orders_count"), total("_quantity", "items_sold"), total("_amount", revenue),
         total("_lines", "_line_count"), *more,
     )
 
 
-def _latest(m: Tables, keys: list[str], n: int) -> Tables:
-    """The model with only the fact rows of the last ``n`` periods that have sales.
+def _latest(m: Tables, keys: list[str], n: int) -> DataFrame:
+    """The orders of the last ``n`` periods that have sales.
 
-    Finding the days reads one column and shuffles one row per day and task; the other fact rows are
-    then dropped before anything is shuffled.
+    Finding the days reads one column of the stored orders; of the months before the first of these days nothing else is read.
     """
-    present = m["fact_orders"].select("date_id").distinct().join(calendar(m["dim_date"], *keys), "date_id")
+    orders = order_sums(m)
+    present = orders.select("date_id").distinct().join(calendar(m["dim_date"], "year", "month", *[k for k in keys if k != "year"]), "date_id")
     periods = present.select(*keys).distinct().orderBy(*[F.col(k).desc() for k in keys]).limit(n)
-    days = present.join(F.broadcast(periods), keys, "left_semi").select("date_id")
-    return {**m, "fact_orders": m["fact_orders"].join(F.broadcast(days), "date_id", "left_semi")}
+    days = present.join(F.broadcast(periods), keys, "left_semi")
+    if MONTH in orders.columns:
+        first = days.agg(F.min(F.col("year") * 100 + F.col("month")).alias("first")).scalar()
+        orders = orders.filter(F.col(MONTH) >= first)
+    return orders.join(F.broadcast(days.select("date_id")), "date_id", "left_semi")
 
 
 def daily_revenue(m: Tables, days: int = 30) -> DataFrame:
     """The last days with sales."""
-    rows = _by_period(_latest(m, ["full_date"], days), ["full_date", "day_name", "is_weekend"], "daily_revenue")
+    rows = _by_period(m, ["full_date", "day_name", "is_weekend"], "daily_revenue", orders=_latest(m, ["full_date"], days))
     return rows.orderBy(F.col("full_date").desc()).limit(days).select(
         "full_date", "day_name", "is_weekend", "orders_count", "items_sold", "daily_revenue",
         mean_line("daily_revenue", "avg_order_value"),
@@ -79,8 +83,8 @@ def weekly_revenue(m: Tables, weeks: int = 20) -> DataFrame:
     """By calendar year and ISO week, as defined: days of week 1 that lie in December stay in their year."""
     period = ["year", "week_of_year"]
     rows = _by_period(
-        _latest(m, period, weeks), period, "weekly_revenue", F.min("full_date").alias("week_start"),
-        F.max("full_date").alias("week_end"),
+        m, period, "weekly_revenue", F.min("full_date").alias("week_start"), F.max("full_date").alias("week_end"),
+        orders=_latest(m, period, weeks),
     )
     return rows.orderBy(*[F.col(k).desc() for k in period]).limit(weeks).select(
         "year", "week_of_year", "week_start", "week_end", "orders_count", "items_sold", "weekly_revenue",
@@ -92,7 +96,7 @@ def monthly_growth(m: Tables) -> DataFrame:
     """Monthly revenue with the previous month and the growth in percent."""
     rows = _by_period(
         m, ["year", "month", "month_name", "quarter"], "monthly_revenue", distinct("user_id", "unique_customers"),
-        total("_discounts", "total_discounts"), attributes=("user_id",),
+        total("_discounts", "total_discounts"),
     )
     # one row per calendar month by now
     previous = F.lag("monthly_revenue").over(Window.orderBy("year", "month"))
@@ -106,7 +110,7 @@ def monthly_growth(m: Tables) -> DataFrame:
 
 def _by_customer_and_place(m: Tables, *place: str) -> DataFrame:
     """Orders summed per customer and location, then looked up: the location join sees no single orders."""
-    orders = per_order(m["fact_orders"].filter(F.col("location_id").isNotNull()), "user_id", "location_id")
+    orders = order_sums(m).filter(F.col("location_id").isNotNull())
     customers = orders.groupBy("user_id", "location_id").agg(
         F.count("*").alias("_orders"), total("_quantity", "_quantity"), total("_amount", "_amount"), total("_lines", "_lines")
     )
@@ -127,12 +131,17 @@ def revenue_by_location(m: Tables, n: int = 100) -> DataFrame:
 
 
 def revenue_by_region(m: Tables) -> DataFrame:
-    """Sales by region; states and cities are counted among the locations that have sales."""
-    sold = _by_customer_and_place(m, "region", "state", "city").groupBy("region").agg(
-        distinct("state", "states_count"), distinct("city", "cities_count"), distinct("user_id", "unique_customers"),
-        total("_amount", "regional_revenue"), total("_lines", "_line_count"),
+    """Sales by region; states and cities are counted among the locations that have sales.
+
+    Three distinct counts, each in an aggregate of its own: of customers, of states and of cities.
+    """
+    sold = _by_customer_and_place(m, "region", "state", "city")
+    sums = sold.groupBy("region").agg(
+        distinct("user_id", "unique_customers"), total("_amount", "regional_revenue"), total("_lines", "_line_count")
     )
-    return ranked(sold, "regional_revenue", "region").select(
+    states = sold.select("region", "state").distinct().groupBy("region").agg(F.count("state").alias("states_count"))
+    cities = sold.select("region", "city").distinct().groupBy("region").agg(F.count("city").alias("cities_count"))
+    return ranked(sums.join(states, "region").join(cities, "region"), "regional_revenue", "region").select(
         "region", "states_count", "cities_count", "unique_customers", "regional_revenue",
         mean_line("regional_revenue", "avg_order_value"),
     )
@@ -181,7 +190,7 @@ def product_ranking(m: Tables, n: int = 50) -> DataFrame:
 
 def user_ranking(m: Tables, n: int = 100) -> DataFrame:
     """The short form of ``top_users``; the same for star and snowflake."""
-    spent = m["fact_orders"].groupBy("user_id").agg(distinct("order_id", "total_orders"), total("total_amount", "lifetime_value"))
+    spent = order_sums(m).groupBy("user_id").agg(F.count("*").alias("total_orders"), total("_amount", "lifetime_value"))
     users = m["dim_users"].select("user_id", "username", "full_name")
     return top(spent.join(users, "user_id"), n, "lifetime_value", "user_id").select(
         "user_id", "username", "full_name", "total_orders", "lifetime_value"
@@ -200,27 +209,17 @@ def newest_facts(m: Tables, n: int, *keep: str) -> DataFrame:
     dated = m["fact_orders"].select(
         "fact_id", "order_id", "user_id", "product_id", "date_id", "quantity", "total_amount", *keep
     ).join(calendar(m["dim_date"], "full_date"), "date_id")
-    users, products = m["dim_users"].select("user_id"), m["dim_products"].select("product_id")
-
-    def newest(rows: DataFrame, count: int) -> DataFrame:
-        return rows.orderBy(F.col("full_date").desc(), "fact_id").limit(count)
-
-    def short_cut(candidates: int) -> DataFrame:
-        return newest(matching(products, "product_id", matching(users, "user_id", newest(dated, candidates))), n)
-
-    def whole() -> DataFrame:
-        return newest(dated.join(users, "user_id", "left_semi").join(products, "product_id", "left_semi"), n)
-
-    return first_rows(short_cut, whole, n)
+    known = dated.join(m["dim_users"].select("user_id"), "user_id", "left_semi").join(
+        m["dim_products"].select("product_id"), "product_id", "left_semi"
+    )
+    return known.orderBy(F.col("full_date").desc(), "fact_id").limit(n)
 
 
 def wide_join(m: Tables, n: int = 1000) -> DataFrame:
     """The newest order lines with the names of everything they refer to."""
-    rows = F.broadcast(newest_facts(m, n, "location_id"))  # n rows
-    rows = F.broadcast(m["dim_users"].select("user_id", "username").join(rows, "user_id"))
     products = m["dim_products"].select("product_id", F.col("title").alias("product_name"), "category")
-    rows = held(products.join(rows, "product_id"), n)
-    return look_up(rows, m["dim_location"].select("location_id", "city"), "location_id").select(
+    rows = newest_facts(m, n, "location_id").join(m["dim_users"].select("user_id", "username"), "user_id").join(products, "product_id")
+    return rows.join(m["dim_location"].select("location_id", "city"), "location_id", "left").select(
         "order_id", "username", "product_name", "category", "city", "quantity", "total_amount"
     )
 
@@ -231,7 +230,7 @@ def heavy_aggregate(m: Tables) -> DataFrame:
     products = m["fact_orders"].select("product_id", "date_id").join(calendar(m["dim_date"]), "date_id", "left_semi").agg(
         distinct("product_id", "n")
     )
-    return per_order(m["fact_orders"], "user_id", "date_id").join(dated, "date_id").agg(
+    return order_sums(m).join(dated, "date_id").agg(
         F.count("*").alias("total_orders"), distinct("user_id", "unique_customers"), total("_quantity", "total_items"),
         total("_amount", "total_revenue"), total("_lines", "_line_count"), F.min("full_date").alias("first_order"),
         F.max("full_date").alias("last_order"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from merchantry.operators.dimensions import build_star
 from merchantry.plans import models, relational, snowy, starry
 from merchantry.registry.base import answer, mean, percent, register
 
@@ -310,6 +313,22 @@ def _(spark, sf):
     return starry.monthly_revenue(models.star(spark, sf))
 
 
+OTHER_YEARS = """
+    SELECT year(day_) AS year, month(day_) AS month, monthname(day_) AS month_name, count(*) AS orders_count, sum(amount) AS revenue FROM (
+        SELECT order_id, sum(total_amount) AS amount,
+            any_value(CASE WHEN order_id % 2 = 0 THEN order_date + INTERVAL 10 YEAR ELSE order_date END) AS day_
+        FROM t_fact f JOIN t_orders o ON f.order_id = o.id GROUP BY order_id) AS moved GROUP BY 1, 2, 3"""
+
+
+@register("q_bm_3_monthly_revenue_other_years", answer("year:i month:i month_name orders_count:i revenue:d", OTHER_YEARS))
+def _(spark, sf):
+    """Every second order lies ten years later; the calendar follows the orders, and none is lost."""
+    tables = dict(models.normalized(spark, sf))
+    later = F.when(F.col("id") % 2 == 0, F.add_months("order_date", 120).cast("timestamp_ntz")).otherwise(F.col("order_date"))
+    tables["orders"] = tables["orders"].withColumn("order_date", later)
+    return starry.monthly_revenue(build_star(tables))
+
+
 @register("q_bm_3_monthly_revenue_snow", MONTHLY)
 def _(spark, sf):
     return starry.monthly_revenue(models.snowflake(spark, sf))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merchantry.functions.regions import REGION_STATES
-from merchantry.plans.models import FIRST_YEAR, LAST_YEAR
 from merchantry.sources.retail import LINE_ORDER, NATION_STATES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,7 +98,7 @@ def percent(part: str, whole: str) -> str:
 
 CODES = "[" + ", ".join(f"'{c}'" for c in NATION_STATES) + "]"
 REGION_CASE = "CASE " + " ".join(
-    f"WHEN state_code IN ({', '.join(repr(c) for c in codes.split())}) THEN '{region}'" for region, codes in REGION_STATES.items()
+    f"WHEN state_code IN ({', '.join(repr(c) for c in codes)}) THEN '{region}'" for region, codes in REGION_STATES.items()
 ) + " ELSE 'Other' END"
 PREV = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
@@ -198,12 +197,12 @@ CTES["t_orders"] = """
         SELECT l_orderkey, count(*) AS lines, sum(CAST(l_quantity AS INTEGER)) AS pieces FROM lineitem GROUP BY l_orderkey) AS s
         ON o_orderkey = l_orderkey"""
 CTES["t_dates"] = f"""
-    SELECT CAST(d - DATE '{FIRST_YEAR}-01-01' AS BIGINT) + 1 AS date_id, d AS full_date, year(d) AS year, quarter(d) AS quarter,
+    SELECT CAST(row_number() OVER (ORDER BY d) AS BIGINT) AS date_id, d AS full_date, year(d) AS year, quarter(d) AS quarter,
         month(d) AS month, monthname(d) AS month_name, day(d) AS day, isodow(d) AS day_of_week, dayname(d) AS day_name,
         weekofyear(d) AS week_of_year, isodow(d) >= 6 AS is_weekend,
         strftime(d, '%m-%d') IN ('01-01', '07-04', '12-25') AS is_holiday,
         year(d) + CASE WHEN month(d) >= 10 THEN 1 ELSE 0 END AS fiscal_year, ((month(d) + 2) % 12) // 3 + 1 AS fiscal_quarter
-    FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '{FIRST_YEAR}-01-01', TIMESTAMP '{LAST_YEAR}-12-31', INTERVAL 1 DAY)) AS DATE) AS d) AS days"""
+    FROM (SELECT CAST(unnest(generate_series((SELECT date_trunc('year', min(o_orderdate)) FROM orders), (SELECT date_trunc('year', max(o_orderdate)) + INTERVAL 1 YEAR - INTERVAL 1 DAY FROM orders), INTERVAL 1 DAY)) AS DATE) AS d) AS days"""
 CTES["t_locations"] = f"""
     SELECT row_number() OVER (ORDER BY id) AS location_id, *, {REGION_CASE} AS region FROM t_addresses"""
 CTES["t_places"] = """

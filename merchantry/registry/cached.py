@@ -40,6 +40,36 @@ def _(spark, sf):
     return snapshot(spark, sf).select("key", "entity", "id", label(), "expires_at")
 
 
+@register("kv_1_put_values", answer("key value:s", """
+    SELECT 'user:' || id AS key, json_object('id', id, 'username', username, 'email', email, 'role', role) AS value FROM t_users WHERE id <> 0
+    UNION ALL SELECT 'product:' || id, json_object('id', id, 'title', title, 'brand', brand, 'stock', stock) FROM t_products WHERE id <> 0
+    UNION ALL SELECT 'order:' || id, json_object('id', id, 'user_id', user_id, 'status', status, 'total_quantity', total_quantity)
+    FROM t_orders WHERE id <> 0"""))
+def _(spark, sf):
+    """The JSON value of every entry."""
+    return snapshot(spark, sf).select("key", "value")
+
+
+WHOLE = "id username first_name last_name age:i gender phone birth_date:day university role address_id company_id bank_id"
+
+
+@register("kv_1_put_whole_records", answer(WHOLE, "SELECT * FROM t_users WHERE id <> 0"))
+def _(spark, sf):
+    """Whole users through the cache and back."""
+    users = models.normalized(spark, sf)["users"]
+    return cache.parsed(cache.entries(users, "user", NOON), users.schema).select(*[c.split(":")[0] for c in WHOLE.split()])
+
+
+@register("kv_2_put_batch", answer("key label", """
+    SELECT 'user:' || id AS key, CASE WHEN age > 70 THEN 'renamed ' || username ELSE username END AS label FROM t_users WHERE id <> 0"""))
+def _(spark, sf):
+    """A batch of changed users put over the snapshot of all."""
+    users = _entities(spark, sf)["user"].join(models.normalized(spark, sf)["users"].select("id", "age"), "id")
+    changed = users.filter("age > 70").withColumn("username", F.concat(F.lit("renamed "), "username")).drop("age")
+    whole = cache.entries(users.drop("age"), "user", NOON)
+    return cache.put(whole, cache.entries(changed, "user", LATER)).select("key", label())
+
+
 @register("kv_1_put_report", answer("entity total:i cached:i", """
     SELECT 'user' AS entity, count(*) AS total, count(*) FILTER (id <> 0) AS cached FROM t_users"""))
 def _(spark, sf):
@@ -55,14 +85,6 @@ def _(spark, sf):
     return cache.entries(visits, "visit", NOON, position="event_id").select("key", "value")
 
 
-@register("kv_2_put_single", answer("key label expires_at:ts", f"""
-    SELECT key, CASE WHEN key = 'user:7' THEN 'renamed' ELSE label END AS label,
-        CASE WHEN key = 'user:7' THEN TIMESTAMP '2025-01-01 13:45:00' ELSE expires_at END AS expires_at FROM ({ENTRIES}) AS e"""))
-def _(spark, sf):
-    one = _entities(spark, sf)["user"].filter("id = 7").withColumn("username", F.lit("renamed"))
-    return cache.put(snapshot(spark, sf), cache.entries(one, "user", LATER)).select("key", label(), "expires_at")
-
-
 @register("kv_3_get", answer("id title brand stock:i", "SELECT id, title, brand, stock FROM t_products WHERE id = 12"))
 def _(spark, sf):
     found = cache.get(snapshot(spark, sf), "product:12", LATER)
@@ -96,15 +118,11 @@ def _(spark, sf):
     return cache.existed(snapshot(spark, sf), _banned(spark, sf), LATER)
 
 
-@register("kv_5_remaining_ttl", answer("key ttl_seconds:i", """
-    SELECT 'user:' || id AS key, CASE WHEN id = 0 THEN -2 ELSE 900 END AS ttl_seconds FROM t_users
-    UNION ALL SELECT 'order:' || id, -2 FROM t_orders UNION ALL SELECT 'product:' || id, CASE WHEN id = 0 THEN -2 ELSE 83700 END FROM t_products"""))
+@register("kv_5_remaining_ttl", answer("key ttl_seconds:i", f"""
+    SELECT key, date_diff('second', TIMESTAMP '{LATER}', expires_at) AS ttl_seconds FROM ({ENTRIES}) AS e
+    WHERE expires_at > TIMESTAMP '{LATER}'"""))
 def _(spark, sf):
-    keys = None
-    for entity, df in _entities(spark, sf).items():
-        part = df.select(F.concat(F.lit(f"{entity}:"), F.col("id").cast("string")).alias("key"))
-        keys = part if keys is None else keys.unionByName(part)
-    return cache.remaining_ttl(snapshot(spark, sf), keys, LATER)
+    return cache.remaining_ttl(snapshot(spark, sf), LATER)
 
 
 @register("kv_6_key_counts", answer("entity keys:i", f"SELECT entity, count(*) AS keys FROM ({ENTRIES}) AS e WHERE entity <> 'order' GROUP BY entity"))

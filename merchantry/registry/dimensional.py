@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from merchantry.functions.regions import region_of
 from merchantry.operators import dimensions as d
 from merchantry.plans import models
-from merchantry.plans.models import FIRST_YEAR, LAST_YEAR
 from merchantry.registry.base import REGION_CASE, answer, register
 from merchantry.sources import retail
 
@@ -42,7 +41,7 @@ def _(spark, sf):
 def _(spark, sf):
     """The calendar of the order years with the orders of each day."""
     per_day = retail.table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("full_date")).agg(F.count("*").alias("n"))
-    return d.date_dimension(spark, FIRST_YEAR, LAST_YEAR).join(per_day, "full_date", "left").withColumn(
+    return d.calendar_of(t(spark, sf)["orders"]).join(per_day, "full_date", "left").withColumn(
         "order_count", F.coalesce("n", F.lit(0))
     ).drop("n")
 
@@ -85,7 +84,7 @@ FACT = ("fact_id order_id user_id product_id date_id:i quantity:i unit_price:d d
 @register("dim_8_star_fact", answer(FACT + " location_id:i", "SELECT * FROM t_fact"))
 def _(spark, sf):
     tables = t(spark, sf)
-    return d.build_star(tables, FIRST_YEAR, LAST_YEAR)["fact_orders"]
+    return d.build_star(tables)["fact_orders"]
 
 
 @register("dim_9_user_roles", answer("role_id:i role_name role_description", "SELECT * FROM t_roles"))
@@ -134,7 +133,7 @@ def _(spark, sf):
 
 @register("dim_16_snow_fact", answer(FACT, "SELECT * FROM t_fact"))
 def _(spark, sf):
-    return d.build_snowflake(t(spark, sf), FIRST_YEAR, LAST_YEAR)["fact_orders"]
+    return d.build_snowflake(t(spark, sf))["fact_orders"]
 
 
 STAR_COUNTS = [("dim_date", "t_dates"), ("dim_users", "t_users"), ("dim_products", "t_products"), ("dim_location", "t_locations"),
@@ -154,12 +153,12 @@ def counts_sql(pairs: list[tuple[str, str]]) -> str:
 
 @register("dim_17_star_build", counts_sql(STAR_COUNTS))
 def _(spark, sf):
-    return d.row_counts(models.star(spark, sf))
+    return d.row_counts(models.declared("star", models.star(spark, sf)))
 
 
 @register("dim_17_snowflake_build", counts_sql(SNOW_COUNTS))
 def _(spark, sf):
-    return d.row_counts(models.snowflake(spark, sf))
+    return d.row_counts(models.declared("snowflake", models.snowflake(spark, sf)))
 
 
 @register("dim_18_row_counts", counts_sql(FLAT_COUNTS))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from merchantry.operators import generate
-from merchantry.operators.dimensions import row_counts
 from merchantry.plans import models
 from merchantry.registry.base import answer, register
+from merchantry.sources.store import scratch_path
 
 COPIES = 3
 
@@ -74,8 +74,16 @@ def _(spark, sf):
     )
 
 
-@register("gen_5_all", answer("table_name row_count:i", """
-    SELECT unnest(['test_users', 'test_products', 'test_orders']) AS table_name, (SELECT count(*) FROM orders) AS row_count"""))
+@register("gen_5_all", answer("table_name row_count:i whole_lines:b", """
+    SELECT unnest(['test_users', 'test_products', 'test_orders', 'test_records']) AS table_name, (SELECT count(*) FROM orders) AS row_count,
+        TRUE AS whole_lines"""))
 def _(spark, sf):
+    """Four files with their rows and sizes; each size is that of the records as JSON and their line ends."""
     tables = models.normalized(spark, sf)
-    return row_counts(generate.generate_all(tables, tables["orders"].count()))
+    count = tables["orders"].count()
+    facts = generate.generate_files(tables, scratch_path(spark, "generated"), count)
+    lines = None
+    for name, df in generate.generate_all(tables, count).items():
+        size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + 1).alias("want")).select(F.lit(name).alias("table_name"), "want")
+        lines = size if lines is None else lines.unionByName(size)
+    return facts.join(lines, "table_name").select("table_name", "row_count", (F.col("size_bytes") == F.col("want")).alias("whole_lines"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from merchantry.functions.numbering import id_by_key, running_totals
 from merchantry.operators import dimensions, documents, normalize
 from merchantry.plans import models
 from merchantry.registry.base import answer, register
@@ -47,6 +48,35 @@ def _(spark, sf):
     )
 
 
+LOST_KEYS = "CASE WHEN c_custkey % 7 <> 3 THEN c_custkey END"
+
+
+@register("nrm_2_null_keys", answer("users:i keyless:i first_id:i last_id:i distinct_ids:i keyed_first:b", f"""
+    SELECT count(*) AS users, count(*) FILTER ({LOST_KEYS} IS NULL) AS keyless, 1 AS first_id, count(*) AS last_id,
+        count(*) AS distinct_ids, TRUE AS keyed_first FROM customer"""))
+def _(spark, sf):
+    """Every seventh user has lost its key: all stay, and ids run on behind the last key without a gap."""
+    users = retail.raw_users(spark, sf).withColumn("key", F.expr(LOST_KEYS.replace("c_custkey", "id")))
+    numbered = id_by_key(users.select("key", "username"), "key", "n")
+    keyless = F.col("key").isNull()
+    return numbered.agg(
+        F.count("*").alias("users"), F.count_if(keyless).alias("keyless"), F.min("n").alias("first_id"), F.max("n").alias("last_id"),
+        F.count_distinct("n").alias("distinct_ids"),
+        (F.max(F.when(~keyless, F.col("n"))) < F.min(F.when(keyless, F.col("n")))).alias("keyed_first"),
+    )
+
+
+@register("nrm_2_sparse_keys", answer("key n:i before:i", """
+    SELECT o_orderkey * 1048583 - 5 AS key, row_number() OVER (ORDER BY o_orderkey) AS n,
+        coalesce(sum(CAST(round(o_totalprice) AS BIGINT)) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM orders"""))
+def _(spark, sf):
+    """Keys a million apart: as many blocks as rows."""
+    orders = retail.table(spark, sf, "orders").select((F.col("o_orderkey") * 1048583 - 5).alias("key"), F.round("o_totalprice").cast("bigint").alias("w"))
+    return running_totals(orders, "key", {"before": F.col("w"), "rows_before": F.lit(1)}).select(
+        "key", (F.col("rows_before") + 1).alias("n"), "before")
+
+
 ADDRESS = "id address_line city state state_code postal_code country latitude:d longitude:d"
 
 
@@ -146,8 +176,8 @@ def _joined(array: str, element) -> F.Column:
     return F.array_join(F.transform(array, element), "|")
 
 
-@register("doc_2_products", answer("_id part:i title price:d width:d barcode category_slug tags images reviews", """
-    SELECT p.id AS _id, 0 AS part, p.title, p.price, p.width, p.barcode, c.slug AS category_slug,
+@register("doc_2_products", answer("_id title price:d width:d barcode category_slug tags images reviews", """
+    SELECT p.id AS _id, p.title, p.price, p.width, p.barcode, c.slug AS category_slug,
         coalesce((SELECT string_agg(tag, '|' ORDER BY id) FROM t_tags x WHERE x.product_id = p.id), '') AS tags,
         coalesce((SELECT string_agg(image_url, '|' ORDER BY image_order, id) FROM t_images x WHERE x.product_id = p.id), '') AS images,
         coalesce((SELECT string_agg(CAST(rating AS VARCHAR) || ':' || comment, '|' ORDER BY id) FROM t_reviews x
@@ -155,7 +185,7 @@ def _joined(array: str, element) -> F.Column:
     FROM t_products p LEFT JOIN t_categories c ON p.category_id = c.id"""))
 def _(spark, sf):
     return documents.product_documents(t(spark, sf)).select(
-        "_id", "part", "title", "price", F.col("dimensions.width").alias("width"), F.col("meta.barcode").alias("barcode"),
+        "_id", "title", "price", F.col("dimensions.width").alias("width"), F.col("meta.barcode").alias("barcode"),
         F.col("category.slug").alias("category_slug"), F.array_join("tags", "|").alias("tags"),
         F.array_join("images", "|").alias("images"),
         _joined("reviews", lambda r: F.concat(r["rating"].cast("string"), F.lit(":"), r["comment"])).alias("reviews"),
@@ -163,7 +193,7 @@ def _(spark, sf):
 
 
 ORDER_DOCS = """
-    SELECT o.id AS _id, 0 AS part, o.order_date, o.total, u.username,
+    SELECT o.id AS _id, o.order_date, o.total, u.username,
         coalesce(string_agg(CAST(i.product_id AS VARCHAR) || 'x' || CAST(i.quantity AS VARCHAR) || '@' || CAST(i.price AS VARCHAR)
             || p.title || c.name, '|' ORDER BY i.id), '') AS items
     FROM t_orders o LEFT JOIN t_users u ON o.user_id = u.id LEFT JOIN t_items i ON o.id = i.order_id
@@ -171,19 +201,19 @@ ORDER_DOCS = """
     GROUP BY o.id, o.order_date, o.total, u.username"""
 
 
-@register("doc_3_orders", answer("_id part:i order_date:ts total:d username items", ORDER_DOCS))
+@register("doc_3_orders", answer("_id order_date:ts total:d username items", ORDER_DOCS))
 def _(spark, sf):
     line = lambda i: F.concat(
         i["product_id"].cast("string"), F.lit("x"), i["quantity"].cast("string"), F.lit("@"), i["price"].cast("string"),
         i["title"], i["category"],
     )
     return documents.order_documents(t(spark, sf)).select(
-        "_id", "part", "order_date", "total", F.col("user.username").alias("username"), _joined("items", line).alias("items")
+        "_id", "order_date", "total", F.col("user.username").alias("username"), _joined("items", line).alias("items")
     )
 
 
-@register("doc_4_group_children", answer("conv_id part:i turns:i roles texts", """
-    SELECT conv_id, 0 AS part, count(*) AS turns, string_agg(role, '|' ORDER BY turn) AS roles,
+@register("doc_4_group_children", answer("conv_id turns:i roles texts", """
+    SELECT conv_id, count(*) AS turns, string_agg(role, '|' ORDER BY turn) AS roles,
         string_agg(text, '|' ORDER BY turn) AS texts
     FROM conversations GROUP BY conv_id"""))
 def _(spark, sf):
@@ -193,7 +223,7 @@ def _(spark, sf):
         turns.select("conv_id").distinct(), "conv_id", {"said": documents.Children(turns, "conv_id", ["turn"], "said")}
     )
     return grouped.select(
-        "conv_id", "part", F.size("said").alias("turns"), _joined("said", lambda s: s["role"]).alias("roles"),
+        "conv_id", F.size("said").alias("turns"), _joined("said", lambda s: s["role"]).alias("roles"),
         _joined("said", lambda s: s["text"]).alias("texts"),
     )
 

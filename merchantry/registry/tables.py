@@ -48,19 +48,22 @@ def _(spark, sf):
 
 
 ORDER = "o_orderkey o_custkey o_orderstatus o_totalprice:d o_orderpriority"
-ORDER_COLUMNS = [c.split(":")[0] for c in ORDER.split()]
+DATED_ORDER = ORDER + " o_orderdate:ts"
+CHUNK_ROWS = 1000
+CHUNKED_SQL = f"SELECT *, (row_number() OVER (ORDER BY o_orderkey) - 1) // {CHUNK_ROWS} AS chunk FROM orders"
 
 
-def _in_chunks(spark, source, fmt):
-    """Eight files, one per chunk; the rows of all chunks and how many chunks there were."""
-    path, target = scratch_path(spark, fmt), scratch_path(spark, "chunks")
-    source.repartition(8).write.format(fmt).options(**(files.CSV_OPTIONS if fmt == "csv" else {})).save(path)
-    return chunks.copy_in_chunks(chunks.chunk_stream(spark, path, fmt, source.schema), target)
+def _in_chunks(spark, sf, fmt):
+    """All orders written as files of one format and read in chunks of 1000 rows."""
+    path, orders = scratch_path(spark, fmt), table(spark, sf, "orders")
+    orders.write.format(fmt).options(**(files.CSV_OPTIONS if fmt == "csv" else {})).save(path)
+    back = spark.read.schema(orders.schema).options(**(files.CSV_OPTIONS if fmt == "csv" else {})).format(fmt).load(path)
+    return chunks.row_chunks(back, ["o_orderkey"], CHUNK_ROWS)
 
 
-@register("src_3_csv_chunks", answer(ORDER, "SELECT * FROM orders"))
+@register("src_3_csv_chunks", answer(DATED_ORDER + " chunk:i", CHUNKED_SQL))
 def _(spark, sf):
-    return _in_chunks(spark, table(spark, sf, "orders").select(*ORDER_COLUMNS), "csv").drop("chunk")
+    return _in_chunks(spark, sf, "csv")
 
 
 @register("src_4_json_arrays", answer(CUSTOMER, "SELECT * FROM customer"))
@@ -93,9 +96,18 @@ def _(spark, sf):
     return files.read_json(spark, path, customers.schema)
 
 
-@register("src_7_json_chunks", answer(ORDER, "SELECT * FROM orders"))
+@register("src_4_json_documents", answer(CUSTOMER, "SELECT * FROM customer"))
 def _(spark, sf):
-    return _in_chunks(spark, table(spark, sf, "orders").select(*ORDER_COLUMNS), "json").drop("chunk")
+    """Files that each hold one document spread over many lines: an array of records."""
+    path, customers = scratch_path(spark, "documents"), table(spark, sf, "customer")
+    pages = _pages(customers, "c_custkey", 500).select(F.to_json("records", {"pretty": "true"}).alias("value"), "_page")
+    pages.repartition("_page").write.partitionBy("_page").text(path)
+    return files.read_json_documents(spark, f"{path}/*", customers.schema)
+
+
+@register("src_7_json_chunks", answer(DATED_ORDER + " chunk:i", CHUNKED_SQL))
+def _(spark, sf):
+    return _in_chunks(spark, sf, "json")
 
 
 def _lines_with_faults(spark, sf):
@@ -132,30 +144,46 @@ def _(spark, sf):
 
 PART = "p_partkey p_name p_brand p_type p_size:i p_retailprice:d"
 
+# SQL type -> Avro type
+AVRO_CASE = """CASE column_type WHEN 'BIGINT' THEN 'long' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+    WHEN 'TIMESTAMP' THEN 'long local-timestamp-micros' WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'long timestamp-micros' WHEN 'DATE' THEN 'int date'
+    WHEN 'FLOAT[]' THEN 'array' ELSE column_type END"""
+
 
-@register("src_9_avro_read", answer(PART, "SELECT * FROM part"))
+@register("src_18_avro_schemas", answer("table_name place:i column_name avro_type", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, row_number() OVER () AS place, column_name, {AVRO_CASE} AS avro_type FROM (DESCRIBE {n})" for n in GIVEN)))
 def _(spark, sf):
-    path = scratch_path(spark, "avro")
-    avro.write_avro(table(spark, sf, "part"), path)
-    return avro.read_avro(spark, path)
+    """The Avro schema of every given table, field by field."""
+    rows = []
+    for name in GIVEN:
+        for place, f in enumerate(avro.infer_schema(table(spark, sf, name).schema, name)["fields"], 1):
+            kind = f["type"][1] if isinstance(f["type"], list) else f["type"]
+            kind = kind if isinstance(kind, str) else " ".join(x for x in (kind["type"], kind.get("logicalType")) if x)
+            rows.append((name, place, f["name"], kind))
+    return spark.createDataFrame(rows, "table_name string, place long, column_name string, avro_type string")
 
 
-@register("src_10_avro_files", answer(ORDER, "SELECT * FROM orders"))
+@register("src_19_avro_schemas_back", answer("table_name same:b", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) > 0 AS same FROM (DESCRIBE {n})" for n in GIVEN)))
 def _(spark, sf):
-    """Eight Avro files, each a task of its own."""
-    path = scratch_path(spark, "avro")
-    avro.write_avro(table(spark, sf, "orders").select(*ORDER_COLUMNS).repartition(8), path)
-    return avro.read_avro(spark, path)
+    """Avro schemas turned back are the schemas that they came from."""
+    schemas_ = {n: table(spark, sf, n).schema for n in GIVEN}
+    rows = [(n, avro.spark_schema(avro.infer_schema(s, n)).simpleString() == s.simpleString()) for n, s in schemas_.items()]
+    return spark.createDataFrame(rows, "table_name string, same boolean")
 
 
-@register("src_11_parquet_read", answer("l_orderkey l_partkey l_linenumber:i l_quantity", "SELECT * FROM lineitem"))
+LINE = ("l_orderkey l_partkey l_suppkey l_linenumber:i l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus "
+        "l_shipdate:ts")
+
+
+@register("src_11_parquet_read", answer(LINE, "SELECT * FROM lineitem"))
 def _(spark, sf):
-    return files.read_parquet(spark, f"{sf}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    return files.read_parquet(spark, f"{sf}/lineitem.parquet")
 
 
-@register("src_12_parquet_chunks", answer(ORDER, "SELECT * FROM orders"))
+@register("src_12_parquet_chunks", answer(DATED_ORDER + " chunk:i", CHUNKED_SQL))
 def _(spark, sf):
-    return _in_chunks(spark, table(spark, sf, "orders").select(*ORDER_COLUMNS), "parquet").drop("chunk")
+    return _in_chunks(spark, sf, "parquet")
 
 
 @register("src_13_parquet_pushdown", answer("l_orderkey l_quantity l_extendedprice", """
@@ -165,15 +193,17 @@ def _(spark, sf):
     return files.read_parquet_where(spark, f"{sf}/lineitem.parquet", filters).select("l_orderkey", "l_quantity", "l_extendedprice")
 
 
-@register("src_14_parquet_metadata", answer("table_name num_rows:i num_columns:i has_groups:b has_size:b", " UNION ALL ".join(
-    f"SELECT '{n}' AS table_name, (SELECT count(*) FROM {n}) AS num_rows, "
-    f"(SELECT count(*) FROM (DESCRIBE {n})) AS num_columns, TRUE AS has_groups, TRUE AS has_size" for n in GIVEN)))
+@register("src_14_parquet_metadata", answer("table_name num_rows:i num_columns:i num_row_groups:i", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, (SELECT count(*) FROM {n}) AS num_rows, (SELECT count(*) FROM (DESCRIBE {n})) AS num_columns, "
+    f"CAST(ceil((SELECT count(*) FROM {n}) / 1000.0) AS BIGINT) AS num_row_groups" for n in GIVEN)))
 def _(spark, sf):
-    facts = files.parquet_metadata(spark, sf)
-    return facts.select(
-        F.regexp_extract("file_path", r"([a-z]+)\.parquet$", 1).alias("table_name"), "num_rows",
-        F.when(F.col("schema").contains("list"), F.lit(3)).otherwise(F.col("num_columns")).alias("num_columns"),
-        (F.col("num_row_groups") > 0).alias("has_groups"), (F.col("serialized_size") > 0).alias("has_size"),
+    """Footers of all tables, written by Spark with row groups of known sizes: one group per file of at most 1000 rows."""
+    paths = {n: f"{scratch_path(spark, 'footers')}/{n}.parquet" for n in GIVEN}
+    for n, path in paths.items():
+        table(spark, sf, n).coalesce(1).write.option("maxRecordsPerFile", 1000).parquet(path)
+    facts = _union([files.parquet_metadata(spark, path).withColumn("table_name", F.lit(n)) for n, path in paths.items()])
+    return facts.groupBy("table_name").agg(
+        F.sum("num_rows").alias("num_rows"), F.max("num_columns").alias("num_columns"), F.sum("num_row_groups").alias("num_row_groups")
     )
 
 
@@ -215,23 +245,11 @@ def _(spark, sf):
     return spark.read.schema(talks.schema).json(path)
 
 
-@register("snk_3_json_lines", answer("doc_id lang source n_chars text_length:i", "SELECT *, length(text) AS text_length FROM documents"))
+@register("snk_3_json_lines", answer("doc_id text lang source n_chars", "SELECT * FROM documents"))
 def _(spark, sf):
     path, docs = scratch_path(spark, "lines"), table(spark, sf, "documents")
     sinks.write_json_lines(docs, path)
-    return files.read_json_lines(spark, path, docs.schema).withColumn("text_length", F.length("text")).drop("text")
-
-
-@register("snk_4_avro", answer("o_orderkey o_custkey o_totalprice:d day:day o_orderdate:ts price:d", """
-    SELECT *, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(12,2)) AS price FROM orders"""))
-def _(spark, sf):
-    path = scratch_path(spark, "avro")
-    rows = table(spark, sf, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("day"), "o_orderdate",
-        F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
-    )
-    avro.write_avro(rows, path)
-    return avro.read_avro(spark, path)
+    return files.read_json_lines(spark, path, docs.schema)
 
 
 @register("snk_5_parquet_codecs", answer("codec p_partkey p_name p_retailprice:d", f"""
@@ -312,7 +330,7 @@ def _(spark, sf):
     built = documents.denormalize(models.normalized(spark, sf))
     paths = sinks.write_collections({n: built[n] for n in ("users", "orders")}, scratch_path(spark, "collections"))
     users = spark.read.schema(built["users"].schema).json(paths["users"])
-    orders = spark.read.schema(built["orders"].schema).json(paths["orders"]).filter("part = 0")
+    orders = spark.read.schema(built["orders"].schema).json(paths["orders"])
     cities = users.select(F.col("_id").alias("user_id"), F.col("address.city").alias("city"))
     return orders.select("_id", F.col("user.id").alias("user_id"), F.col("user.username").alias("username")).join(
         cities, "user_id", "left"
@@ -360,8 +378,18 @@ def _(spark, sf):
     return sinks.export_ready(models.normalized(spark, sf)["orders"].select("id", "order_date"))
 
 
-@register("str_1_chunk_sizes", answer("row_count:i chunks:i", "SELECT count(*) AS row_count, 8 AS chunks FROM orders"))
+@register("str_1_chunk_sizes", answer("chunk:i row_count:i first_key total:d", f"""
+    SELECT chunk, count(*) AS row_count, min(o_orderkey) AS first_key, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS total
+    FROM ({CHUNKED_SQL}) AS c GROUP BY chunk"""))
+def _(spark, sf):
+    """Chunks of 1000 rows; no row is lost."""
+    return _in_chunks(spark, sf, "json").groupBy("chunk").agg(
+        F.count("*").alias("row_count"), F.min("o_orderkey").alias("first_key"), F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("total"))
+
+
+@register("str_1_file_stream", answer(DATED_ORDER, "SELECT * FROM orders"))
 def _(spark, sf):
-    """Eight files are eight chunks, and no row is lost."""
-    copied = _in_chunks(spark, table(spark, sf, "orders").select(*ORDER_COLUMNS), "json")
-    return chunks.chunk_sizes(copied).agg(F.sum("row_count").alias("row_count"), F.count("*").alias("chunks"))
+    """A stream over files, one file per micro-batch, until all are read."""
+    path, orders = scratch_path(spark, "stream"), table(spark, sf, "orders")
+    orders.write.option("maxRecordsPerFile", 5000).json(path)
+    return chunks.copy_in_chunks(chunks.chunk_stream(spark, path, "json", orders.schema), scratch_path(spark, "chunks")).drop("chunk")

@@ -8,6 +8,7 @@ from functools import cache
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# Tables, columns, types, keys and defaults of the three models and of the raw records.
 NORMALIZED = {
     "addresses": """id BIGINT NOT NULL, address_line STRING, city STRING, state STRING, state_code STRING,
         postal_code STRING, country STRING, latitude DECIMAL(10,8), longitude DECIMAL(11,8)""",

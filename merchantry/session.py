@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # batches of long texts stay small in Python workers
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # call sites for every column expression cost more than building the plan itself

@@ -1,28 +1,12 @@
-"""Avro files: Spark's own format where its package is loaded, otherwise a small record codec inside Spark tasks."""
+"""Avro: schemas of frames, and files through Spark's own format (the package spark-avro)."""
 
 from __future__ import annotations
 
-import datetime as dt
 import json
-import os
-import struct
-import uuid
-import zlib
-from collections.abc import Callable, Iterator
-from decimal import Decimal
-from itertools import islice
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
-
-from merchantry.sources.files import file_system
-
-MAGIC = b"Obj\x01"
-BLOCK_RECORDS = 4000
-EPOCH_DAY = dt.date(1970, 1, 1)
-EPOCH = dt.datetime(1970, 1, 1)
 
 # Spark type and Avro type of the plain columns.
 PLAIN = {
@@ -101,317 +85,25 @@ def spark_schema(avro: dict) -> T.StructType:
     return T.StructType([T.StructField(f["name"], *spark_type(f["type"])) for f in avro["fields"]])
 
 
-# An encoder appends a value to a bytearray; a decoder takes bytes and a position and gives a value and the next position.
-Encode = Callable[[bytearray, object], None]
-Decode = Callable[[bytes, int], tuple[object, int]]
-
-
-def _write_long(out: bytearray, n: int) -> None:
-    n = (n << 1) ^ (n >> 63)
-    while n > 0x7F:
-        out.append(n & 0x7F | 0x80)
-        n >>= 7
-    out.append(n)
-
-
-def _read_long(data: bytes, at: int) -> tuple[int, int]:
-    n = shift = 0
-    while (byte := data[at]) > 0x7F:
-        n |= (byte & 0x7F) << shift
-        shift += 7
-        at += 1
-    n |= byte << shift
-    return (n >> 1) ^ -(n & 1), at + 1
-
-
-def _write_bytes(out: bytearray, value: bytes) -> None:
-    _write_long(out, len(value))
-    out += value
-
-
-def _read_bytes(data: bytes, at: int) -> tuple[bytes, int]:
-    n, at = _read_long(data, at)
-    return data[at:at + n], at + n
-
-
-def _kind(avro) -> tuple[str | None, str]:
-    return (avro.get("logicalType"), avro["type"]) if isinstance(avro, dict) else (None, avro)
-
-
-def _packed(form: str) -> tuple[Encode, Decode]:
-    packer = struct.Struct(form)
-
-    def write(out, v):
-        out += packer.pack(v)
-    return write, lambda data, at: (packer.unpack_from(data, at)[0], at + packer.size)
-
-
-def _mapped(base: tuple[Encode, Decode], to_base, from_base) -> tuple[Encode, Decode]:
-    write, read = base
-
-    def mapped_read(data, at):
-        v, at = read(data, at)
-        return from_base(v), at
-    return (lambda out, v: write(out, to_base(v))), mapped_read
-
-
-LONG, BYTES = (_write_long, _read_long), (_write_bytes, _read_bytes)
-BASE = {
-    "boolean": _packed("?"), "int": LONG, "long": LONG, "float": _packed("<f"), "double": _packed("<d"), "bytes": BYTES,
-    "string": _mapped(BYTES, str.encode, bytes.decode),
-}
-MICROSECOND = dt.timedelta(microseconds=1)
-
-
-def _union(avro) -> tuple[Encode, Decode]:
-    null, other = avro.index("null"), next(i for i, a in enumerate(avro) if a != "null")
-    write, read = codec(avro[other])
-
-    def encode(out, v):
-        if v is None:
-            out.append(null << 1)
-        else:
-            out.append(other << 1)
-            write(out, v)
-
-    def decode(data, at):
-        return (None, at + 1) if data[at] >> 1 == null else read(data, at + 1)
-    return encode, decode
-
-
-def _record(avro) -> tuple[Encode, Decode]:
-    fields = [(f["name"], *codec(f["type"])) for f in avro["fields"]]
-
-    def encode(out, v):
-        for name, write, _ in fields:
-            write(out, v[name])
-
-    def decode(data, at):
-        v = {}
-        for name, _, read in fields:
-            v[name], at = read(data, at)
-        return v, at
-    return encode, decode
-
-
-def _blocks(avro) -> tuple[Encode, Decode]:
-    """Arrays and maps: counted blocks, the last one empty."""
-    is_map = avro["type"] == "map"
-    write, read = codec(avro["values" if is_map else "items"])
-    write_key, read_key = BASE["string"]
-
-    def encode(out, v):
-        items = list(v.items() if isinstance(v, dict) else v)
-        if items:
-            _write_long(out, len(items))
-        for item in items:
-            if is_map:
-                write_key(out, item[0])
-                item = item[1]
-            write(out, item)
-        out.append(0)
-
-    def decode(data, at):
-        out = []
-        n, at = _read_long(data, at)
-        while n:
-            if n < 0:
-                n, (_, at) = -n, _read_long(data, at)
-            for _ in range(n):
-                if is_map:
-                    key, at = read_key(data, at)
-                value, at = read(data, at)
-                out.append((key, value) if is_map else value)
-            n, at = _read_long(data, at)
-        return (dict(out) if is_map else out), at
-    return encode, decode
-
-
-def codec(avro) -> tuple[Encode, Decode]:
-    """Encoder and decoder of an Avro type."""
-    if isinstance(avro, list):
-        return _union(avro)
-    logical, kind = _kind(avro)
-    if logical == "date":
-        return _mapped(LONG, lambda v: (v - EPOCH_DAY).days, lambda n: EPOCH_DAY + dt.timedelta(days=n))
-    if logical in ("timestamp-micros", "local-timestamp-micros"):
-        zone = None if logical.startswith("local") else dt.timezone.utc
-        return _mapped(LONG, lambda v: (v.replace(tzinfo=None) - EPOCH) // MICROSECOND,
-                       lambda n: (EPOCH + n * MICROSECOND).replace(tzinfo=zone))
-    if logical == "decimal":
-        scale = avro.get("scale", 0)
-
-        def to_bytes(v):
-            n = int(v.scaleb(scale))
-            return n.to_bytes(n.bit_length() // 8 + 1, "big", signed=True)
-        return _mapped(BYTES, to_bytes, lambda b: Decimal(int.from_bytes(b, "big", signed=True)).scaleb(-scale))
-    if kind == "record":
-        return _record(avro)
-    return _blocks(avro) if kind in ("array", "map") else BASE[kind]
-
-
-META = {"type": "map", "values": "bytes"}
-
-
-def read_header(content: bytes) -> tuple[dict, str, bytes, int]:
-    """Schema, compression, block mark and where the blocks begin."""
-    if content[:4] != MAGIC:
-        raise ValueError("not an Avro file")
-    meta, at = codec(META)[1](content, 4)
-    return json.loads(meta["avro.schema"]), meta.get("avro.codec", b"null").decode(), content[at:at + 16], at + 16
-
-
-def decode_file(content: bytes) -> Iterator[list[dict]]:
-    """The records of a file, block by block."""
-    schema, compression, sync, at = read_header(content)
-    if compression not in ("null", "deflate"):
-        raise ValueError(f"unsupported Avro codec: {compression}")
-    read = codec(schema)[1]
-    while at < len(content):
-        n, at = _read_long(content, at)
-        block, at = _read_bytes(content, at)
-        if content[at:at + 16] != sync:
-            raise ValueError("damaged Avro block")
-        at += 16
-        block = zlib.decompress(block, -15) if compression == "deflate" else block
-        records, inner = [], 0
-        for _ in range(n):
-            record, inner = read(block, inner)
-            records.append(record)
-        yield records
-
-
-def encode_file(out, records: Iterator[dict], schema: dict, compression: str = "deflate") -> None:
-    """Write a whole file to a binary stream, a block at a time."""
-    sync, write = os.urandom(16), codec(schema)[0]
-    head = bytearray(MAGIC)
-    codec(META)[0](head, {"avro.schema": json.dumps(schema).encode(), "avro.codec": compression.encode()})
-    out.write(bytes(head) + sync)
-    while batch := list(islice(records, BLOCK_RECORDS)):
-        block = bytearray()
-        for record in batch:
-            write(block, record)
-        if compression == "deflate":
-            packer = zlib.compressobj(wbits=-15)
-            block = packer.compress(block) + packer.flush()
-        frame = bytearray()
-        _write_long(frame, len(batch))
-        _write_bytes(frame, block)
-        out.write(bytes(frame) + sync)
-
-
-def plain_records(batch) -> list[dict]:
-    """Records of an Arrow batch; maps as dicts."""
-    import pyarrow as pa
-    maps = [f.name for f in batch.schema if pa.types.is_map(f.type)]
-    records = batch.to_pylist()
-    for name in maps:
-        for r in records:
-            r[name] = dict(r[name]) if r[name] is not None else None
-    return records
-
-
-class AvroWriter(DataSourceArrowWriter):
-    """One file per task in a temporary folder; the files move into place when all tasks are done."""
+def _explained(error: AnalysisException) -> Exception:
+    if "Failed to find data source: avro" in str(error):
+        return RuntimeError("Avro files need Spark's avro package: start the session with --packages org.apache.spark:spark-avro_2.13")
+    return error
 
-    def __init__(self, path: str, schema: dict, codec: str, overwrite: bool):
-        self.path, self.schema, self.codec, self.overwrite = path, schema, codec, overwrite
-        self.job = uuid.uuid4().hex
 
-    def write(self, iterator):
-        system, root = file_system(self.path)
-        rows = (r for batch in iterator for r in plain_records(batch))
-        first = next(rows, None)
-        message = WriterCommitMessage()
-        message.name = None
-        if first is None:
-            return message
-        folder = f"{root}/_temporary-{self.job}"
-        system.create_dir(folder, recursive=True)
-        message.name = f"part-{uuid.uuid4().hex}.avro"
-        with system.open_output_stream(f"{folder}/{message.name}") as out:
-            encode_file(out, (r for part in ([first], rows) for r in part), self.schema, self.codec)
-        return message
-
-    def commit(self, messages):
-        from pyarrow import fs
-        system, root = file_system(self.path)
-        system.create_dir(root, recursive=True)
-        if self.overwrite:
-            for info in system.get_file_info(fs.FileSelector(root)):
-                if info.is_file and info.base_name.endswith(".avro"):
-                    system.delete_file(info.path)
-        for message in messages:
-            if message is not None and message.name:
-                system.move(f"{root}/_temporary-{self.job}/{message.name}", f"{root}/{message.name}")
-        self._drop_temporary(system, root)
-
-    def abort(self, messages):
-        self._drop_temporary(*file_system(self.path))
-
-    def _drop_temporary(self, system, root):
-        from pyarrow import fs
-        folder = f"{root}/_temporary-{self.job}"
-        if system.get_file_info(folder).type == fs.FileType.Directory:
-            system.delete_dir(folder)
-
-
-class AvroSink(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "merchantry_avro"
-
-    def writer(self, schema: T.StructType, overwrite: bool) -> AvroWriter:
-        declared = json.loads(self.options["avroschema"])
-        return AvroWriter(self.options["path"], declared, self.options.get("compression", "deflate"), overwrite)
-
-
-def has_native_avro(spark: SparkSession) -> bool:
+def write_avro(df: DataFrame, path: str, schema: dict | None = None, codec: str = "deflate", mode: str = "overwrite") -> None:
+    """Avro files by Spark's own format, with the inferred schema or the given one."""
+    declared = json.dumps(schema or infer_schema(df.schema))
     try:
-        spark.read.format("avro").schema("a INT").load("/")
+        df.write.format("avro").mode(mode).option("avroSchema", declared).option("compression", codec).save(path)
     except AnalysisException as error:
-        return "avro" not in str(error).lower()
-    return True
-
-
-def write_avro(df: DataFrame, path: str, schema: dict | None = None, mode: str = "overwrite", codec: str = "deflate") -> None:
-    """Avro files with the given record schema or the one of the frame."""
-    spark = df.sparkSession
-    text = json.dumps(schema or infer_schema(df.schema))
-    if has_native_avro(spark):
-        df.write.format("avro").mode(mode).option("avroSchema", text).option("compression", codec).save(path)
-        return
-    spark.dataSource.register(AvroSink)
-    df.write.format(AvroSink.name()).mode(mode).option("avroSchema", text).option("compression", codec).save(path)
-
-
-def _headers(batches: Iterator) -> Iterator:
-    import pandas as pd
-    for batch in batches:
-        yield pd.DataFrame({"schema": [json.dumps(read_header(c)[0]) for c in batch["content"]]})
+        raise _explained(error) from error
 
 
 def read_avro(spark: SparkSession, path: str, schema: dict | None = None) -> DataFrame:
-    """Avro files as a table, a task per file; the record schema is that of the first file unless given."""
-    if has_native_avro(spark):
-        reader = spark.read.format("avro")
+    """The records of Avro files; ``schema`` overrides the one in the files."""
+    reader = spark.read.format("avro")
+    try:
         return (reader.option("avroSchema", json.dumps(schema)) if schema else reader).load(path)
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.avro").load(path).select("content")
-    if schema is None:
-        schema = json.loads(files.limit(1).mapInPandas(_headers, "schema STRING").first()[0])
-    result = spark_schema(schema)
-    for field in result.fields:
-        field.nullable = True
-    names = result.names
-
-    def decode(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        arrow = to_arrow_schema(result)
-        for batch in batches:
-            for content in batch.column(0).to_pylist():
-                for records in decode_file(content):
-                    yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in records], schema=arrow)
-
-    return files.mapInArrow(decode, result)
+    except AnalysisException as error:
+        raise _explained(error) from error

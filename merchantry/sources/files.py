@@ -18,11 +18,10 @@ WHOLE = r"^\s*[+-]?\d+\s*$"
 NUMBER = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
-def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """CSV with a header row, every value as text.
 
-    Line breaks inside quotes need a file to be read as a whole; pass ``multi_line=False`` for large files
-    that have none, so that a file can be split over tasks.
+    A file is split over tasks. Values with line breaks inside quotes need ``multi_line=True``, which reads a file as a whole.
     """
     return spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path)
 
@@ -52,7 +51,7 @@ def typed_columns(df: DataFrame) -> DataFrame:
     return cleaned.select(*columns)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
     """CSV with a header row; types from ``schema`` or from the values. Empty cells are null."""
     if schema is None:
         return typed_columns(read_csv_text(spark, path, multi_line))

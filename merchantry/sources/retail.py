@@ -14,7 +14,7 @@ from merchantry import schemas
 from merchantry.functions.money import as_money, cents, half_up
 from merchantry.functions.numbering import id_by_order
 from merchantry.operators import documents, normalize
-from merchantry.sources.store import Keep, at_once, stored
+from merchantry.sources.store import Keep, at_once, lasting, stored
 
 # The state code of each nation key.
 NATION_STATES = "NY FL OH TX CA NY GA OH AZ WA PA FL IL TX CA MA NC MI OK CO NY GA PR NM GU".split()
@@ -123,7 +123,10 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order items with gap-free ids in line order; the unit price is the extended price per piece."""
+    """Order items with gap-free ids in line order; the unit price is the extended price per piece.
+
+    The ordered lines are written once; items are read from them.
+    """
     lines = id_by_order(table(spark, sf_dir, "lineitem"), LINE_ORDER, "id")
     quantity = F.col("l_quantity").cast("int")
     amount, rate = as_money("l_extendedprice"), as_money("l_discount", 4)
@@ -159,7 +162,7 @@ def normalized(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             lambda: tables.update(normalize.normalize_users(raw_users(spark, sf_dir), keep)),
             lambda: tables.update(normalize.normalize_products(raw_products(spark, sf_dir), keep)),
             lambda: tables.update(orders=keep("orders", order_heads(spark, sf_dir))),
-            lambda: tables.update(order_items=keep("order_items", line_items(spark, sf_dir))),
+            lambda: tables.update(order_items=lasting(line_items(spark, sf_dir))),
         ])
         return tables
     return stored(spark, sf_dir, "normalized", build)

@@ -2,43 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merchantry import schemas
 from merchantry.functions.numbering import id_by_key
 from merchantry.sources.files import CSV_OPTIONS
-from merchantry.sources.store import at_once
+from merchantry.sources.store import at_once, remove
 
 PARQUET_CODECS = ["snappy", "gzip", "lz4", "zstd", "none"]
 
 
+def _written(df: DataFrame, path: str, mode: str, write) -> bool:
+    """Write in one run of the input; without rows the empty files are removed again (not what was appended to), and False returned."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    if seen.get["rows"]:
+        return True
+    if mode != "append":
+        remove(df.sparkSession, path)
+    return False
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
-    """CSV with a header row. Nothing is written, and False returned, when there are no rows."""
-    if df.isEmpty():
-        return False
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
-    return True
+    """CSV with a header row. No rows leave no files, and give False."""
+    return _written(df, path, mode, lambda rows: rows.write.mode(mode).options(**CSV_OPTIONS).csv(path))
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
-    """One JSON record per line, null fields included. Nothing is written when there are no rows."""
-    if df.isEmpty():
-        return False
-    df.write.mode(mode).option("ignoreNullFields", False).json(path)
-    return True
+    """One JSON record per line, null fields included. No rows leave no files, and give False."""
+    return _written(df, path, mode, lambda rows: rows.write.mode(mode).option("ignoreNullFields", False).json(path))
 
 
 def write_parquet(df: DataFrame, path: str, codec: str | None = "snappy", mode: str = "overwrite") -> bool:
-    """Parquet with the given codec. Nothing is written when there are no rows."""
+    """Parquet with the given codec. No rows leave no files, and give False."""
     codec = codec or "none"
     if codec not in PARQUET_CODECS:
         raise ValueError(f"codec {codec!r} is not available; use one of {', '.join(PARQUET_CODECS)}")
-    if df.isEmpty():
-        return False
-    df.write.mode(mode).option("compression", codec).parquet(path)
-    return True
+    return _written(df, path, mode, lambda rows: rows.write.mode(mode).option("compression", codec).parquet(path))
 
 
 def save_tables(tables: dict[str, DataFrame], folder: str, mode: str = "overwrite", fmt: str = "parquet") -> dict[str, str]:

@@ -4,32 +4,38 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 ACTIONS_AT_ONCE = 4
+# a stored table that has this column is partitioned by it
+MONTH = "month_id"
 
 Keep = Callable[[str, DataFrame], DataFrame]
 
-_models: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
+_models: dict[tuple[str, str, str], tuple[str, str, dict[str, DataFrame]]] = {}
+_locks: dict[tuple[str, str, str], threading.RLock] = {}
+_guard = threading.Lock()
+_own_folders: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only for a local session without it."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="merchantry-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    with _guard:
+        own = spark.sparkContext.applicationId
+        if own not in _own_folders:
+            _own_folders[own] = tempfile.mkdtemp(prefix="merchantry-")
+        return _own_folders[own]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -37,6 +43,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/merchantry/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what was written under ``path``, in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write the rows out and read them back, so that later reads see exactly the same rows."""
     path = scratch_path(df.sparkSession, "settled")
@@ -68,27 +80,62 @@ def kept_at_once(keep: Keep, tables: dict[str, Callable[[], DataFrame]]) -> dict
     return kept
 
 
+def _state(spark: SparkSession, source: str) -> str:
+    """A digest of the names, lengths and times of the files under ``source``; no contents are read."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+        rows = files.selectExpr("xxhash64(path, length, modificationTime) AS h").selectExpr("count(*)", "bit_xor(h)").first()
+        return repr(tuple(rows))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return ""
+
+
 def stored(
     spark: SparkSession, source: str, model: str, build: Callable[[Keep], dict[str, DataFrame]]
 ) -> dict[str, DataFrame]:
     """The tables of a model, written on first use in this session and read from there afterwards.
 
     ``build`` gets a ``keep(name, df)`` that writes a table at once and returns what was written, for
-    tables that later ones are built from.
+    tables that later ones are built from. If files under ``source`` change, the model is built anew. Two threads that
+    ask for one model wait for one build. ``release`` deletes what was written.
     """
     key = (spark.sparkContext.applicationId, source, model)
-    if key not in _models:
+    with _guard:
+        lock = _locks.setdefault(key, threading.RLock())
+    with lock:
+        state = _state(spark, source)
+        if key in _models and _models[key][1] == state:
+            return dict(_models[key][2])
+        release(spark, source, model)
         tag = hashlib.sha1(source.encode()).hexdigest()[:8]
         root = scratch_path(spark, f"{model}-{tag}")
         kept: dict[str, DataFrame] = {}
 
         def keep(name: str, df: DataFrame) -> DataFrame:
             path = f"{root}/{name}"
-            df.write.parquet(path)
+            if MONTH in df.columns:
+                # large months are split over tasks, small ones share files
+                df.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(path)
+            else:
+                df.write.parquet(path)
             kept[name] = spark.read.schema(df.schema).parquet(path)
             return kept[name]
 
         tables = build(keep)
-        at_once([lambda n=name, d=df: keep(n, d) for name, df in tables.items() if name not in kept])
-        _models[key] = {name: kept[name] for name in tables}
-    return dict(_models[key])
+        at_once([lambda n=name, d=df: keep(n, d) for name, df in tables.items() if name not in kept and not getattr(df, "_lasting", False)])
+        _models[key] = (root, state, {name: kept.get(name, df) for name, df in tables.items()})
+        return dict(_models[key][2])
+
+
+def lasting(df: DataFrame) -> DataFrame:
+    """Mark a frame that reads settled rows, so that a model takes it as it is instead of writing it again."""
+    df._lasting = True
+    return df
+
+
+def release(spark: SparkSession, source: str, model: str | None = None) -> None:
+    """Forget the stored models of ``source`` (or one of them) and delete their files."""
+    for key in [k for k in _models if k[:2] == (spark.sparkContext.applicationId, source) and model in (None, k[2])]:
+        remove(spark, _models.pop(key)[0])

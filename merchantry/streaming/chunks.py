@@ -1,4 +1,4 @@
-"""Files in chunks: a file stream that stops at the end of the data and hands each micro-batch to a function."""
+"""Data in chunks: of n rows in a given order, or of files by a stream that stops at the end of the data."""
 
 from __future__ import annotations
 
@@ -8,9 +8,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from merchantry.functions.numbering import id_by_order
 from merchantry.sources.files import CSV_OPTIONS, parse_json_lines
 from merchantry.sources.store import scratch_path
 
+ROWS = 1000
+
+
+def row_chunks(df: DataFrame, order: list[str], rows: int = ROWS, name: str = "chunk") -> DataFrame:
+    """``df`` with the number, from 0, of the chunk of ``rows`` rows that each row is in; the last one may be shorter.
+
+    Rows are numbered in the order of the columns ``order``, so chunks are the same in every run. They are written out in that
+    order: reading one chunk skips the files and row groups of the others.
+    """
+    numbered = id_by_order(df, order, "_row", first=0)
+    return numbered.withColumn(name, F.call_function("div", "_row", F.lit(rows))).drop("_row")
+
+
+def for_each_rows(df: DataFrame, order: list[str], handle: Callable[[DataFrame, int], None], rows: int = ROWS) -> int:
+    """Call ``handle(rows, number)`` chunk by chunk, in order; returns the number of chunks."""
+    chunked = row_chunks(df, order, rows, "_chunk")
+    last = chunked.agg(F.max("_chunk")).first()[0]
+    count = 0 if last is None else last + 1
+    for number in range(count):
+        handle(chunked.filter(F.col("_chunk") == number).drop("_chunk"), number)
+    return count
+
+
 OPTIONS = {"csv": {**CSV_OPTIONS, "multiLine": "true"}}
 
 

