@@ -166,34 +166,57 @@ def _first_pairs(blocks: DataFrame, sketches: DataFrame) -> DataFrame:
     return in_groups(blocks.join(sketches, "rep"), ["block"], PAIR, run).filter("a <> b").distinct()
 
 
-def _other_pairs(regions: DataFrame, sketches: DataFrame, comps: DataFrame) -> DataFrame:
-    """All further candidates: alike, in one region of the first level, in different components so far.
+def _other_links(regions: DataFrame, sketches: DataFrame, comps: DataFrame, texts: DataFrame) -> DataFrame:
+    """The links between rows of one region of the first level that are in different components so far.
 
-    In a region only rows outside its largest component are compared with the others. They go to every
-    block of the region; the rest is dealt over the blocks.
+    In a region only rows outside its largest component are compared with the others. Both sides are dealt into blocks of about
+    ``REGION`` rows, and a task compares two blocks on whole shingle sets where the signatures are alike: what leaves it are links,
+    one per row and component, not pairs.
     """
-    rows = regions.select("tree", "k0", "rep", "n").join(comps.withColumnRenamed("id", "rep"), "rep", "left")
+    rows = regions.select("tree", "k0", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left")
     rows = rows.withColumn("component", F.coalesce("component", "rep"))
     per = rows.groupBy("tree", "k0", "component").agg(F.count("*").alias("m"))
-    main = per.groupBy("tree", "k0").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.count("*").alias("kinds"))
-    rows = rows.join(main.filter("kinds > 1").drop("kinds"), ["tree", "k0"]).withColumn("odd", F.col("component") != F.col("main"))
-    parts = F.ceil(F.col("n") / REGION).cast("int")
-    own = F.pmod(F.xxhash64("rep"), parts).cast("int")
-    dealt = rows.withColumn("own", own).withColumn(
-        "part", F.explode(F.when(F.col("odd"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array("own"))))
-    dealt = dealt.select(_block("tree", "k0", "part"), "rep", "component", "odd", (F.col("part") == F.col("own")).alias("home"))
+    main = per.groupBy("tree", "k0").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.sum("m").alias("n"),
+                                         F.max("m").alias("most")).filter("n > most")
+    rows = rows.join(main, ["tree", "k0"]).withColumn("odd", F.col("component") != F.col("main"))
+    parts, odd_parts = (F.ceil(c / REGION).cast("int") for c in (F.col("n"), F.col("n") - F.col("most")))
+    at = F.xxhash64("rep")
+    sides = F.array(F.struct(F.lit(False).alias("guest"), F.pmod(at, parts).cast("int").alias("own"), odd_parts.alias("others")),
+                    F.struct(F.lit(True).alias("guest"), F.pmod(at, odd_parts).cast("int").alias("own"), parts.alias("others")))
+    dealt = rows.withColumn("side", F.explode(F.when(F.col("odd"), sides).otherwise(F.slice(sides, 1, 1))))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("side.others") - 1)))
+    pair = [F.when(F.col("side.guest"), a).otherwise(b) for a, b in ((F.col("side.own"), F.col("other")), (F.col("other"), F.col("side.own")))]
+    dealt = kept(dealt.select(_block("tree", "k0", *pair), "rep", "component", F.col("side.guest").alias("guest")), "dedup-others")
+    needed = dealt.select(F.col("rep").alias("doc_id")).distinct()
+    own = texts.join(needed.hint("merge"), "doc_id", "left_semi")
+    sets = kept(add_from_text(own, "text", "shingles binary", lambda ts: {
+        "shingles": pa.array([x.tobytes() for x in shingle_sets(ts)], pa.binary())}).select(F.col("doc_id").alias("rep"), "shingles"), "dedup-sets")
 
     def run(group: pa.Table) -> Iterator[pa.RecordBatch]:
         reps, comp = group.column("rep").to_numpy(), group.column("component").to_numpy()
-        odd, home = (group.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("odd", "home"))
-        s, here, guests = _sketches(group), np.flatnonzero(home), np.flatnonzero(odd)
-        for k in range(0, len(guests), REGION):
-            some = guests[k : k + REGION]
-            good = (_alike(s, some, here) >= LEAST_ALIKE) & (comp[some][:, None] != comp[here][None])
-            x, y = np.nonzero(good)
-            yield from _pairs(reps[some[x]], reps[here[y]])
-
-    return in_groups(dealt.join(sketches, "rep"), ["block"], PAIR, run).filter("a <> b").distinct()
+        guest = group.column("guest").to_numpy().astype(bool)
+        s, here, guests = _sketches(group), np.flatnonzero(~guest), np.flatnonzero(guest)
+        if not len(here) or not len(guests):
+            return
+        members = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+        good = (_alike(s, guests, here) >= LEAST_ALIKE) & (comp[guests][:, None] != comp[here][None])
+        a, b = [], []
+        for k, g in enumerate(guests):
+            near = here[good[k]]
+            if not len(near):
+                continue
+            own, others = members[g], [members[x] for x in near]
+            sizes = np.array([len(x) for x in others])
+            every = np.concatenate(others)
+            place = np.minimum(np.searchsorted(own, every), len(own) - 1)
+            common = np.add.reduceat((own[place] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+            near = near[100 * common >= PERCENT * (len(own) + sizes - common)]
+            _, first = np.unique(comp[near], return_index=True)
+            a += [reps[g]] * len(first)
+            b += reps[near[first]].tolist()
+        yield from _pairs(np.array(a, np.int64), np.array(b, np.int64))
+
+    return in_groups(dealt.join(sketches, "rep").join(sets, "rep"), ["block"], PAIR, run).filter("a <> b")
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -250,8 +273,7 @@ def near_texts(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     twice = alone.groupBy("doc_id").agg(F.count("*").alias("m")).filter("m > 1").select(F.col("doc_id").alias("a"))
     links = kept(_confirmed(first, texts, sizes).union(several.join(twice, "a", "left_semi").select("a", "b")), "dedup-links")
     comps = kept(components(links), "dedup-components")
-    others = kept(_other_pairs(regions, sketches, comps).join(first, ["a", "b"], "left_anti"), "dedup-candidates")
-    more = kept(_confirmed(others, texts, sizes), "dedup-links")
+    more = kept(_other_links(regions, sketches, comps, texts), "dedup-links")
     comps = kept(components(links.union(more)), "dedup-components")
     by_class = classes.select("h1", "h2", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left").select(
         "h1", "h2", F.coalesce("component", "rep").alias("component"))
