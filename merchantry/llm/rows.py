@@ -14,6 +14,9 @@ from merchantry.sources.store import scratch_path
 # the words of all operators: runs of anything but ASCII white space
 WORD = r"[^\x20\x09-\x0D]+"
 
+# texts whose words a task holds at a time
+TEXTS_AT_ONCE = 128
+
 
 def shielded(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
     """``df`` with its columns renamed by position, and the new names of the columns ``names``.
@@ -56,9 +59,11 @@ def add_from_text(df: DataFrame, text: str, schema: str, run: Callable[[list[str
     more = StructType.fromDDL(schema)
 
     def batches(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow:
-            out = run(["" if t is None else t for t in batch.column(at).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, out.values())], [*batch.schema.names, *out])
+        for whole in arrow:
+            for k in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                batch = whole.slice(k, TEXTS_AT_ONCE)
+                out = run(["" if t is None else t for t in batch.column(at).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, out.values())], [*batch.schema.names, *out])
 
     return restored(safe.mapInArrow(batches, StructType([*safe.schema.fields, *more.fields])), df, *more.names)
 
