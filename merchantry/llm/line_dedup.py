@@ -64,7 +64,8 @@ def drop_repeated_lines(df: DataFrame, id_column: str = "doc_id", text: str = "t
     """
     safe, (key, body) = shielded(df, id_column, text)
     covered = kept(covered_lines(df, id_column, text), "line-covered")
-    rows = safe.join(covered, F.col(key).eqNullSafe(F.col("id")) & (F.xxhash64(body) == F.col("print")), "left")
+    # texts and lines meet in a shuffle of the texts, at any size
+    rows = safe.join(covered.hint("merge"), F.col(key).eqNullSafe(F.col("id")) & (F.xxhash64(body) == F.col("print")), "left")
     whole = F.split(F.col(body), "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(whole) - 1), F.col("lines"))
     slim = F.array_join(F.transform(left, lambda i: F.element_at(whole, i + 1)), "\n")
