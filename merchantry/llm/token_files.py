@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -25,6 +26,9 @@ BLOCK = 128
 PERCENT = 90
 # a file is closed at this many ids; a longer document has a file of its own
 FILE_IDS = 1 << 18
+_LINE = re.compile(r" ?\S+")
+# Latin letters and then signs, but no apostrophe: this one the pattern may take together with letters
+_PARTED = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
 MAGIC = b"PFORIDS1"
 HEAD = struct.Struct("<8sIQI")
 BLOCK_HEAD = struct.Struct("<IBB")
@@ -116,12 +120,32 @@ def _tokenizer(path: str):
 def _word_cache(path: str) -> Cache:
     tokenizer, _ = _tokenizer(path)
 
-    def fill(words: list[str]) -> Iterator[bytes]:
-        for k in range(0, len(words), 4096):
-            for found in tokenizer.encode_batch_fast(words[k : k + 4096], add_special_tokens=False):
-                yield np.array(found.ids, "<u4").tobytes()
-
-    return Cache(fill)
+    end = tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def encode(words: list[str]) -> dict[str, bytes]:
+        """Words without further white space are encoded as the lines of a text: the tokenizer never joins a line end to a word."""
+        out: dict[str, bytes] = {}
+        lines = [w for w in words if _LINE.fullmatch(w)]
+        for k in range(0, len(lines), 256):
+            some = lines[k : k + 256]
+            ids = np.array(tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == end[0]).tolist()
+            data = ids.tobytes()
+            out.update((w, data[4 * a : 4 * b]) for w, a, b in zip(some, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]))
+        others = [w for w in words if w not in out]
+        found = tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        out.update((w, np.array(f.ids, "<u4").tobytes()) for w, f in zip(others, found))
+        return out
+
+    def fill(words: list[str]) -> list[bytes]:
+        """Letters and the signs behind them are words of their own to the tokenizer."""
+        parts = [m.groups() if (m := _PARTED.fullmatch(w)) else (w,) for w in words]
+        known = {p: cache[p] for ps in parts for p in ps if p in cache}
+        known |= encode(list({p for ps in parts for p in ps if p not in known}))
+        return [b"".join([known[p] for p in ps]) for ps in parts]
+
+    cache = Cache(fill)
+    return cache
 
 
 def encoded(texts: list[str], path: str) -> list[np.ndarray]:
