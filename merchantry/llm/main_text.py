@@ -21,6 +21,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LISTS = frozenset("ul ol dl table".split())
 # regions: elements that set a part of the page apart
 SECTIONS = frozenset("article main section div td body aside nav header footer form".split())
 CLOSES_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p "
@@ -34,6 +36,8 @@ _PARTS = frozenset(
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _SPACE = re.compile(r"\s+")
 DEVIATION = 1.0
+# levels that differ by less are one cluster
+EQUAL = 1e-6
 
 
 @dataclass
@@ -44,7 +48,9 @@ class Line:
     tags: int
     region: int
     barred: bool
-    inside: bool  # of an article element
+    unit: int  # the innermost article element, 0 outside of all
+    linked: int  # characters of links
+    heading: bool
 
 
 class _Events(HTMLParser):
@@ -53,20 +59,23 @@ class _Events(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, bool, bool, bool, int]] = []  # element, hides, bars, in article, region
+        # element, hides, bars, in article or main, article, region, list, in a link, in a heading
+        self.open: list[tuple[str, bool, bool, bool, int, int, int, bool, bool]] = []
         self.parts: list[str] = []
-        self.tags = self.regions = 0
+        self.tags = self.regions = self.linked = 0
 
-    def _state(self) -> tuple[bool, bool, bool, int]:
-        return self.open[-1][1:] if self.open else (False, False, False, 0)
+    def _state(self) -> tuple[bool, bool, bool, int, int, int, bool, bool]:
+        return self.open[-1][1:] if self.open else (False, False, False, 0, 0, 0, False, False)
 
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
-        _, barred, inside, region = self._state()
         if text:
-            self.lines.append(Line(text, self.tags, region, barred, inside))
+            _, barred, _, unit, region, listing, _, heading = self._state()
+            # links of a list are a region of their own, its other lines belong to the text around it
+            at = listing if listing and 2 * self.linked >= len(text) else region
+            self.lines.append(Line(text, self.tags, at, barred, unit, min(self.linked, len(text)), heading))
             self.tags = 0
-        self.parts = []
+        self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag not in INLINE:
@@ -76,16 +85,18 @@ class _Events(HTMLParser):
             return
         if tag in CLOSES_PARAGRAPH or tag == "li":
             self._close_open("li" if tag == "li" else "p", implied=True)
-        hidden, barred, inside, region = self._state()
-        if tag in SECTIONS:
+        hidden, barred, inside, unit, region, listing, linked, heading = self._state()
+        if tag in SECTIONS or tag in LISTS:
             self.regions += 1
-            region = self.regions
+            region, listing = (self.regions, 0) if tag in SECTIONS else (region, self.regions)
+        unit = self.regions if tag == "article" else unit
         article = tag in ARTICLE
         named = {w for k, v in attrs if k in ("class", "id", "role") and v for w in map(str.lower, _NAME.findall(v))}
         gone = any(k == "hidden" for k, _ in attrs) or any(k == "aria-hidden" and v == "true" for k, v in attrs)
         # headers of the article itself are part of it
         bars = tag in BOILERPLATE and not (tag == "header" and inside) or not article and tag not in ("body", "html") and bool(named & _PARTS)
-        self.open.append((tag, hidden or tag in INVISIBLE or gone, barred or bars, inside or article, region))
+        self.open.append((tag, hidden or tag in INVISIBLE or gone, barred or bars, inside or article, unit, region, listing, linked or tag == "a",
+                          heading or tag in HEADINGS))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag not in INLINE:
@@ -112,6 +123,8 @@ class _Events(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not (self.open and self.open[-1][1]):
             self.parts.append(data)
+            if self.open and self.open[-1][7]:
+                self.linked += len(_SPACE.sub(" ", data))
 
     def unknown_decl(self, data: str) -> None:
         pass
@@ -136,9 +149,10 @@ def content(lines: list[Line]) -> list[bool]:
     """Which lines are content.
 
     Text-to-tag ratios (characters by tags since the line before; 0 in parts named as boilerplate) are smoothed over
-    lines and split into two clusters, from the lowest and the highest ratio on. Regions are kept whole:
-    that of an article element if there is one, else those whose lines of the high cluster hold the most of their text. So a
-    short line goes with its article. Lines of boilerplate parts never count.
+    lines and split into two clusters, from the lowest and the highest ratio on. A heading has at least the ratio of the
+    line that it heads. Regions are kept whole: those whose lines of the high cluster hold half of their text or more, where
+    the text of links counts as low. So a short line goes with its region. An article element is a feature only: if the
+    high lines hold half of its text, its regions go with it but for those of links. Lines of boilerplate parts never count.
     """
     if not lines:
         return []
@@ -146,28 +160,34 @@ def content(lines: list[Line]) -> list[bool]:
     if not free.any():
         return [False] * len(lines)
     size = np.array([len(x.text) for x in lines], float)
+    plain = size - np.array([x.linked for x in lines], float)
     ratios = np.where(free, size / np.maximum([x.tags for x in lines], 1), 0.0)
+    for k in range(len(lines) - 2, -1, -1):
+        if lines[k].heading and free[k] and not lines[k].linked:
+            ratios[k] = max(ratios[k], ratios[k + 1])
     level = smoothed(np.log1p(ratios))
     low, high = level.min(), level.max()
-    for _ in range(20):
-        split = (low + high) / 2
-        above = level > split
-        if above.all() or not above.any():
-            break
-        low, high = level[~above].mean(), level[above].mean()
-    above = level >= (low + high) / 2
-    article = np.array([x.inside for x in lines]) & free
-    regions = np.array([x.region for x in lines])
-    if (article & above).any() or article.any():
-        wanted = article
+    if high - low < EQUAL:
+        above = np.ones(len(lines), bool)
     else:
-        wanted = np.zeros(len(lines), bool)
-        for region in np.unique(regions[free]):
-            own = (regions == region) & free
-            if size[own & above].sum() * 2 >= size[own].sum():
-                wanted |= own
-        if not wanted.any():
-            wanted = free
+        for _ in range(20):
+            split = (low + high) / 2
+            above = level > split
+            if above.all() or not above.any():
+                break
+            low, high = level[~above].mean(), level[above].mean()
+        above = level >= (low + high) / 2
+    regions, units = (np.array(x) for x in ([x.region for x in lines], [x.unit for x in lines]))
+
+    def held(by: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return tuple(np.bincount(by, x)[by] for x in (plain * (free & above), plain * free, size * free))
+
+    good, own_plain, own = held(regions)
+    wanted = free & (good * 2 >= own)
+    good, _, whole = held(units)
+    wanted |= free & (units > 0) & (good * 2 >= whole) & (own_plain * 2 > own)
+    if not wanted.any():
+        wanted = free
     return wanted.tolist()
 
 

@@ -26,6 +26,37 @@ def test_cases(page):
     assert main_text.extract(page) == CASES[page]
 
 
+LONG = "A long sentence of the text itself, which goes on for a good while and says something about its matter. " * 3
+LINKS = "".join(f"<li><a href='/{k}'>Link {k}</a></li>" for k in range(6))
+TEASERS = "".join(f"<article><h3><a href='/{k}'>Other {k}</a></h3><p>Few words.</p><p><a href='/{k}'>More</a></p></article>" for k in range(5))
+POST = f"<h1>Title</h1><p>{LONG}1</p><p>{LONG}2</p><p>Short.</p><p>{LONG}3</p><p>{LONG}4</p>"
+POST_TEXT = f"Title {LONG}1 {LONG}2 Short. {LONG}3 {LONG}4"
+
+
+@pytest.mark.parametrize("page", [
+    # teaser cards are articles, the text is not
+    f"<body><nav><ul>{LINKS}</ul></nav><div>{POST}</div><div>{TEASERS}</div><footer>c</footer></body>",
+    f"<body><div>{TEASERS}</div><div>{POST}</div></body>",
+    # one article and cards
+    f"<body><article>{POST}</article><div>{TEASERS}</div></body>",
+    # unnamed links inside of main and of an article
+    f"<main>{POST}<ul>{LINKS}</ul><div><a href='/x'>Buy one now</a></div></main>",
+    f"<article>{POST}<ul>{LINKS}</ul><div><a href='/x'>Buy one now</a></div></article>",
+    # parts of an article
+    f"<nav><ul>{LINKS}</ul></nav><article><div><h1>Title</h1></div><div><p>{LONG}1</p><p>{LONG}2</p><p>Short.</p></div><section><p>{LONG}3</p>"
+    f"<p>{LONG}4</p></section></article>",
+    # no article at all
+    f"<body><div><ul>{LINKS}</ul></div><div>{POST}</div><div><ul>{LINKS}</ul></div></body>",
+])
+def test_ratios_choose_on_every_page(page):
+    assert main_text.extract(page) == POST_TEXT
+
+
+def test_short_items_of_a_list_stay_in_their_text():
+    page = f"<article><p>{LONG}</p><ul><li>Milk</li><li>Two eggs</li><li>Salt</li></ul><p>{LONG}</p></article>"
+    assert main_text.extract(page) == f"{LONG}Milk Two eggs Salt {LONG}".strip()
+
+
 def test_articles_of_the_given_pages(spark, sf_dir):
     """The article element's own text, taken out with patterns."""
     pages = table(spark, sf_dir, "pages")
