@@ -27,6 +27,11 @@ def test_one_query_per_operator():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
+def test_sql_counterparts_are_sql():
+    assert sorted(ORACLES) == ["op1_source_mixing", "op6_line_dedup"]
+    assert all(isinstance(sql, str) for sql in entry.oracle_sql().values())
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_as_sql(spark, sf_dir, name):
     ok, text = compare.compare(spark, compare.connect(sf_dir), QUERIES[name], ORACLES[name], sf_dir)
