@@ -33,6 +33,14 @@ _PARTS = frozenset(
     "breadcrumb breadcrumbs header masthead footer sidebar aside widget related recommended cookie cookies consent gdpr notice "
     "disclaimer popup modal overlay newsletter subscribe signup login form search share sharing social comment comments "
     "reply replies discussion respond disqus pagination pager tags toolbar contentinfo complementary".split())
+# of these, those that may name an article element itself, and those whose parts hold articles that are not the page's
+_COMMENTS = frozenset("comment comments reply replies disqus".split())
+_ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion".split())
+# names of a page's layout, which its wrappers carry as well
+_LAYOUT = frozenset("nav navbar navigation menu header masthead footer sidebar aside widget toolbar search share social banner".split())
+# before or behind a name in one word these tell of something that an element has, not what it is
+_HAS, _STATES = frozenset("has with without no not".split()), frozenset("open opened closed enabled disabled on off".split())
+_FILED = frozenset("category tag topic".split())
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _SPACE = re.compile(r"\s+")
 DEVIATION = 1.0
@@ -40,6 +48,31 @@ DEVIATION = 1.0
 EQUAL = 1e-6
 
 
+@dataclass(eq=False)
+class Ban:
+    """Why an element bars its lines: an element of that kind, or a name."""
+
+    element: bool
+    comments: bool
+    layout: bool
+    closed: bool = False
+
+
+def names(attrs: list[tuple[str, str | None]], parts: frozenset[str], features: frozenset[str] = _HAS) -> set[str]:
+    """The words of class, id and role that say what an element is: "sidebar" and "left-sidebar", not "with-sidebar"."""
+    found = set()
+    for k, v in attrs:
+        if v and k in ("class", "id", "role"):
+            for token in v.split():
+                words = [w.lower() for w in _NAME.findall(token)]
+                for i, w in enumerate(words):
+                    if w in features or words[i + 1 : i + 2] and words[i + 1] in _STATES:
+                        break
+                    if w in parts:
+                        found.add(w)
+    return found
+
+
 @dataclass
 class Line:
     """A block of text: what ends at a block element or a line break."""
@@ -47,11 +80,15 @@ class Line:
     text: str
     tags: int
     region: int
-    barred: bool
+    bans: tuple[tuple[Ban, bool], ...]  # and whether each holds only if its element was closed
     unit: int  # the innermost article element, 0 outside of all
     linked: int  # characters of links
     heading: bool
 
+    @property
+    def bars(self) -> set[Ban]:
+        return {ban for ban, if_closed in self.bans if ban.closed or not if_closed}
+
 
 class _Events(HTMLParser):
     """Streams a page into lines; keeps the open elements, not the tree."""
@@ -59,21 +96,21 @@ class _Events(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        # element, hides, bars, in article or main, article, region, list, in a link, in a heading
-        self.open: list[tuple[str, bool, bool, bool, int, int, int, bool, bool]] = []
+        # element, hides, bans, in article or main, article, region, list, in a link, in a heading, own ban
+        self.open: list[tuple[str, bool, tuple[tuple[Ban, bool], ...], bool, int, int, int, bool, bool, Ban | None]] = []
         self.parts: list[str] = []
         self.tags = self.regions = self.linked = 0
 
-    def _state(self) -> tuple[bool, bool, bool, int, int, int, bool, bool]:
-        return self.open[-1][1:] if self.open else (False, False, False, 0, 0, 0, False, False)
+    def _state(self) -> tuple[bool, tuple[tuple[Ban, bool], ...], bool, int, int, int, bool, bool]:
+        return self.open[-1][1:9] if self.open else (False, (), False, 0, 0, 0, False, False)
 
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            _, barred, _, unit, region, listing, _, heading = self._state()
+            _, bans, _, unit, region, listing, _, heading = self._state()
             # links of a list are a region of their own, its other lines belong to the text around it
             at = listing if listing and 2 * self.linked >= len(text) else region
-            self.lines.append(Line(text, self.tags, at, barred, unit, min(self.linked, len(text)), heading))
+            self.lines.append(Line(text, self.tags, at, bans, unit, min(self.linked, len(text)), heading))
             self.tags = 0
         self.parts, self.linked = [], 0
 
@@ -85,18 +122,27 @@ class _Events(HTMLParser):
             return
         if tag in CLOSES_PARAGRAPH or tag == "li":
             self._close_open("li" if tag == "li" else "p", implied=True)
-        hidden, barred, inside, unit, region, listing, linked, heading = self._state()
+        hidden, bans, inside, unit, region, listing, linked, heading = self._state()
         if tag in SECTIONS or tag in LISTS:
             self.regions += 1
             region, listing = (self.regions, 0) if tag in SECTIONS else (region, self.regions)
         unit = self.regions if tag == "article" else unit
         article = tag in ARTICLE
-        named = {w for k, v in attrs if k in ("class", "id", "role") and v for w in map(str.lower, _NAME.findall(v))}
         gone = any(k == "hidden" for k, _ in attrs) or any(k == "aria-hidden" and v == "true" for k, v in attrs)
         # headers of the article itself are part of it
-        bars = tag in BOILERPLATE and not (tag == "header" and inside) or not article and tag not in ("body", "html") and bool(named & _PARTS)
-        self.open.append((tag, hidden or tag in INVISIBLE or gone, barred or bars, inside or article, unit, region, listing, linked or tag == "a",
-                          heading or tag in HEADINGS))
+        element, named = tag in BOILERPLATE and not (tag == "header" and inside), set()
+        if attrs and tag not in ("body", "html", "main"):
+            named = names(attrs, _COMMENTS | _ADVERTS, _HAS | _FILED) if article else names(attrs, _PARTS)
+        if tag == "main":
+            bans = ()
+        elif article:
+            # wrappers and parts left open end here; an aside of articles does not, nor do comments
+            bans = tuple((x, if_closed or not x.comments) for x, if_closed in bans if x.comments or x.element)
+        own = Ban(element and tag != "form", bool(named & _COMMENTS), not element and named <= _LAYOUT) if element or named else None
+        if own:
+            bans = (*bans, (own, False))
+        self.open.append((tag, hidden or tag in INVISIBLE or gone, bans, inside or article, unit, region, listing, linked or tag == "a",
+                          heading or tag in HEADINGS, own))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag not in INLINE:
@@ -114,6 +160,8 @@ class _Events(HTMLParser):
         for k in range(len(self.open) - 1, -1, -1):
             name = self.open[k][0]
             if name == tag:
+                if self.open[k][9]:
+                    self.open[k][9].closed = True
                 del self.open[k:]
                 return
             # an inline or paragraph end reaches no further than its section
@@ -145,6 +193,16 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(np.pad(ratios, radius, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
+def unbarred(lines: list[Line]) -> np.ndarray:
+    """The lines outside of boilerplate parts. What names of a layout bar whole, with nothing left of the page, is its wrapper."""
+    bars = [x.bars for x in lines]
+    free = np.array([not b for b in bars])
+    if not free.any() and (loose := [b for b in bars if all(x.layout for x in b)]):
+        wrappers = set.intersection(*loose)
+        free = np.array([b <= wrappers for b in bars])
+    return free
+
+
 def content(lines: list[Line]) -> list[bool]:
     """Which lines are content.
 
@@ -156,7 +214,7 @@ def content(lines: list[Line]) -> list[bool]:
     """
     if not lines:
         return []
-    free = np.array([not x.barred for x in lines])
+    free = unbarred(lines)
     if not free.any():
         return [False] * len(lines)
     size = np.array([len(x.text) for x in lines], float)

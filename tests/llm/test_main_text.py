@@ -52,6 +52,33 @@ def test_ratios_choose_on_every_page(page):
     assert main_text.extract(page) == POST_TEXT
 
 
+NAV, FOOT = f"<nav><ul>{LINKS}</ul></nav>", "<footer>c</footer>"
+
+
+@pytest.mark.parametrize("page", [
+    # wrappers that tell of a sidebar or of comments
+    f"<div class='layout with-sidebar'>{NAV}<article>{POST}</article><div class='sidebar'>{LONG}</div></div>",
+    f"<div id='page-has-nav'><div>{POST}</div></div>{FOOT}",
+    f"<div class='sidebar-left'><div class='nav-bar'>{LONG}</div><article>{POST}</article></div>",
+    f"<div class='sidebar-left'><div class='share'>{LONG}</div><div>{POST}</div></div>",
+    f"<form id='search'><article>{POST}</article></form>",
+    f"<div id='comments'><main>{POST}</main></div>",
+    # parts left open before the article
+    f"<div class='ad'>Buy<article>{POST}</article>{FOOT}",
+    f"<nav><ul>{LINKS}</ul><main>{POST}</main>{FOOT}",
+    f"<div><aside>{LONG}<article>{POST}</article></div>{FOOT}",
+    # closed ones hold their articles
+    f"<article>{POST}</article><aside><article><p>{LONG}</p></article></aside>",
+    f"<div>{POST}</div><section id='comments'><article><p>{LONG}</p></article></section>",
+    # articles that are comments or adverts themselves
+    f"<article>{POST}</article><article class='comment'><p>{LONG}</p></article><article id='reply-7'><p>{LONG}</p></article>",
+    f"<article>{POST}<article class='user-comment'><p>{LONG}</p></article></article>",
+    f"<article class='sponsored'><p>{LONG}</p></article><article class='post comments-open category-ads tag-comment has-ads'>{POST}</article>",
+])
+def test_names_of_wrappers_and_articles(page):
+    assert main_text.extract(page) == POST_TEXT
+
+
 def test_short_items_of_a_list_stay_in_their_text():
     page = f"<article><p>{LONG}</p><ul><li>Milk</li><li>Two eggs</li><li>Salt</li></ul><p>{LONG}</p></article>"
     assert main_text.extract(page) == f"{LONG}Milk Two eggs Salt {LONG}".strip()
