@@ -18,8 +18,8 @@ from merchantry.llm.tokens import Cache
 
 # labelled rows that the models are fitted on, about; further ones are left out by a hash of their id
 SAMPLE_ROWS = 20_000
-# lexicon entries taken from the labelled rows, and rows of label 1 that each needs
-MINED, SUPPORT = 400, 5
+# rows of label 1 that a lexicon entry taken from the labelled rows needs
+SUPPORT = 5
 # initials of words count as entries as well: inflected and compound forms share them
 PREFIXES = (4, 5, 6, 7)
 ROUNDS = 25
@@ -36,7 +36,10 @@ LEXICON = {
 STAND_INS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "$": "s", "@": "a", "!": "i"})
 
 _LETTERS = re.compile(r"[^\W\d_]+")
-_ADDRESS = re.compile(r"\b(?:you|your|du|ihr|tu|vous|eres|usted)\b(?:\W+\w+){0,3}\W*$")
+_PERSON = re.compile(r"\b(?:you|your|du|ihr|tu|vous|eres|usted)\b")
+_ADDRESS = re.compile(_PERSON.pattern + r"(?:\W+\w+){0,3}\W*$")
+# a word with what stands before it since the white space
+_TOKEN = re.compile(r"\S+")
 _SHOUT = re.compile(r"\b[A-Z]{3,}\b")
 
 
@@ -55,6 +58,13 @@ def keys_of(token: str) -> set[str]:
     return out
 
 
+def _addressed(lower: str, hits: set[str]) -> bool:
+    """Whether any occurrence of a hit, as a whole word between white space, follows an address."""
+    if not hits or not _PERSON.search(lower):
+        return False
+    return any(m[0] in hits and _ADDRESS.search(lower[max(0, m.start() - 60) : m.start()]) for m in _TOKEN.finditer(lower))
+
+
 @dataclass
 class Voters:
     """Lexicon voters (an entry each) and patterns over the whole text; ``votes`` gives those that fire."""
@@ -81,7 +91,7 @@ class Voters:
             distinct = {word for word, _ in hits}
             lower = text.lower() if hits else ""
             rules = (
-                any(_ADDRESS.search(lower[max(0, lower.find(w) - 60) : lower.find(w)]) for w in distinct),
+                _addressed(lower, distinct),
                 len(_SHOUT.findall(text)) * 4 > len(words) > 0,
                 "!!!" in text,
                 len(hits) > len(distinct),
@@ -107,15 +117,17 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = ROUNDS) -> np
     them) share their weight: a voter's evidence is divided by one plus its positive correlations with others
     within the labels, estimated in the same rounds.
     """
-    m = np.column_stack([votes, gold]).astype(np.float64)
+    m = np.column_stack([votes, gold]).astype(np.float32)
     p = np.clip(gold.astype(np.float64), 0.05, 0.95)
     for _ in range(rounds):
         prior = np.clip(p.mean(), 1e-3, 1 - 1e-3)
         fires, spread = [], np.zeros((m.shape[1], m.shape[1]))
         for weight in (p, 1 - p):
-            rate = (weight @ m + 0.1) / (weight.sum() + 1.0)
-            centred = (m - rate) * np.sqrt(weight / max(weight.sum(), 1e-9))[:, None]
-            covariance = centred.T @ centred
+            rate = (sum(weight[k : k + 1024] @ m[k : k + 1024] for k in range(0, len(m), 1024)) + 0.1) / (weight.sum() + 1.0)
+            covariance = np.zeros_like(spread)
+            for k in range(0, len(m), 1024):
+                centred = (m[k : k + 1024] - rate) * np.sqrt(weight[k : k + 1024] / max(weight.sum(), 1e-9))[:, None]
+                covariance += centred.T @ centred
             scale = np.sqrt(np.maximum(np.diag(covariance), 1e-9))
             spread += covariance / np.outer(scale, scale) / 2
             fires.append(np.clip(rate, 1e-5, 1 - 1e-5))
@@ -124,7 +136,8 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = ROUNDS) -> np
         spread[-1, :] = spread[:, -1] = 0
         share = 1 / (1 + np.maximum(spread, 0).sum(axis=1))
         one, zero = fires
-        odds = np.log(prior / (1 - prior)) + m @ (share * np.log(one / zero)) + (1 - m) @ (share * np.log((1 - one) / (1 - zero)))
+        fired, silent = share * np.log(one / zero), share * np.log((1 - one) / (1 - zero))
+        odds = np.concatenate([m[k : k + 1024] @ (fired - silent) for k in range(0, len(m), 1024)]) + np.log(prior / (1 - prior)) + silent.sum()
         p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return p
 
@@ -183,8 +196,7 @@ def _mined(sample: DataFrame, ones: int, rows: int) -> list[str]:
     share, z = F.col("ones") / F.col("n"), 2.0
     limit = (share + z * z / 2 / F.col("n") - z * F.sqrt((share * (1 - share) + z * z / 4 / F.col("n")) / F.col("n"))) / (1 + z * z / F.col("n"))
     good = totals.filter(F.col("ones") >= SUPPORT).withColumn("limit", limit).filter(F.col("limit") > min(0.9, max(0.4, 3 * base)))
-    top = good.orderBy((F.col("limit") * F.col("ones")).desc(), "entry").limit(MINED)
-    return [r.entry for r in top.select("entry").collect()]
+    return [r.entry for r in good.orderBy((F.col("limit") * F.col("ones")).desc(), "entry").select("entry").collect()]
 
 
 def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -192,7 +204,7 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str =
     """Fit on labelled rows outside the held-out fold, about ``sample_rows`` of them at most.
 
     Rows of null id, text or label are left out; of several labels of an id the largest holds. Without labelled rows, or with
-    one label only, the written lexicon alone decides. Only counts of at most ``MINED`` entries and the
+    one label only, the written lexicon alone decides. Only the mined entries and the
     votes of the sample come to the driver.
     """
     known = pick(labels, id_column, label).toDF("doc_id", "toxic").dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))

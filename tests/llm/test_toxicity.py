@@ -58,6 +58,25 @@ def test_held_out_labels_are_not_used(spark, documents):
     assert a == b
 
 
+def test_address_before_any_occurrence_of_a_hit():
+    """An earlier use of the word that is not addressed, or is part of another word, does not hide a later one."""
+    voters = toxicity.Voters(["w:idiot"])
+    address = len(voters.entries)
+    filler = "plain words of some text " * 20
+    fired = voters.votes([f"the idiot is a novel {filler} you complete idiot", f"idiotic idiot {filler} so you idiot", f"you see {filler} an idiot",
+                          "youth of an idiot", "you idiotic man"])
+    assert [address in ids for ids in fired] == [True, True, False, False, False]
+
+
+def test_all_entries_that_pass_are_mined(spark):
+    """450 words of label 1 only, in sixty rows each."""
+    rows = [(i, " ".join(f"zz{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(450) if i % 2 and (k + i) % 40 < 20) or "plain", "s")
+            for i in range(240)]
+    known = spark.createDataFrame([(i, t, i % 2) for i, t, _ in rows], "doc_id long, text string, toxic int")
+    words = {w for _, t, _ in rows for w in t.split()} - {"plain"}
+    assert len(words) == 450 and {f"w:{w}" for w in words} <= set(toxicity._mined(known, 120, 240))
+
+
 def test_given_table(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = toxicity.scored_documents(docs, labels)
