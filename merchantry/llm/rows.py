@@ -47,9 +47,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def kept(df: DataFrame, label: str) -> DataFrame:
     """Written to the shared folder and read back: computed once, its size known, safe from lost executors."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored_at(df, scratch_path(df.sparkSession, label))
+
+
+def stored_at(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read from there. Columns are stored by position, so that any names will do."""
+    safe = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    safe.write.parquet(path)
+    return df.sparkSession.read.schema(safe.schema).parquet(path).toDF(*df.columns)
 
 
 def add_from_text(df: DataFrame, text: str, schema: str, run: Callable[[list[str]], dict[str, list]]) -> DataFrame:
