@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merchantry.llm import exact_dedup, line_dedup, main_text, mixing, near_dedup, pieces, token_counts, token_files, toxicity, vector_dedup, vector_search
+from merchantry.llm import exact_dedup, line_dedup, main_text, mixing, near_dedup, pieces, prefix_trie, token_counts, token_files, toxicity, vector_dedup, vector_search
 from merchantry.llm.rows import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": over("documents", token_counts.counted_documents),
     "op9_toxicity": lambda spark, sf_dir: toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op10_token_files": over("documents", token_files.stored_documents),
+    "op11_prefix_trie": over("conversations", prefix_trie.conversation_trie),
     "op12_exact_dedup": over("documents", exact_dedup.deduped_documents),
 }
 
@@ -34,5 +35,6 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op1_source_mixing": mixing.MIXED_SQL,
     "op6_line_dedup": line_dedup.DEDUPED_SQL,
+    "op11_prefix_trie": prefix_trie.TRIE_SQL,
     "op12_exact_dedup": exact_dedup.DEDUPED_SQL,
 }
