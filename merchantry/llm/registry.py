@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merchantry.llm import exact_dedup, line_dedup, main_text, mixing, near_dedup, pieces, prefix_trie, token_counts, token_files, toxicity, vector_dedup, vector_search
+from merchantry.llm import exact_dedup, line_dedup, main_text, mixing, near_dedup, pieces, prefix_trie, repair, token_counts, token_files, toxicity, vector_dedup, vector_search
 from merchantry.llm.rows import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,7 @@ QUERIES: dict[str, Query] = {
     "op10_token_files": over("documents", token_files.stored_documents),
     "op11_prefix_trie": over("conversations", prefix_trie.conversation_trie),
     "op12_exact_dedup": over("documents", exact_dedup.deduped_documents),
+    "op13_conversation_repair": over("conversations", repair.repaired_conversations),
 }
 
 # only SQL text; the other operators have no SQL and are checked by brute force in their tests
@@ -37,4 +38,5 @@ ORACLES: dict[str, str] = {
     "op6_line_dedup": line_dedup.DEDUPED_SQL,
     "op11_prefix_trie": prefix_trie.TRIE_SQL,
     "op12_exact_dedup": exact_dedup.DEDUPED_SQL,
+    "op13_conversation_repair": repair.REPAIR_SQL,
 }

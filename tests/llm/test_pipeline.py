@@ -23,12 +23,12 @@ entry = load("spark_entry", "__spark_entry__.py")
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_sql_counterparts_are_sql():
-    assert sorted(ORACLES) == ["op11_prefix_trie", "op12_exact_dedup", "op1_source_mixing", "op6_line_dedup"]
+    assert sorted(ORACLES) == ["op11_prefix_trie", "op12_exact_dedup", "op13_conversation_repair", "op1_source_mixing", "op6_line_dedup"]
     assert all(isinstance(sql, str) for sql in entry.oracle_sql().values())
 
 
