@@ -32,6 +32,8 @@ class Pieces:
         self.special = special
         self.byte = {i: int(self.text[i][3:5], 16) for i in ids if model.is_byte(i)}
         self.byte_id = {b: i for i, b in self.byte.items()}
+        self.not_text = special | set(self.byte)
+        self.digits = [str(i) for i in ids]
         self.ids = {self.text[i]: i for i in ids if i not in special and i not in self.byte}
         # a smaller rank merges earlier
         by_score = sorted(self.ids.values(), key=lambda i: -model.get_score(i))
@@ -50,7 +52,7 @@ class PrefixEncoder:
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.split: dict[int, tuple[int, int] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         for piece, i in pieces.ids.items():
             if self._reached(i):
@@ -91,34 +93,37 @@ class PrefixEncoder:
 
     def encode(self, text: str) -> list[int]:
         """The ids of an escaped text; characters outside the vocabulary become their bytes."""
-        last: list[tuple[int, int]] = [(UNKNOWN, 1)] * len(text)
-        pairs, beside = self.pairs, self.beside
+        # per place: the last token of the prefix that ends there, and its length
+        last, sizes = [UNKNOWN] * len(text), [1] * len(text)
+        pairs, beside, many = self.pairs, self.beside, len(self.pieces.text)
         if len(pairs) > PAIRS:
             pairs.clear()
         for end, (token, size) in self.automaton.iter(text):
-            if last[end][0] != UNKNOWN:
+            if last[end] >= 0:
                 continue
-            start = end - size
-            if start >= 0 and (previous := last[start][0]) != UNKNOWN:
-                fits = pairs.get((previous, token))
+            if size <= end and (previous := last[end - size]) >= 0:
+                fits = pairs.get(pair := previous * many + token)
                 if fits is None:
-                    fits = pairs[previous, token] = beside(previous, token)
+                    fits = pairs[pair] = beside(previous, token)
                 if not fits:
                     continue
-            last[end] = (token, size)
+            last[end], sizes[end] = token, size
         out: list[int] = []
         end = len(text) - 1
         while end >= 0:
-            token, size = last[end]
-            if token == UNKNOWN:
+            token = last[end]
+            if token < 0:
                 out += [self.pieces.byte_id[b] for b in reversed(text[end].encode())]
             else:
                 out.append(token)
-            end -= size
-        return out[::-1]
+            end -= sizes[end]
+        out.reverse()
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids, still escaped: bytes in a row are UTF-8, control pieces are nothing."""
+        if self.pieces.not_text.isdisjoint(ids):
+            return "".join([self.pieces.text[i] for i in ids])
         out = b"".join(
             bytes([self.pieces.byte[i]]) if i in self.pieces.byte else b"" if i in self.pieces.special
             else self.pieces.text[i].encode() for i in ids
@@ -137,9 +142,11 @@ def word_cache(path: str) -> Cache:
     own = encoder(path)
 
     def fill(words: list[str]):
+        digits = own.pieces.digits
         for word in words:
             ids = own.encode(word)
-            yield len(ids), ",".join(map(str, ids)), own.decode(ids)
+            plain = own.decode(ids)
+            yield len(ids), ",".join([digits[i] for i in ids]), word if plain == word else plain
 
     return Cache(fill)
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from merchantry.llm.tokens import release
 from merchantry.sources.store import scratch_path
 
 # the words of all operators: runs of anything but ASCII white space
@@ -64,11 +65,14 @@ def add_from_text(df: DataFrame, text: str, schema: str, run: Callable[[list[str
     more = StructType.fromDDL(schema)
 
     def batches(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in arrow:
-            for k in range(0, whole.num_rows, TEXTS_AT_ONCE):
-                batch = whole.slice(k, TEXTS_AT_ONCE)
-                out = run(["" if t is None else t for t in batch.column(at).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, out.values())], [*batch.schema.names, *out])
+        try:
+            for whole in arrow:
+                for k in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                    batch = whole.slice(k, TEXTS_AT_ONCE)
+                    out = run(["" if t is None else t for t in batch.column(at).to_pylist()])
+                    yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, out.values())], [*batch.schema.names, *out])
+        finally:
+            release()
 
     return restored(safe.mapInArrow(batches, StructType([*safe.schema.fields, *more.fields])), df, *more.names)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import os
 import re
 import struct
@@ -12,23 +13,28 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from merchantry.llm.rows import kept, pick
-from merchantry.llm.tokens import Cache, byte_words
+from merchantry.llm.tokens import Cache, byte_words, release
 from merchantry.sources.store import scratch_path
 
 MODEL = "byte_bpe_50k.json"
+# the same vocabulary
+RANKS = "byte_bpe_50k.tiktoken"
 END = 0
 BLOCK = 128
 PERCENT = 90
 # a file is closed at this many ids; a longer document has a file of its own
 FILE_IDS = 1 << 18
+# ids whose bits are spread out at a time, whole blocks
+SLICE = BLOCK << 10
 _LINE = re.compile(r" ?\S+")
-# Latin letters and then signs, but no apostrophe: this one the pattern may take together with letters
-_PARTED = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+# a space and signs of the Latin blocks: what follows in a text is another word to both libraries
+_LATIN = re.compile(r" [!-~¡-ɏ]+")
 MAGIC = b"PFORIDS1"
 HEAD = struct.Struct("<8sIQI")
 BLOCK_HEAD = struct.Struct("<IBB")
@@ -49,6 +55,16 @@ def pack(lengths: np.ndarray, ids: np.ndarray) -> bytes:
     n = -(-len(ids) // BLOCK)
     if not n:
         return HEAD.pack(MAGIC, len(lengths), 0, 0) + lengths.astype("<u8").tobytes() + np.zeros(1, "<u8").tobytes()
+    parts: list[bytes] = []
+    for k in range(0, len(ids), SLICE):
+        parts += _packed(ids[k : k + SLICE])
+    starts = np.cumsum([0, *map(len, parts)]).astype("<u8")
+    return b"".join([HEAD.pack(MAGIC, len(lengths), len(ids), n), lengths.astype("<u8").tobytes(), starts.tobytes(), *parts])
+
+
+def _packed(ids: np.ndarray) -> list[bytes]:
+    """The blocks of some ids; a short last block is filled up with its last id."""
+    n = -(-len(ids) // BLOCK)
     blocks = np.concatenate([ids, np.full(n * BLOCK - len(ids), ids[-1])]).astype(np.uint32).reshape(n, BLOCK)
     least = blocks.min(axis=1)
     above = blocks - least[:, None]
@@ -66,8 +82,7 @@ def pack(lengths: np.ndarray, ids: np.ndarray) -> bytes:
     for k in range(n):
         a, b = first[k], first[k] + count[k]
         parts.append(BLOCK_HEAD.pack(least[k], width[k], count[k]) + packed[k] + places[a:b].tobytes() + outliers[a:b].tobytes())
-    starts = np.cumsum([0, *map(len, parts)]).astype("<u8")
-    return b"".join([HEAD.pack(MAGIC, len(lengths), len(ids), n), lengths.astype("<u8").tobytes(), starts.tobytes(), *parts])
+    return parts
 
 
 class Reader:
@@ -88,6 +103,8 @@ class Reader:
         stop = self.n if stop is None else stop
         if stop <= start:
             return np.empty(0, np.uint32)
+        if stop - start > SLICE:
+            return np.concatenate([self.ids(a, min(stop, a + SLICE)) for a in range(start, stop, SLICE)])
         first, last = start // BLOCK, (stop - 1) // BLOCK
         at = self.starts[first : last + 1] + self.blocks_at
         heads = [BLOCK_HEAD.unpack_from(self.data, a) for a in at]
@@ -116,16 +133,42 @@ def _tokenizer(path: str):
     return found, [t.content for t in found.get_added_tokens_decoder().values()]
 
 
+class RankedWords:
+    """Words of Latin signs under the same vocabulary as a file of ranks, many in one call."""
+
+    def __init__(self, path: str):
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.encoding = tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.sizes[list(ranks.values())] = [len(token) for token in ranks]
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """The ids of each word; tokens never reach over the space that a word starts with, so their bytes add up to the words'."""
+        ids = np.asarray(self.encoding.encode_ordinary("".join(words)), "<u4")
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(w.encode()) for w in words])) + 1
+        data, cuts = ids.tobytes(), (4 * ends).tolist()
+        return [data[a:b] for a, b in zip([0, *cuts], cuts)]
+
+
+@lru_cache(maxsize=1)
+def _ranked(path: str) -> RankedWords:
+    return RankedWords(path)
+
+
 @lru_cache(maxsize=1)
-def _word_cache(path: str) -> Cache:
+def _word_cache(path: str, ranks: str | None) -> Cache:
     tokenizer, _ = _tokenizer(path)
 
     end = tokenizer.encode("\n", add_special_tokens=False).ids
 
-    def encode(words: list[str]) -> dict[str, bytes]:
-        """Words without further white space are encoded as the lines of a text: the tokenizer never joins a line end to a word."""
+    def fill(words: list[str]) -> list[bytes]:
+        """Latin words by ranks, others without further white space as the lines of a text: the tokenizer never joins a line end to a word."""
         out: dict[str, bytes] = {}
-        lines = [w for w in words if _LINE.fullmatch(w)]
+        latin = [w for w in words if _LATIN.fullmatch(w)] if ranks else []
+        if latin:
+            out.update(zip(latin, _ranked(ranks).encode(latin)))
+        lines = [w for w in words if w not in out and _LINE.fullmatch(w)]
         for k in range(0, len(lines), 256):
             some = lines[k : k + 256]
             ids = np.array(tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
@@ -135,28 +178,21 @@ def _word_cache(path: str) -> Cache:
         others = [w for w in words if w not in out]
         found = tokenizer.encode_batch_fast(others, add_special_tokens=False)
         out.update((w, np.array(f.ids, "<u4").tobytes()) for w, f in zip(others, found))
-        return out
-
-    def fill(words: list[str]) -> list[bytes]:
-        """Letters and the signs behind them are words of their own to the tokenizer."""
-        parts = [m.groups() if (m := _PARTED.fullmatch(w)) else (w,) for w in words]
-        known = {p: cache[p] for ps in parts for p in ps if p in cache}
-        known |= encode(list({p for ps in parts for p in ps if p not in known}))
-        return [b"".join([known[p] for p in ps]) for ps in parts]
+        return [out[w] for w in words]
 
-    cache = Cache(fill)
-    return cache
+    return Cache(fill)
 
 
-def encoded(texts: list[str], path: str) -> list[np.ndarray]:
+def encoded(texts: list[str], path: str, ranks: str | None = None) -> list[np.ndarray]:
     """The ids of each text as the tokenizers library gives them, without special tokens added.
 
     Words are encoded once per task as long as the cache holds them. A text that spells a special token is encoded whole.
+    ``ranks`` may name a file of the same vocabulary as ranks: Latin words are encoded by it, several times as fast.
     """
     tokenizer, special = _tokenizer(path)
     words = [[] if any(s in t for s in special) else byte_words(t) for t in texts]
     out = []
-    for text, parts in zip(texts, _word_cache(path).of(words)):
+    for text, parts in zip(texts, _word_cache(path, ranks).of(words)):
         whole = b"".join(parts) if parts or not text else None
         ids = np.frombuffer(whole, "<u4") if whole is not None else tokenizer.encode(text, add_special_tokens=False).ids
         out.append(np.asarray(ids, np.uint32))
@@ -166,7 +202,8 @@ def encoded(texts: list[str], path: str) -> list[np.ndarray]:
 FILES = "part int, file int, before long, n_ids long, documents binary, data binary"
 
 
-def write_ids(df: DataFrame, path: str, folder: str, id_column: str = "doc_id", text: str = "text", end: int = END) -> None:
+def write_ids(df: DataFrame, path: str, folder: str, id_column: str = "doc_id", text: str = "text", end: int = END,
+              ranks: str | None = None) -> None:
     """Encode every text (null: empty), append the id ``end``, and write the ids to ``folder`` in ascending id order.
 
     ``folder`` is a Parquet table with a file's bytes per row, so that any store that Spark writes to
@@ -196,19 +233,22 @@ def write_ids(df: DataFrame, path: str, folder: str, id_column: str = "doc_id",
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)],
                                               ["part", "file", "before", "n_ids", "documents", "data"])
 
-        for batch in batches:
-            all_keys = batch.column(0).to_pylist()
-            for at in range(0, len(all_keys), 256):
-                texts = ["" if t is None else t for t in batch.column(1).slice(at, 256).to_pylist()]
-                for key, ids in zip(all_keys[at : at + 256], encoded(texts, path)):
-                    if held and size + len(ids) + 1 > FILE_IDS:
-                        yield closed()
-                        file, before, keys, held, size = file + 1, before + size, [], [], 0
-                    keys.append(key)
-                    held.append(np.append(ids, np.uint32(end)))
-                    size += len(ids) + 1
-        if held:
-            yield closed()
+        try:
+            for batch in batches:
+                all_keys = batch.column(0).to_pylist()
+                for at in range(0, len(all_keys), 256):
+                    texts = ["" if t is None else t for t in batch.column(1).slice(at, 256).to_pylist()]
+                    for key, ids in zip(all_keys[at : at + 256], encoded(texts, path, ranks)):
+                        if held and size + len(ids) + 1 > FILE_IDS:
+                            yield closed()
+                            file, before, keys, held, size = file + 1, before + size, [], [], 0
+                        keys.append(key)
+                        held.append(np.append(ids, np.uint32(end)))
+                        size += len(ids) + 1
+            if held:
+                yield closed()
+        finally:
+            release()
 
     ranged.mapInArrow(run, FILES).write.parquet(folder)
 
@@ -246,5 +286,5 @@ def read_ids(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame:
 def stored_documents(df: DataFrame) -> DataFrame:
     """Every document written to files and read back from them."""
     folder = scratch_path(df.sparkSession, "token-ids")
-    write_ids(df, public_tokenizers.path(MODEL), folder)
+    write_ids(df, public_tokenizers.path(MODEL), folder, ranks=public_tokenizers.path(RANKS))
     return read_ids(df.sparkSession, folder, ids=False)

@@ -2,36 +2,78 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
+import weakref
 from collections.abc import Callable, Iterable
+from sys import getsizeof
 
-# a cache of this many pieces is put aside, and what is asked for again comes back from there: a few hundred bytes each, twice
-CACHED = 200_000
+import pyarrow as pa
+
+# a cache of this many bytes is put aside, and what is asked for again comes back from there: so twice this
+MOST_BYTES = 64 << 20
+# what an entry takes in a table beside its piece and its result
+SLOT_BYTES = 100
+# longer pieces hardly come again (texts without spaces are one piece) and are not kept
+LONGEST = 64
 
 SPACE = "▁"
 
+_caches: weakref.WeakSet = weakref.WeakSet()
+
 
-class Cache(dict):
+class Cache:
     """Results by piece; ``fill`` computes those of a list of new pieces. Frequent pieces stay, others make room."""
 
-    def __init__(self, fill: Callable[[list[str]], Iterable], most: int = CACHED):
-        super().__init__()
-        self.fill, self.most, self.before = fill, most, {}
+    def __init__(self, fill: Callable[[list], Iterable], most: int = MOST_BYTES):
+        self.fill, self.most = fill, most
+        self.forget()
+        _caches.add(self)
+
+    def forget(self) -> None:
+        self.now: dict = {}
+        self.before: dict = {}
+        self.bytes = 0
 
-    def of(self, texts: list[list[str]]) -> list[list]:
+    def of(self, texts: list[list]) -> list[list]:
         """The result of each piece of each text."""
-        if len(self) >= self.most:
-            self.before = dict(self)
-            self.clear()
-        before, new = self.before, []
+        if self.bytes >= self.most:
+            self.before, self.now, self.bytes = self.now, {}, 0
+        now, before, new, once = self.now, self.before, [], []
         for piece in set().union(*texts):
-            if piece not in self:
+            if piece not in now:
                 if piece in before:
-                    self[piece] = before[piece]
+                    now[piece] = before[piece]
+                    self.bytes += _bytes(piece, now[piece])
+                elif len(piece) > LONGEST:
+                    once.append(piece)
                 else:
                     new.append(piece)
-        self.update(zip(new, self.fill(new)))
-        return [list(map(self.__getitem__, pieces)) for pieces in texts]
+        for piece, result in zip(new, self.fill(new)):
+            now[piece] = result
+            self.bytes += _bytes(piece, result)
+        if not once:
+            return [list(map(now.__getitem__, pieces)) for pieces in texts]
+        passing = dict(zip(once, self.fill(once)))
+        return [[now[p] if p in now else passing[p] for p in pieces] for pieces in texts]
+
+
+def _bytes(piece, result) -> int:
+    size = getsizeof(piece) + getsizeof(result) + SLOT_BYTES
+    if type(result) is tuple:
+        size += sum(getsizeof(r) for r in result if r is not piece)
+    return size
+
+
+def release() -> None:
+    """For the end of a task's input: idle Python workers hold no results, and give back what they held."""
+    for cache in list(_caches):
+        cache.forget()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # only glibc has it
 
 
 def escaped(text: str) -> str:

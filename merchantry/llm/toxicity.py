@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from merchantry.llm.mixing import draw
 from merchantry.llm.rows import add_from_text, kept, pick
-from merchantry.llm.tokens import Cache
+from merchantry.llm.tokens import Cache, release
 
 # labelled rows that the models are fitted on, about; further ones are left out by a hash of their id
 SAMPLE_ROWS = 20_000
@@ -177,19 +177,22 @@ def _mined(sample: DataFrame, ones: int, rows: int) -> list[str]:
     base = ones / rows
 
     def counts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        cache = Cache(lambda tokens: (tuple(keys_of(t)) for t in tokens), 100_000)
-        for batch in batches:
-            n: Counter = Counter()
-            toxic: Counter = Counter()
-            tokens = [t.lower().split() for t in batch.column("text").to_pylist()]
-            for label, found in zip(batch.column("toxic").to_pylist(), cache.of(tokens)):
-                keys = {k for ks in found for k in ks}
-                n.update(keys)
-                toxic.update(keys if label else ())
-            keys = list(n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.string()), pa.array([n[k] for k in keys], pa.int64()), pa.array([toxic[k] for k in keys], pa.int64())],
-                ["entry", "n", "ones"])
+        cache = Cache(lambda tokens: (tuple(keys_of(t)) for t in tokens))
+        try:
+            for batch in batches:
+                n: Counter = Counter()
+                toxic: Counter = Counter()
+                tokens = [t.lower().split() for t in batch.column("text").to_pylist()]
+                for label, found in zip(batch.column("toxic").to_pylist(), cache.of(tokens)):
+                    keys = {k for ks in found for k in ks}
+                    n.update(keys)
+                    toxic.update(keys if label else ())
+                keys = list(n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.string()), pa.array([n[k] for k in keys], pa.int64()), pa.array([toxic[k] for k in keys], pa.int64())],
+                    ["entry", "n", "ones"])
+        finally:
+            release()
 
     totals = sample.mapInArrow(counts, "entry string, n long, ones long").groupBy("entry").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
     # Wilson's limit at z = 2

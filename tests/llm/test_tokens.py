@@ -16,6 +16,7 @@ from merchantry.llm.tokens import Cache, escaped, space_words
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
 byte_library = Tokenizer.from_file(BYTES)
 vocabulary = token_counts.vocabulary(PIECES)
@@ -45,7 +46,15 @@ def test_counts_as_the_library(text):
 @settings(max_examples=300, deadline=None)
 @given(TEXTS)
 def test_bytes_as_the_library(text):
-    assert token_files.encoded([text], BYTES)[0].tolist() == byte_library.encode(text, add_special_tokens=False).ids
+    want = byte_library.encode(text, add_special_tokens=False).ids
+    assert token_files.encoded([text], BYTES)[0].tolist() == want
+    assert token_files.encoded([text], BYTES, RANKS)[0].tolist() == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.characters(min_codepoint=33, max_codepoint=0x24F), min_size=1, max_size=12), max_size=20))
+def test_latin_words_by_ranks(words):
+    test_bytes_as_the_library.hypothesis.inner_test(" ".join(words))
 
 
 @pytest.mark.parametrize("text", ODD)
@@ -129,8 +138,27 @@ def test_small_ids_take_little_room():
     assert len(token_files.pack(np.array([len(ids)]), ids)) < 1.2 * len(ids)
 
 
+def test_large_blocks_in_slices():
+    ids = np.random.default_rng(3).integers(0, 50_000, 3 * token_files.SLICE + 77, dtype=np.uint64).astype(np.uint32)
+    reader = token_files.Reader(token_files.pack(np.array([len(ids)]), ids))
+    assert (reader.ids() == ids).all() and (reader.ids(5, token_files.SLICE + 99) == ids[5 : token_files.SLICE + 99]).all()
+
+
 def test_cache_is_bounded():
-    cache = Cache(lambda words: map(len, words), 10)
-    for k in range(50):
-        assert cache.of([[f"{k}", "ab"]]) == [[len(str(k)), 2]]
-        assert len(cache) <= 12
+    """In bytes, whatever the pieces and results are; long pieces are not kept at all."""
+    cache = Cache(lambda words: [(len(w), w + "!") for w in words], 100_000)
+    for k in range(5000):
+        assert cache.of([[f"{k}", "ab", "long" * 20]]) == [[(len(str(k)), f"{k}!"), (2, "ab!"), (80, "long" * 20 + "!")]]
+        assert cache.bytes <= 101_000 and "long" * 20 not in cache.now
+    assert len(cache.now) + len(cache.before) < 1000
+    cache.forget()
+    assert not cache.now and not cache.before
+
+
+def test_texts_without_spaces():
+    """20,000 characters without a space are one piece: nothing of it stays."""
+    for k in range(20):
+        text = "".join(chr(0x4E00 + (k * 7919 + j * j) % 20_000) for j in range(20_000))
+        pieces.word_cache(PIECES).of([space_words(text)])
+        token_counts.count_cache(PIECES).of([space_words(text)])
+    assert all(len(w) <= 64 for w in [*pieces.word_cache(PIECES).now, *token_counts.count_cache(PIECES).now])
