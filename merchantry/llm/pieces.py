@@ -169,10 +169,12 @@ def round_trips(df: DataFrame, path: str, id_column: str = "doc_id", text: str =
     """
     def run(texts: list[str]) -> dict[str, list]:
         words = word_cache(path).of([space_words(t) for t in texts])
-        joined = [",".join([w[1] for w in ws]) for ws in words]
-        plain = ["".join([w[2] for w in ws]).replace(SPACE, " ")[1:] for ws in words]
+        # a text's counts, ids and decoded words; none for an empty text
+        columns = [tuple(zip(*ws)) or ((), (), ()) for ws in words]
+        joined = [",".join(c[1]) for c in columns]
+        plain = ["".join(c[2]).replace(SPACE, " ")[1:] for c in columns]
         out = {
-            "n_tokens": pa.array([sum([w[0] for w in ws]) for ws in words], pa.int64()),
+            "n_tokens": pa.array([sum(c[0]) for c in columns], pa.int64()),
             "ids_sha256": [hashlib.sha256(j.encode()).hexdigest() for j in joined],
             "decoded_sha256": [hashlib.sha256(p.encode()).hexdigest() for p in plain],
         }

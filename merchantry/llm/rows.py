@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -65,6 +66,7 @@ def add_from_text(df: DataFrame, text: str, schema: str, run: Callable[[list[str
     more = StructType.fromDDL(schema)
 
     def batches(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # caches hold hundreds of thousands of objects, none of them in cycles
         try:
             for whole in arrow:
                 for k in range(0, whole.num_rows, TEXTS_AT_ONCE):
@@ -72,6 +74,7 @@ def add_from_text(df: DataFrame, text: str, schema: str, run: Callable[[list[str
                     out = run(["" if t is None else t for t in batch.column(at).to_pylist()])
                     yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, out.values())], [*batch.schema.names, *out])
         finally:
+            gc.enable()
             release()
 
     return restored(safe.mapInArrow(batches, StructType([*safe.schema.fields, *more.fields])), df, *more.names)

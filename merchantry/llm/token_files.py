@@ -33,8 +33,8 @@ FILE_IDS = 1 << 18
 # ids whose bits are spread out at a time, whole blocks
 SLICE = BLOCK << 10
 _LINE = re.compile(r" ?\S+")
-# a space and signs of the Latin blocks: what follows in a text is another word to both libraries
-_LATIN = re.compile(r" [!-~¡-ɏ]+")
+# a space and signs of the Latin blocks, also over line ends: what follows in a text is another word to both libraries
+_LATIN = re.compile(r" [!-~¡-ɏ]+(?:\n+[!-~¡-ɏ]+)*")
 MAGIC = b"PFORIDS1"
 HEAD = struct.Struct("<8sIQI")
 BLOCK_HEAD = struct.Struct("<IBB")

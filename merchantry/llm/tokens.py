@@ -5,19 +5,20 @@ from __future__ import annotations
 import ctypes
 import re
 import weakref
-from collections.abc import Callable, Iterable
-from sys import getsizeof
+from collections.abc import Callable, Collection, Iterable
 
 import pyarrow as pa
 
 # a cache of this many bytes is put aside, and what is asked for again comes back from there: so twice this
 MOST_BYTES = 64 << 20
-# what an entry takes in a table beside its piece and its result
-SLOT_BYTES = 100
+# what an entry takes, about: so many bytes, and so many for each character of its piece
+ENTRY_BYTES, CHARACTER_BYTES = 300, 12
 # longer pieces hardly come again (texts without spaces are one piece) and are not kept
 LONGEST = 64
 
 SPACE = "▁"
+# marks the cuts of texts that don't have it
+BORDER = "\0"
 
 _caches: weakref.WeakSet = weakref.WeakSet()
 
@@ -39,30 +40,26 @@ class Cache:
         """The result of each piece of each text."""
         if self.bytes >= self.most:
             self.before, self.now, self.bytes = self.now, {}, 0
-        now, before, new, once = self.now, self.before, [], []
-        for piece in set().union(*texts):
-            if piece not in now:
-                if piece in before:
-                    now[piece] = before[piece]
-                    self.bytes += _bytes(piece, now[piece])
-                elif len(piece) > LONGEST:
-                    once.append(piece)
-                else:
-                    new.append(piece)
-        for piece, result in zip(new, self.fill(new)):
-            now[piece] = result
-            self.bytes += _bytes(piece, result)
-        if not once:
-            return [list(map(now.__getitem__, pieces)) for pieces in texts]
-        passing = dict(zip(once, self.fill(once)))
-        return [[now[p] if p in now else passing[p] for p in pieces] for pieces in texts]
-
-
-def _bytes(piece, result) -> int:
-    size = getsizeof(piece) + getsizeof(result) + SLOT_BYTES
-    if type(result) is tuple:
-        size += sum(getsizeof(r) for r in result if r is not piece)
-    return size
+        now, passing = self.now, {}
+        unseen = set().union(*texts).difference(now)
+        new = unseen.difference(self.before)
+        now.update((piece, self.before[piece]) for piece in unseen.difference(new))
+        self.bytes += _bytes(unseen.difference(new))
+        if new and max(map(len, new)) > LONGEST:
+            once = [piece for piece in new if len(piece) > LONGEST]
+            passing = dict(zip(once, self.fill(once)))
+            new.difference_update(once)
+        if new:
+            listed = list(new)
+            now.update(zip(listed, self.fill(listed)))
+            self.bytes += _bytes(listed)
+        if passing:
+            return [[now[p] if p in now else passing[p] for p in pieces] for pieces in texts]
+        return [list(map(now.__getitem__, pieces)) for pieces in texts]
+
+
+def _bytes(pieces: Collection) -> int:
+    return ENTRY_BYTES * len(pieces) + CHARACTER_BYTES * sum(map(len, pieces))
 
 
 def release() -> None:
@@ -88,6 +85,12 @@ def space_words(text: str) -> list[str]:
     """
     if not text:
         return []
+    if "  " not in text and SPACE not in text and BORDER not in text:
+        return (SPACE + text.replace(" ", BORDER + SPACE)).split(BORDER) if text[0] != " " else _space_words(text)
+    return _space_words(text)
+
+
+def _space_words(text: str) -> list[str]:
     words = text.replace(" ", SPACE).split(SPACE)
     if "" not in words:
         return [SPACE + w for w in words]
@@ -115,5 +118,7 @@ def byte_words(text: str) -> list[str]:
     """
     if _RUN.search(text):
         return _CUT.split(text)
-    words = text.split(" ")
-    return words[:1] + [" " + w for w in words[1:]]
+    if BORDER in text:
+        words = text.split(" ")
+        return words[:1] + [" " + w for w in words[1:]]
+    return text.replace(" ", BORDER + " ").split(BORDER)
