@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from merchantry.functions.regions import region_of
 from merchantry.operators import dimensions as d
-from merchantry.plans import models
+from merchantry.plans import increments, models
 from merchantry.registry.base import REGION_CASE, answer, register
 from merchantry.sources import retail
+from merchantry.sources.retail import table
+from merchantry.sources.store import scratch_path
 
 NAME = "first_name || ' ' || last_name AS full_name"
 
@@ -161,6 +163,29 @@ def _(spark, sf):
     return d.row_counts(models.declared("snowflake", models.snowflake(spark, sf)))
 
 
+def _grown(spark, sf, model):
+    """A model built without the last hundredth of the orders, and extended when they come."""
+    source, folder = scratch_path(spark, "growing"), scratch_path(spark, "grown")
+    for name in ("region", "nation", "customer", "part"):
+        table(spark, sf, name).write.parquet(f"{source}/{name}.parquet")
+    top = table(spark, sf, "orders").agg(F.max("o_orderkey")).first()[0]
+    for part in ("{0} <= {1}", "{0} > {1}"):
+        for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+            table(spark, sf, name).filter(part.format(key, int(top * 0.99))).write.mode("append").parquet(f"{source}/{name}.parquet")
+        tables = increments.update(spark, source, folder, model)
+    return increments.model_tables(model, tables)
+
+
+@register("dim_17_star_increment", answer(FACT + " location_id:i", "SELECT * FROM t_fact"))
+def _(spark, sf):
+    return _grown(spark, sf, "star")["fact_orders"]
+
+
+@register("dim_17_snowflake_increment", counts_sql(SNOW_COUNTS))
+def _(spark, sf):
+    return d.row_counts(_grown(spark, sf, "snowflake"))
+
+
 @register("dim_18_row_counts", counts_sql(FLAT_COUNTS))
 def _(spark, sf):
     return d.row_counts(t(spark, sf))

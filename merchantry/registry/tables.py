@@ -13,7 +13,7 @@ from merchantry.plans import models
 from merchantry.registry.base import answer, register
 from merchantry.registry.dimensional import FLAT_COUNTS, counts_sql
 from merchantry.operators.dimensions import row_counts
-from merchantry.sources import avro, files, retail, sinks
+from merchantry.sources import avro, files, retail, sinks, versions
 from merchantry.sources.store import scratch_path
 from merchantry.streaming import chunks
 
@@ -200,7 +200,10 @@ def _(spark, sf):
     """Footers of all tables, written by Spark with row groups of known sizes: one group per file of at most 1000 rows."""
     paths = {n: f"{scratch_path(spark, 'footers')}/{n}.parquet" for n in GIVEN}
     for n, path in paths.items():
-        table(spark, sf, n).coalesce(1).write.option("maxRecordsPerFile", 1000).parquet(path)
+        rows = table(spark, sf, n)
+        # a task has whole chunks of 1000 rows, but for the last
+        chunked = chunks.row_chunks(rows, rows.columns, 1000, "_chunk").repartition("_chunk").drop("_chunk")
+        chunked.write.option("maxRecordsPerFile", 1000).parquet(path)
     facts = _union([files.parquet_metadata(spark, path).withColumn("table_name", F.lit(n)) for n, path in paths.items()])
     return facts.groupBy("table_name").agg(
         F.sum("num_rows").alias("num_rows"), F.max("num_columns").alias("num_columns"), F.sum("num_row_groups").alias("num_row_groups")
@@ -298,6 +301,35 @@ def _(spark, sf):
     return files.read_parquet(spark, f"{folder}/orders").select("id", "user_id", "total")
 
 
+def _loaded(spark, sf):
+    """Users in one load and orders in one per status; one load is run twice, and one breaks before it commits."""
+    folder, tables = scratch_path(spark, "loads"), models.normalized(spark, sf)
+    users, orders = tables["users"], tables["orders"]
+    versions.load({"orders": orders.filter("status = 'F'"), "users": users}, folder, "users and F")
+    for load_id in ("O", "P", "O"):
+        versions.load({"orders": orders.filter(F.col("status") == load_id)}, folder, load_id)
+    versions.Versions(spark, folder).write("broken", "orders", orders)
+    return folder
+
+
+@register("snk_8_committed_loads", answer("id user_id total:d username", """
+    SELECT o.id, o.user_id, o.total, u.username FROM t_orders o LEFT JOIN t_users u ON o.user_id = u.id"""))
+def _(spark, sf):
+    """Each row once, though a load was repeated and another one broke."""
+    folder = _loaded(spark, sf)
+    users = versions.read(spark, folder, "users").select(F.col("id").alias("user_id"), "username")
+    return versions.read(spark, folder, "orders").select("id", "user_id", "total").join(users, "user_id", "left")
+
+
+@register("snk_8_load_log", answer("load_id place:i table_name row_count:i", """
+    SELECT 'users and F' AS load_id, 0 AS place, 'users' AS table_name, count(*) AS row_count FROM t_users
+    UNION ALL SELECT CASE status WHEN 'F' THEN 'users and F' ELSE status END, CASE status WHEN 'F' THEN 1 ELSE 0 END, 'orders', count(*)
+    FROM t_orders GROUP BY status"""))
+def _(spark, sf):
+    """Parents before children, each committed load once."""
+    return versions.loads(spark, _loaded(spark, sf))
+
+
 def _brand_rows(spark, sf, condition):
     return table(spark, sf, "part").filter(condition).select(F.col("p_brand").alias("brand"), "p_partkey", "p_type")
 

@@ -127,7 +127,12 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The ordered lines are written once; items are read from them.
     """
-    lines = id_by_order(table(spark, sf_dir, "lineitem"), LINE_ORDER, "id")
+    return numbered_items(table(spark, sf_dir, "lineitem"))
+
+
+def numbered_items(rows: DataFrame, first: int = 1) -> DataFrame:
+    """Order items of these lines, with ids from ``first``."""
+    lines = id_by_order(rows, LINE_ORDER, "id", first)
     quantity = F.col("l_quantity").cast("int")
     amount, rate = as_money("l_extendedprice"), as_money("l_discount", 4)
     price = half_up(cents(amount), quantity).cast("decimal(12,0)") * F.lit(Decimal("0.01"))
