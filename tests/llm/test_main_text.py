@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import types as T
@@ -79,6 +80,37 @@ def test_names_of_wrappers_and_articles(page):
     assert main_text.extract(page) == POST_TEXT
 
 
+PARA = "Some words of a paragraph that goes on for a while. " * 6
+SECTIONS = "".join(f"<section><h2>Part {k}</h2><p>{'Words of a section. ' * (k * k + 1)}</p></section>" for k in range(5))
+
+
+@pytest.mark.parametrize("page", [
+    # nothing but text
+    f"<body><div><p>{PARA}</p></div><div><p>{PARA}</p></div></body>",
+    f"<body><p>{PARA}<p>{PARA}<p>Short.<p>{PARA}</body>",
+    f"<main>{SECTIONS}</main>",
+    f"<body><div>{NAV}</div><div id=story><div>{LONG}</div><div>One.</div><div>Two.</div><div>Three.</div><div>{LONG}</div></div>{FOOT}</body>",
+    # elements left open before the text
+    f"<head><title>t</title><meta x><body><p>{PARA}</p></body>",
+    f"<head><title>t</title><p>{PARA}</p>",
+    f"<button>Go<article>{POST}</article>", f"<select><option>One<main>{POST}</main>",
+])
+def test_whole_texts(page):
+    shown = re.sub(r"<head>.*?</title>|<meta x>|<nav>.*?</nav>|<footer>.*?</footer>|<button>Go|<select><option>One", "", page)
+    assert main_text.extract(page) == " ".join(re.sub("<[^>]*>", " ", shown).split())
+
+
+@pytest.mark.parametrize("part", ["<div class=ad>", "<a <", "<article class=comment>", "<b>", "</b></i></x>", "<p><b>", "<!--", "<![", "<li><ul>", "<div><p>x</x>"])
+def test_deep_and_unfinished_pages(part):
+    """A hundred thousand tags take time in proportion."""
+    start = time.process_time()
+    sum(range(5_000_000))
+    unit = time.process_time() - start
+    start = time.process_time()
+    main_text.extract(f"<article><p>{LONG}</p></article>" + part * 100_000)
+    assert time.process_time() - start < max(10, 60 * unit)
+
+
 def test_short_items_of_a_list_stay_in_their_text():
     page = f"<article><p>{LONG}</p><ul><li>Milk</li><li>Two eggs</li><li>Salt</li></ul><p>{LONG}</p></article>"
     assert main_text.extract(page) == f"{LONG}Milk Two eggs Salt {LONG}".strip()
