@@ -23,6 +23,8 @@ SUPPORT = 5
 # initials of words count as entries as well: inflected and compound forms share them
 PREFIXES = (4, 5, 6, 7)
 ROUNDS = 25
+# rounds after which the voters' correlations are estimated again
+SHARES_EVERY = 4
 
 # fixed values: insults by language
 LEXICON = {
@@ -101,56 +103,118 @@ class Voters:
         return out
 
 
-def _dense(fired: Iterable[list[int]], width: int) -> np.ndarray:
-    rows = list(fired)
-    out = np.zeros((len(rows), width), np.float32)
-    for i, ids in enumerate(rows):
-        out[i, ids] = 1
-    return out
+class Votes:
+    """Who fires on which row: the voters' numbers row after row. Its room and its work grow with the votes, not with rows times voters."""
+
+    def __init__(self, ids: np.ndarray, starts: np.ndarray, width: int):
+        self.ids, self.starts, self.width = ids.astype(np.int64), starts.astype(np.int64), width
+        self.counts = np.diff(self.starts)
+        self.rows = np.repeat(np.arange(len(self.counts)), self.counts)
 
+    @classmethod
+    def of(cls, fired: Iterable[Iterable[int]], width: int) -> Votes:
+        rows = [np.asarray(ids, np.int64) for ids in fired]
+        return cls(np.concatenate([*rows, np.empty(0, np.int64)]), np.cumsum([0, *map(len, rows)]), width)
 
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    def __len__(self) -> int:
+        return len(self.counts)
+
+    def per_row(self, x: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, x[self.ids], len(self))
+
+    def per_voter(self, weight: np.ndarray) -> np.ndarray:
+        return np.bincount(self.ids, weight[self.rows], self.width)
+
+    def together(self, voters: np.ndarray, weight: np.ndarray, at_once: int = 1 << 20) -> np.ndarray:
+        """The weight of the rows on which each of ``voters`` fires together with each of all."""
+        place = np.full(self.width, -1)
+        place[voters] = np.arange(len(voters))
+        found = np.flatnonzero(place[self.ids] >= 0)
+        out = np.zeros(len(voters) * self.width)
+        ends = np.cumsum(self.counts[self.rows[found]])
+        for some in np.split(found, np.searchsorted(ends, np.arange(at_once, ends[-1] if len(ends) else 0, at_once))):
+            counts = self.counts[self.rows[some]]
+            skip = self.starts[self.rows[some]] - (np.cumsum(counts) - counts)
+            partners = np.repeat(skip, counts) + np.arange(counts.sum())
+            key = np.repeat(place[self.ids[some]] * self.width, counts) + self.ids[partners]
+            out += np.bincount(key, np.repeat(weight[self.rows[some]], counts), len(out))
+        return out.reshape(len(voters), self.width)
+
+
+def _rates(votes: Votes, weight: np.ndarray) -> np.ndarray:
+    return (votes.per_voter(weight) + 0.1) / (weight.sum() + 1.0)
+
+
+def _shares(votes: Votes, p: np.ndarray, cells: int = 1 << 21) -> np.ndarray:
+    """Each voter's part of its evidence: one by one plus its positive correlations, within the labels, with voters that fire with it."""
+    labels = []
+    for weight in (p, 1 - p):
+        part, rate = weight / max(weight.sum(), 1e-9), _rates(votes, weight)
+        own = votes.per_voter(part)
+        labels.append((part, rate, own, np.sqrt(np.maximum(own - 2 * rate * own + rate * rate, 1e-9))))
+    shared = np.zeros(votes.width)
+    size = max(1, cells // max(votes.width, 1))
+    for k in range(0, votes.width, size):
+        block = np.arange(k, min(k + size, votes.width))
+        spread, met = np.zeros((len(block), votes.width)), np.zeros((len(block), votes.width), bool)
+        for part, rate, own, scale in labels:
+            both = votes.together(block, part)
+            met |= both > 0
+            covariance = both - rate[block, None] * own - own[block, None] * rate + rate[block, None] * rate
+            spread += covariance / (scale[block, None] * scale) / 2
+        spread[~met] = 0
+        spread[np.arange(len(block)), block] = 0
+        shared[block] = np.maximum(spread, 0).sum(axis=1)
+    return 1 / (1 + shared)
+
+
+def label_model(votes: Votes, gold: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """The probability of label 1 per row, from voters of unknown accuracy and the given label as one more voter.
 
     Each voter fires with one probability under label 1 and another under label 0; expectation maximization
     estimates both. Voters that fire together more than the labels explain (initials and the words that have
-    them) share their weight: a voter's evidence is divided by one plus its positive correlations with others
-    within the labels, estimated in the same rounds.
+    them) share their weight, see ``_shares``; what voters share with the given label is their accuracy.
     """
-    m = np.column_stack([votes, gold]).astype(np.float32)
-    p = np.clip(gold.astype(np.float64), 0.05, 0.95)
-    for _ in range(rounds):
+    gold = gold.astype(np.float64)
+    p = np.clip(gold, 0.05, 0.95)
+    share = np.ones(votes.width)
+    for k in range(rounds):
+        if k % SHARES_EVERY == 0:
+            share = _shares(votes, p)
         prior = np.clip(p.mean(), 1e-3, 1 - 1e-3)
-        fires, spread = [], np.zeros((m.shape[1], m.shape[1]))
-        for weight in (p, 1 - p):
-            rate = (sum(weight[k : k + 1024] @ m[k : k + 1024] for k in range(0, len(m), 1024)) + 0.1) / (weight.sum() + 1.0)
-            covariance = np.zeros_like(spread)
-            for k in range(0, len(m), 1024):
-                centred = (m[k : k + 1024] - rate) * np.sqrt(weight[k : k + 1024] / max(weight.sum(), 1e-9))[:, None]
-                covariance += centred.T @ centred
-            scale = np.sqrt(np.maximum(np.diag(covariance), 1e-9))
-            spread += covariance / np.outer(scale, scale) / 2
-            fires.append(np.clip(rate, 1e-5, 1 - 1e-5))
-        np.fill_diagonal(spread, 0)
-        # the given label is the anchor: what voters share with it is their accuracy
-        spread[-1, :] = spread[:, -1] = 0
-        share = 1 / (1 + np.maximum(spread, 0).sum(axis=1))
-        one, zero = fires
+        one, zero = (np.clip(_rates(votes, w), 1e-5, 1 - 1e-5) for w in (p, 1 - p))
+        given_one, given_zero = (np.clip((w @ gold + 0.1) / (w.sum() + 1.0), 1e-5, 1 - 1e-5) for w in (p, 1 - p))
         fired, silent = share * np.log(one / zero), share * np.log((1 - one) / (1 - zero))
-        odds = np.concatenate([m[k : k + 1024] @ (fired - silent) for k in range(0, len(m), 1024)]) + np.log(prior / (1 - prior)) + silent.sum()
+        odds = votes.per_row(fired - silent) + silent.sum() + np.log(prior / (1 - prior))
+        odds += np.where(gold > 0, np.log(given_one / given_zero), np.log((1 - given_one) / (1 - given_zero)))
         p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return p
 
 
-def linear_fit(x: np.ndarray, p: np.ndarray, penalty: float = 0.5, rounds: int = 30) -> np.ndarray:
-    """Weights, the constant last, of a logistic regression on labels that are probabilities (Newton's method)."""
-    x = np.column_stack([x, np.ones(len(x))]).astype(np.float64)
-    ridge = np.full(x.shape[1], penalty)
-    ridge[-1] = 1e-3
-    w = np.zeros(x.shape[1])
+def linear_fit(votes: Votes, p: np.ndarray, penalty: float = 0.5, rounds: int = 30) -> np.ndarray:
+    """Weights, the constant last, of a logistic regression on labels that are probabilities.
+
+    Newton's method; each step is solved by conjugate gradients, which need products with the votes only.
+    """
+    ridge = np.append(np.full(votes.width, penalty), 1e-3)
+    w = np.zeros(votes.width + 1)
+    turned = lambda y: np.append(votes.per_voter(y), y.sum())
     for _ in range(rounds):
-        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (q * (1 - q) + 1e-6)[:, None]) + np.diag(ridge), x.T @ (q - p) + ridge * w)
+        q = 1 / (1 + np.exp(-np.clip(votes.per_row(w[:-1]) + w[-1], -30, 30)))
+        curve = q * (1 - q) + 1e-6
+        step, rest = np.zeros_like(w), turned(q - p) + ridge * w
+        scale = turned(curve) + ridge
+        way = ahead = rest / scale
+        size, goal = rest @ ahead, 1e-12 * max(rest @ ahead, 1e-12)
+        for _ in range(500):
+            if size <= goal:
+                break
+            bent = turned(curve * (votes.per_row(way[:-1]) + way[-1])) + ridge * way
+            far = size / (way @ bent)
+            step, rest = step + far * way, rest - far * bent
+            ahead = rest / scale
+            size, before = rest @ ahead, size
+            way = ahead + size / before * way
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -224,9 +288,11 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str =
     voters = Voters(list(dict.fromkeys(written + _mined(sample, ones, rows))))
     fired = add_from_text(sample, "text", "fired array<int>", lambda texts: {
         "fired": pa.array(voters.votes(texts), pa.list_(pa.int32()))})
-    got = fired.select("toxic", "fired").toArrow().to_pydict()
-    votes = _dense(got["fired"], len(voters))
-    posterior = label_model(votes, np.array(got["toxic"]) != 0)
+    got = fired.select("toxic", "fired").toArrow()
+    lists = got.column("fired").combine_chunks()
+    lists = lists if isinstance(lists, pa.ListArray) else pa.concat_arrays(lists.chunks)
+    votes = Votes(lists.flatten().to_numpy(), np.cumsum([0, *lists.value_lengths().to_pylist()]), len(voters))
+    posterior = label_model(votes, got.column("toxic").to_numpy() != 0)
     return Model(voters, linear_fit(votes, posterior))
 
 

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -82,6 +83,56 @@ def test_given_table(spark, sf_dir):
     out = toxicity.scored_documents(docs, labels)
     clean = out.join(labels.filter("toxic = 0"), "doc_id").filter("predicted = 1").count()
     assert out.count() == docs.count() and clean == 0
+    toxic = out.join(labels.filter("toxic = 1"), "doc_id").filter("held_out")
+    assert toxic.filter("predicted = 1").count() >= 0.9 * toxic.count()
+
+
+def of(table):
+    return toxicity.Votes.of([np.flatnonzero(row) for row in table], table.shape[1])
+
+
+def test_label_model_corrects_labels():
+    """One label in five is flipped: the voters know better."""
+    rnd = np.random.default_rng(5)
+    y = rnd.random(4000) < 0.3
+    votes = of(np.column_stack([np.where(rnd.random(4000) < 0.8, y, rnd.random(4000) < 0.1) for _ in range(8)]))
+    given = np.where(rnd.random(4000) < 0.8, y, ~y)
+    p = toxicity.label_model(votes, given)
+    assert ((p > 0.5) == y).mean() > 0.95 > (given == y).mean() + 0.1
+
+
+def test_correlations_are_those_of_all_pairs():
+    """Blocks of voters and parts of their rows add up to the whole table's correlations."""
+    rnd = np.random.default_rng(6)
+    table = rnd.random((300, 40)) < 0.2
+    table[:, 7], p = table[:, 3], rnd.random(300)
+    votes = of(table)
+    for weight in (p, 1 - p):
+        assert np.allclose(votes.together(np.arange(5, 20), weight, 1000), (table.T * weight @ table)[5:20])
+    assert np.allclose(toxicity._shares(votes, p, 100), toxicity._shares(votes, p))
+    assert toxicity._shares(votes, p)[7] < 0.55
+
+
+def test_linear_fit_is_the_minimum():
+    rnd = np.random.default_rng(7)
+    table, p = rnd.random((400, 30)) < 0.3, rnd.random(400)
+    w = toxicity.linear_fit(of(table), p)
+    x = np.column_stack([table, np.ones(400)])
+    ridge = np.append(np.full(30, 0.5), 1e-3)
+    assert np.abs(x.T @ (1 / (1 + np.exp(-x @ w)) - p) + ridge * w).max() < 1e-4
+
+
+def test_twenty_thousand_voters():
+    """The driver's algebra keeps to the votes: no table of rows by voters, none of voters by voters."""
+    rnd = np.random.default_rng(8)
+    y = rnd.random(20_000) < 0.2
+    votes = toxicity.Votes.of([np.unique(np.append(rnd.integers(0, 20_000, 20), rnd.integers(0, 200, 5) if t else [])).astype(int) for t in y], 20_000)
+    tracemalloc.start()
+    p = toxicity.label_model(votes, y, rounds=2)
+    w = toxicity.linear_fit(votes, p)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400e6 and ((votes.per_row(w[:-1]) + w[-1] > 0) == y).mean() > 0.95
 
 
 def test_label_model_shares_the_weight_of_copies():
@@ -90,6 +141,6 @@ def test_label_model_shares_the_weight_of_copies():
     y = rnd.random(2000) < 0.3
     right = [np.where(rnd.random(2000) < 0.9, y, rnd.random(2000) < 0.05) for _ in range(3)]
     noise = rnd.random(2000) < 0.3
-    votes = np.column_stack(right + [noise] * 10).astype(float)
+    votes = of(np.column_stack(right + [noise] * 10))
     p = toxicity.label_model(votes, np.where(rnd.random(2000) < 0.9, y, ~y))
     assert ((p > 0.5) == y).mean() > 0.95
