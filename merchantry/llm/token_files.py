@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gc
 import os
 import re
 import struct
@@ -145,8 +146,11 @@ class RankedWords:
 
     def encode(self, words: list[str]) -> list[bytes]:
         """The ids of each word; tokens never reach over the space that a word starts with, so their bytes add up to the words'."""
-        ids = np.asarray(self.encoding.encode_ordinary("".join(words)), "<u4")
-        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(w.encode()) for w in words])) + 1
+        text = "".join(words)
+        ids = np.asarray(self.encoding.encode_ordinary(text), "<u4")
+        # words end where the next one's space is
+        spaces = np.flatnonzero(np.frombuffer(text.encode(), np.uint8) == 32)
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.append(spaces[1:], len(text.encode()))) + 1
         data, cuts = ids.tobytes(), (4 * ends).tolist()
         return [data[a:b] for a, b in zip([0, *cuts], cuts)]
 
@@ -233,6 +237,7 @@ def write_ids(df: DataFrame, path: str, folder: str, id_column: str = "doc_id",
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)],
                                               ["part", "file", "before", "n_ids", "documents", "data"])
 
+        gc.disable()  # the cache holds hundreds of thousands of objects, none of them in cycles
         try:
             for batch in batches:
                 all_keys = batch.column(0).to_pylist()
@@ -248,6 +253,7 @@ def write_ids(df: DataFrame, path: str, folder: str, id_column: str = "doc_id",
             if held:
                 yield closed()
         finally:
+            gc.enable()
             release()
 
     ranged.mapInArrow(run, FILES).write.parquet(folder)
