@@ -86,6 +86,19 @@ def _packed(ids: np.ndarray) -> list[bytes]:
     return parts
 
 
+def _unpacked(data: np.ndarray, width: int) -> np.ndarray:
+    """The values of blocks, a row of bytes each: up to 25 bits lie in four bytes that follow each other."""
+    if width > 25:
+        bits = np.unpackbits(data, axis=1, bitorder="little").reshape(len(data), BLOCK, width)
+        return bits @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
+    at = np.arange(BLOCK) * width
+    wide = np.pad(data, ((0, 0), (0, 4)))
+    four = np.zeros((len(data), BLOCK), np.uint32)
+    for k in range(4):
+        four |= wide[:, (at >> 3) + k].astype(np.uint32) << np.uint32(8 * k)
+    return four >> (at & 7).astype(np.uint32) & np.uint32((1 << width) - 1)
+
+
 class Reader:
     """A file's document lengths, and any range of its ids through the index."""
 
@@ -115,8 +128,7 @@ class Reader:
         for w in np.unique(widths):
             rows, size = np.flatnonzero(widths == w), BLOCK * int(w) // 8
             data = raw[(at[rows] + BLOCK_HEAD.size)[:, None] + np.arange(size)]
-            bits = np.unpackbits(data, axis=1, bitorder="little").reshape(len(rows), BLOCK, int(w))
-            out[rows] = bits @ (np.uint32(1) << np.arange(w, dtype=np.uint32)) if w else 0
+            out[rows] = _unpacked(data, int(w))
         for k, (least, w, count) in enumerate(heads):
             if count:
                 places = at[k] + BLOCK_HEAD.size + BLOCK * w // 8
@@ -169,20 +181,20 @@ def _word_cache(path: str, ranks: str | None) -> Cache:
     def fill(words: list[str]) -> list[bytes]:
         """Latin words by ranks, others without further white space as the lines of a text: the tokenizer never joins a line end to a word."""
         out: dict[str, bytes] = {}
-        latin = [w for w in words if _LATIN.fullmatch(w)] if ranks else []
-        if latin:
-            out.update(zip(latin, _ranked(ranks).encode(latin)))
-        lines = [w for w in words if w not in out and _LINE.fullmatch(w)]
+        rest = [w for w in words if not _LATIN.fullmatch(w)] if ranks else words
+        lines = [w for w in rest if _LINE.fullmatch(w)]
         for k in range(0, len(lines), 256):
             some = lines[k : k + 256]
             ids = np.array(tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(ids == end[0]).tolist()
             data = ids.tobytes()
             out.update((w, data[4 * a : 4 * b]) for w, a, b in zip(some, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]))
-        others = [w for w in words if w not in out]
+        others = [w for w in rest if w not in out]
         found = tokenizer.encode_batch_fast(others, add_special_tokens=False)
         out.update((w, np.array(f.ids, "<u4").tobytes()) for w, f in zip(others, found))
-        return [out[w] for w in words]
+        latin = [w for w in words if w not in out]
+        ranked = iter(_ranked(ranks).encode(latin) if latin else ())
+        return [out[w] if w in out else next(ranked) for w in words]
 
     return Cache(fill)
 
@@ -275,10 +287,10 @@ def read_ids(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame:
                 stops = np.cumsum(reader.lengths)
                 starts = stops - reader.lengths
                 whole = reader.ids()
-                each = [whole[a:b].astype("<u4") for a, b in zip(starts, stops)]
+                each = [whole[a:b] for a, b in zip(starts, stops)]
                 keys = pa.ipc.open_stream(documents).read_all().column("doc_id").combine_chunks()
                 columns = [keys, pa.array(starts + start), pa.array(reader.lengths),
-                           pa.array([zlib.crc32(e.tobytes()) for e in each], pa.int64())]
+                           pa.array([zlib.crc32(np.ascontiguousarray(e, "<u4")) for e in each], pa.int64())]
                 names = ["doc_id", "start", "n_tokens", "ids_crc32"]
                 if ids:
                     columns.append(pa.array([e.astype(np.int32) for e in each], pa.list_(pa.int32())))
