@@ -14,7 +14,7 @@ from merchantry.registry.base import answer, register
 from merchantry.registry.dimensional import FLAT_COUNTS, counts_sql
 from merchantry.operators.dimensions import row_counts
 from merchantry.sources import avro, files, retail, sinks, versions
-from merchantry.sources.store import scratch_path
+from merchantry.sources.store import at_once, scratch_path
 from merchantry.streaming import chunks
 
 GIVEN = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -199,11 +199,14 @@ def _(spark, sf):
 def _(spark, sf):
     """Footers of all tables, written by Spark with row groups of known sizes: one group per file of at most 1000 rows."""
     paths = {n: f"{scratch_path(spark, 'footers')}/{n}.parquet" for n in GIVEN}
-    for n, path in paths.items():
+
+    def write(n, path):
         rows = table(spark, sf, n)
         # a task has whole chunks of 1000 rows, but for the last
         chunked = chunks.row_chunks(rows, rows.columns, 1000, "_chunk").repartition("_chunk").drop("_chunk")
         chunked.write.option("maxRecordsPerFile", 1000).parquet(path)
+
+    at_once([lambda n=n, path=path: write(n, path) for n, path in paths.items()])
     facts = _union([files.parquet_metadata(spark, path).withColumn("table_name", F.lit(n)) for n, path in paths.items()])
     return facts.groupBy("table_name").agg(
         F.sum("num_rows").alias("num_rows"), F.max("num_columns").alias("num_columns"), F.sum("num_row_groups").alias("num_row_groups")
