@@ -58,6 +58,18 @@ def test_latin_words_by_ranks(words):
     test_bytes_as_the_library.hypothesis.inner_test(" ".join(f"{w}\n{w}" for w in words))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(list(" \n'streadlvm.9²ªßé")), st.characters(min_codepoint=32, max_codepoint=0x24F)), max_size=80))
+def test_latin_texts_by_ranks(text):
+    test_bytes_as_the_library.hypothesis.inner_test(text)
+
+
+@pytest.mark.parametrize("text", [" " * 300_000, "x" * 300_000, "\n" * 300_000, "a " * 200_000, ("ab" * 100 + " \n") * 2000, " " * 16 + "x" * 257])
+def test_long_runs_by_ranks(text):
+    """Gaps and words without end don't reach the ranks' pattern, whose stack they would exceed."""
+    test_bytes_as_the_library.hypothesis.inner_test(text)
+
+
 @pytest.mark.parametrize("text", ODD)
 def test_odd_texts(text):
     test_pieces_as_the_library.hypothesis.inner_test(text)
