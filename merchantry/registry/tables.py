@@ -39,6 +39,23 @@ def _(spark, sf):
     return files.read_csv(spark, path, multi_line=False)  # no line breaks in the names
 
 
+@register("src_1_csv_cells", """
+    SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'BIGINT' WHEN 1 THEN 'DOUBLE' WHEN 2 THEN 'STRING' END AS kind,
+        CASE c_custkey % 4 WHEN 0 THEN c_custkey WHEN 1 THEN CAST(c_acctbal AS DOUBLE) END AS number,
+        CASE c_custkey % 4 WHEN 2 THEN c_name END AS label FROM customer""")
+def _(spark, sf):
+    """A column of whole numbers, numbers, texts and empty cells, each cell with a type of its own."""
+    key, balance, path = F.col("c_custkey"), F.col("c_acctbal").cast("double"), scratch_path(spark, "cells")
+    mixed = F.when(key % 4 == 0, key.cast("string")).when(key % 4 == 1, balance.cast("string")).when(key % 4 == 2, F.col("c_name"))
+    sinks.write_csv(table(spark, sf, "customer").select(key, mixed.alias("mixed")), path)
+    cells = files.typed_cells(files.read_csv_text(spark, path))
+    kind = F.schema_of_variant("mixed")
+    return cells.select(
+        F.variant_get("c_custkey", "$", "bigint").alias("c_custkey"), kind.alias("kind"),
+        F.when(kind != "STRING", F.try_variant_get("mixed", "$", "double")).alias("number"),
+        F.when(kind == "STRING", F.variant_get("mixed", "$", "string")).alias("label"))
+
+
 @register("src_2_csv_text", answer(
     "p_partkey p_name p_brand p_size", "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, CAST(p_size AS VARCHAR) AS p_size FROM part"))
 def _(spark, sf):
@@ -221,6 +238,20 @@ def _(spark, sf):
     return files.unnest_pages(spark, path, "users", customers.schema)
 
 
+@register("src_15_pages_in_order", answer(CUSTOMER, """
+    SELECT * FROM (SELECT *, row_number() OVER (ORDER BY c_custkey) - 1 AS place FROM customer) AS c
+    WHERE place < (SELECT count(*) FROM customer) // 200 * 100 + 50"""))
+def _(spark, sf):
+    """Landed pages of 100 records, the middle one cut in half: what lies behind it is not read."""
+    path, customers = scratch_path(spark, "pages"), table(spark, sf, "customer")
+    middle = customers.agg(F.call_function("div", F.count("*"), F.lit(200))).scalar()
+    numbered = id_by_key(customers, "c_custkey", "_n", first=0).withColumn("_page", F.call_function("div", "_n", F.lit(100)))
+    landed = numbered.filter((F.col("_page") != middle) | (F.col("_n") % 100 < 50))
+    pages = landed.groupBy("_page").agg(F.collect_list(F.struct(*customers.columns)).alias("users"))
+    pages.select("users", (F.col("_page") * 100).alias("skip")).write.json(path)
+    return files.unnest_pages_in_order(spark, path, "users", customers.schema, 100)
+
+
 @register("src_16_full_scan", answer("s_suppkey s_name s_nationkey:i s_acctbal:d", "SELECT * FROM supplier"))
 def _(spark, sf):
     table(spark, sf, "supplier").createOrReplaceTempView("merchantry_supplier")
@@ -422,6 +453,24 @@ def _(spark, sf):
         F.count("*").alias("row_count"), F.min("o_orderkey").alias("first_key"), F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("total"))
 
 
+@register("str_1_chunk_work", answer("chunk:i row_count:i first_key:i last_key:i dearest_at:i", f"""
+    SELECT chunk, count(*) AS row_count, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key,
+        max(CASE WHEN dear = 1 THEN place END) AS dearest_at
+    FROM (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY o_orderkey) - 1 AS place,
+        row_number() OVER (PARTITION BY chunk ORDER BY o_totalprice DESC, o_orderkey) AS dear FROM ({CHUNKED_SQL}) AS c) AS d
+    GROUP BY chunk"""))
+def _(spark, sf):
+    """A function that gets each chunk of 1000 orders in order: its ends and the place of its dearest order."""
+    def ends(rows, number):
+        keys, prices = rows["o_orderkey"], rows["o_totalprice"].astype(float)
+        return rows.head(1).assign(
+            chunk=number, row_count=len(rows), first_key=keys.iloc[0], last_key=keys.iloc[-1], dearest_at=int(prices.argmax())
+        )[["chunk", "row_count", "first_key", "last_key", "dearest_at"]]
+
+    schema = "chunk long, row_count long, first_key long, last_key long, dearest_at long"
+    return chunks.map_rows(table(spark, sf, "orders"), ["o_orderkey"], ends, schema, CHUNK_ROWS)
+
+
 @register("str_1_file_stream", answer(DATED_ORDER, "SELECT * FROM orders"))
 def _(spark, sf):
     """A stream over files, one file per micro-batch, until all are read."""

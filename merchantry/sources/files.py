@@ -51,6 +51,20 @@ def typed_columns(df: DataFrame) -> DataFrame:
     return cleaned.select(*columns)
 
 
+def typed_cells(df: DataFrame) -> DataFrame:
+    """Text columns as VARIANT, typed cell by cell: a whole number (bigint, else decimal), else a double, else the text.
+
+    Empty text is null. No pass over the data is needed, and one odd cell does not turn its column into text.
+    """
+    def cell(name: str) -> Column:
+        v = F.nullif(F.col(name), F.lit(""))
+        whole, number = v.rlike(WHOLE), v.rlike(NUMBER)
+        kinds = [(whole, "bigint"), (whole, "decimal(38,0)"), (number, "double")]
+        return F.coalesce(*[F.when(test, v.try_cast(kind)).cast("variant") for test, kind in kinds], v.cast("variant"))
+
+    return df.select(*[cell(f"`{c}`").alias(c) for c in df.columns])
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
     """CSV with a header row; types from ``schema`` or from the values. Empty cells are null."""
     if schema is None:
@@ -204,3 +218,19 @@ def unnest_pages(spark: SparkSession, path: str, entity: str, schema: T.StructTy
     """Records of landed pages ``{entity: [record, ...]}``; pages without the entity count as empty."""
     page = T.StructType([T.StructField(entity, T.ArrayType(schema))])
     return spark.read.schema(page).json(path).select(F.explode(entity).alias("r")).select("r.*")
+
+
+def unnest_pages_in_order(spark: SparkSession, path: str, entity: str, schema: T.StructType, limit: int) -> DataFrame:
+    """Records of landed pages ``{entity: [record, ...], skip: n}`` as one sees them who asks for page after page.
+
+    Pages count from ``skip`` 0 in steps of ``limit`` up to the first one with fewer than ``limit`` records, which still counts;
+    what lies behind it does not. A missing page and one without the entity are short ones. Pages off the steps or without ``skip``
+    are left out, and a page that landed twice is read twice. Only the numbers of the full pages are shuffled.
+    """
+    page = T.StructType([T.StructField(entity, T.ArrayType(schema)), T.StructField("skip", T.LongType())])
+    pages = spark.read.schema(page).json(path).filter(F.col("skip") >= 0).filter(F.col("skip") % limit == 0)
+    full = pages.filter(F.size(entity) >= limit).select("skip")
+    # a page is asked for if it is the first or follows a full one; the first of them that is not full is the last one read
+    asked = full.select((F.col("skip") + limit).alias("skip")).union(spark.range(1).select(F.lit(0).cast("bigint").alias("skip")))
+    last = asked.join(full, "skip", "left_anti").agg(F.min("skip"))
+    return pages.filter(F.col("skip") <= last.scalar()).select(F.explode(entity).alias("r")).select("r.*")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from merchantry.functions.numbering import id_by_order
 from merchantry.sources.files import CSV_OPTIONS, parse_json_lines
 from merchantry.sources.store import scratch_path
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 ROWS = 1000
 
 
@@ -25,16 +29,69 @@ def row_chunks(df: DataFrame, order: list[str], rows: int = ROWS, name: str = "c
     return numbered.withColumn(name, F.call_function("div", "_row", F.lit(rows))).drop("_row")
 
 
-def for_each_rows(df: DataFrame, order: list[str], handle: Callable[[DataFrame, int], None], rows: int = ROWS) -> int:
-    """Call ``handle(rows, number)`` chunk by chunk, in order; returns the number of chunks."""
-    chunked = row_chunks(df, order, rows, "_chunk")
+class _Place:
+    """How many chunks are done, as the name of an empty file in a folder of any store."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._path = lambda *names: spark._jvm.org.apache.hadoop.fs.Path("/".join([folder, *names]))
+        self._files = self._path().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def done(self) -> int:
+        if not self._files.exists(self._path()):
+            return 0
+        return max((int(status.getPath().getName()) for status in self._files.listStatus(self._path())), default=0)
+
+    def reach(self, number: int) -> None:
+        self._files.create(self._path(str(number)), True).close()
+        self._files.delete(self._path(str(number - 1)), False)
+
+
+def _kept_chunks(df: DataFrame, order: list[str], rows: int, folder: str) -> DataFrame:
+    """The numbered rows as an earlier run has written them to ``folder``, else written now."""
+    spark = df.sparkSession
+    whole = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    if not whole.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(whole):
+        row_chunks(df, order, rows, "_chunk").write.mode("overwrite").parquet(folder)
+    return spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_chunk", T.LongType())])).parquet(folder)
+
+
+def for_each_rows(
+    df: DataFrame, order: list[str], handle: Callable[[DataFrame, int], None], rows: int = ROWS, checkpoint: str | None = None,
+) -> int:
+    """Call ``handle(rows, number)`` chunk by chunk, in order; returns the number of chunks. A chunk is a job: for consumers that
+    need one after the other. ``map_rows`` works on all chunks at once.
+
+    With a folder ``checkpoint`` the rows, cut into chunks, and the number of finished ones are kept there. A run with the same
+    folder goes on after the last finished chunk, with the same rows and chunk size, whatever ``df`` holds by then; ``handle`` may
+    see a chunk twice after a failure.
+    """
+    chunked = _kept_chunks(df, order, rows, f"{checkpoint}/rows") if checkpoint else row_chunks(df, order, rows, "_chunk")
+    place = _Place(df.sparkSession, f"{checkpoint}/done") if checkpoint else None
     last = chunked.agg(F.max("_chunk")).first()[0]
     count = 0 if last is None else last + 1
-    for number in range(count):
+    for number in range(place.done() if place else 0, count):
         handle(chunked.filter(F.col("_chunk") == number).drop("_chunk"), number)
+        if place:
+            place.reach(number + 1)
     return count
 
 
+def map_rows(
+    df: DataFrame, order: list[str], work: Callable[[pd.DataFrame, int], pd.DataFrame], schema: str | T.StructType, rows: int = ROWS,
+) -> DataFrame:
+    """The rows that ``work(rows, number)`` makes of each chunk, all chunks in one job.
+
+    ``work`` runs in the executors on a pandas frame of at most ``rows`` rows in the order of the columns ``order``, indexed from
+    0. A task holds one chunk at a time, so its memory depends on ``rows`` only; the chunks of a lost task are worked on again.
+    No rows, no chunk.
+    """
+    def chunk(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return work(frame.sort_values("_row").drop(columns="_row").reset_index(drop=True), int(key[0]))
+
+    numbered = id_by_order(df, order, "_row", first=0)
+    return numbered.groupBy(F.call_function("div", "_row", F.lit(rows)).alias("_chunk")).applyInPandas(chunk, schema)
+
+
 OPTIONS = {"csv": {**CSV_OPTIONS, "multiLine": "true"}}
 
 

@@ -249,3 +249,69 @@ def test_chunks_of_rows(spark):
     ordered = sorted(data)
     assert n == 4 and seen == [(c, ordered[c * 300 : c * 300 + 300]) for c in range(4)]
     assert chunks.for_each_rows(df.limit(0), ["k"], lambda rows, number: seen.append(number)) == 0
+
+
+def test_chunks_go_on_after_a_failure(spark, tmp_path):
+    from merchantry.streaming import chunks
+
+    df, seen, folder = spark.range(1000).repartition(5), [], str(tmp_path / "checkpoint")
+
+    def handle(rows, number):
+        found = sorted(r.id for r in rows.collect())
+        if number == 2 and not broken:
+            broken.append(number)
+            raise RuntimeError("stopped")
+        seen.append((number, found[0], found[-1]))
+
+    broken = []
+    with pytest.raises(RuntimeError, match="stopped"):
+        chunks.for_each_rows(df, ["id"], handle, 300, folder)
+    assert [n for n, *_ in seen] == [0, 1]
+    # the rows are those of the first run, and so is the size of a chunk
+    assert chunks.for_each_rows(df.filter("id > 500"), ["id"], handle, 100, folder) == 4
+    assert seen == [(0, 0, 299), (1, 300, 599), (2, 600, 899), (3, 900, 999)]
+    assert chunks.for_each_rows(df, ["id"], handle, 300, folder) == 4 and len(seen) == 4
+
+
+def test_work_on_chunks_in_one_job(spark):
+    from merchantry.streaming import chunks
+
+    data = [(i % 7, None if i % 11 == 0 else f"v{i}") for i in range(1000)] + [(None, "x")] * 5 + [(3, "same")] * 400
+    df = spark.createDataFrame(data, "k long, v string").repartition(5)
+
+    def ends(rows, number):
+        assert list(rows.index) == list(range(len(rows)))
+        return rows.head(1).assign(number=number, size=len(rows))[["number", "size", "k"]]
+
+    got = sorted(tuple(r) for r in chunks.map_rows(df, ["k", "v"], ends, "number long, size long, k long", 300).collect())
+    ordered = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0))
+    assert [g[:2] for g in got] == [(0, 300), (1, 300), (2, 300), (3, 300), (4, 205)]
+    assert [g[2] for g in got] == [ordered[n * 300][0] for n in range(5)]
+    assert chunks.map_rows(df.limit(0), ["k"], ends, "number long, size long, k long").count() == 0
+
+
+def test_pages_end_at_the_first_short_one(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType())])
+
+    def read(pages):
+        path = tmp_path / f"pages-{len(list(tmp_path.iterdir()))}"
+        path.mkdir()
+        for n, page in enumerate(pages):
+            (path / f"{n}.json").write_text(json.dumps(page))
+        return sorted(r.id for r in files.unnest_pages_in_order(spark, str(path), "users", schema, 2).collect())
+
+    def page(skip, *ids):
+        return {"users": [{"id": i} for i in ids], "skip": skip}
+
+    assert read([page(2, 3, 4), page(0, 1, 2), page(4, 5), page(6, 7, 8)]) == [1, 2, 3, 4, 5]
+    assert read([page(0, 1, 2), page(2, 3, 4), page(6, 7, 8)]) == [1, 2, 3, 4]  # a missing page
+    assert read([page(0, 1, 2), {"skip": 2}, page(4, 5, 6)]) == [1, 2]
+    assert read([page(2, 3, 4)]) == [] and read([page(0, 1)]) == [1] and read([page(0, 1, 2)]) == [1, 2]
+    assert read([page(0, 1, 2), page(1, 9, 9), page(2), {"users": [{"id": 8}]}]) == [1, 2]
+
+
+def test_cells_have_their_own_types(spark):
+    df = spark.createDataFrame([("1",), ("2.5",), ("x",), ("",), (None,), (" 7 ",), ("99999999999999999999",), ("1e3",), ("1_0",)], "a string")
+    kinds = files.typed_cells(df).selectExpr("schema_of_variant(a) AS k", "CAST(a AS string) AS v").collect()
+    assert [r.k for r in kinds] == ["BIGINT", "DOUBLE", "STRING", None, None, "BIGINT", "DECIMAL(20,0)", "DOUBLE", "STRING"]
+    assert [r.v for r in kinds] == ["1", "2.5", "x", None, None, "7", "99999999999999999999", "1000.0", "1_0"]
