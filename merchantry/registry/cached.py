@@ -8,6 +8,8 @@ from merchantry.operators import cache
 from merchantry.plans import models
 from merchantry.registry.base import answer, register
 from merchantry.sources import retail
+from merchantry.sources.buckets import Buckets
+from merchantry.sources.store import scratch_path
 
 NOON, LATER, NEXT_DAY = "2025-01-01 12:00:00", "2025-01-01 12:45:00", "2025-01-02 11:59:59"
 
@@ -136,3 +138,30 @@ def _(spark, sf):
     """One of the three tables is missing and is skipped."""
     loaded = cache.load({**_entities(spark, sf), "order": None}, NOON)
     return loaded.groupBy("entity").agg(F.count("*").alias("n"), F.min("expires_at").alias("first_expiry"))
+
+
+@register("kv_2_put_buckets", answer("key label expires_at:ts", f"""
+    SELECT 'user:' || id AS key, CASE WHEN age > 70 THEN 'renamed ' || username ELSE username END AS label,
+        CASE WHEN age > 70 THEN TIMESTAMP '{LATER}' ELSE TIMESTAMP '{NOON}' END + INTERVAL 1 HOUR AS expires_at
+    FROM t_users WHERE id <> 0 AND (age > 80) IS NOT TRUE"""))
+def _(spark, sf):
+    """A stored snapshot: all users, changed ones over them, some deleted; the change is sent again and not applied twice."""
+    ages = models.normalized(spark, sf)["users"].select("id", "age")
+    users = _entities(spark, sf)["user"]
+    changed = users.join(ages.filter("age > 70"), "id").drop("age").withColumn("username", F.concat(F.lit("renamed "), "username"))
+    stored = Buckets(spark, scratch_path(spark, "buckets"), 32)
+    stored.put(cache.entries(users, "user", NOON), "all", NOON)
+    stored.put(cache.entries(changed, "user", LATER), "changed", LATER)
+    stored.delete(_banned(spark, sf), "banned", LATER)
+    stored.put(cache.entries(changed, "user", LATER), "changed", LATER)
+    return stored.live(LATER).select("key", label(), "expires_at")
+
+
+@register("kv_3_get_buckets", answer("key label", f"""
+    SELECT key, label FROM ({ENTRIES}) AS e WHERE entity = 'user' AND id IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')"""))
+def _(spark, sf):
+    """The users of open orders from a stored snapshot."""
+    stored = Buckets(spark, scratch_path(spark, "buckets"), 32)
+    stored.put(snapshot(spark, sf), "all", NOON)
+    open_orders = retail.table(spark, sf, "orders").filter("o_orderstatus = 'P'")
+    return stored.get_many(open_orders.select(F.concat(F.lit("user:"), F.col("o_custkey").cast("string")).alias("key")), LATER).select("key", label())

@@ -77,20 +77,23 @@ class Versions:
             if self._publish(state):
                 return True
 
-    def write(self, load_id: str, name: str, df: DataFrame) -> tuple[dict, int]:
-        """Write rows that no version shows yet: what ``add`` and ``replace`` take, and their number."""
+    def write(self, load_id: str, name: str, df: DataFrame, by: str = MONTH) -> tuple[dict, int]:
+        """Write rows that no version shows yet: what ``add`` and ``replace`` take, and their number.
+
+        If there is a column ``by``, each of its values is a part of its own.
+        """
         place = f"data/{name}/{LOAD}={re.sub('[^A-Za-z0-9_.-]', '_', load_id)}-{uuid.uuid4().hex[:8]}"
         seen = Observation()
         rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        if MONTH in df.columns:
-            # large months are split over tasks, small ones share files
-            rows.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(f"{self.folder}/{place}")
-            parts = [f"{place}/{n}" for n in self._names(place) if n.startswith(MONTH)]
+        if by in df.columns:
+            # large values are split over tasks, small ones share files
+            rows.hint("rebalance", by).write.partitionBy(by).parquet(f"{self.folder}/{place}")
+            parts = [f"{place}/{n}" for n in self._names(place) if n.startswith(f"{by}=")]
         else:
             rows.write.parquet(f"{self.folder}/{place}")
             parts = [place]
         plain = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
-        return {"schema": json.loads(plain.json()), "parts": parts}, seen.get["rows"]
+        return {"schema": json.loads(plain.json()), "parts": parts}, seen.get["rows"] if parts else 0
 
     def read(self, name: str, state: dict | None = None, parts: list[str] | None = None) -> DataFrame:
         """A table as of a version (the newest): all its parts, or some of them; months are partitions."""
