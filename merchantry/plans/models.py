@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchantry import schemas
-from merchantry.operators import dimensions, documents
+from merchantry.operators import bitmaps, dimensions, documents
 from merchantry.plans.common import ORDER_SUMS, calendar, order_sums
 from merchantry.sources import retail
 from merchantry.sources.store import MONTH, Keep, stored
@@ -41,3 +41,14 @@ def snowflake(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def collections(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return stored(spark, sf_dir, "documents", lambda keep: documents.denormalize(normalized(spark, sf_dir)))
+
+
+def customer_sets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The customers with orders as bitmaps per month, region and state, from the stored star."""
+    def build(keep: Keep) -> dict[str, DataFrame]:
+        m = star(spark, sf_dir)
+        places = m["dim_location"].select("location_id", "region", "state")
+        sold = order_sums(m).select("user_id", "location_id", MONTH).join(places, "location_id", "left")
+        return {"customers": bitmaps.bitmaps(sold, "user_id", MONTH, "region", "state")}
+
+    return stored(spark, sf_dir, "customer_sets", build)

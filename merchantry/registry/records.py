@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money, percent_of
 from merchantry.functions.text import concat_skip_nulls, display_name, slug
-from merchantry.operators import normalize, records
+from merchantry.operators import bitmaps, hierarchy, normalize, records
 from merchantry.plans import models, snowy
 from merchantry.plans.common import best
 from merchantry.registry.base import answer, mean, percent, register
@@ -225,6 +225,31 @@ def _(spark, sf):
     return out
 
 
+CUSTOMER_LEVELS = {
+    "month": ["month_id"], "state": ["region", "state"], "region": ["region"], "region and month": ["region", "month_id"], "all": [],
+}
+
+
+@register("agg_2_customers_by_level", answer("level month_id:i region state customers:i", """
+    WITH sold AS (SELECT year(o.order_date) * 100 + month(o.order_date) AS month_id, l.region, l.state, o.user_id FROM t_orders o
+        JOIN (SELECT DISTINCT order_id FROM t_items) AS i ON o.id = i.order_id LEFT JOIN t_places p ON o.user_id = p.user_id
+        LEFT JOIN t_locations l ON p.location_id = l.location_id)
+    """ + " UNION ALL ".join(
+    f"SELECT '{level}' AS level, " + ", ".join(
+        f"{c if c in keys else 'NULL'} AS {c}" for c in ("month_id", "region", "state")
+    ) + ", count(DISTINCT user_id) AS customers FROM sold" + (f" GROUP BY {', '.join(keys)}" if keys else "")
+    for level, keys in CUSTOMER_LEVELS.items())))
+def _(spark, sf):
+    """Distinct customers per month, place and both, merged from one stored table of bitmaps."""
+    sets = models.customer_sets(spark, sf)["customers"]
+    out = None
+    for level, keys in CUSTOMER_LEVELS.items():
+        rest = [F.lit(None).cast(sets.schema[c].dataType).alias(c) for c in ("month_id", "region", "state") if c not in keys]
+        rows = bitmaps.counted(sets, "customers", *keys).select(F.lit(level).alias("level"), *keys, *rest, "customers")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register("join_1_inner", answer("id category", "SELECT p.id, c.name AS category FROM t_products p JOIN t_categories c ON p.category_id = c.id"))
 def _(spark, sf):
     tables = t(spark, sf)
@@ -251,6 +276,45 @@ def _(spark, sf):
     return snowy.categories_with_parent({**m, "dim_categories": tree}).drop("category_slug")
 
 
+# the categories as a chain, each below the one before; 6 and 7 name each other
+TREE_SQL = "SELECT id, name, CASE WHEN id = 6 THEN 7 WHEN id > 1 THEN id - 1 END AS parent_id FROM t_categories"
+ROOTS_SQL = f"""
+    WITH RECURSIVE tree AS ({TREE_SQL}), found AS (
+        SELECT id, id AS root, 0 AS depth FROM tree WHERE parent_id IS NULL OR parent_id NOT IN (SELECT id FROM tree)
+        UNION ALL SELECT tree.id, found.root, found.depth + 1 FROM tree JOIN found ON tree.parent_id = found.id)
+    SELECT tree.id AS category_id, tree.name AS category_name, root, depth, root IS NULL AS in_cycle
+    FROM tree LEFT JOIN found ON tree.id = found.id"""
+
+
+def _category_roots(m):
+    tree = m["dim_categories"].withColumn(
+        "parent_category_id", F.expr("CASE WHEN category_id = 6 THEN 7 WHEN category_id > 1 THEN category_id - 1 END")
+    )
+    return hierarchy.roots(tree, "category_id", "parent_category_id")
+
+
+@register("join_4_category_roots", answer("category_id:i category_name root:i depth:i in_cycle:b", ROOTS_SQL))
+def _(spark, sf):
+    """Root and depth of every category of a tree of any depth that holds a cycle."""
+    m = models.snowflake(spark, sf)
+    return _category_roots(m).join(m["dim_categories"].select("category_id", "category_name"), "category_id")
+
+
+@register("join_4_sales_by_root", answer("root:i categories:i depth:i total_revenue:d", f"""
+    SELECT root, count(*) AS categories, max(depth) AS depth, sum(revenue) AS total_revenue FROM ({ROOTS_SQL}) AS r LEFT JOIN (
+        SELECT p.category_id AS sold_id, sum(f.total_amount) AS revenue FROM t_fact f JOIN t_products p ON f.product_id = p.id
+        GROUP BY p.category_id) AS s ON r.category_id = s.sold_id GROUP BY root"""))
+def _(spark, sf):
+    """Sales of whole category trees; what has no root shares a row."""
+    m = models.snowflake(spark, sf)
+    sold = m["fact_orders"].groupBy("product_id").agg(F.sum("total_amount").alias("revenue")).join(
+        m["dim_products"].select("product_id", "category_id"), "product_id"
+    ).groupBy("category_id").agg(F.sum("revenue").alias("revenue"))
+    return _category_roots(m).join(sold, "category_id", "left").groupBy("root").agg(
+        F.count("*").alias("categories"), F.max("depth").alias("depth"), F.sum("revenue").alias("total_revenue")
+    )
+
+
 @register("join_5_semi", answer("id total:d", """
     SELECT id, total FROM t_orders WHERE id IN (SELECT order_id FROM t_items WHERE discount_percentage = 10)"""))
 def _(spark, sf):
