@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,3 +82,9 @@ def mean_line(total_name: str, name: str) -> Column:
 def calendar(dates: DataFrame, *columns: str) -> DataFrame:
     """Calendar columns for a map-side join: at most 366 rows per year of the calendar."""
     return F.broadcast(dates.select("date_id", *columns))
+
+
+def months_of(df: DataFrame) -> list[int]:
+    """The months that a stored table has files of, newest first, from the names of the files."""
+    found = {m.group(1) for m in (re.search(rf"/{MONTH}=(\d+)/", name) for name in df.inputFiles()) if m}
+    return sorted(map(int, found), reverse=True)

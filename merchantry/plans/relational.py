@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from merchantry.functions.money import mean_money
 from merchantry.functions.text import concat_skip_nulls
 from merchantry.plans.common import best, distinct, mean_of, mean_parts, ranked, top, total
+from merchantry.sources.store import settle
 
 Tables = dict[str, DataFrame]
 
+# newest orders that are sent to all executors: some MB
+BROADCAST_ORDERS = 1 << 16
+
 
 def _full_name(prefix: str = ""):
     return concat_skip_nulls(f"{prefix}first_name", F.lit(" "), f"{prefix}last_name").alias("full_name")
@@ -19,17 +23,32 @@ def _full_name(prefix: str = ""):
 def newest_lines(t: Tables, n: int) -> DataFrame:
     """The ``n`` newest order lines that have a known user and product.
 
-    Only keys and numbers go through the joins; orders lose unknown users before they meet their lines.
+    Lines come in the order of their orders, so the newest orders are taken first (``n`` of them, then 16 times as many) and
+    broadcast to lines and users: neither is shuffled. If ``BROADCAST_ORDERS`` orders have too few valid lines, all meet.
+    What was found is written (``n`` rows at most) and read back. Order ids are unique.
     """
     lines = t["order_items"].select(
         F.col("id").alias("item_id"), "order_id", "product_id", "quantity", F.col("price").alias("unit_price"),
         F.col("total").alias("item_total"),
     )
     orders = t["orders"].select(F.col("id").alias("order_id"), "order_date", "user_id", "status", "total", "discounted_total")
-    known = orders.join(t["users"].select(F.col("id").alias("user_id")), "user_id", "left_semi")
+    users = t["users"].select(F.col("id").alias("user_id"))
     products = t["products"].select(F.col("id").alias("product_id"))
-    valid = lines.join(known, "order_id").join(products, "product_id", "left_semi")
-    return valid.orderBy(F.col("order_date").desc_nulls_first(), "order_id", "item_id").limit(n)
+    newest = F.col("order_date").desc_nulls_first()
+
+    def best_of(known: DataFrame) -> DataFrame:
+        valid = lines.join(known, "order_id").join(products, "product_id", "left_semi")
+        return valid.orderBy(newest, "order_id", "item_id").limit(n)
+
+    taken = n
+    while 0 < taken <= BROADCAST_ORDERS:
+        some = orders.orderBy(newest, "order_id").limit(taken)
+        buyers = users.join(F.broadcast(some.select("user_id")), "user_id", "left_semi").distinct()
+        rows = settle(best_of(F.broadcast(some.join(buyers, "user_id", "left_semi"))))
+        if rows.count() == n:
+            return rows
+        taken *= 16
+    return best_of(orders.join(users, "user_id", "left_semi"))
 
 
 def _looked_up(t: Tables, n: int) -> DataFrame:
