@@ -9,7 +9,7 @@ from merchantry.functions.money import mean_money, percent_of
 from merchantry.plans.common import (
     best_label, calendar, distinct, mean_line, mean_of, mean_parts, months_of, order_sums, ranked, top, total,
 )
-from merchantry.sources.store import MONTH, settle
+from merchantry.sources.store import MONTH
 
 Tables = dict[str, DataFrame]
 
@@ -207,27 +207,27 @@ def monthly_revenue(m: Tables) -> DataFrame:
 def newest_facts(m: Tables, n: int, *keep: str) -> DataFrame:
     """The ``n`` newest fact rows with a known user, product and day; narrow until the limit is applied.
 
-    Facts that are stored by month are read from the newest month back, twice as many months each time, until ``n`` rows
-    are found: rows of earlier months cannot be among them. What was found is written (``n`` rows at most) and read back.
+    Facts that are stored by month are counted from the newest month back, twice as many months each time, until ``n``
+    rows are found: rows of earlier months cannot be among them, and the query reads none of these.
     """
-    def newest(fact: DataFrame) -> DataFrame:
+    def known(fact: DataFrame) -> DataFrame:
         dated = fact.select(
             "fact_id", "order_id", "user_id", "product_id", "date_id", "quantity", "total_amount", *keep
         ).join(calendar(m["dim_date"], "full_date"), "date_id")
-        known = dated.join(m["dim_users"].select("user_id"), "user_id", "left_semi").join(
+        return dated.join(m["dim_users"].select("user_id"), "user_id", "left_semi").join(
             m["dim_products"].select("product_id"), "product_id", "left_semi"
         )
-        return known.orderBy(F.col("full_date").desc(), "fact_id").limit(n)
 
     fact = m["fact_orders"]
     months = months_of(fact) if MONTH in fact.columns else []
     taken = 1
     while taken < len(months):
-        rows = settle(newest(fact.filter(F.col(MONTH) >= months[taken - 1])))
-        if rows.count() == n:
-            return rows
+        latest = fact.filter(F.col(MONTH) >= months[taken - 1])
+        if known(latest).limit(n).count() == n:
+            fact = latest
+            break
         taken *= 2
-    return newest(fact)
+    return known(fact).orderBy(F.col("full_date").desc(), "fact_id").limit(n)
 
 
 def wide_join(m: Tables, n: int = 1000) -> DataFrame:

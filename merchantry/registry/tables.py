@@ -13,7 +13,7 @@ from merchantry.plans import models
 from merchantry.registry.base import answer, register
 from merchantry.registry.dimensional import FLAT_COUNTS, counts_sql
 from merchantry.operators.dimensions import row_counts
-from merchantry.sources import avro, files, retail, sinks, versions
+from merchantry.sources import avro, clustered, files, retail, sinks, versions
 from merchantry.sources.store import at_once, scratch_path
 from merchantry.streaming import chunks
 
@@ -210,6 +210,27 @@ def _(spark, sf):
     return files.read_parquet_where(spark, f"{sf}/lineitem.parquet", filters).select("l_orderkey", "l_quantity", "l_extendedprice")
 
 
+@register("src_13_clustered_box", answer(LINE, """
+    SELECT * FROM lineitem WHERE l_partkey BETWEEN 100 AND 400 AND year(l_shipdate) = 1995"""))
+def _(spark, sf):
+    """All lines laid out by part and day; a range of both reads the row groups that hold it."""
+    path = scratch_path(spark, "clustered-lines")
+    lines = table(spark, sf, "lineitem").withColumn("ship_day", F.to_date("l_shipdate"))
+    clustered.write_clustered(lines, path, ["l_partkey", "ship_day"])
+    box = "l_partkey BETWEEN 100 AND 400 AND ship_day BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'"
+    return spark.read.schema(lines.schema).parquet(path).filter(box).drop("ship_day")
+
+
+@register("prj_9_clustered_lookup", answer(
+    "l_orderkey l_partkey l_linenumber:i l_quantity", "SELECT * FROM lineitem WHERE l_orderkey IN (1, 7, 999, 123456789)"))
+def _(spark, sf):
+    """Lines of some orders from files laid out by part and quantity, by the Bloom filters of the order key."""
+    path = scratch_path(spark, "clustered-lines")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    clustered.write_clustered(lines, path, ["l_partkey", "l_quantity"], ["l_orderkey"])
+    return records.by_ids(spark.read.schema(lines.schema).parquet(path), [1, 7, 999, 123456789], "l_orderkey")
+
+
 @register("src_14_parquet_metadata", answer("table_name num_rows:i num_columns:i num_row_groups:i", " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, (SELECT count(*) FROM {n}) AS num_rows, (SELECT count(*) FROM (DESCRIBE {n})) AS num_columns, "
     f"CAST(ceil((SELECT count(*) FROM {n}) / 1000.0) AS BIGINT) AS num_row_groups" for n in GIVEN)))
