@@ -496,5 +496,5 @@ def _(spark, sf):
 def _(spark, sf):
     """A stream over files, one file per micro-batch, until all are read."""
     path, orders = scratch_path(spark, "stream"), table(spark, sf, "orders")
-    orders.write.option("maxRecordsPerFile", 5000).json(path)
+    orders.write.option("maxRecordsPerFile", chunks.rows_per_file(orders.count(), 5000)).json(path)
     return chunks.copy_in_chunks(chunks.chunk_stream(spark, path, "json", orders.schema), scratch_path(spark, "chunks")).drop("chunk")

@@ -17,6 +17,8 @@ if TYPE_CHECKING:
     import pandas as pd
 
 ROWS = 1000
+# every micro-batch costs seconds however few rows it has
+FILES = 32
 
 
 def row_chunks(df: DataFrame, order: list[str], rows: int = ROWS, name: str = "chunk") -> DataFrame:
@@ -92,6 +94,13 @@ def map_rows(
     return numbered.groupBy(F.call_function("div", "_row", F.lit(rows)).alias("_chunk")).applyInPandas(chunk, schema)
 
 
+def rows_per_file(rows: int, least: int, files: int = FILES) -> int:
+    """How many of ``rows`` rows to write to a file, ``least`` or more, so that a stream over them, file by file, takes about
+    ``files`` micro-batches however many rows there are. (Each writing task may leave one more, shorter file.)
+    """
+    return max(least, -(-rows // files))
+
+
 OPTIONS = {"csv": {**CSV_OPTIONS, "multiLine": "true"}}
 
 

@@ -171,6 +171,14 @@ def test_chunks(spark, tmp_path, rows, fmt):
     assert rows(copied.drop("chunk")) == rows(df) and chunks.chunk_sizes(copied).count() == 3
 
 
+@pytest.mark.parametrize("rows_in, files", [(150_000, 30), (3_000_000, 32)])
+def test_files_of_a_stream_do_not_grow_in_number(spark, tmp_path, rows_in, files):
+    """A micro-batch takes seconds: 20 times the rows make longer files, not 20 times the batches."""
+    df = spark.range(rows_in).coalesce(1)
+    df.write.option("maxRecordsPerFile", chunks.rows_per_file(rows_in, 5000)).json(str(tmp_path / "in"))
+    assert len(list((tmp_path / "in").glob("*.json"))) == files
+
+
 def test_chunks_resume_and_skip_bad_lines(spark, tmp_path):
     source, seen = tmp_path / "in", []
     source.mkdir()
