@@ -72,7 +72,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     queries: dict[str, float] = {}
     for build in (models.normalized, models.star, models.snowflake, models.collections):
-        queries[f"build_{build.__name__}"] = round(timed(lambda: build(spark, SF_DIR)), 4)
+        queries[f"build_{build.__name__}"] = round(timed(lambda: build(spark, SF_DIR).items()), 4)
     for name in HEADLINES:
         queries[name] = median(lambda: QUERIES[name](spark, SF_DIR).collect())
     tables = models.normalized(spark, SF_DIR)

@@ -56,20 +56,21 @@ def id_by_key(df: DataFrame, key: str, name: str, first: int = 1) -> DataFrame:
     return running_total(df, key, F.lit(1), "_before").withColumn(name, F.col("_before") + first).drop("_before")
 
 
-def id_by_order(df: DataFrame, order: list[str], name: str, first: int = 1) -> DataFrame:
+def id_by_order(df: DataFrame, order: list[str], name: str, first: int = 1, columns: list[str] | None = None) -> DataFrame:
     """Gap-free ids in the order of any columns, for tables without a whole-number key.
 
     Range partitioning on all the columns splits a hot leading value, and the row position as a last
     column splits even a large group of equal rows (which may take their ids in any order). ``df`` should
     be a scan, so that positions are the same when a task is repeated. The ranges are sampled: the
     ranged rows are settled, and each read of the result adds the start of the range to the position in it.
-    Columns of ``order`` that are not wanted further can be dropped from the result: the stored rows are read by column.
+    Columns of ``order`` that are not wanted further can be dropped from the result: the stored rows are read by column. With
+    ``columns`` only these are stored.
     """
     by = [*order, "_copy"]
     ranged = (
         df.withColumn("_copy", F.monotonically_increasing_id())
         .repartitionByRange(*by).sortWithinPartitions(*by).drop("_copy")
-        .withColumn("_at", F.monotonically_increasing_id())
+        .select(*(columns or ["*"]), F.monotonically_increasing_id().alias("_at"))
     )
     return _positions(settle(ranged), name, first)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -122,26 +123,62 @@ def date_ids(orders: DataFrame, dates: DataFrame) -> DataFrame:
     ).drop("_date_id", "_day")
 
 
-def fact_lines(t: dict[str, DataFrame], dates: DataFrame) -> DataFrame:
-    """One row per order line with its amounts; the line id is the fact id."""
+def dated_orders(t: Mapping[str, DataFrame], dates: DataFrame, places: DataFrame | None = None) -> DataFrame:
+    """What the lines of an order have in common: user, day, status and, with ``places``, the location of the user."""
     orders = date_ids(t["orders"], dates).select(
         F.col("id").alias("order_id"), "user_id", "date_id", or_default("status", DEFAULT_STATUS).alias("order_status")
     )
+    return orders if places is None else orders.join(places, "user_id", "left")
+
+
+def with_amounts(lines: DataFrame) -> DataFrame:
     price, quantity, pct = (or_default(c, 0) for c in ("price", "quantity", "discount_percentage"))
-    amounts = line_amounts(price, quantity, pct)
+    others = [c for c in lines.columns if c not in ("price", "quantity", "discount_percentage")]
+    return lines.select(
+        *others, quantity.alias("quantity"), price.alias("unit_price"), pct.alias("discount_percentage"),
+        *[c.alias(n) for n, c in line_amounts(price, quantity, pct).items()],
+    )
+
+
+def fact_lines(t: Mapping[str, DataFrame], dates: DataFrame, places: DataFrame | None = None) -> DataFrame:
+    """One row per order line with its amounts; the line id is the fact id.
+
+    Locations are looked up for orders, not for lines, and amounts are computed after the join: lines move once, and narrow.
+    """
     lines = t["order_items"].select(
-        F.col("id").alias("fact_id"), "order_id", "product_id", quantity.alias("quantity"), price.alias("unit_price"),
-        pct.alias("discount_percentage"), *[c.alias(n) for n, c in amounts.items()],
+        F.col("id").alias("fact_id"), "order_id", "product_id", "quantity", "price", "discount_percentage"
     )
-    return lines.join(orders, "order_id")
+    return with_amounts(lines.join(dated_orders(t, dates, places), "order_id"))
 
 
-def star_fact(t: dict[str, DataFrame], dates: DataFrame, locations: DataFrame) -> DataFrame:
-    """Order lines with the location of the user's address."""
-    places = t["users"].select(F.col("id").alias("user_id"), "address_id").join(
+def order_totals(t: Mapping[str, DataFrame], dates: DataFrame, model: str, places: DataFrame | None = None) -> DataFrame:
+    """The fact rows of each order summed, as ``plans.common.per_order`` sums them, without the fact rows: lines are summed
+    before they meet their order. Orders that occur more than once count as often.
+    """
+    lines = conform_to(with_amounts(t["order_items"].select("order_id", "quantity", "price", "discount_percentage")), model, "fact_orders")
+    sums = lines.groupBy("order_id").agg(
+        F.sum("quantity").alias("_quantity"), F.sum("total_amount").alias("_amount"),
+        F.count("total_amount").alias("_lines"), F.sum("discount_amount").alias("_discounts"),
+    )
+    attributes = ["user_id", "date_id", *(["location_id"] if places is not None else [])]
+    orders = conform_to(dated_orders(t, dates, places), model, "fact_orders").select("order_id", *attributes)
+    measures = [c for c in sums.columns if c != "order_id"]
+    types = dict(sums.dtypes)
+    return sums.join(orders, "order_id").groupBy("order_id", *attributes).agg(
+        *[F.sum(c).cast(types[c]).alias(c) for c in measures]
+    )
+
+
+def user_places(t: Mapping[str, DataFrame], locations: DataFrame) -> DataFrame:
+    """``(user_id, location_id)``: the location of the user's address."""
+    return t["users"].select(F.col("id").alias("user_id"), "address_id").join(
         address_locations(t["addresses"], locations), "address_id"
     ).select("user_id", "location_id")
-    return conform_to(fact_lines(t, dates).join(places, "user_id", "left"), "star", "fact_orders")
+
+
+def star_fact(t: Mapping[str, DataFrame], dates: DataFrame, locations: DataFrame) -> DataFrame:
+    """Order lines with the location of the user's address."""
+    return conform_to(fact_lines(t, dates, user_places(t, locations)), "star", "fact_orders")
 
 
 def _calendar(t: dict[str, DataFrame], first_year: int | None, last_year: int | None) -> DataFrame:
@@ -150,6 +187,18 @@ def _calendar(t: dict[str, DataFrame], first_year: int | None, last_year: int |
     return date_dimension(t["orders"].sparkSession, first_year, last_year)
 
 
+Steps = dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]]
+
+
+def star_steps(t: Mapping[str, DataFrame], first_year: int | None = None, last_year: int | None = None) -> Steps:
+    """Each table of the star as a function of those before it."""
+    return {
+        "dim_date": lambda m: _calendar(t, first_year, last_year), "dim_location": lambda m: star_locations(t),
+        "dim_users": lambda m: star_users(t), "dim_products": lambda m: star_products(t),
+        "fact_orders": lambda m: star_fact(t, m["dim_date"], m["dim_location"]),
+    }
+
+
 def build_star(
     t: dict[str, DataFrame], first_year: int | None = None, last_year: int | None = None, keep: Keep = as_is
 ) -> dict[str, DataFrame]:
@@ -157,14 +206,9 @@ def build_star(
 
     The calendar has the years of the orders, or those given; orders outside given years keep a YYYYMMDD number.
     """
-    first = kept_at_once(keep, {
-        "dim_date": lambda: _calendar(t, first_year, last_year),
-        "dim_location": lambda: star_locations(t),
-    })
-    return {
-        **first, "dim_users": star_users(t), "dim_products": star_products(t),
-        "fact_orders": star_fact(t, first["dim_date"], first["dim_location"]),
-    }
+    steps = star_steps(t, first_year, last_year)
+    first = kept_at_once(keep, {n: lambda n=n: steps[n]({}) for n in ("dim_date", "dim_location")})
+    return {**first, **{n: step(first) for n, step in steps.items() if n not in first}}
 
 
 def seed_roles(spark: SparkSession) -> DataFrame:
@@ -254,22 +298,27 @@ def snow_products(t: dict[str, DataFrame], categories: DataFrame, brands: DataFr
     return conform_to(rows, "snowflake", "dim_products")
 
 
+def snowflake_steps(t: Mapping[str, DataFrame], first_year: int | None = None, last_year: int | None = None) -> Steps:
+    """Each table of the snowflake as a function of those before it."""
+    return {
+        "dim_user_roles": lambda m: user_roles(t["users"]), "dim_states": lambda m: snow_states(t),
+        "dim_categories": lambda m: snow_categories(t), "dim_brands": lambda m: snow_brands(t),
+        "dim_date": lambda m: _calendar(t, first_year, last_year), "dim_cities": lambda m: snow_cities(t, m["dim_states"]),
+        "dim_users": lambda m: snow_users(t, m["dim_user_roles"], m["dim_states"], m["dim_cities"]),
+        "dim_products": lambda m: snow_products(t, m["dim_categories"], m["dim_brands"]),
+        "fact_orders": lambda m: conform_to(fact_lines(t, m["dim_date"]), "snowflake", "fact_orders"),
+    }
+
+
 def build_snowflake(
     t: dict[str, DataFrame], first_year: int | None = None, last_year: int | None = None, keep: Keep = as_is
 ) -> dict[str, DataFrame]:
     """Sub-dimensions, dimensions, fact table; ``keep`` may store what later tables are built from."""
-    first = kept_at_once(keep, {
-        "dim_user_roles": lambda: user_roles(t["users"]), "dim_states": lambda: snow_states(t),
-        "dim_categories": lambda: snow_categories(t), "dim_brands": lambda: snow_brands(t),
-        "dim_date": lambda: _calendar(t, first_year, last_year),
-    })
-    cities = keep("dim_cities", snow_cities(t, first["dim_states"]))
-    return {
-        **first, "dim_cities": cities,
-        "dim_users": snow_users(t, first["dim_user_roles"], first["dim_states"], cities),
-        "dim_products": snow_products(t, first["dim_categories"], first["dim_brands"]),
-        "fact_orders": conform_to(fact_lines(t, first["dim_date"]), "snowflake", "fact_orders"),
-    }
+    steps = snowflake_steps(t, first_year, last_year)
+    alone = ("dim_user_roles", "dim_states", "dim_categories", "dim_brands", "dim_date")
+    first = kept_at_once(keep, {n: lambda n=n: steps[n]({}) for n in alone})
+    first["dim_cities"] = keep("dim_cities", steps["dim_cities"](first))
+    return {**first, **{n: step(first) for n, step in steps.items() if n not in first}}
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -44,12 +44,6 @@ def _grown(before: dict, now: dict) -> dict[str, list[str]] | None:
     return {name: sorted(set(now.get(name, {})) - set(before.get(name, {}))) for name in GROWING}
 
 
-def _heads(orders: DataFrame) -> DataFrame:
-    named = orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("order_date"),
-                          F.col("o_orderstatus").alias("status"))
-    return conform_to(named, "normalized", "orders").select("id", "user_id", "order_date", "status")
-
-
 def _like(rows: DataFrame, stored: DataFrame) -> DataFrame:
     """The columns and types of what is stored."""
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored.schema.fields])
@@ -60,9 +54,7 @@ def _with_months(rows: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def _facts(model: str, heads: DataFrame, items: DataFrame, dates: DataFrame, places: DataFrame | None) -> DataFrame:
-    lines = dimensions.fact_lines({"orders": heads, "order_items": items}, dates)
-    if places is not None:
-        lines = lines.join(places, "user_id", "left")
+    lines = dimensions.fact_lines({"orders": heads, "order_items": items}, dates, places)
     return _with_months(conform_to(lines, model, "fact_orders"), dates)
 
 
@@ -119,7 +111,7 @@ def _extend(versions: Versions, state: dict, model: str, new: dict[str, list[str
     read = lambda name: spark.read.parquet(*new[name]) if new[name] else None
     orders, lines = read("orders"), read("lineitem")
     dates = versions.read("dim_date", state)
-    heads = _heads(orders) if orders is not None else versions.read(HEADS, state, []).drop(MONTH)
+    heads = retail.order_keys(orders) if orders is not None else versions.read(HEADS, state, []).drop(MONTH)
     first, last = heads.agg(F.min(F.year("order_date")), F.max(F.year("order_date"))).first()
     known_first, known_last = dates.agg(F.min("year"), F.max("year")).first()
     if first is not None and (known_first is None or first < known_first):

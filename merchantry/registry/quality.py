@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
+
 from pyspark.sql import functions as F
 
 from merchantry import schemas
@@ -220,8 +222,8 @@ def _(spark, sf):
         'product_id ' || CAST(product_id AS VARCHAR) || ' not found in dim_products' AS message
     FROM t_fact WHERE product_id <> 0 AND product_id NOT IN (SELECT id FROM few_products)"""))
 def _(spark, sf):
-    built = dict(models.star(spark, sf))
-    built["dim_products"] = built["dim_products"].filter(LOST["products"])
+    whole = models.star(spark, sf)
+    built = ChainMap({"dim_products": whole["dim_products"].filter(LOST["products"])}, whole)
     fk = next(k for k in schemas.FOREIGN_KEYS["star"] if k.column == "product_id")
     return q.check_foreign_key(built, fk, "fact_id")
 
@@ -232,8 +234,7 @@ def _(spark, sf):
     UNION ALL SELECT 'products.category_id', count(*) FROM t_products p LEFT JOIN few_categories c ON p.category_id = c.id
     WHERE p.category_id IS NOT NULL AND c.id IS NULL"""))
 def _(spark, sf):
-    tables = dict(models.normalized(spark, sf))
-    tables.update({n: few(spark, sf, n) for n in ("users", "categories")})
+    tables = ChainMap({n: few(spark, sf, n) for n in ("users", "categories")}, models.normalized(spark, sf))
     return q.orphan_counts(tables)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -273,7 +275,7 @@ def _(spark, sf):
     """The categories as a tree: each but the first two below the one with half its id."""
     m = models.snowflake(spark, sf)
     tree = m["dim_categories"].withColumn("parent_category_id", F.expr("CASE WHEN category_id > 2 THEN category_id DIV 2 END"))
-    return snowy.categories_with_parent({**m, "dim_categories": tree}).drop("category_slug")
+    return snowy.categories_with_parent(ChainMap({"dim_categories": tree}, m)).drop("category_slug")
 
 
 # the categories as a chain, each below the one before; 6 and 7 name each other

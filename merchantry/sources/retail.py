@@ -14,7 +14,7 @@ from merchantry import schemas
 from merchantry.functions.money import as_money, cents, half_up
 from merchantry.functions.numbering import id_by_order
 from merchantry.operators import documents, normalize
-from merchantry.sources.store import Keep, at_once, lasting, stored
+from merchantry.sources.store import Keep, Stored, lasting, once, stored
 
 # The state code of each nation key.
 NATION_STATES = "NY FL OH TX CA NY GA OH AZ WA PA FL IL TX CA MA NC MI OK CO NY GA PR NM GU".split()
@@ -23,6 +23,7 @@ LINE_ORDER = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
     "l_returnflag", "l_linestatus", "l_shipdate",
 ]
+LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,7 +133,15 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def numbered_items(rows: DataFrame, first: int = 1) -> DataFrame:
     """Order items of these lines, with ids from ``first``."""
-    lines = id_by_order(rows, LINE_ORDER, "id", first)
+    return _items(id_by_order(rows, LINE_ORDER, "id", first, LINE_COLUMNS))
+
+
+def plain_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order items without their ids (null), for questions that do not ask for them: no line is ordered."""
+    return _items(table(spark, sf_dir, "lineitem").withColumn("id", F.lit(None).cast("bigint")))
+
+
+def _items(lines: DataFrame) -> DataFrame:
     quantity = F.col("l_quantity").cast("int")
     amount, rate = as_money("l_extendedprice"), as_money("l_discount", 4)
     price = half_up(cents(amount), quantity).cast("decimal(12,0)") * F.lit(Decimal("0.01"))
@@ -159,17 +168,28 @@ def order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.conform_to(heads, "normalized", "orders")
 
 
-def normalized(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eleven flat tables, stored on first use."""
-    def build(keep: Keep) -> dict[str, DataFrame]:
-        tables: dict[str, DataFrame] = {}
-        at_once([
-            lambda: tables.update(normalize.normalize_users(raw_users(spark, sf_dir), keep)),
-            lambda: tables.update(normalize.normalize_products(raw_products(spark, sf_dir), keep)),
-            lambda: tables.update(orders=keep("orders", order_heads(spark, sf_dir))),
-            lambda: tables.update(order_items=lasting(line_items(spark, sf_dir))),
-        ])
-        return tables
+def order_keys(orders: DataFrame) -> DataFrame:
+    """Id, user, date and status of these orders, which need no line."""
+    named = orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("order_date"),
+                          F.col("o_orderstatus").alias("status"))
+    return schemas.conform_to(named, "normalized", "orders").select("id", "user_id", "order_date", "status")
+
+
+USER_TABLES = ["addresses", "banks", "companies", "users"]
+PRODUCT_TABLES = ["categories", "products", "product_tags", "product_images", "reviews"]
+
+
+def normalized(spark: SparkSession, sf_dir: str) -> Stored:
+    """The eleven flat tables, each stored on first use."""
+    def build(keep: Keep) -> dict:
+        users = once(lambda: normalize.normalize_users(raw_users(spark, sf_dir), keep))
+        products = once(lambda: normalize.normalize_products(raw_products(spark, sf_dir), keep))
+        return {
+            **{name: lambda _, n=name: users()[n] for name in USER_TABLES},
+            **{name: lambda _, n=name: products()[n] for name in PRODUCT_TABLES},
+            "orders": lambda _: order_heads(spark, sf_dir),
+            "order_items": lambda _: lasting(line_items(spark, sf_dir)),
+        }
     return stored(spark, sf_dir, "normalized", build)
 
 

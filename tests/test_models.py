@@ -12,6 +12,7 @@ from merchantry.functions.regions import region_of
 from merchantry.operators import dimensions as d
 from merchantry.operators import documents
 from merchantry.plans import common, relational, snowy, starry
+from merchantry.sources import store
 
 
 def make(spark, table, columns, data):
@@ -230,6 +231,45 @@ def test_a_third_of_all_lines_in_one_order_and_product(spark, rows):
     assert whole == want and max(len(r["items"]) for r in docs) <= 1000
 
 
+def test_a_query_builds_the_tables_it_reads(spark, tmp_path):
+    """Tables given as functions are built when they are asked for, once, from those that they ask for; not from changed files."""
+    (tmp_path / "data").mkdir()
+    source, built = str(tmp_path / "data"), []
+    spark.range(3).write.parquet(f"{source}/a.parquet")
+
+    def build(keep):
+        def step(name, make):
+            return lambda m: built.append(name) or make(m)
+        return {"a": step("a", lambda m: spark.read.parquet(f"{source}/a.parquet")), "b": step("b", lambda m: m["a"].filter("id > 0")),
+                "c": step("c", lambda m: m["a"]), "d": step("d", lambda m: m["a"])}
+
+    m = store.stored(spark, source, "steps", build)
+    assert list(m) == ["a", "b", "c", "d"] and "b" in m and "e" not in m and built == []
+    assert m["b"].count() == 2 and built == ["b", "a"] and store.stored(spark, source, "steps", build)["b"] is m["b"]
+    spark.range(5).write.mode("append").parquet(f"{source}/a.parquet")
+    with pytest.raises(RuntimeError, match="have changed"):
+        m["c"]
+    assert sorted(name for name, _ in store.stored(spark, source, "steps", build).items()) == ["a", "b", "c", "d"]
+    store.release(spark, source)
+
+
+def test_order_totals_are_the_facts_of_each_order(t, rows):
+    """Also of orders and users that come twice."""
+    twice = {**t, "orders": t["orders"].union(t["orders"].filter("id < 3")), "users": t["users"].union(t["users"].filter("id = 2"))}
+    for tables in (t, twice):
+        star, flake = d.build_star(tables, 2020, 2026), d.build_snowflake(tables, 2020, 2026)
+        for model, m, places in (("star", star, d.user_places(tables, star["dim_location"])), ("snowflake", flake, None)):
+            got = d.order_totals(tables, m["dim_date"], model, places)
+            want = common.order_sums({"fact_orders": m["fact_orders"]})
+            assert rows(got, *want.columns) == rows(want) and dict(got.dtypes) == dict(want.dtypes)
+
+
+def test_orders_without_lines_moved(t):
+    """Locations are looked up for orders: the plan of the facts has no join of lines by user."""
+    plan = d.build_star(t, 2020, 2026)["fact_orders"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Join LeftOuter")
+
+
 def test_stored_models_follow_their_files(spark, tmp_path):
     """A file changed in the session is read anew; released models leave no files."""
     from merchantry.sources import store
