@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import re
 import weakref
 from collections.abc import Callable, Collection, Iterable
@@ -63,9 +64,10 @@ def _bytes(pieces: Collection) -> int:
 
 
 def release() -> None:
-    """For the end of a task's input: idle Python workers hold no results, and give back what they held."""
+    """For the end of a task's input: idle Python workers hold no results, and give back what they held, cyclic garbage too."""
     for cache in list(_caches):
         cache.forget()
+    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -236,6 +237,21 @@ def fold(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5, F.lit(1))
 
 
+def _entry_counts(cache: Cache, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(entry, n, ones): the rows of a batch that offer an entry, and those of label 1 among them."""
+    n: Counter = Counter()
+    toxic: Counter = Counter()
+    tokens = [t.lower().split() for t in batch.column("text").to_pylist()]
+    for label, found in zip(batch.column("toxic").to_pylist(), cache.of(tokens)):
+        keys = {k for ks in found for k in ks}
+        n.update(keys)
+        toxic.update(keys if label else ())
+    keys = list(n)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys, pa.string()), pa.array([n[k] for k in keys], pa.int64()), pa.array([toxic[k] for k in keys], pa.int64())],
+        ["entry", "n", "ones"])
+
+
 def _mined(sample: DataFrame, ones: int, rows: int) -> list[str]:
     """Entries that point to label 1: a lower confidence limit of their share of it far above the base rate."""
     base = ones / rows
@@ -243,18 +259,7 @@ def _mined(sample: DataFrame, ones: int, rows: int) -> list[str]:
     def counts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         cache = Cache(lambda tokens: (tuple(keys_of(t)) for t in tokens))
         try:
-            for batch in batches:
-                n: Counter = Counter()
-                toxic: Counter = Counter()
-                tokens = [t.lower().split() for t in batch.column("text").to_pylist()]
-                for label, found in zip(batch.column("toxic").to_pylist(), cache.of(tokens)):
-                    keys = {k for ks in found for k in ks}
-                    n.update(keys)
-                    toxic.update(keys if label else ())
-                keys = list(n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.string()), pa.array([n[k] for k in keys], pa.int64()), pa.array([toxic[k] for k in keys], pa.int64())],
-                    ["entry", "n", "ones"])
+            yield from map(partial(_entry_counts, cache), batches)
         finally:
             release()
 

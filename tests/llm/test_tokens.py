@@ -1,4 +1,6 @@
+import gc
 import hashlib
+import weakref
 import zlib
 
 import numpy as np
@@ -12,7 +14,7 @@ from tokenizers import Tokenizer, models
 
 from merchantry.llm import pieces, token_counts, token_files
 from merchantry.llm.rows import table
-from merchantry.llm.tokens import Cache, escaped, space_words
+from merchantry.llm.tokens import Cache, escaped, release, space_words
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -175,3 +177,20 @@ def test_texts_without_spaces():
         pieces.word_cache(PIECES).of([space_words(text)])
         token_counts.count_cache(PIECES).of([space_words(text)])
     assert all(len(w) <= 64 for w in [*pieces.word_cache(PIECES).now, *token_counts.count_cache(PIECES).now])
+
+
+def test_release_frees_cyclic_garbage():
+    """An idle worker holds no cycles of its last task, also if no collection ran meanwhile."""
+    class Node:
+        pass
+
+    node = Node()
+    node.own, seen = node, weakref.ref(node)
+    gc.disable()
+    try:
+        del node
+        assert seen() is not None
+        release()
+        assert seen() is None
+    finally:
+        gc.enable()
