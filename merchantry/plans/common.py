@@ -12,6 +12,8 @@ from merchantry.sources.store import MONTH
 
 # the stored table of orders beside the fact rows of a model
 ORDER_SUMS = "order_sums"
+# the stored fact rows without ids and places, in no order, for questions about products
+SOLD_LINES = "sold_lines"
 
 
 def total(column: str, name: str) -> Column:
@@ -74,6 +76,12 @@ def order_sums(m: dict[str, DataFrame]) -> DataFrame:
     return per_order(m["fact_orders"], *attributes)
 
 
+def sold_lines(m: dict[str, DataFrame]) -> DataFrame:
+    """What was sold per line, for questions that ask for no fact id: the fact rows if they are there, else lines that were never
+    numbered or laid out by month."""
+    return m[SOLD_LINES] if SOLD_LINES in m and not m.built("fact_orders") else m["fact_orders"]
+
+
 def mean_line(total_name: str, name: str) -> Column:
     """Average line amount from rows that carry the line count."""
     return mean_money(total_name, "_line_count").alias(name)

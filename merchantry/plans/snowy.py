@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money, percent_of
 from merchantry.plans.common import (
-    best_known_label, distinct, mean_line, mean_of, mean_parts, order_sums, ranked, top, total,
+    best_known_label, distinct, mean_line, mean_of, mean_parts, order_sums, ranked, sold_lines, top, total,
 )
 from merchantry.plans.starry import newest_facts
 
@@ -118,7 +118,8 @@ def revenue_by_city(m: Tables, n: int = 100) -> DataFrame:
 def category_performance(m: Tables) -> DataFrame:
     """Measures per category with parent, market share and best-selling brand."""
     products = m["dim_products"].select("product_id", "category_id", "brand_id")
-    per_product = m["fact_orders"].groupBy("product_id").agg(
+    facts = sold_lines(m)
+    per_product = facts.groupBy("product_id").agg(
         total("quantity", "_quantity"), total("total_amount", "_revenue"), *mean_parts("unit_price")
     )
     brands = per_product.join(products, "product_id").groupBy("category_id", "brand_id").agg(
@@ -130,7 +131,7 @@ def category_performance(m: Tables) -> DataFrame:
         total("_prices", "_prices"), total("_priced", "_priced"), best_known_label("brand_name", "_revenue").alias("top_brand"),
     ).join(categories_with_parent(m), "category_id")
     shared = sums.withColumn("_whole", sums.agg(F.sum("total_revenue").alias("whole")).scalar())
-    orders = m["fact_orders"].select("product_id", "order_id").join(products.drop("brand_id"), "product_id").groupBy(
+    orders = facts.select("product_id", "order_id").join(products.drop("brand_id"), "product_id").groupBy(
         "category_id"
     ).agg(distinct("order_id", "orders_count"))
     return ranked(shared.join(orders, "category_id"), "total_revenue", "category_id").select(

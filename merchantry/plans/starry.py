@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money, percent_of
 from merchantry.plans.common import (
-    best_label, calendar, distinct, mean_line, mean_of, mean_parts, months_of, order_sums, ranked, top, total,
+    best_label, calendar, distinct, mean_line, mean_of, mean_parts, months_of, order_sums, ranked, sold_lines, top, total,
 )
 from merchantry.sources.store import MONTH
 
@@ -153,7 +153,8 @@ def category_performance(m: Tables) -> DataFrame:
     Sums go from products to brands to categories; only the distinct order count reads fact rows by category.
     """
     products = m["dim_products"].select("product_id", "category", "brand")
-    per_product = m["fact_orders"].groupBy("product_id").agg(
+    facts = sold_lines(m)
+    per_product = facts.groupBy("product_id").agg(
         total("quantity", "_quantity"), total("total_amount", "_revenue"), total("discount_amount", "_discounts"),
         *mean_parts("unit_price"), F.count("total_amount").alias("_lines"),
     )
@@ -167,7 +168,7 @@ def category_performance(m: Tables) -> DataFrame:
         total("_discounts", "total_discounts"), total("_prices", "_prices"), total("_priced", "_priced"),
         total("_lines", "_line_count"), best_label("brand", "_revenue").alias("top_brand"),
     )
-    orders = m["fact_orders"].select("product_id", "order_id").join(products, "product_id").groupBy("category").agg(
+    orders = facts.select("product_id", "order_id").join(products, "product_id").groupBy("category").agg(
         distinct("order_id", "orders_count")
     )
     return ranked(sums.join(orders, "category"), "total_revenue", "category").select(
@@ -242,7 +243,7 @@ def wide_join(m: Tables, n: int = 1000) -> DataFrame:
 def heavy_aggregate(m: Tables) -> DataFrame:
     """Global counts and sums; the same for star and snowflake. Products are counted in a scan of their own."""
     dated = calendar(m["dim_date"], "full_date")
-    products = m["fact_orders"].select("product_id", "date_id").join(calendar(m["dim_date"]), "date_id", "left_semi").agg(
+    products = sold_lines(m).select("product_id", "date_id").join(calendar(m["dim_date"]), "date_id", "left_semi").agg(
         distinct("product_id", "n")
     )
     return order_sums(m).join(dated, "date_id").agg(

@@ -11,7 +11,7 @@ from merchantry.functions.money import half_up, mean_money, percent_of
 from merchantry.functions.regions import region_of
 from merchantry.operators import dimensions as d
 from merchantry.operators import documents
-from merchantry.plans import common, relational, snowy, starry
+from merchantry.plans import common, models, relational, snowy, starry
 from merchantry.sources import store
 
 
@@ -253,6 +253,38 @@ def test_a_query_builds_the_tables_it_reads(spark, tmp_path):
     store.release(spark, source)
 
 
+@pytest.mark.parametrize("model", ["star", "snowflake"])
+def test_questions_about_products_number_no_line(spark, tmp_path, model):
+    """The same rows before and after the fact rows are built, with a repeated order, a repeated line and nulls."""
+    folder = str(tmp_path)
+    one, some = spark.range(1), spark.range(1, 7)
+    orders = some.selectExpr("id AS o_orderkey", "id % 3 + 1 AS o_custkey", "date '2024-12-30' + CAST(id AS INT) AS o_orderdate",
+                             "'F' AS o_orderstatus", "id * 100.5D AS o_totalprice")
+    lines = some.crossJoin(spark.range(1, 4).toDF("n")).selectExpr(
+        "nullif(id, 5) AS l_orderkey", "nullif((id + n) % 4 + 1, 4) AS l_partkey", "1L AS l_suppkey", "CAST(n AS INT) AS l_linenumber",
+        "CAST(n AS DOUBLE) AS l_quantity", "id * 10.25D AS l_extendedprice", "0.05D AS l_discount", "0.0D AS l_tax", "'N' AS l_returnflag",
+        "'O' AS l_linestatus", "date '2025-01-05' AS l_shipdate")
+    for name, rows in {
+        "region": one.selectExpr("0 AS r_regionkey", "'EUROPE' AS r_name"),
+        "nation": one.selectExpr("0 AS n_nationkey", "'FRANCE' AS n_name", "0 AS n_regionkey"),
+        "customer": spark.range(1, 4).selectExpr("id AS c_custkey", "concat('Customer#', id) AS c_name", "id * 600.0D AS c_acctbal",
+                                                 "0 AS c_nationkey", "'BUILDING' AS c_mktsegment"),
+        "part": spark.range(1, 5).selectExpr("id AS p_partkey", "'red nut' AS p_name", "concat('Brand#', id) AS p_brand", "'TIN' AS p_type",
+                                             "CAST(id * 10 AS INT) AS p_size", "id * 9.5D AS p_retailprice"),
+        "orders": orders.unionByName(orders.filter("o_orderkey = 2")).unionByName(orders.limit(1).selectExpr(
+            "CAST(NULL AS BIGINT) AS o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice")),
+        "lineitem": lines.unionByName(lines.filter("l_orderkey = 3")),
+    }.items():
+        rows.write.parquet(f"{folder}/{name}.parquet")
+    m = getattr(models, model)(spark, folder)
+    query = {"star": starry, "snowflake": snowy}[model].category_performance
+    before = [query(m).collect(), starry.heavy_aggregate(m).collect()]
+    assert not m.built("fact_orders") and not models.normalized(spark, folder).built("order_items")
+    assert len(m["fact_orders"].head(1)) == 1 and m.built("fact_orders")
+    assert before == [query(m).collect(), starry.heavy_aggregate(m).collect()]
+    store.release(spark, folder)
+
+
 def test_order_totals_are_the_facts_of_each_order(t, rows):
     """Also of orders and users that come twice."""
     twice = {**t, "orders": t["orders"].union(t["orders"].filter("id < 3")), "users": t["users"].union(t["users"].filter("id = 2"))}
