@@ -64,11 +64,14 @@ def id_by_order(df: DataFrame, order: list[str], name: str, first: int = 1, colu
     be a scan, so that positions are the same when a task is repeated. The ranges are sampled: the
     ranged rows are settled, and each read of the result adds the start of the range to the position in it.
     Columns of ``order`` that are not wanted further can be dropped from the result: the stored rows are read by column. With
-    ``columns`` only these are stored.
+    ``columns`` only these are stored, and what comes in ``order`` after the last of them is not moved: rows that are alike
+    up to there are alike in the result.
     """
+    if columns and set(columns) <= set(order):
+        order = order[: max(map(order.index, columns)) + 1]
     by = [*order, "_copy"]
     ranged = (
-        df.withColumn("_copy", F.monotonically_increasing_id())
+        df.select(*({c: None for c in [*order, *columns]} if columns else ["*"]), F.monotonically_increasing_id().alias("_copy"))
         .repartitionByRange(*by).sortWithinPartitions(*by).drop("_copy")
         .select(*(columns or ["*"]), F.monotonically_increasing_id().alias("_at"))
     )

@@ -140,15 +140,20 @@ def with_amounts(lines: DataFrame) -> DataFrame:
     )
 
 
-def fact_lines(t: Mapping[str, DataFrame], dates: DataFrame, places: DataFrame | None = None) -> DataFrame:
-    """One row per order line with its amounts; the line id is the fact id.
+def order_lines(t: Mapping[str, DataFrame], dates: DataFrame, places: DataFrame | None = None) -> DataFrame:
+    """One row per order line with what its order says; the line id is the fact id.
 
-    Locations are looked up for orders, not for lines, and amounts are computed after the join: lines move once, and narrow.
+    Locations are looked up for orders, not for lines.
     """
     lines = t["order_items"].select(
         F.col("id").alias("fact_id"), "order_id", "product_id", "quantity", "price", "discount_percentage"
     )
-    return with_amounts(lines.join(dated_orders(t, dates, places), "order_id"))
+    return lines.join(dated_orders(t, dates, places), "order_id")
+
+
+def fact_lines(t: Mapping[str, DataFrame], dates: DataFrame, places: DataFrame | None = None) -> DataFrame:
+    """``order_lines`` with their amounts, which are computed after the join: lines move once, and narrow."""
+    return with_amounts(order_lines(t, dates, places))
 
 
 def order_totals(t: Mapping[str, DataFrame], dates: DataFrame, model: str, places: DataFrame | None = None) -> DataFrame:

@@ -341,3 +341,19 @@ def test_latest_periods_read_only_their_months(spark):
         assert "PartitionFilters: [isnotnull(month_id" in plan
     for query in (starry.revenue_by_region, starry.heavy_aggregate):
         assert "Expand" not in query(m)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("model", ["star", "snowflake"])
+def test_facts_are_dealt_by_month_without_amounts(spark, monkeypatch, t, rows, model):
+    """Rows move before their amounts are computed; they equal the facts of a model that is not stored."""
+    whole = {"star": d.build_star, "snowflake": d.build_snowflake}[model](t)
+    monkeypatch.setattr(models, "normalized", lambda *_: t)
+    monkeypatch.setattr(models.retail, "table", lambda *_: None)
+    monkeypatch.setattr(models.retail, "order_keys", lambda _: t["orders"])
+    monkeypatch.setattr(models.retail, "plain_items", lambda *_: t["order_items"])
+    fact = models.laid_out(spark, "", model)["fact_orders"](whole)
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert fact._dealt and plan.count("RebalancePartitions") == 1
+    assert "AS total_amount" in plan.split("RebalancePartitions")[0] and "AS total_amount" not in plan.split("RebalancePartitions")[1]
+    assert rows(fact, *whole["fact_orders"].columns) == rows(whole["fact_orders"])
+    assert fact.filter(F.col(store.MONTH).isNull()).count() == 0 and {*fact.columns} == {*whole["fact_orders"].columns, store.MONTH}

@@ -74,3 +74,16 @@ def test_id_by_order_splits_a_group_of_equal_rows(spark, tmp_path):
         assert tasks.filter("v = 7").select("task").distinct().count() > 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_id_by_order_moves_no_column_that_decides_nothing(spark, tmp_path, monkeypatch):
+    """Rows that agree up to the last wanted column are alike in the result, so the columns behind it stay where they are."""
+    data = [(i % 5, i % 3, i % 2, f"t{i % 7}", i) for i in range(210)]
+    spark.createDataFrame(data, "k bigint, n bigint, v bigint, tail string, other bigint").write.parquet(str(tmp_path / "wide"))
+    moved = []
+    monkeypatch.setattr(numbering, "settle", lambda df, real=numbering.settle: moved.append(df) or real(df))
+    numbered = numbering.id_by_order(spark.read.parquet(str(tmp_path / "wide")), ["k", "n", "v", "tail"], "id", columns=["k", "v"])
+    got = sorted((r.id, r.k, r.v) for r in numbered.collect())
+    assert got == [(i + 1, k, v) for i, (k, n, v) in enumerate(sorted(row[:3] for row in data))]
+    plan = moved[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "tail" not in plan.split("Relation")[0] and "other" not in plan.split("Relation")[0]
