@@ -80,11 +80,11 @@ def with_generated_ids(new: DataFrame, existing: DataFrame, id_column: str, posi
     return numbered.withColumn(id_column, F.col("_n") + top.scalar()).drop("_n")
 
 
-def write_collections(collections: dict[str, DataFrame], folder: str) -> dict[str, str]:
-    """Nested documents, one folder of JSON lines per collection."""
+def write_collections(collections: dict[str, DataFrame], folder: str, codec: str = "gzip") -> dict[str, str]:
+    """Nested documents, one folder of JSON lines per collection, compressed: names of fields are in every line."""
     paths = {name: f"{folder}/{name}" for name in collections}
     at_once([
-        lambda n=name, d=df: d.write.mode("overwrite").option("ignoreNullFields", False).json(paths[n])
+        lambda n=name, d=df: d.write.mode("overwrite").options(ignoreNullFields=False, compression=codec).json(paths[n])
         for name, df in collections.items()
     ])
     return paths

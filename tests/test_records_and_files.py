@@ -315,3 +315,12 @@ def test_cells_have_their_own_types(spark):
     kinds = files.typed_cells(df).selectExpr("schema_of_variant(a) AS k", "CAST(a AS string) AS v").collect()
     assert [r.k for r in kinds] == ["BIGINT", "DOUBLE", "STRING", None, None, "BIGINT", "DECIMAL(20,0)", "DOUBLE", "STRING"]
     assert [r.v for r in kinds] == ["1", "2.5", "x", None, None, "7", "99999999999999999999", "1000.0", "1_0"]
+
+
+def test_collections_are_compressed_json_lines(spark, tmp_path):
+    people = spark.range(500).selectExpr("id AS _id", "concat('user ', id) AS username", "CAST(NULL AS STRING) AS nickname")
+    paths = sinks.write_collections({"people": people}, str(tmp_path / "docs"))
+    files = [p for p in (tmp_path / "docs/people").iterdir() if p.name.startswith("part-")]
+    assert files and all(p.name.endswith(".json.gz") for p in files)
+    assert sorted(spark.read.schema(people.schema).json(paths["people"]).collect()) == sorted(people.collect())
+    assert "nickname" in spark.read.json(paths["people"]).columns
