@@ -143,6 +143,13 @@ def key_blocks(df: DataFrame, column: str) -> DataFrame:
     return settle(df.filter(F.col(column).isNotNull()).groupBy(block.alias("_block")).agg(F.bit_or(bit).alias("_known")))
 
 
+def crowded_blocks(df: DataFrame, column: str) -> DataFrame:
+    """``(_block)``: the blocks of 64 whole numbers with more rows than numbers, which is where a key is repeated; stored."""
+    block, bit = _place(column)
+    counts = df.filter(F.col(column).isNotNull()).groupBy(block.alias("_block")).agg(F.count("*").alias("_n"), F.bit_or(bit).alias("_known"))
+    return settle(counts.filter(F.col("_n") > F.bit_count("_known")).select("_block"))
+
+
 def orphans(
     child: DataFrame, parent: DataFrame, column: str, parent_column: str = "id", known: DataFrame | None = None
 ) -> DataFrame:
@@ -168,8 +175,12 @@ def check_foreign_key(
     )
 
 
-def check_unique(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    """One finding per repeated key; counts are combined before the shuffle."""
+def check_unique(df: DataFrame, table: str, columns: list[str], crowded: DataFrame | None = None) -> DataFrame:
+    """One finding per repeated key; counts are combined before the shuffle. ``crowded`` may give the ``crowded_blocks`` of
+    a single key, so that only rows in these are counted by key.
+    """
+    if crowded is not None:
+        df = df.join(crowded, _place(columns[0])[0] == F.col("_block"), "left_semi")
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
     whole = F.lit(True)
     for c in columns:
@@ -227,21 +238,28 @@ def validate(tables: dict[str, DataFrame]) -> DataFrame:
 def validate_declared(model: str, tables: dict[str, DataFrame]) -> DataFrame:
     """Declared NOT NULL, unique, check and foreign key constraints of a model.
 
-    The keys that others refer to are stored once as ``key_blocks``, so that this runs jobs.
+    The keys that others refer to are stored once as ``key_blocks``, the blocks of repeated keys as ``crowded_blocks``, so that
+    this runs jobs.
     """
-    found = []
+    found, tables = [], dict(tables.items())
+    foreign = [fk for fk in schemas.FOREIGN_KEYS[model] if fk.child in tables and fk.parent in tables]
+    known: dict[tuple[str, str], DataFrame] = {}
+    crowded: dict[tuple[str, str], DataFrame] = {}
+    parents = {(fk.parent, fk.parent_column) for fk in foreign if _whole(tables[fk.child], fk.column)}
+    unique = {(name, columns[0]) for name in tables for columns in schemas.UNIQUE_KEYS[model][name] if len(columns) == 1}
+    at_once([
+        lambda k=kept, b=blocks, n=name, c=column: k.update({(n, c): b(tables[n], c)})
+        for kept, blocks, places in ((known, key_blocks, parents), (crowded, crowded_blocks, unique))
+        for name, column in sorted(places) if _whole(tables[name], column)
+    ])
     for name, df in tables.items():
         keys = schemas.UNIQUE_KEYS[model][name]
         rules = not_null_rules(model, name)
         if (model, name) == ("normalized", "reviews"):
             rules.append(review_rating_rule())
         found.append(check_rows(df, name, rules, keys[0][0]))
-        found += [check_unique(df, name, columns) for columns in keys]
-    keys = [fk for fk in schemas.FOREIGN_KEYS[model] if fk.child in tables and fk.parent in tables]
-    known: dict[tuple[str, str], DataFrame] = {}
-    whole = {(fk.parent, fk.parent_column) for fk in keys if _whole(tables[fk.child], fk.column) and _whole(tables[fk.parent], fk.parent_column)}
-    at_once([lambda p=place: known.update({p: key_blocks(tables[p[0]], p[1])}) for place in sorted(whole)])
-    for fk in keys:
+        found += [check_unique(df, name, columns, crowded.get((name, columns[0])) if len(columns) == 1 else None) for columns in keys]
+    for fk in foreign:
         blocks = known.get((fk.parent, fk.parent_column)) if _whole(tables[fk.child], fk.column) else None
         found.append(check_foreign_key(tables, fk, schemas.UNIQUE_KEYS[model][fk.child][0][0], blocks))
     return union_all(found)

@@ -219,3 +219,18 @@ def test_declared_keys_shuffle_no_child(spark):
         assert "BroadcastHashJoin" in plan and "hashpartitioning(user_id" not in plan and "SortMergeJoin" not in plan
     finally:
         spark.conf.set(setting, before)
+
+
+def test_repeated_keys_in_crowded_blocks(spark, rows):
+    """The same repeated keys as by a count of all keys; rows outside the crowded blocks are not counted by key."""
+    keys = [-2**63, -2**63, -65, -64, -64, -1, 0, 63, 64, 64, 64, 2**63 - 1, None, None, *range(128, 256)]
+    df = spark.createDataFrame([(k,) for k in keys], "id long")
+    crowded = q.crowded_blocks(df, "id")
+    assert rows(crowded) == [(-1,), (-2**57,), (1,)]
+    got = rows(q.check_unique(df, "t", ["id"], crowded), "record_key", "message")
+    assert got == rows(q.check_unique(df, "t", ["id"]), "record_key", "message") and len(got) == 3
+    users = schemas.conform_to(spark.range(1, 1001).selectExpr("id", "concat('u', id) AS username"), "normalized", "users")
+    twice = users.unionByName(users.filter("id = 7"))
+    for df, want in ((users, []), (twice, [("users", "users_id_unique", "error", "7", "Key occurs 2 times")])):
+        found = q.validate_declared("normalized", {"users": df}).filter("rule = 'users_id_unique'")
+        assert rows(found) == want and "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
