@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchantry.sources.store import settle
+from merchantry.sources.store import settle, unbroadcast
 
 # a key of 63 bits is cut into three blocks of this many bits; ten bits are left for the top
 BLOCK_BITS = 18
@@ -41,7 +41,8 @@ def running_totals(df: DataFrame, key: str, weights: dict[str, Column]) -> DataF
     for level in range(LEVELS - 1, -1, -1):
         outer = ["_last", f"_b{level + 1}"]
         inside = Window.partitionBy(*outer).orderBy(f"_b{level}").rowsBetween(*upto)
-        own = sizes[level].withColumns({f"_o{i}": c for i, c in enumerate(_before(sums, inside))}).join(starts, outer)
+        # both sides are sorted by block already; the rows themselves must never be broadcast
+        own = unbroadcast(sizes[level].withColumns({f"_o{i}": c for i, c in enumerate(_before(sums, inside))})).join(starts, outer)
         keep = [F.col(f"`{c}`") for c in df.columns] if level == 0 else [F.col("_last"), F.col(f"_b{level}")]
         starts = own.select(*keep, *[(F.col(t) + F.col(f"_o{i}")).alias(list(weights)[i] if level == 0 else t) for i, t in enumerate(totals)])
     return starts

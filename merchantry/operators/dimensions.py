@@ -14,7 +14,7 @@ from merchantry.functions.numbering import id_by_key
 from merchantry.functions.regions import region_of
 from merchantry.functions.text import display_name, non_empty, or_default
 from merchantry.schemas import conform_to
-from merchantry.sources.store import Keep, as_is, kept_at_once
+from merchantry.sources.store import Keep, as_is, kept_at_once, unbroadcast
 
 # Fixed values.
 HOLIDAYS = ["01-01", "07-04", "12-25"]
@@ -281,7 +281,7 @@ def snow_users(t: dict[str, DataFrame], roles: DataFrame, states: DataFrame, cit
     )
     rows = (
         t["users"].alias("u")
-        .join(t["addresses"].alias("a"), F.col("u.address_id") == F.col("a.id"), "left")
+        .join(unbroadcast(t["addresses"]).alias("a"), F.col("u.address_id") == F.col("a.id"), "left")
         .join(places, (F.col("a.city") == F.col("_city")) & (F.col("a.state_code") == F.col("_code")), "left")
         .join(roles.alias("r"), or_default("u.role", DEFAULT_ROLE) == F.col("r.role_name"), "left")
         .select(*_user_columns(), "r.role_id", "city_id", "a.postal_code", "a.latitude", "a.longitude")

@@ -143,6 +143,13 @@ def key_blocks(df: DataFrame, column: str) -> DataFrame:
     return settle(df.filter(F.col(column).isNotNull()).groupBy(block.alias("_block")).agg(F.bit_or(bit).alias("_known")))
 
 
+def known_rows(df: DataFrame, column: str, known: DataFrame) -> DataFrame:
+    """The rows whose key is in the ``key_blocks``, which null is not. As in ``orphans``, only the blocks may be broadcast."""
+    block, bit = _place(column)
+    found = F.coalesce("_known", F.lit(0)).bitwiseAND(bit) != 0
+    return df.join(known, block == F.col("_block"), "left").filter(found).select(*df.columns)
+
+
 def crowded_blocks(df: DataFrame, column: str) -> DataFrame:
     """``(_block)``: the blocks of 64 whole numbers with more rows than numbers, which is where a key is repeated; stored."""
     block, bit = _place(column)

@@ -92,6 +92,11 @@ def calendar(dates: DataFrame, *columns: str) -> DataFrame:
     return F.broadcast(dates.select("date_id", *columns))
 
 
+def among(dimension: DataFrame, key: str, rows: DataFrame) -> DataFrame:
+    """What a few settled ``rows`` refer to in a dimension: their keys are broadcast, not the dimension."""
+    return dimension.join(F.broadcast(rows.select(key).distinct()), key, "left_semi")
+
+
 def months_of(df: DataFrame) -> list[int]:
     """The months that a stored table has files of, newest first, from the names of the files."""
     found = {m.group(1) for m in (re.search(rf"/{MONTH}=(\d+)/", name) for name in df.inputFiles()) if m}

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money, percent_of
 from merchantry.plans.common import (
-    best_known_label, distinct, mean_line, mean_of, mean_parts, order_sums, ranked, sold_lines, top, total,
+    among, best_known_label, distinct, mean_line, mean_of, mean_parts, order_sums, ranked, sold_lines, top, total,
 )
 from merchantry.plans.starry import newest_facts
+from merchantry.sources.store import settle
 
 Tables = dict[str, DataFrame]
 
@@ -158,9 +159,10 @@ def product_ranking(m: Tables, n: int = 50) -> DataFrame:
 
 def wide_join(m: Tables, n: int = 1000) -> DataFrame:
     """The newest order lines with the names of everything they refer to."""
-    products = m["dim_products"].select("product_id", F.col("title").alias("product_name"), "category_id")
-    users = m["dim_users"].select("user_id", "username", "city_id")
-    rows = newest_facts(m, n).join(users, "user_id").join(products, "product_id")
+    newest = settle(newest_facts(m, n))
+    products = among(m["dim_products"].select("product_id", F.col("title").alias("product_name"), "category_id"), "product_id", newest)
+    users = among(m["dim_users"].select("user_id", "username", "city_id"), "user_id", newest)
+    rows = newest.join(users, "user_id").join(products, "product_id")
     rows = rows.join(m["dim_categories"].select("category_id", "category_name"), "category_id", "left")
     return rows.join(m["dim_cities"].select("city_id", "city_name"), "city_id", "left").select(
         "order_id", "username", "product_name", "category_name", "city_name", "quantity", "total_amount"

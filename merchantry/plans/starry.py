@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchantry.functions.money import mean_money, percent_of
+from merchantry.operators.quality import key_blocks, known_rows
 from merchantry.plans.common import (
     best_label, calendar, distinct, mean_line, mean_of, mean_parts, months_of, order_sums, ranked, sold_lines, top, total,
 )
@@ -209,15 +210,16 @@ def newest_facts(m: Tables, n: int, *keep: str) -> DataFrame:
     """The ``n`` newest fact rows with a known user, product and day; narrow until the limit is applied.
 
     Facts that are stored by month are counted from the newest month back, twice as many months each time, until ``n``
-    rows are found: rows of earlier months cannot be among them, and the query reads none of these.
+    rows are found: rows of earlier months cannot be among them, and the query reads none of these. Known users and products
+    are kept 64 to a row: one narrow column of a wide stored table looks small to Spark, which would broadcast every key.
     """
+    keys = {c: key_blocks(m[dimension], c) for dimension, c in (("dim_users", "user_id"), ("dim_products", "product_id"))}
+
     def known(fact: DataFrame) -> DataFrame:
         dated = fact.select(
             "fact_id", "order_id", "user_id", "product_id", "date_id", "quantity", "total_amount", *keep
         ).join(calendar(m["dim_date"], "full_date"), "date_id")
-        return dated.join(m["dim_users"].select("user_id"), "user_id", "left_semi").join(
-            m["dim_products"].select("product_id"), "product_id", "left_semi"
-        )
+        return known_rows(known_rows(dated, "user_id", keys["user_id"]), "product_id", keys["product_id"])
 
     fact = m["fact_orders"]
     months = months_of(fact) if MONTH in fact.columns else []
