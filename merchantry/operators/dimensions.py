@@ -110,7 +110,7 @@ PLACE = ["city", "state_code", "postal_code"]
 def address_locations(addresses: DataFrame, locations: DataFrame) -> DataFrame:
     """``(address_id, location_id)``: the first location with the same city, state code and postal code."""
     firsts = locations.groupBy(*PLACE).agg(F.min("location_id").alias("location_id"))
-    return addresses.join(firsts, PLACE).select(F.col("id").alias("address_id"), "location_id")
+    return unbroadcast(addresses).join(firsts, PLACE).select(F.col("id").alias("address_id"), "location_id")
 
 
 def date_ids(orders: DataFrame, dates: DataFrame) -> DataFrame:
@@ -176,7 +176,7 @@ def order_totals(t: Mapping[str, DataFrame], dates: DataFrame, model: str, place
 
 def user_places(t: Mapping[str, DataFrame], locations: DataFrame) -> DataFrame:
     """``(user_id, location_id)``: the location of the user's address."""
-    return t["users"].select(F.col("id").alias("user_id"), "address_id").join(
+    return unbroadcast(t["users"].select(F.col("id").alias("user_id"), "address_id")).join(
         address_locations(t["addresses"], locations), "address_id"
     ).select("user_id", "location_id")
 

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from merchantry.functions.money import mean_money, percent_of
 from merchantry.operators.quality import key_blocks, known_rows
 from merchantry.plans.common import (
-    best_label, calendar, distinct, mean_line, mean_of, mean_parts, months_of, order_sums, ranked, sold_lines, top, total,
+    among, best_label, calendar, distinct, mean_line, mean_of, mean_parts, months_of, order_sums, ranked, sold_lines, top, total,
 )
-from merchantry.sources.store import MONTH
+from merchantry.sources.store import MONTH, settle
 
 Tables = dict[str, DataFrame]
 
@@ -235,11 +235,12 @@ def newest_facts(m: Tables, n: int, *keep: str) -> DataFrame:
 
 def wide_join(m: Tables, n: int = 1000) -> DataFrame:
     """The newest order lines with the names of everything they refer to."""
-    products = m["dim_products"].select("product_id", F.col("title").alias("product_name"), "category")
-    rows = newest_facts(m, n, "location_id").join(m["dim_users"].select("user_id", "username"), "user_id").join(products, "product_id")
-    return rows.join(m["dim_location"].select("location_id", "city"), "location_id", "left").select(
-        "order_id", "username", "product_name", "category", "city", "quantity", "total_amount"
-    )
+    newest = settle(newest_facts(m, n, "location_id"))
+    users = among(m["dim_users"].select("user_id", "username"), "user_id", newest)
+    products = among(m["dim_products"].select("product_id", F.col("title").alias("product_name"), "category"), "product_id", newest)
+    places = among(m["dim_location"].select("location_id", "city"), "location_id", newest)
+    rows = newest.join(users, "user_id").join(products, "product_id").join(places, "location_id", "left")
+    return rows.select("order_id", "username", "product_name", "category", "city", "quantity", "total_amount")
 
 
 def heavy_aggregate(m: Tables) -> DataFrame:

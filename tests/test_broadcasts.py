@@ -79,3 +79,15 @@ def test_numbering_broadcasts_no_rows(spark, t):
     df = id_by_key(t["addresses"].select("id", "city"), "id", "n")
     assert [tuple(r) for r in df.selectExpr("count(*)", "count_if(id = n)").collect()] == [(N, N)]
     assert max(broadcast_rows(df), default=0) < N
+
+
+def test_wide_join_of_a_star_broadcasts_no_dimension(spark, t, rows):
+    df = starry.wide_join(d.build_star(t, keep=kept), 20)
+    assert rows(df.select("order_id", "username", "product_name", "category", "city", "quantity")) == want(20)
+    assert max(broadcast_rows(df)) < N
+
+
+def test_places_of_users_are_found_without_a_broadcast_of_users_or_addresses(spark, t):
+    df = d.user_places(t, d.build_star(t, keep=kept)["dim_location"])
+    assert [tuple(r) for r in df.selectExpr("count(*)", "count_if((user_id - 1) % 3 + 1 = location_id)").collect()] == [(N, N)]
+    assert max(broadcast_rows(df), default=0) < N
