@@ -111,13 +111,15 @@ def generate_all(t: dict[str, DataFrame], count: int = 10_000) -> dict[str, Data
 
 
 def generate_files(t: dict[str, DataFrame], folder: str, count: int = 10_000) -> DataFrame:
-    """Write the four tables as JSON lines; returns name, rows and bytes of each."""
+    """Write the four tables as compressed JSON lines; returns name, rows, bytes of the lines as read back, and bytes of the files."""
     spark = t["users"].sparkSession
     made = generate_all(t, count)
-    paths = sinks.save_tables(made, folder, fmt="json")
+    paths = sinks.save_tables(made, folder, fmt="json", **sinks.PACKED_JSON)
     facts = [
-        spark.read.text(path).agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count",
-            files.file_sizes(spark, path, "*.json").agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).scalar().alias("size_bytes"))
+        spark.read.text(path).agg(
+            F.count("*").alias("row_count"), F.coalesce(F.sum(F.octet_length("value") + 1), F.lit(0)).alias("size_bytes")
+        ).select(F.lit(name).alias("table_name"), "row_count", "size_bytes",
+            files.file_sizes(spark, path, "*.json.gz").agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).scalar().alias("stored_bytes"))
         for name, path in paths.items()
     ]
     return reduce(DataFrame.unionByName, facts)

@@ -12,6 +12,8 @@ from merchantry.sources.files import CSV_OPTIONS
 from merchantry.sources.store import at_once, remove
 
 PARQUET_CODECS = ["snappy", "gzip", "lz4", "zstd", "none"]
+# large JSON lines: names of fields are in every line, which the fastest level takes out already. Readers open .json.gz as .json
+PACKED_JSON = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def _written(df: DataFrame, path: str, mode: str, write) -> bool:
@@ -30,9 +32,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
     return _written(df, path, mode, lambda rows: rows.write.mode(mode).options(**CSV_OPTIONS).csv(path))
 
 
-def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
+def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", **options: str) -> bool:
     """One JSON record per line, null fields included. No rows leave no files, and give False."""
-    return _written(df, path, mode, lambda rows: rows.write.mode(mode).option("ignoreNullFields", False).json(path))
+    return _written(df, path, mode, lambda rows: rows.write.mode(mode).options(ignoreNullFields=False, **options).json(path))
 
 
 def write_parquet(df: DataFrame, path: str, codec: str | None = "snappy", mode: str = "overwrite") -> bool:
@@ -43,10 +45,10 @@ def write_parquet(df: DataFrame, path: str, codec: str | None = "snappy", mode:
     return _written(df, path, mode, lambda rows: rows.write.mode(mode).option("compression", codec).parquet(path))
 
 
-def save_tables(tables: dict[str, DataFrame], folder: str, mode: str = "overwrite", fmt: str = "parquet") -> dict[str, str]:
+def save_tables(tables: dict[str, DataFrame], folder: str, mode: str = "overwrite", fmt: str = "parquet", **options: str) -> dict[str, str]:
     """Every table in its own folder, replacing what was there."""
     paths = {name: f"{folder}/{name}" for name in tables}
-    at_once([lambda n=name, d=df: d.write.mode(mode).format(fmt).save(paths[n]) for name, df in tables.items()])
+    at_once([lambda n=name, d=df: d.write.mode(mode).format(fmt).options(**options).save(paths[n]) for name, df in tables.items()])
     return paths
 
 
