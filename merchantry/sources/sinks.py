@@ -108,10 +108,10 @@ def export_ready(df: DataFrame) -> DataFrame:
 
 
 def export_fact(fact: DataFrame, folder: str, name: str = "star_fact_orders") -> dict[str, str]:
-    """The fact table as JSON lines and as snappy Parquet; nothing when it is empty."""
+    """The fact table as compressed JSON lines and as snappy Parquet; nothing when it is empty."""
     ready = export_ready(fact)
     paths = {"json": f"{folder}/{name}.json", "parquet": f"{folder}/{name}.parquet"}
-    if not write_json_lines(ready, paths["json"]):
+    if not write_json_lines(ready, paths["json"], **PACKED_JSON):
         return {}
     write_parquet(ready, paths["parquet"])
     return paths
